@@ -1,0 +1,10 @@
+"""Training-data operators: extraction, scoring, deduplication, tokenizing, sharding and search.
+
+Functions that run in Spark's Python workers are shipped by value, so executors need
+nothing but the installed libraries.
+"""
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
