@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, winnowing
+from . import byte_bpe, hilbert, line_dedup, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,23 @@ FROM flagged GROUP BY doc_id
 """
 
 
+def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+        hex_sha(byte_bpe.token_text(F.col("token_ids"))).alias("ids_sha256"), hex_sha(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -80,10 +97,20 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 
+def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    out = hilbert.hilbert_shards(docs, ["lang", "source", "size"], ["text_crc32", "doc_id"], n_shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_line_dedup": op3_line_dedup,
+        "op5_byte_level_bpe": op5_byte_level_bpe,
+        "op7_token_counts": op7_token_counts,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
+        "op9_hilbert_sharding": op9_hilbert_sharding,
     }
 
 
