@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, hilbert, line_dedup, token_counts, winnowing
+from . import bloom_lm, byte_bpe, hilbert, language_id, line_dedup, token_counts, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,16 @@ def hex_sha(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
+def id_remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(5) == 1
+    out = bloom_lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", hex_sha(F.col("text")).alias("kept_sha256"))
@@ -55,6 +65,12 @@ def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = id_remainder(3) == 1
+    out = language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -106,8 +122,10 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_line_dedup": op3_line_dedup,
         "op5_byte_level_bpe": op5_byte_level_bpe,
+        "op6_language_id": op6_language_id,
         "op7_token_counts": op7_token_counts,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_hilbert_sharding": op9_hilbert_sharding,
