@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, byte_bpe, hilbert, language_id, line_dedup, token_counts, winnowing
+from . import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, token_counts, vector_search, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def id_remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder(5) == 1
     out = bloom_lm.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out)
@@ -120,8 +125,13 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 50 == 0, k=5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op2_lm_scoring": op2_lm_scoring,
         "op3_line_dedup": op3_line_dedup,
         "op5_byte_level_bpe": op5_byte_level_bpe,
@@ -129,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_counts": op7_token_counts,
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_hilbert_sharding": op9_hilbert_sharding,
+        "op10_nearest_neighbours": op10_nearest_neighbours,
     }
 
 
