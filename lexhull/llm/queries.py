@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, token_counts, vector_search, winnowing
+from . import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, near_duplicates, token_counts, vector_search, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,29 @@ FROM flagged GROUP BY doc_id
 """
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: Every pair that shares a shingle is counted; components by repeated reach.
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+e AS MATERIALIZED (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.c >= 75 * (na.n + nb.n - p.c)),
+both_ways AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, t.b FROM reach r JOIN both_ways t ON r.other = t.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id, r.component_id = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+"""
+
+
 def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -134,6 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html_extraction": op1_html_extraction,
         "op2_lm_scoring": op2_lm_scoring,
         "op3_line_dedup": op3_line_dedup,
+        "op4_near_duplicates": op4_near_duplicates,
         "op5_byte_level_bpe": op5_byte_level_bpe,
         "op6_language_id": op6_language_id,
         "op7_token_counts": op7_token_counts,
@@ -144,4 +168,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op8_benchmark_decontamination": OP8_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op8_benchmark_decontamination": OP8_SQL}
