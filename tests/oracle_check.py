@@ -20,7 +20,7 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
 def main() -> int:
     args = sys.argv[1:]
     d = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
-    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "10g").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.driver.memory", "10g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     sql, all_queries, bad = entry.oracle_sql(), entry.queries(), 0
     for name in args or all_queries:
