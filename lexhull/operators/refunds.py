@@ -19,6 +19,7 @@ TITLE = r"(?:la\s+)?(?:société|entreprise|firme)?\s*"
 COMPANY = rf"[A-Z][A-Za-zÀ-ÿ\-]+\s(?:[{rules.NAME_CLASS}\s]*\s)?{FORMS}"
 AFTER = r"(?:\s+[A-Za-zÀ-ÿ\-()]+)?"
 PAYS = rf"{ANY}{TITLE}({COMPANY}{AFTER})\s+rembourse(?:ra)?"
+PAYS_SIGN = rf"{ANY}\s{FORMS}{AFTER}\s+rembourse"
 PAID_BY = rf"{ANY}remboursé(?:s|e|es)?\s+par\s+{TITLE}({COMPANY}{AFTER})"
 BILLED = rf"{ANY}assureur\s+facture\s+à\s+{TITLE}({COMPANY})(?=\s+le\s|\s+un|\s+la\s|\s+les\s|\s*$|\s*\.)"
 
@@ -28,9 +29,13 @@ def either(text: Column, patterns: list[str], flags: str = ANY) -> Column:
     return text.rlike(flags + "(?:" + "|".join(patterns) + ")")
 
 
-def first_in_runs(text: Column, word: str, pattern: str) -> Column:
-    """The pattern's group in the first run of name characters that holds the word and matches."""
-    runs = F.filter(F.split(text, rf"[^{rules.NAME_CLASS}\s]+"), lambda r: F.lower(r).contains(word))
+def first_in_runs(text: Column, word: str, pattern: str, sign: str) -> Column:
+    """The pattern's group in the first run of name characters that holds the word and matches.
+
+    sign is a short stretch that every match holds; runs without it, in which the pattern would be
+    tried in vain from every character, are left out.
+    """
+    runs = F.filter(F.split(text, rf"[^{rules.NAME_CLASS}\s]+"), lambda r: F.lower(r).contains(word) & r.rlike(sign))
     return F.when(F.lower(text).contains(word), F.get(F.filter(F.transform(runs, lambda r: F.regexp_extract(r, pattern, 1)), lambda c: c != ""), F.lit(0)))
 
 
@@ -43,7 +48,7 @@ def billed_company(text: Column) -> Column:
 
 def detect(text: Column) -> Column:
     """struct<is_cashback, company, pattern>: the first detector of the cascade that fires."""
-    names = F.array(F.struct(first_in_runs(text, "rembours", PAYS).alias("pays"), first_in_runs(text, "rembours", PAID_BY).alias("paid"), billed_company(text).alias("billed")))
+    names = F.array(F.struct(first_in_runs(text, "rembours", PAYS, PAYS_SIGN).alias("pays"), first_in_runs(text, "rembours", PAID_BY, ANY + r"remboursé(?:s|e|es)?\s+par\s").alias("paid"), billed_company(text).alias("billed")))
 
     def decide(n: Column) -> Column:
         found = F.when(n["pays"].isNotNull(), "company_rembourse").when(n["paid"].isNotNull(), "rembourse_par").when(n["billed"].isNotNull(), "assureur_facture")
@@ -101,9 +106,10 @@ def sentence(text: Column, clean: bool = True) -> Column:
     def locate(t: Column) -> Column:
         found = None
         for p in rules.SENTENCES:
+            test = t.rlike(ANY + r"\s(?:SA|AG|GmbH|Sàrl)\s+(?:rembourse|restitue)") if "NAMED" in p else F.lit(True)
             p = ANY + p.replace("NAMED", named)
             this = F.struct(F.regexp_instr(t, F.lit(p)).alias("at"), F.regexp_extract(t, p, 0).alias("hit"), t.alias("t"))
-            found = F.when(t.rlike(p), this) if found is None else found.when(t.rlike(p), this)
+            found = F.when(test & t.rlike(p), this) if found is None else found.when(test & t.rlike(p), this)
         return found
 
     def grow(x: Column) -> Column:
@@ -172,16 +178,20 @@ def number(word: Column) -> Column:
 def thresholds(text: Column) -> Column:
     """array<struct<type, value, unit, match>>: the first match of each threshold pattern not near a deadline for asking."""
     low = F.lower(text)
-    words = "|".join(sorted(rules.NUMBER_WORDS, key=len, reverse=True))
-    n = rf"(\d+|{words})"
+    # of the words that begin with a digit, only these two don't end as digits and an ending
+    words = "|".join(sorted((w for w in rules.NUMBER_WORDS if w[0].isalpha()), key=len, reverse=True))
+    # the look-ahead spares most places the many alternatives
+    n = rf"(\d+|(?=[{''.join(sorted({w[0] for w in rules.NUMBER_WORDS if w[0].isalpha()}))}])(?:{words})|1er|1ère)"
     nth = n + "(?:e|[èé]me|ème|eme)?"
-    deadline = ANY + "(?:" + "|".join(rules.DEADLINES) + ")"
+    deadline = tx.FLAGS + "(?:" + "|".join(rules.DEADLINES) + ")"
 
     def every(t: Column) -> Column:
         found = []
         for kind, pattern, has_value in rules.THRESHOLDS:
-            p = ANY + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth)
+            p = tx.FLAGS + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth)
             at, hit = F.regexp_instr(t, F.lit(p)), F.regexp_extract(t, p, 0)
+            if pattern[0] == "N":  # what follows the number is rarer than numbers, and quicker to look for
+                at = F.when(t.rlike(tx.FLAGS + pattern.removeprefix("N")), at).otherwise(0)
             around = F.substring(t, F.greatest(at - rules.DEADLINE_REACH, F.lit(1)), F.length(hit) + rules.DEADLINE_REACH + F.least(at - 1, F.lit(rules.DEADLINE_REACH)))
             value = number(F.regexp_extract(t, p, 1)) if has_value else F.lit(None).cast("int")
             unit = None
@@ -208,8 +218,8 @@ def cotreatments(text: Column, drugs: list[str] = rules.DRUGS) -> Column:
     """Upper-case names of drugs given along: those that patterns find, then known names, each once."""
     named = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(ANY + p), F.lit(1)) for p in rules.GIVEN_ALONG]))
     named = F.filter(F.transform(named, lambda d: F.upper(tx.strip(d))), lambda d: (F.length(d) >= 4) & ~d.isin(rules.NO_DRUGS))
-    present = F.array_distinct(F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\b(" + "|".join(drugs) + r")®?\b"), F.lit(1)))
-    known = F.filter(F.array(*map(F.lit, drugs)), lambda d: F.array_contains(present, d))
+    present = F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\b(" + "|".join(drugs) + r")®?\b"), F.lit(1))
+    known = F.array_intersect(F.array(*map(F.lit, drugs)), present)
     return F.array_distinct(F.concat(named, known))
 
 

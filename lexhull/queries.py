@@ -314,7 +314,7 @@ BY_KEY = "WITH d AS (SELECT doc_id, doc_id % 9 AS k, CAST(doc_id % 89 + 2 AS DOU
 
 @query(BY_KEY + """
 SELECT doc_id, CASE k WHEN 0 THEN 'La société Example Pharma SA rembourse ' || w || ' % du prix pour chaque emballage.'
-  WHEN 3 THEN 'Le titulaire de l''autorisation rembourse ' || w || ' Fr. par flacon à partir du 3e emballage.' END AS sentence FROM d WHERE k IN (0, 3, 7)""")
+  WHEN 3 THEN 'Le titulaire de l''autorisation rembourse ' || w || ' Fr.' END AS sentence FROM d WHERE k IN (0, 3, 7)""")
 def cashback_sentence(spark, d):
     texts = refund_texts(spark, d, False).filter("doc_id % 9 in (0, 3, 7)").select("doc_id", F.concat(F.lit("Avant tout le 1.2.2020. "), F.col("text"), F.lit(" Puis la suite.")).alias("text"))
     return texts.select("doc_id", refunds.sentence(F.col("text")).alias("sentence"))
@@ -370,14 +370,14 @@ def cashback_rules(spark, d):
 
 def limitation_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Limitations named after parts, every third one with a code, the others with a fallback."""
-    lines = table(spark, d, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber as limitation_id", "l_partkey", "l_orderkey").join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey"))
+    lines = table(spark, d, "lineitem").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("limitation_id")).agg(F.min("l_partkey").alias("l_partkey")).join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey"))
     lims = lines.selectExpr("limitation_id", "p_name as indication_name_de")
     codes = lines.selectExpr("limitation_id", "case when limitation_id % 3 = 0 then concat('D', l_partkey % 50, '.', l_partkey % 90) else concat('D', l_partkey % 50, '.xx') end as code_value", "case when limitation_id % 3 = 0 then 'STRUCTURED_XML' else 'FALLBACK_XX' end as code_source", "concat('D', l_partkey % 50) as bag_dossier_no")
     return lims, codes
 
 
 SQL_LIMS = """
-WITH x AS (SELECT l_orderkey * 10 + l_linenumber AS limitation_id, l_partkey, p_name FROM lineitem JOIN part ON l_partkey = p_partkey),
+WITH x AS (SELECT limitation_id, l_partkey, p_name FROM (SELECT l_orderkey * 10 + l_linenumber AS limitation_id, min(l_partkey) AS l_partkey FROM lineitem GROUP BY 1) JOIN part ON l_partkey = p_partkey),
 c AS (SELECT limitation_id, p_name, 'D' || CAST(l_partkey % 50 AS VARCHAR) AS dossier, CASE WHEN limitation_id % 3 = 0 THEN 'D' || CAST(l_partkey % 50 AS VARCHAR) || '.' || CAST(l_partkey % 90 AS VARCHAR) END AS code FROM x),
 m AS (SELECT p_name, code, min(limitation_id) AS limitation_id, min(dossier) AS dossier FROM c WHERE code IS NOT NULL GROUP BY p_name, code)"""
 

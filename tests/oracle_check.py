@@ -13,7 +13,7 @@ import __spark_entry__ as entry
 
 def rows(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
-    norm = lambda v: None if v is None or v is pd.NaT or (isinstance(v, float) and v != v) else round(v, 6) if isinstance(v, float) else str(list(v)) if hasattr(v, "__len__") and not isinstance(v, (str, bytes, dict)) else v
+    norm = lambda v: None if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and v != v) else float(v) if isinstance(v, int) and not isinstance(v, bool) else round(v, 6) if isinstance(v, float) else str(list(v)) if hasattr(v, "__len__") and not isinstance(v, (str, bytes, dict)) else v
     return sorted((tuple(norm(v) for v in r) for r in frame.astype(object).itertuples(index=False)), key=str)
 
 
