@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .frames import without
+from .frames import hash_sample, without
 
 WINDOW = 256
 #: Widths of the filters and filters of each width.
@@ -115,8 +115,9 @@ class Network:
 def learn(labelled: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS) -> Network | None:
     """A network trained on a bounded sample of labelled rows; None without any labelled text."""
     head = F.substring(F.col(text_col).cast("binary"), 1, WINDOW * ROW_WINDOWS)
-    sample = labelled.filter(F.col(label_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.xxhash64(id_col).alias("h"), F.col(label_col).cast("string").alias("y"), head.alias("x"))
-    sample = sample.orderBy("h", "y", "x").limit(rows).toArrow()
+    labelled = labelled.filter(F.col(label_col).isNotNull())
+    held = labelled.filter(F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("i"), F.col(label_col).cast("string").alias("y"), head.alias("x"))
+    sample = hash_sample(held, "i", rows, labelled.count()).toArrow()
     if not sample.num_rows:
         return None
     labels = sorted(set(sample.column("y").to_pylist()))
