@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import cut
+from .frames import cut, hash_sample
 
 PROJECTED = 8
 CONFIDENCE = 0.99
@@ -164,7 +164,7 @@ def nearest(vectors: DataFrame, asks: Callable[[Column], Column], k: int = 5, id
         return empty
     dim, n = sizes["dim"], sizes["count"]
     packed = packed.filter(F.col("dim") == dim).select("id", "vec")
-    sample = packed.orderBy(F.xxhash64("id"), "vec").limit(SAMPLE).toArrow()
+    sample = hash_sample(packed, "id", SAMPLE, n).toArrow()
     to = projection(dim, m)
     depth = 0
     while (BLOCK << depth) < 2 * n and (1 << depth) < min(MOST_CELLS, sample.num_rows // 8):
