@@ -24,7 +24,7 @@ from .frames import without
 
 NONE = np.int32(1 << 30)
 #: Bytes of text encoded at once, and words a task remembers at most.
-BATCH_BYTES, WORDS_KEPT = 16 << 20, 1_000_000
+BATCH_BYTES, WORDS_KEPT = 8 << 20, 500_000
 
 
 def read_ranks(path: str) -> list[bytes]:
