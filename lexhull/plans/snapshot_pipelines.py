@@ -10,10 +10,14 @@ from lexhull.operators import matching, packs, refunds
 from lexhull.operators.history import snapshot_history
 from lexhull.operators.intervals import fan_out
 from lexhull.sources import snapshots as src
+from lexhull.sources.tables import stored
 
 
-def ingest(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Snapshot files to tables of entities with their history, keyed by natural keys."""
+def ingest(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
+    """Snapshot files to tables of entities with their history, keyed by natural keys.
+
+    Each table is written under out and read back, so the XML is parsed here only.
+    """
     extracts, records = src.read_snapshots(spark, path)
     order = ["extract_id", "pos"]
     names = {c: tx.filled(F.col(c)) for c in ("NameDe", "NameFr", "NameIt", "AtcCode", "OrgGenCode")}
@@ -22,7 +26,7 @@ def ingest(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     keys = ["swissmedic_no5", "limitation_code", "limitation_level", "content_hash"]
     attrs = ["limitation_type", "limitation_niveau", "description_de", "description_fr", "description_it", "valid_from_date", "valid_thru_date", "dossier", "given_codes"]
     subs = src.substances(records)
-    return {
+    tables = {
         "extract": extracts,
         "preparation": snapshot_history(prep, ["swissmedic_no5"], "extract_id", order, last=list(names)),
         "pack": snapshot_history(pack_rows, ["gtin"], "extract_id", [*order, "n"], first=["swissmedic_no5"], last=["swissmedic_no8", "bag_dossier_no", "description_de", "description_fr", "description_it", "status_code"], last_non_null=["public_price", "exfactory_price"]),
@@ -30,23 +34,27 @@ def ingest(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         "partner": snapshot_history(src.partners(pack_rows), ["gtin", "partner_type", "description"], "extract_id", [*order, "n", "m"], first=["place"]),
         "limitation": snapshot_history(lims, keys, "extract_id", [*order, "limitation_level"], first=attrs),
     }
+    return {name: stored(df, f"{out}/{name}") for name, df in tables.items()}
 
 
-def indications(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Codes, segments and matches of the limitations of ingest()."""
+def indications(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
+    """Codes, segments and matches of the limitations of ingest(); each stage is written under out, as several later ones read it."""
     lims = cd.named_limitations(tables["limitation"]).withColumn("limitation_id", tx.content_hash(*[F.col(c) for c in ("swissmedic_no5", "limitation_code", "limitation_level", "content_hash")]))
+    lims = stored(lims, f"{out}/named_limitation")
     coded = cd.assign_codes(lims, "given_codes", ["description_de", "description_fr", "description_it"], "limitation_type", "dossier")
     codes = coded.select("limitation_id", "code_value", "code_source", F.col("dossier").alias("bag_dossier_no"))
-    names = matching.name_code_map(lims, codes)
-    codes = matching.retro_map(codes, lims, names)
+    codes = stored(codes, f"{out}/first_code")
+    names = stored(matching.name_code_map(lims, codes), f"{out}/name_map")
+    codes = stored(matching.retro_map(codes, lims, names), f"{out}/mapped_code")
     segments = cd.segment_table(cd.mappable(lims), "limitation_id", {x: f"description_{x}" for x in ("de", "fr", "it")})
-    segments, codes = matching.segment_map(segments, codes, names)
-    segments = matching.existing_map(segments, codes, names)
+    segments, codes = matching.segment_map(stored(segments, f"{out}/first_segment"), codes, names)
+    codes = stored(codes, f"{out}/code")
+    segments = stored(matching.existing_map(segments, codes, names), f"{out}/segment")
     left = segments.filter("matched_code_value is null").join(lims.select("limitation_id", F.col("dossier")), "limitation_id")
     left = left.select(F.concat_ws("#", "limitation_id", "segment_order").alias("segment"), F.col("limitation_id").alias("group"), F.col("segment_order").alias("position"), F.col("indication_name_de").alias("name"), "dossier")
     known = names.select(F.col("indication_name_de").alias("name"), "code_value", F.col("bag_dossier_no").alias("dossier"))
     matches = matching.cascade(left, known, codes.select(F.col("limitation_id").alias("group"), "code_value"))
-    return {"limitation": lims, "code": codes, "name_map": names, "segment": segments, "match": matches}
+    return {"limitation": lims, "code": codes, "name_map": names, "segment": segments, "match": stored(matches, f"{out}/match")}
 
 
 def item_links(tables: dict[str, DataFrame]) -> DataFrame:

@@ -25,3 +25,9 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", order: list[str] = ()) -
     for name in nested:
         df = df.withColumn(name, F.to_json(name))
     (df.orderBy(*order) if order else df).write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a table, rebuilt, and read it back: what follows starts from the file."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
