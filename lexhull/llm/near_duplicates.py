@@ -11,6 +11,11 @@ buckets, and its classes are dealt out anew by longer bands; so the work is line
 size. Pairs pass the Jaccard estimate (share of equal registers, less those equal by chance) with a
 margin of several standard deviations, then the full shingle sets decide. Components come
 from the links by repeated minimum over neighbours.
+
+What a large bucket leaves unpaired is made up for by a prefix join, without bounds: of two sets that
+are linked, each holds a shingle of the other among its first few in any common order. The order puts
+shingles first that only one component holds, then the rarer ones, so that little is joined; pairs
+within a component are left out.
 """
 from __future__ import annotations
 
@@ -117,6 +122,15 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([grams[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary())], names=["id", "grams"])
 
 
+def labelled_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, id, text) to (label, id, packed shingle hashes in order)."""
+    for piece in tb.pieces(batches, 2):
+        grams, at = shingle_sets(piece.column(2))
+        ends = np.cumsum(np.bincount(at, minlength=piece.num_rows))
+        starts = np.r_[0, ends[:-1]]
+        yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array([grams[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary())], names=["label", "id", "grams"])
+
+
 def band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, regs) to one row for each shortest band: id, and the band's key at each level (longer bands go on round the registers)."""
     for batch in batches:
@@ -160,8 +174,8 @@ def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
 
-def candidates(keys: DataFrame, level: int) -> list[DataFrame]:
-    """Pairs (a, b), a < b, of ids that share a band; keys has id and k0, k1, ...; see the module."""
+def candidates(keys: DataFrame, level: int) -> tuple[list[DataFrame], DataFrame]:
+    """Pairs (a, b), a < b, of ids that share a band, and (key, id) of the buckets that aren't all paired; keys has id and k0, k1, ...; see the module."""
     key = F.col(f"k{level}")
     counts = cut(keys.groupBy(key.alias("key")).agg(F.count("*").alias("n")).filter("n > 1"))
     held = cut(keys.join(counts, key == F.col("key")).select("key", "n", "id", *[f"k{i}" for i in range(level + 1, len(BANDS))]))
@@ -174,8 +188,44 @@ def candidates(keys: DataFrame, level: int) -> list[DataFrame]:
     stars = large.select("key", "id").join(hubs, "key").filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     deeper = []
     if level + 1 < len(BANDS) and not large.isEmpty():
-        deeper = candidates(large.select("id", *[f"k{i}" for i in range(level + 1, len(BANDS))]), level + 1)
-    return [pairs, stars, *deeper]
+        deeper = candidates(large.select("id", *[f"k{i}" for i in range(level + 1, len(BANDS))]), level + 1)[0]
+    return [pairs, stars, *deeper], large.select("key", "id")
+
+
+def set_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set, id, label, packed shingle hashes) to one row for each shingle: set, id, label, size, g."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 256):
+            part = batch.slice(k, 256)
+            grams = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(3)]
+            size = np.array([len(x) for x in grams])
+            at = pa.array(np.repeat(np.arange(len(grams)), size))
+            yield pa.RecordBatch.from_arrays([*[part.column(i).take(at) for i in range(3)], pa.array(np.repeat(size, size)), pa.array(np.concatenate(grams))], names=["set", "id", "label", "size", "g"])
+
+
+def left_pairs(rows: DataFrame, crowded: DataFrame, reached: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of ids of different components in crowded buckets (key, id) that may be linked; none that is linked is missing.
+
+    A set of n shingles shares PERCENT of n with whatever it is linked to, so a shared shingle is among
+    the first n - PERCENT * n + 1 of both, in any order that is the same for all.
+    """
+    labelled = crowded.join(reached, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    ids = cut(labelled.join(mixed, "key", "left_semi").select("id", "label").distinct())
+    sets = rows.select("id", "text").join(ids, "id").select("label", "id", "text")
+    sets = sets.mapInArrow(labelled_sets, "label long, id long, grams binary").filter(F.length("grams") > 0).distinct()
+    shingles = cut(sets.select(F.xxhash64("id", "grams").alias("set"), "id", "label", "grams").mapInArrow(set_shingles, "set long, id long, label long, size long, g long"))
+    shared = shingles.groupBy("g").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g", "n")
+    own = shingles.join(shared, "g").groupBy("set", "id", "label", "size").agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
+    # the shingles that one component alone holds come before those of gs
+    first = F.expr(f"size - (({PERCENT} * size + 99) div 100) + 1 - (size - size(gs))").cast("int")
+    prefix = own.select("id", "label", "size", F.explode(F.slice("gs", 1, F.greatest(first, F.lit(0)))).alias("s"))
+    prefix = cut(prefix.select("s.g", "id", "label", "size"))
+    # the component that holds most of a shingle's sets meets the others, not itself
+    main = prefix.groupBy("g", "label").count().groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("g", "main")
+    left = prefix.join(main, "g").filter("label <> main").select("g", F.col("id").alias("x"), F.col("label").alias("label_x"), F.col("size").alias("size_x"))
+    near = (F.col("label_x") != F.col("label")) & (100 * F.least("size_x", "size") >= PERCENT * F.greatest("size_x", "size"))
+    return left.join(prefix, "g").filter(near).select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -216,23 +266,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own_class = real.join(classes.select("s1", "s2", "size", "rep"), ["s1", "s2", "size"]).select("id", "rep")
     of_class = classes.select(F.col("rep").alias("id"), "size", "regs", "s1", "s2")
     keys = of_class.select("id", "regs").mapInArrow(band_keys, "id long, " + ", ".join(f"k{i} long" for i in range(len(BANDS))))
-    found = candidates(keys, 0)
+    found, crowded = candidates(keys, 0)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
-    pairs = pairs.filter("a <> b").distinct()
     regs = of_class.select("id", "size", "regs")
-    pairs = pairs.join(regs.toDF("a", "size_a", "regs_a"), "a").join(regs.toDF("b", "size_b", "regs_b"), "b")
-    pairs = cut(pairs.select("a", "b", "size_a", "size_b", "regs_a", "regs_b").mapInArrow(estimate, "a long, b long"))
-    needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    sets = cut(rows.select("id", "text").join(needed, "id").mapInArrow(full_sets, "id long, grams binary"))
-    sets = sets.filter(F.length("grams") > 0)
-    checked = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b").select("a", "b", "grams_a", "grams_b")
-    links = checked.mapInArrow(confirm, "a long, b long")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets reach PERCENT."""
+        pairs = pairs.join(regs.toDF("a", "size_a", "regs_a"), "a").join(regs.toDF("b", "size_b", "regs_b"), "b")
+        pairs = cut(pairs.select("a", "b", "size_a", "size_b", "regs_a", "regs_b").mapInArrow(estimate, "a long, b long"))
+        needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+        sets = cut(rows.select("id", "text").join(needed, "id").mapInArrow(full_sets, "id long, grams binary"))
+        sets = sets.filter(F.length("grams") > 0)
+        checked = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b").select("a", "b", "grams_a", "grams_b")
+        return checked.mapInArrow(confirm, "a long, b long")
+
+    links = linked(pairs.filter("a <> b").distinct())
     # an id with several classes ties them together
     several = own_class.groupBy("id").agg(F.collect_set("rep").alias("reps")).filter(F.size("reps") > 1)
     ties = several.select(F.col("id").alias("a"), F.explode("reps").alias("b")).filter("a <> b")
-    reached = components(cut(links.union(ties).distinct()))
+    links = cut(links.union(ties).distinct())
+    reached = components(links)
+    if not crowded.isEmpty():
+        more = cut(left_pairs(rows, crowded, reached))
+        more = more if more.isEmpty() else cut(linked(more).distinct())
+        if not more.isEmpty():
+            reached = components(links.union(more))
     named = own_class.groupBy("id").agg(F.min("rep").alias("rep")).join(reached.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select(F.col("id").alias("_id"), F.coalesce("component", "rep").alias("component"))
     out = sketched.select("id", "size").join(named, F.col("id") == F.col("_id"), "left")

@@ -1,6 +1,7 @@
 """The text operators against plain versions of what they compute."""
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -71,6 +72,24 @@ def test_large_buckets_are_split_and_starred(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_large_group_without_its_template_matches_brute_force(spark):
+    """Copies of a text that isn't there itself, each with three words of its own."""
+    rng, texts = random.Random(1), []
+    for k in range(500):
+        copy = [f"w{i}" for i in range(120)]
+        for j, at in enumerate(rng.sample(range(0, 120, 6), 3)):
+            copy[at] = f"n{k}x{j}"
+        texts.append(" ".join(copy))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own, want = sets(df), {}
+    for i in sorted(own):
+        found = {want[j] for j in want if 100 * len(own[i] & own[j]) >= 75 * len(own[i] | own[j])}
+        want[i] = min(found, default=i)
+        want = {j: want[i] if c in found else c for j, c in want.items()}
+    got = near_duplicates.near_duplicates(df)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want and len(set(want.values())) < 100
+
+
 def test_contamination_matches_brute_force(spark, docs):
     own = {r["doc_id"]: r["text"] for r in docs.collect()}
     some = [t for t in own.values() if t and len(t) > 200][:6]
