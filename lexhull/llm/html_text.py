@@ -35,7 +35,7 @@ ALWAYS_BOILER = frozenset("comment comments disqus replies reply respond".split(
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>]*/>|.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>]|\Z)(?:[^>]*/>|.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?>\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>",
     re.S | re.I,
 )

@@ -251,6 +251,12 @@ def test_html_keeps_the_article_only():
     assert main("<p unclosed") in ("", "<p unclosed")
 
 
+@pytest.mark.parametrize("name", ["video-player", "svg-icon", "math-note", "title-bar", "select-menu", "object-viewer"])
+def test_html_custom_elements_are_not_raw(name):
+    texts, _ = html_text.blocks(f"<article><p>First.</p><{name} a=b></{name}><p>Second.</p><svg><text>gone</text></svg><p>Third.</p></article>")
+    assert texts == ["First.", "Second.", "Third."]
+
+
 def test_html_labelled_table_is_learnt():
     tree = html_text.trained()
     for page, labels in html_text.LABELLED:
