@@ -35,15 +35,18 @@ def ratio_bound(a: Column, b: Column) -> Column:
     return F.when(2 * F.least(F.length(a), F.length(b)) / total < PRUNE, 0.0).otherwise(2 * shared / total)
 
 
-def fuzzy_best(left: DataFrame, right: DataFrame, block: list[str], key: str, name: str, other: str, prune: bool = True) -> DataFrame:
+def fuzzy_best(left: DataFrame, right: DataFrame, block: list[str], key: str, name: str, other: str, prune: bool = True, others: bool = False) -> DataFrame:
     """The best right name of the same block for each left key, if it is good enough and clear.
 
     left has block, key, name; right has block, other and what goes with it. A pair needs a ratio
     of BEST, and a lead of LEAD over the second best distinct name or else to be a prefix pair of
     PREFIX_BEST. Bounds prune pairs before Python scores them. Equal scores go to the smaller name.
+    others leaves out the name itself, for a table against its own names.
     """
     pairs = left.select(*block, key, name).distinct().join(right.select(*block, other).distinct(), block)
     pairs = pairs.filter((F.length(name) > 0) & (F.length(other) > 0))
+    if others:
+        pairs = pairs.filter(F.col(name) != F.col(other))
     if prune:
         pairs = pairs.filter(ratio_bound(F.col(name), F.col(other)) >= PRUNE)
     scored = pairs.withColumn("score", ratio(F.col(name), F.col(other)))

@@ -414,14 +414,14 @@ def part_names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataF
 
 @query()
 def match_cascade(spark, d):
-    return matching.cascade(*part_names(spark, d), fuzzy=False)
+    return matching.cascade(*part_names(spark, d))
 
 
 @query()
 def fuzzy_best_gap(spark, d):
     p = table(spark, d, "part").selectExpr("p_partkey", "p_brand as dossier", "lower(p_name) as a")
-    left, right = p.filter("p_partkey % 4 = 0").withColumnRenamed("p_partkey", "segment"), p.filter("p_partkey % 4 <> 0").selectExpr("dossier", "a as b")
-    return matching.fuzzy_best(left, right, ["dossier"], "segment", "a", "b").select("segment", "dossier", "b", "score", "second")
+    left, right = p.withColumnRenamed("p_partkey", "segment"), p.selectExpr("dossier", "a as b")
+    return matching.fuzzy_best(left, right, ["dossier"], "segment", "a", "b", others=True).select("segment", "dossier", "b", "score", "second")
 
 
 @query("""
@@ -437,11 +437,14 @@ def ordinal_pairing(spark, d):
 
 @query()
 def sku_map_layers(spark, d):
-    lines = table(spark, d, "lineitem").filter("l_linenumber <= 2").join(table(spark, d, "part").select("p_partkey", "p_name", "p_type"), F.expr("l_partkey = p_partkey"))
+    lines = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_name", "p_type"), F.expr("l_partkey = p_partkey"))
     links = lines.selectExpr("l_orderkey as text_id", "concat('D', l_orderkey % 30, '.', l_partkey % 90) as indication_code", "case when l_suppkey % 2 = 0 then 'STRUCTURED_XML' else 'TEXT_PARSED' end as code_source", "l_suppkey % 11 = 0 as is_fallback", "concat('D', l_orderkey % 30) as bag_dossier_no")
     segs = lines.filter("l_orderkey % 3 <> 0").selectExpr("l_orderkey as text_id", "l_linenumber as segment_order", "p_name as indication_name_de")
     texts = table(spark, d, "orders").selectExpr("o_orderkey as text_id", "case when o_orderkey % 2 = 0 then concat('<b>', o_orderpriority, '</b> x') else concat('Nur ', o_orderpriority, '. Mehr') end as text")
-    return matching.code_names(links, segs, texts)
+    reference = table(spark, d, "nation").selectExpr("concat('D', n_nationkey % 30, '.', n_regionkey) as indication_code", "n_name as indication_name_de", "concat('D', n_nationkey % 30) as bag_dossier_no")
+    # replies are there for the texts of half the dossiers, so that the layers after them have codes left
+    replied = table(spark, d, "orders").filter("o_orderkey % 30 < 15").selectExpr("o_orderkey as text_id", "concat('reply ', o_orderpriority) as indication_name_de")
+    return matching.code_names(links, segs, texts, reference, replied)
 
 
 REPLIED = """case conv_id % 5

@@ -1,4 +1,5 @@
 """Every registered query runs on the smallest tables and equals its DuckDB twin where it has one."""
+import difflib
 import duckdb
 import os
 
@@ -26,3 +27,32 @@ def test_query(spark, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_fuzzy_best_gap_asks_for_every_part(spark, tmp_path):
+    names = [(1, "B1", "almond apple"), (2, "B1", "almond appla"), (3, "B1", "zinc"), (4, "B2", "almond apple"), (5, "B2", "navy linen"), (6, "B2", "navy linem")]
+    spark.createDataFrame(names, "p_partkey long, p_brand string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    want = set()
+    for i, block, a in names:
+        scored = sorted({(-difflib.SequenceMatcher(None, a, b).ratio(), b) for _, other, b in names if other == block and b != a})
+        if -scored[0][0] >= 0.9:
+            want.add((i, scored[0][1], round(-scored[0][0], 6)))
+    got = {(r["segment"], r["b"], round(r["score"], 6)) for r in entry.queries()["fuzzy_best_gap"](spark, str(tmp_path)).collect()}
+    assert got == want and {i for i, _, _ in got} == {1, 2, 5, 6}
+
+
+def test_match_cascade_runs_the_fuzzy_layer(spark, tmp_path):
+    spark.createDataFrame([(3, "zebra"), (43, "other 3a")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["segment"]: r["match_type"] for r in entry.queries()["match_cascade"](spark, str(tmp_path)).collect()}
+    assert got[3] == "FUZZY_MATCHED"
+
+
+def test_sku_map_layers_takes_all_lines_and_layers(spark, tmp_path):
+    save = lambda name, data, schema: spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    save("part", [(k, f"name {k}", "t") for k in range(1, 10)], "p_partkey long, p_name string, p_type string")
+    # order 31: three names and codes, paired in order; order 3: no segments, has a reply; order 18: neither
+    save("lineitem", [(31, 1, 1, 2), (31, 2, 2, 2), (31, 3, 3, 2), (3, 1, 4, 2), (18, 1, 5, 2)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    save("orders", [(31, "a"), (3, "b"), (18, "c")], "o_orderkey long, o_orderpriority string")
+    save("nation", [(7, "PERU", 1)], "n_nationkey int, n_name string, n_regionkey int")
+    got = {(r["indication_code"], r["indication_name_de"], r["match_source"]) for r in entry.queries()["sku_map_layers"](spark, str(tmp_path)).collect()}
+    assert got == {("D7.1", "PERU", "REF_MAP"), ("D1.1", "name 1", "ORDINAL_POSITION"), ("D1.2", "name 2", "ORDINAL_POSITION"), ("D1.3", "name 3", "ORDINAL_POSITION"), ("D3.4", "reply b", "LLM_SEGMENT"), ("D18.5", "c", "BOLD_EXTRACT")}
