@@ -5,20 +5,24 @@ buckets, and of the smallest remaining value each bucket stores the count of lea
 few bits after the leading one. Empty buckets borrow from a fixed sequence of others. Equal sets
 are one class, so copies never meet each other.
 
-Bands of compressed registers bring classes together. A band's bucket that holds few classes pairs
-them all. A larger bucket pairs each class with one hub, the class that is in the most and largest
-buckets, and its classes are dealt out anew by longer bands; so the work is linear in a bucket's
-size. Pairs pass the Jaccard estimate (share of equal registers, less those equal by chance) with a
-margin of several standard deviations, then the full shingle sets decide. Components come
-from the links by repeated minimum over neighbours.
-
-What a large bucket leaves unpaired is made up for by a prefix join, without bounds: of two sets that
-are linked, each holds a shingle of the other among its first few in any common order. The order puts
-shingles first that only one component holds, then the rarer ones, so that little is joined; pairs
-within a component are left out.
+Bands of compressed registers bring classes together. First each bucket of a band pairs its classes
+with one hub, the class that is in the most and largest buckets: linear in the bucket's size, and
+enough to tie most groups of copies into components. Then only pairs across components are left:
+buckets of up to SMALL classes form them all, and the classes of larger buckets are joined exactly by
+prefixes of their sets. Two sets of sizes n and m are linked only if they share need(n, m) shingles;
+in any order that is the same for all, a shared one is then among the first n - need(n, m) + 1 of
+the one and the first m - need(n, m) + 1 of the other. The order puts shingles first that only one
+component holds, which can't be shared, then the rarer ones, and a pair is also left out when too few
+shingles follow. Linked pairs agree in LEAST_BANDS bands or more (all but 4e-8 of those just linked), so
+classes in fewer large buckets take no part.
+
+Pairs pass the Jaccard estimate (share of equal registers, less those equal by chance) with a margin
+of several standard deviations, then the full shingle sets decide. Components come from the links by
+repeated minimum over neighbours.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,14 +31,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .frames import cut, row_key, without
+from .frames import HOT, cut, row_key, spread_join
 
 SHINGLE = 5
 #: Links need 100 * shared >= PERCENT * union.
 PERCENT = 75
 REGISTERS, MANTISSA = 64, 10
-#: Registers in a band, level by level; classes in a bucket of the level up to which all are paired.
-BANDS, SMALL = (2, 4, 8), (12, 64, 12)
+#: Registers in a band; classes in a bucket up to which all pairs across components are formed; bands that a linked pair shares.
+BAND, SMALL, LEAST_BANDS = 2, 16, 4
+#: Sizes of sets are compared by steps, each this much larger than the one below.
+STEP = 1.06
 #: Standard deviations by which an estimate may fall short before a pair is given up.
 MARGIN = 6.0
 
@@ -114,39 +120,28 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, packed shingle hashes in order)."""
-    for piece in tb.pieces(batches, 1):
-        grams, at = shingle_sets(piece.column(1))
-        ends = np.cumsum(np.bincount(at, minlength=piece.num_rows))
-        starts = np.r_[0, ends[:-1]]
-        yield pa.RecordBatch.from_arrays([piece.column(0), pa.array([grams[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary())], names=["id", "grams"])
-
-
-def labelled_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, id, text) to (label, id, packed shingle hashes in order)."""
+    """(id, label, text) to (id, label, size, packed shingle hashes in order), without empty sets."""
     for piece in tb.pieces(batches, 2):
         grams, at = shingle_sets(piece.column(2))
-        ends = np.cumsum(np.bincount(at, minlength=piece.num_rows))
-        starts = np.r_[0, ends[:-1]]
-        yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array([grams[s:e].tobytes() for s, e in zip(starts, ends)], pa.binary())], names=["label", "id", "grams"])
+        size = np.bincount(at, minlength=piece.num_rows)
+        ends = np.cumsum(size)
+        packed = pa.array([grams[e - n : e].tobytes() for n, e in zip(size, ends)], pa.binary())
+        yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(size, pa.int64()), packed], names=["id", "label", "size", "grams"]).filter(pa.array(size > 0))
 
 
 def band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, regs) to one row for each shortest band: id, and the band's key at each level (longer bands go on round the registers)."""
+    """(id, regs) to one row for each band: id and the band's key."""
     for batch in batches:
         m = batch.num_rows
         if not m:
             continue
         regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(m, REGISTERS).astype(np.uint64)
-        bands = REGISTERS // BANDS[0]
-        keys = []
-        for level, r in enumerate(BANDS):
-            total = np.zeros((m, bands), np.uint64)
-            for j in range(r):
-                column = (np.arange(bands) * BANDS[0] + j) % REGISTERS
-                total = tb.mix(total + regs[:, column] + np.uint64(1) + column.astype(np.uint64) * np.uint64(1 << 20))
-            keys.append(pa.array(total.ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(m), bands))), *keys], names=["id", *[f"k{i}" for i in range(len(BANDS))]])
+        bands = REGISTERS // BAND
+        total = np.zeros((m, bands), np.uint64)
+        for j in range(BAND):
+            column = np.arange(bands) * BAND + j
+            total = tb.mix(total + regs[:, column] + np.uint64(1) + column.astype(np.uint64) * np.uint64(1 << 20))
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(m), bands))), pa.array(total.ravel().view(np.int64))], names=["id", "key"])
 
 
 def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,73 +169,101 @@ def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
 
-def candidates(keys: DataFrame, level: int) -> tuple[list[DataFrame], DataFrame]:
-    """Pairs (a, b), a < b, of ids that share a band, and (key, id) of the buckets that aren't all paired; keys has id and k0, k1, ...; see the module."""
-    key = F.col(f"k{level}")
-    counts = cut(keys.groupBy(key.alias("key")).agg(F.count("*").alias("n")).filter("n > 1"))
-    held = cut(keys.join(counts, key == F.col("key")).select("key", "n", "id", *[f"k{i}" for i in range(level + 1, len(BANDS))]))
-    small = held.filter(F.col("n") <= SMALL[level]).groupBy("key").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    pairs = small.select(F.col("ids"), F.posexplode("ids").alias("at", "a")).select("a", F.explode(F.slice("ids", F.col("at") + 2, SMALL[level])).alias("b"))
-    large = held.filter(F.col("n") > SMALL[level])
-    weight = large.groupBy("id").agg(F.sum("n").alias("w"))
-    hubs = large.select("key", "id").join(weight, "id").groupBy("key").agg(F.max(F.struct("w", (-F.col("id")).alias("id"))).alias("best"))
-    hubs = cut(hubs.select("key", (-F.col("best.id")).alias("hub")))
-    stars = large.select("key", "id").join(hubs, "key").filter("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-    deeper = []
-    if level + 1 < len(BANDS) and not large.isEmpty():
-        deeper = candidates(large.select("id", *[f"k{i}" for i in range(level + 1, len(BANDS))]), level + 1)[0]
-    return [pairs, stars, *deeper], large.select("key", "id")
+def stars(held: DataFrame, hot: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of each id of a bucket with the bucket's hub; held has key, n (its ids), id."""
+    weight = held.groupBy("id").agg(F.sum("n").alias("w"))
+    hubs = cut(held.select("key", "id").join(weight, "id").groupBy("key").agg(F.max(F.struct("w", (-F.col("id")).alias("id"))).alias("best")).select("key", (-F.col("best.id")).alias("hub")))
+    met = spread_join(held.select("key", "id"), hubs, "key", hot).filter("id <> hub")
+    return met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+
+
+def across(labelled: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of ids of a bucket that have different labels; labelled has key, id, label, and SMALL ids a bucket."""
+    groups = labelled.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("id", "label"))).alias("all"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    one = groups.select("all", F.posexplode("all").alias("at", "a")).select("a", F.explode(F.slice("all", F.col("at") + 2, SMALL)).alias("b"))
+    return one.filter("a.label <> b.label").select("a.id", "b.id").toDF("a", "b").filter("a < b").distinct()
 
 
 def set_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set, id, label, packed shingle hashes) to one row for each shingle: set, id, label, size, g."""
+    """(set, label, packed shingle hashes) to one row for each shingle: set, label, g."""
     for batch in batches:
         for k in range(0, batch.num_rows, 256):
             part = batch.slice(k, 256)
-            grams = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(3)]
-            size = np.array([len(x) for x in grams])
-            at = pa.array(np.repeat(np.arange(len(grams)), size))
-            yield pa.RecordBatch.from_arrays([*[part.column(i).take(at) for i in range(3)], pa.array(np.repeat(size, size)), pa.array(np.concatenate(grams))], names=["set", "id", "label", "size", "g"])
+            grams = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(2)]
+            at = pa.array(np.repeat(np.arange(len(grams)), [len(x) for x in grams]))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.concatenate(grams))], names=["set", "label", "g"])
 
 
-def left_pairs(rows: DataFrame, crowded: DataFrame, reached: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of ids of different components in crowded buckets (key, id) that may be linked; none that is linked is missing.
+def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, label, size, shared shingles, rarer ones first) to the rows that may meet a linked set: g, lo, hi, id, label, size, after.
 
-    A set of n shingles shares PERCENT of n with whatever it is linked to, so a shared shingle is among
-    the first n - PERCENT * n + 1 of both, in any order that is the same for all.
+    lo and hi are the steps of both sets' sizes, so that either side takes a prefix for just the
+    sizes it is compared with; after counts the shared shingles from this one on.
     """
-    labelled = crowded.join(reached, "id", "left").select("key", "id", F.coalesce("component", "id").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    ids = cut(labelled.join(mixed, "key", "left_semi").select("id", "label").distinct())
-    sets = rows.select("id", "text").join(ids, "id").select("label", "id", "text")
-    sets = sets.mapInArrow(labelled_sets, "label long, id long, grams binary").filter(F.length("grams") > 0).distinct()
-    shingles = cut(sets.select(F.xxhash64("id", "grams").alias("set"), "id", "label", "grams").mapInArrow(set_shingles, "set long, id long, label long, size long, g long"))
-    shared = shingles.groupBy("g").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g", "n")
-    own = shingles.join(shared, "g").groupBy("set", "id", "label", "size").agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
-    # the shingles that one component alone holds come before those of gs
-    first = F.expr(f"size - (({PERCENT} * size + 99) div 100) + 1 - (size - size(gs))").cast("int")
-    prefix = own.select("id", "label", "size", F.explode(F.slice("gs", 1, F.greatest(first, F.lit(0)))).alias("s"))
-    prefix = cut(prefix.select("s.g", "id", "label", "size"))
-    # the component that holds most of a shingle's sets meets the others, not itself
-    main = prefix.groupBy("g", "label").count().groupBy("g").agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1").select("g", "main")
-    left = prefix.join(main, "g").filter("label <> main").select("g", F.col("id").alias("x"), F.col("label").alias("label_x"), F.col("size").alias("size_x"))
-    near = (F.col("label_x") != F.col("label")) & (100 * F.least("size_x", "size") >= PERCENT * F.greatest("size_x", "size"))
-    return left.join(prefix, "g").filter(near).select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    for batch in batches:
+        out: list[list] = [[], [], [], [], [], [], []]
+        for id_, label, size, shared in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3)):
+            g = np.asarray(shared.values)
+            own = size_step(size)
+            for step in range(size_step(max(1, size * PERCENT // 100)), size_step(-(-size * 100 // PERCENT)) + 1):
+                # the smallest size of that step that can be linked needs the fewest
+                least = max(step_floor(step), -(-size * PERCENT // 100))
+                take = len(g) - shared_need(size, least) + 1
+                if take > 0:
+                    for column, value in zip(out, (g[:take].tolist(), [min(own, step)] * take, [max(own, step)] * take, [id_] * take, [label] * take, [size] * take, range(len(g), len(g) - take, -1))):
+                        column.extend(value)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["g", "lo", "hi", "id", "label", "size", "after"])
+
+
+def shared_need(n: int, m: int) -> int:
+    """The fewest shingles that linked sets of these sizes share."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
+
+
+def size_step(n: int) -> int:
+    return int(math.log(n, STEP) + 1e-9)
+
+
+def step_floor(step: int) -> int:
+    """No size of the step is below."""
+    return int(STEP**step)
+
+
+def left_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, of ids of different labels that may be linked; none that is linked is missing. sets: id, label, size, grams."""
+    own_key = F.xxhash64("id", "grams").alias("set")
+    shingles = sets.select(own_key, "label", "grams").mapInArrow(set_shingles, "set long, label long, g long")
+    shared = cut(shingles.groupBy("g").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("g", "n"))
+    total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = shared.filter(F.col("n") * HOT >= total)
+    listed = spread_join(shingles.select("set", "g"), shared, "g", hot).groupBy("set").agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
+    listed = sets.select(own_key, "id", "label", "size").join(listed, "set").select("id", "label", "size", F.col("gs.g").alias("gs"))
+    prefix = cut(listed.mapInArrow(prefixes, "g long, lo int, hi int, id long, label long, size long, after long"))
+    keys = ["g", "lo", "hi"]
+    # the label that holds most of a key's sets meets the others, not itself
+    main = prefix.groupBy(*keys, "label").count().groupBy(*keys).agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1").select(*keys, "main")
+    mixed = cut(prefix.join(main, keys))
+    left = mixed.filter("label <> main").select(*keys, F.col("id").alias("x"), F.col("label").alias("label_x"), F.col("size").alias("size_x"), F.col("after").alias("after_x"))
+    need = F.ceil(PERCENT * (F.col("size_x") + F.col("size")) / (100 + PERCENT))
+    near = (F.col("label_x") != F.col("label")) & (100 * F.least("size_x", "size") >= PERCENT * F.greatest("size_x", "size")) & (F.least("after_x", "after") >= need)
+    return left.join(mixed, keys).filter(near).select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable, for the ids in links (a, b).
 
     Each round, every id takes the smallest label among its own and its neighbours', then the
-    label of its label. Ids whose label is settled take no part until a neighbour changes.
+    label of its label.
     """
     both = cut(links.select("a", "b").union(links.select("b", "a").toDF("a", "b")).distinct())
+    hubs = cut(both.groupBy("b").count().filter(F.col("count") * HOT >= both.count()).select("b"))
     labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).toDF("id", "label"))
+    n = labels.count()
     while True:
-        seen = both.join(labels.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near")).toDF("id", "near")
-        lower = labels.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = lower.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        lower = cut(lower.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
+        seen = spread_join(both, labels.toDF("b", "near"), "b", hubs).groupBy("a").agg(F.min("near").alias("near")).toDF("id", "near")
+        lower = cut(labels.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
+        many = lower.groupBy("label").count().filter(F.col("count") * HOT >= n).select("label")
+        lower = cut(spread_join(lower, lower.select(F.col("id").alias("label"), F.col("label").alias("next")), "label", many, "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
         labels = lower.select("id", "label")
         if lower.filter("old <> label").isEmpty():
             return labels.toDF("id", "component")
@@ -253,7 +276,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     SHINGLE words, a shorter text is one shingle. Documents are linked when their sets reach
     PERCENT; component_id is the smallest id reachable and kept marks the row that holds it.
 
-    Null, empty and blank texts have no shingles and are their own component. Rows that repeat
+    Buckets of any size lose no link (see the module). Null, empty and blank texts have no shingles and are their own component. Rows that repeat
     an id are one document, linked through any of their texts. Rows with a null id are never
     linked, have a null component and are kept. Other input columns are ignored; an empty table
     gives an empty table. Ids must be integers.
@@ -264,35 +287,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # equal sets are one class, named by its smallest id
     classes = cut(real.groupBy("s1", "s2", "size").agg(F.min("id").alias("rep"), F.first("regs").alias("regs")))
     own_class = real.join(classes.select("s1", "s2", "size", "rep"), ["s1", "s2", "size"]).select("id", "rep")
-    of_class = classes.select(F.col("rep").alias("id"), "size", "regs", "s1", "s2")
-    keys = of_class.select("id", "regs").mapInArrow(band_keys, "id long, " + ", ".join(f"k{i} long" for i in range(len(BANDS))))
-    found, crowded = candidates(keys, 0)
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    regs = of_class.select("id", "size", "regs")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        """The pairs whose sets reach PERCENT."""
+    regs = classes.select(F.col("rep").alias("id"), "size", "regs")
+    keys = regs.select("id", "regs").mapInArrow(band_keys, "id long, key long")
+    counts = cut(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    hot = counts.filter(F.col("n") * HOT >= counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    held = cut(spread_join(keys, counts, "key", hot))
+
+    def linked(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The pairs whose sets reach PERCENT; sets gives the full sets of a table of ids."""
         pairs = pairs.join(regs.toDF("a", "size_a", "regs_a"), "a").join(regs.toDF("b", "size_b", "regs_b"), "b")
         pairs = cut(pairs.select("a", "b", "size_a", "size_b", "regs_a", "regs_b").mapInArrow(estimate, "a long, b long"))
-        needed = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-        sets = cut(rows.select("id", "text").join(needed, "id").mapInArrow(full_sets, "id long, grams binary"))
-        sets = sets.filter(F.length("grams") > 0)
-        checked = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b").select("a", "b", "grams_a", "grams_b")
+        found = sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()).select("id", "grams")
+        checked = pairs.join(found.toDF("a", "grams_a"), "a").join(found.toDF("b", "grams_b"), "b").select("a", "b", "grams_a", "grams_b")
         return checked.mapInArrow(confirm, "a long, b long")
 
-    links = linked(pairs.filter("a <> b").distinct())
+    def sets_of(ids: DataFrame) -> DataFrame:
+        """Full sets of a table of (id, label)."""
+        return rows.select("id", "text").join(ids, "id").select("id", "label", "text").mapInArrow(full_sets, "id long, label long, size long, grams binary").distinct()
+
+    links = linked(stars(held, hot), lambda ids: cut(sets_of(ids.withColumn("label", F.col("id")))))
     # an id with several classes ties them together
     several = own_class.groupBy("id").agg(F.collect_set("rep").alias("reps")).filter(F.size("reps") > 1)
     ties = several.select(F.col("id").alias("a"), F.explode("reps").alias("b")).filter("a <> b")
     links = cut(links.union(ties).distinct())
     reached = components(links)
-    if not crowded.isEmpty():
-        more = cut(left_pairs(rows, crowded, reached))
-        more = more if more.isEmpty() else cut(linked(more).distinct())
-        if not more.isEmpty():
-            reached = components(links.union(more))
+    labelled = cut(held.join(reached, "id", "left").select("key", "n", "id", F.coalesce("component", "id").alias("label")))
+    pairs = cut(across(labelled.filter(F.col("n") <= SMALL)))
+    large = labelled.filter(F.col("n") > SMALL)
+    mixed = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
+    left = cut(large.join(mixed, "key", "left_semi").groupBy("id").agg(F.count("*").alias("n"), F.first("label").alias("label")).filter(F.col("n") >= LEAST_BANDS).select("id", "label"))
+    needed = left.union(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(left, "id", "left_anti").withColumn("label", F.lit(None).cast("long")))
+    sets = cut(sets_of(needed))
+    if not left.isEmpty():
+        pairs = cut(pairs.union(left_pairs(sets.filter("label is not null"))).distinct())
+    if not pairs.isEmpty():
+        reached = components(cut(links.union(linked(pairs, lambda ids: sets)).distinct()))
     named = own_class.groupBy("id").agg(F.min("rep").alias("rep")).join(reached.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select(F.col("id").alias("_id"), F.coalesce("component", "rep").alias("component"))
     out = sketched.select("id", "size").join(named, F.col("id") == F.col("_id"), "left")
