@@ -249,24 +249,27 @@ def left_pairs(sets: DataFrame) -> DataFrame:
     return left.join(mixed, keys).filter(near).select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(id, component): the smallest id reachable, for the ids in links (a, b).
 
     Each round, every id takes the smallest label among its own and its neighbours', then the
-    label of its label.
+    label of its label. After a given number of rounds ids of one label are surely
+    connected, but a component may still have several labels.
     """
     both = cut(links.select("a", "b").union(links.select("b", "a").toDF("a", "b")).distinct())
-    hubs = cut(both.groupBy("b").count().filter(F.col("count") * HOT >= both.count()).select("b"))
-    labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).toDF("id", "label"))
-    n = labels.count()
+    n = both.count()
+    hubs = both.groupBy("b").count().filter(F.col("count") * HOT >= n).select("b")
+    labels = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label")).select(F.col("a").alias("id"), F.lit(None).cast("long").alias("old"), "label"))
+    done = 0
     while True:
-        seen = spread_join(both, labels.toDF("b", "near"), "b", hubs).groupBy("a").agg(F.min("near").alias("near")).toDF("id", "near")
-        lower = cut(labels.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label")))
-        many = lower.groupBy("label").count().filter(F.col("count") * HOT >= n).select("label")
-        lower = cut(spread_join(lower, lower.select(F.col("id").alias("label"), F.col("label").alias("next")), "label", many, "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
-        labels = lower.select("id", "label")
-        if lower.filter("old <> label").isEmpty():
-            return labels.toDF("id", "component")
+        known = labels.select("id", "label")
+        seen = spread_join(both, known.toDF("b", "near"), "b", hubs).groupBy("a").agg(F.min("near").alias("near")).toDF("id", "near")
+        lower = known.join(seen, "id").select("id", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        many = known.groupBy("label").count().filter(F.col("count") * HOT >= n).select("label")
+        labels = cut(spread_join(lower, known.toDF("label", "next"), "label", many, "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")))
+        done += 1
+        if done == rounds or labels.filter("old <> label").isEmpty():
+            return labels.select("id", F.col("label").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -302,15 +305,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return checked.mapInArrow(confirm, "a long, b long")
 
     def sets_of(ids: DataFrame) -> DataFrame:
-        """Full sets of a table of (id, label)."""
-        return rows.select("id", "text").join(ids, "id").select("id", "label", "text").mapInArrow(full_sets, "id long, label long, size long, grams binary").distinct()
+        """Full sets of a table of (id, label); the texts are dealt out by id at every size."""
+        return rows.select("id", "text").join(ids.hint("shuffle_hash"), "id").select("id", "label", "text").mapInArrow(full_sets, "id long, label long, size long, grams binary").distinct()
 
     links = linked(stars(held, hot), lambda ids: cut(sets_of(ids.withColumn("label", F.col("id")))))
     # an id with several classes ties them together
     several = own_class.groupBy("id").agg(F.collect_set("rep").alias("reps")).filter(F.size("reps") > 1)
     ties = several.select(F.col("id").alias("a"), F.explode("reps").alias("b")).filter("a <> b")
-    links = cut(links.union(ties).distinct())
-    reached = components(links)
+    links = cut(links.union(ties))
+    reached = components(links, rounds=2)
     labelled = cut(held.join(reached, "id", "left").select("key", "n", "id", F.coalesce("component", "id").alias("label")))
     pairs = cut(across(labelled.filter(F.col("n") <= SMALL)))
     large = labelled.filter(F.col("n") > SMALL)
@@ -320,8 +323,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = cut(sets_of(needed))
     if not left.isEmpty():
         pairs = cut(pairs.union(left_pairs(sets.filter("label is not null"))).distinct())
-    if not pairs.isEmpty():
-        reached = components(cut(links.union(linked(pairs, lambda ids: sets)).distinct()))
+    reached = components(links.union(linked(pairs, lambda ids: sets)))
     named = own_class.groupBy("id").agg(F.min("rep").alias("rep")).join(reached.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select(F.col("id").alias("_id"), F.coalesce("component", "rep").alias("component"))
     out = sketched.select("id", "size").join(named, F.col("id") == F.col("_id"), "left")
