@@ -45,11 +45,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 BYTE_KEYS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 LOWER_KEYS = BYTE_KEYS[LOWER]
 BASE = 0xD1342543DE82EF95
-POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the odd base and of its inverse, modulo 2**64."""
+#: A second polynomial over the field of this prime, with a base that has nothing to do with the first one.
+PRIME, PRIME_BASE = (1 << 31) - 1, 1_237_940_039
+PRIME_KEYS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) % np.uint64(PRIME)
+LOWER_PRIME_KEYS = PRIME_KEYS[LOWER]
+POWERS: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+
+
+def prime_powers(base: int, size: int) -> np.ndarray:
+    """base**0, base**1, ... modulo PRIME, by doubling."""
+    out = np.ones(size, np.uint64)
+    done = 1
+    while done < size:
+        more = min(done, size - done)
+        out[done : done + more] = out[:more] * np.uint64(pow(base, done, PRIME)) % np.uint64(PRIME)
+        done += more
+    return out
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Powers 0..n of the odd base and of its inverse modulo 2**64, and of the second base and its inverse modulo PRIME."""
     if not POWERS or next(iter(POWERS)) < n:
         size = max(n, PIECE_BYTES) + 1
         made = []
@@ -57,6 +72,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.full(size, np.uint64(base))
             p[0] = 1
             made.append(np.multiply.accumulate(p))
+        made += [prime_powers(PRIME_BASE, size), prime_powers(pow(PRIME_BASE, -1, PRIME), size)]
         POWERS.clear()
         POWERS[size - 1] = tuple(made)
     return next(iter(POWERS.values()))
@@ -108,12 +124,21 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = NOT_SPACE, l
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray = LOWER_KEYS) -> np.ndarray:
-    """64-bit hash of each byte span; LOWER_KEYS makes it blind to the case of A-Z."""
-    power, inverse = powers(len(data))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:
+    """64-bit hash of each byte span, blind to the case of A-Z unless told otherwise.
+
+    A polynomial modulo 2**64 alone gives some long regular words the same hash whatever its base; the
+    one modulo a prime tells these apart.
+    """
+    power, inverse, small, small_inverse = powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(keys[data] * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * inverse[starts])
+    np.cumsum((LOWER_KEYS if lower else BYTE_KEYS)[data] * power[: len(data)], out=total[1:])
+    first = (total[ends] - total[starts]) * inverse[starts]
+    part = (LOWER_PRIME_KEYS if lower else PRIME_KEYS)[data] * small[: len(data)]
+    # folded once, a product is below 2**32, and sums of them fit as long as a piece has less than 2**32 bytes
+    np.cumsum((part & np.uint64(PRIME)) + (part >> np.uint64(31)), out=total[1:])
+    second = (total[ends] - total[starts]) % np.uint64(PRIME) * small_inverse[starts] % np.uint64(PRIME)
+    return mix(first + mix(second))
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
