@@ -79,21 +79,47 @@ def curve_index(axes: list[Column], bits: int = BITS) -> Column:
 
 
 def as_number(field: T.StructField, col: Column) -> Column:
-    """A double in the order of the column; of strings, the first six bytes decide."""
-    if isinstance(field.dataType, T.StringType):
-        head = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(field.dataType, (T.DateType, T.TimestampType)):
+    """A double in the order of a column of numbers, dates or timestamps; NaN is null."""
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.unix_timestamp(col).cast("double")
-    return col.cast("double")
+    number = col.cast("double")
+    return F.when(~F.isnan(number), number)
+
+
+def string_cuts(df: DataFrame, name: str, steps: int) -> list[str]:
+    """Quantiles 1/steps, 2/steps, ... of a string column in its own order, whole strings compared; each once.
+
+    Distinct values are counted, dealt out by range, and summed up; at most steps - 1 of them come back.
+    """
+    counted = df.filter(F.col(f"`{name}`").isNotNull()).groupBy(F.col(f"`{name}`").alias("v")).agg(F.count("*").alias("n"))
+    counted = cut(counted.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    before, everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
+    # one row for each partition, so this window is small at any input size
+    parts = counted.groupBy("part").agg(F.sum("n").alias("own")).select("part", F.coalesce(F.sum("own").over(before), F.lit(0)).alias("earlier"), F.sum("own").over(everything).alias("total"))
+    own = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counted.withColumn("upto", F.sum("n").over(own)).join(F.broadcast(parts), "part").withColumn("upto", F.col("upto") + F.col("earlier"))
+    mark = F.expr(f"((upto - n) * {steps}) div total") + 1
+    chosen = summed.filter((F.expr(f"(upto * {steps}) div total") >= mark) & (mark < steps))
+    return sorted((r["v"] for r in chosen.select("v").collect()), key=lambda v: v.encode())
+
+
+def spread_step(x: Column, cuts: list, largest: object, bits: int) -> Column:
+    """The number of cuts below x, spread over 0..2**bits-1; 0 for null."""
+    if not cuts:
+        return F.lit(0)
+    # the largest value lies on the last cut or above it
+    top = len(cuts) if largest > cuts[-1] else len(cuts) - 1
+    step = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b: b < x))
+    return F.floor(F.coalesce(step, F.lit(0)) * ((1 << bits) - 1) / max(top, 1))
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], tie: list[str], n_shards: int = 16, bits: int = BITS) -> DataFrame:
     """Input columns plus curve long, shard int and slot long.
 
-    dims are numbers, dates or strings; each is quantised into 2**bits steps by approximate
-    quantiles (their number is fixed, so little reaches the driver). Rows are ordered by curve
-    index, then by the tie columns, which should tell rows apart; ordered rows fill the shards in
+    dims are numbers, dates or strings (whole strings, in their own order); each is quantised into
+    2**bits steps by quantiles, approximate ones for numbers (2**bits - 1 cuts a dimension at most, so
+    little reaches the driver), and fewer distinct steps are spread over the whole range, so that
+    each dimension reaches the curve's high bits. Rows are ordered by curve index, then by the tie columns, which should tell rows apart; ordered rows fill the shards in
     runs whose sizes differ by one at most, slot being the place in the run.
 
     Nulls and NaN take the lowest step; rows equal in everything are interchangeable; with
@@ -101,14 +127,13 @@ def hilbert_shards(df: DataFrame, dims: list[str], tie: list[str], n_shards: int
     columns named curve, shard or slot are replaced.
     """
     kept = [c for c in df.columns if c.lower() not in ("curve", "shard", "slot")]
-    number = [F.when(~F.isnan(x), x) for x in (as_number(df.schema[c], F.col(f"`{c}`")) for c in dims)]
+    kinds = {c: isinstance(df.schema[c].dataType, T.StringType) for c in dims}
+    values = [F.col(f"`{c}`") if kinds[c] else as_number(df.schema[c], F.col(f"`{c}`")) for c in dims]
     marks = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = df.select(*[F.percentile_approx(x, marks, 1 << (bits + 4)).alias(f"b{i}") for i, x in enumerate(number)]).first()
-    steps = []
-    for i, x in enumerate(number):
-        cuts = sorted(set(bounds[i] or []))
-        # cuts lie in a literal array; the step of a value is the number of cuts below it
-        steps.append(F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda b, x=x: b < x)), F.lit(0)) if cuts else F.lit(0))
+    stats = [F.max(x).alias(f"m{i}") for i, x in enumerate(values)]
+    stats += [F.percentile_approx(x, marks, 1 << (bits + 4)).alias(f"b{i}") for i, (c, x) in enumerate(zip(dims, values)) if not kinds[c]]
+    found = df.select(*stats).first()
+    steps = [spread_step(x, string_cuts(df, c, 1 << bits) if kinds[c] else sorted(set(found[f"b{i}"] or [])), found[f"m{i}"], bits) for i, (c, x) in enumerate(zip(dims, values))]
     keyed = df.select(*[F.col(f"`{c}`") for c in kept], curve_index(steps, bits).alias("curve"))
     order = ["curve", *[F.col(f"`{c}`") for c in tie]]
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
