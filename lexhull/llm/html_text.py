@@ -1,13 +1,16 @@
 """Main text of web pages: flat text blocks and a decision tree.
 
 A page is read as a flat sequence of text blocks. Each block is described by its own word count
-and link density and those of the blocks before and after it, and by what its mark-up says: inside
-a container known for boilerplate, inside an article, a heading. A decision tree trained
-on the small labelled table below says which blocks are main text.
+and link density, by those of the blocks before and after it and of the next longer ones around it, by whether it ends
+like a sentence, and by what its mark-up says: inside an element made for boilerplate or for the
+article, inside one whose class, id or role names either, a heading, a list item. A decision tree trained on
+a small labelled table, drawn by rule from layouts with and without telling mark-up, says which
+blocks are main text.
 """
 from __future__ import annotations
 
 import html
+import random
 import re
 from collections.abc import Iterator
 
@@ -26,12 +29,14 @@ VOID = frozenset("area base col embed hr img input link meta param source track
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BOILER_TAGS = frozenset("nav footer aside form header dialog menu fieldset button".split())
 MAIN_TAGS = frozenset(("article", "main"))
-#: Words in class, id and role that name boilerplate, and words that name the article itself.
+#: Of these an article or main element inside is none the less the article.
+LOOSE_TAGS = frozenset("form header fieldset".split())
+#: Words in class, id and role that hint at boilerplate or at the article, and words before them that say what a layout has.
 BOILER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notification outbrain pager pagination popup promo promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags teaser toolbar topbar widget".split()
 )
 MAIN_WORDS = frozenset("article content entry main post story text body".split())
-ALWAYS_BOILER = frozenset("comment comments disqus replies reply respond".split())
+LAYOUT_WORDS = frozenset("has with no without".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -42,27 +47,56 @@ TOKEN = re.compile(
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PART = re.compile(r"[a-z]+")
 
-N_FEATURES = 9
+#: What a block is described by, in order; the words and link density of a block that isn't there are 0.
+FEATURES = (
+    "words", "links", "words before", "links before", "words after", "links after", "links of the longer block before", "links of the longer block after",
+    "sentence", "heading", "item", "boilerplate element", "boilerplate name", "article element", "article name",
+)
+SENTENCE_END = (".", "!", "?", "…", ":", "。", "！", "？", '."', ".”", ".)")
+
+
+def named(attrs: str) -> tuple[bool, bool]:
+    """Whether class, id or role hold a word that hints at boilerplate, and one that hints at the article."""
+    boiler = main = False
+    for value in NAMED.findall(attrs):
+        before = ""
+        for word in PART.findall(value.lower()):
+            if before not in LAYOUT_WORDS:
+                boiler, main = boiler or word in BOILER_WORDS, main or word in MAIN_WORDS
+            before = word
+    return boiler, main
+
+
+class Container:
+    """An open element and what it says about the text inside."""
 
+    __slots__ = ("name", "tag", "hint", "main_tag", "main_hint")
 
-def named_kind(attrs: str) -> int:
-    """-1 boilerplate, 1 main text, 0 neither, by the words in class, id and role."""
-    found = {w for value in NAMED.findall(attrs) for w in PART.findall(value.lower())}
-    if found & ALWAYS_BOILER:
-        return -1
-    if found & MAIN_WORDS:
-        return 1
-    return -1 if found & BOILER_WORDS else 0
+    def __init__(self, name: str, attrs: str, outer: Container | None):
+        self.name = name
+        self.tag, self.hint, self.main_tag, self.main_hint = (outer.tag, outer.hint, outer.main_tag, outer.main_hint) if outer else ("", False, False, False)
+        boiler, main = named(attrs) if "=" in attrs and name not in ("html", "body") else (False, False)
+        if name in MAIN_TAGS:
+            self.main_tag = True
+            if self.tag in LOOSE_TAGS or name == "main":
+                self.tag = ""
+            if name == "main":
+                self.hint = False
+        elif name in BOILER_TAGS and not (name == "header" and self.main_tag):
+            self.tag = self.tag if self.tag and self.tag not in LOOSE_TAGS else name
+        if boiler and not (self.main_tag and name in ("header", *HEADINGS)):
+            self.hint = True
+        if main and not boiler:
+            self.main_hint = True
 
 
 def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
     """(text, features) of the blocks of a page, in order; blocks without text are left out."""
     texts: list[str] = []
-    rows: list[tuple[int, int, bool, bool, bool]] = []
+    rows: list[tuple] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, in boilerplate, in article
-    linked, in_link, heading, breaks = 0, 0, False, 0
-    boiler = article = False
+    stack: list[Container] = []
+    linked, in_link, breaks = 0, 0, 0
 
     def flush() -> None:
         nonlocal linked, breaks
@@ -71,7 +105,9 @@ def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
                 texts.append(text)
-                rows.append((text.count(" ") + 1, linked, boiler, article, heading))
+                inner = stack[-1] if stack else Container("", "", None)
+                words = text.count(" ") + 1
+                rows.append((words, min(1.0, linked / words), text.endswith(SENTENCE_END), inner.name in HEADINGS, inner.name == "li", inner.tag != "", inner.hint, inner.main_tag, inner.main_hint))
             parts.clear()
         linked, breaks = 0, 0
 
@@ -107,53 +143,124 @@ def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
         flush()
         if m["end"]:
             in_link = 0
-            if any(s[0] == name for s in stack):
-                while stack.pop()[0] != name:
+            if any(c.name == name for c in stack):
+                while stack.pop().name != name:
                     pass
         elif name not in VOID and not m["attrs"].endswith("/"):
-            if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
+            if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1].name == name:
                 stack.pop()  # its end may be left out
-            boiler, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            kind = named_kind(m["attrs"]) if "=" in m["attrs"] else 0
-            if name in MAIN_TAGS and kind >= 0:
-                boiler, article = False, True
-            elif kind < 0 and not (article and name in ("header", *HEADINGS)):
-                boiler = True
-            elif name in BOILER_TAGS and not (article and name == "header") and not (kind > 0 and name == "form"):
-                boiler = True
-            elif kind > 0 and not boiler and name in ("div", "section", "td"):
-                article = True
-            stack.append((name, boiler, article))
-        boiler, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        heading = bool(stack) and stack[-1][0] in HEADINGS
+            stack.append(Container(name, m["attrs"], stack[-1] if stack else None))
     add(page[at:])
     flush()
-    n = np.array([(w, min(1.0, k / w)) for w, k, *_ in rows], float).reshape(-1, 2)
-    padded = np.vstack([[0, 0], n, [0, 0]])
-    marks = np.array([r[2:] for r in rows], float).reshape(-1, 3)
-    return texts, np.hstack([n, padded[:-2], padded[2:], marks])
-
-
-#: The labelled table: pages, and for each of their blocks whether it is main text.
-LABELLED: list[tuple[str, str]] = [
-    ("<nav><ul><li><a href=1>Home</a><li><a href=2>World news</a></ul></nav><article><h1>Harbour reopens after storm</h1><p>Boats left the harbour again on Monday, two days after the storm had closed it to all traffic.<p>Crews cleared sand.</article><footer>&copy; 2020 The Example</footer>", "001110"),
-    ("<header><div class=logo>Daily Example</div></header><div class=ad>Buy two lamps and pay for one this week only</div><main><h1>Recipe</h1><p>Peel the apples, cut them and cook them slowly with a little water and sugar until they are soft.</p><ul><li>six apples</li><li>sugar</li></ul></main><aside><h3>Most read</h3><p>Ten ways to peel an apple quickly and with little waste</aside>", "00111100"),
-    ("<div id=menu><a href=1>Start</a> <a href=2>About</a></div><div class=cookie-notice><p>We use cookies to give you the best experience on our pages. By going on you agree to their use.</p><button>OK</button></div><div class=post><h2>On walking</h2><p>Walking in the hills is best early in the day, when the paths are empty and the air is cool.</p><p>Take water.</p></div><div id=comments><h3>2 comments</h3><p>I walked there last year and it was lovely, thank you for the long and helpful text.</p></div>", "00011100"),
-    ("<div><a href=1>Home</a> | <a href=2>Shop</a> | <a href=3>Help</a></div><div><h1>A short history of the mill</h1><div>The mill was built by the river in the last century and served the whole valley with flour for many years.</div><div>It closed when the road was built and the larger mill in the town took over all of the work.</div></div><div><a href=4>Next story</a></div><div>All rights reserved</div>", "011100"),
-    ("<table><tr><td><a href=1>News</a><td><a href=2>Sport</a></table><p>The council met on Tuesday to decide about the new bridge, which will cost more than was planned at first.<p>Members asked for another report before the work begins, and the mayor agreed to have it made.<p><a href=3>More</a><p>Contact us", "001100"),
-    ("<form><label>Search</label><input></form><article><header><h1>Wind and wool</h1></header><p>Wool keeps the wind out even when it is wet, which is why sailors wore it.</p><nav><a href=1>Share this</a></nav><h2>Care</h2><p>Wash it cold.</p></article><section class=related><h3>Related</h3><a href=2>How to knit a hat from the wool of two sheep in a week</a></section>", "01101100"),
-    ("<div class=sidebar><p>Written by our staff. Follow us for more stories on the sea and on those who live by it.</p></div><div class=content><p>Fish were plentiful that summer.</p><p>Nobody in the village could remember a better one, and the boats came home full every single evening.</p></div><div class=newsletter><p>Sign up to get our stories by mail each week, free and without any adverts at all.</p></div>", "0110"),
-    ("<p><a href=1>Login</a><h1>Opening hours</h1><p>The library is open from nine to five on all days of the week but Sunday, when it stays closed all day.</p><p>Children under ten need a grown-up with them, and bags are to be left at the entrance of the building.</p><p><a href=2>Impressum</a> <a href=3>Privacy</a>", "01110"),
-    ("<article><p>One.</p><p>Yes.</p><p>See <a href=1>the long list of all those names</a>.</p><div class=ads>Cheap flights to the sun from only nine a head, book them now</div><footer>Filed under: sea</footer></article><p>Terms</p><p>About</p>", "1110000"),
-    ("<div>Accept all cookies?</div><div>Yes</div><h1>Snow in May</h1><p>Snow fell in the valley on the first of May for the first time in forty years, and it stayed until noon.</p><p>Farmers feared for the blossoms but most of the trees came through it without much harm.</p><div>Tags</div><div>Top</div>", "0011100"),
-]
+    return texts, features(np.array(rows, float).reshape(-1, 9))
+
+
+def features(own: np.ndarray) -> np.ndarray:
+    """What each block says itself, with its neighbours' words and links, as FEATURES has them."""
+    words, links = own[:, 0], own[:, 1]
+    shifted = lambda x, by: np.r_[0, x[:-1]] if by < 0 else np.r_[x[1:], 0]
+    around = [shifted(x, by) for by in (-1, 1) for x in (words, links)] if len(own) else [words] * 4
+    longer = [np.zeros(len(own)), np.zeros(len(own))]
+    for way, order in enumerate((range(len(own)), range(len(own) - 1, -1, -1))):
+        waiting: list[int] = []  # blocks seen so far, each longer than those after it
+        for i in order:
+            while waiting and words[waiting[-1]] <= words[i]:
+                waiting.pop()
+            longer[way][i] = links[waiting[-1]] if waiting else 0
+            waiting.append(i)
+    return np.column_stack([words, links, *around, *longer, own[:, 2:]]) if len(own) else np.zeros((0, len(FEATURES)))
+
+
+def labelled_table(pages: int = 240, seed: int = 7) -> list[tuple[str, str]]:
+    """The labelled table, drawn by rule: pages, and for each of their blocks whether it is main text.
+
+    A page is a menu, notices, an article, and what comes after it. Each part is marked by an element
+    made for it, by a name, by a compound name, or by nothing; so the tree learns what words, links
+    and neighbours tell, and how far names can be trusted.
+    """
+    rng = random.Random(seed)
+    some = lambda low, high: " ".join(rng.choice(("stone", "river", "late", "market", "of", "the", "and", "seven", "walked", "green", "slowly", "house")) for _ in range(rng.randint(low, high)))
+    said = lambda low, high: some(low, high).capitalize() + rng.choice("...?!:")
+    link = lambda low, high: f"<a href=x>{some(low, high)}</a>"
+    names = {
+        "menu": ("main-nav", "menu", "navbar top", "navigation"), "notice": ("cookie-notice", "cookie-text", "notice", "gdpr-banner"), "ad": ("ad", "ads", "story-ad", "sponsored content"),
+        "side": ("sidebar", "sidebar-content", "main-sidebar", "widget text"), "related": ("related", "related-content", "recommended"), "comments": ("comments", "comment-body", "replies"),
+        "news": ("newsletter", "newsletter-text", "signup"), "foot": ("footer", "footer-text", "copyright"), "share": ("share", "post-share", "social"),
+    }
+    tags = {"menu": "nav", "side": "aside", "foot": "footer", "news": "form", "ad": "aside"}
+
+    def part(kind: str, blocks: list[str], marked: bool = False) -> tuple[str, str]:
+        how = rng.choice(("tag", "name", "name", "none")) if not marked else rng.choice(("tag", "name"))
+        tag = tags.get(kind) if how == "tag" else None
+        if how == "none" and kind in ("notice", "ad", "side", "comments", "news"):  # nothing else tells their sentences from an article's
+            how = "name"
+        name = f' {rng.choice(("class", "id"))}="{rng.choice(names[kind])}"' if how == "name" or (how == "tag" and not tag) else ""
+        each = rng.choice(("p", "div", "li")) if kind in ("menu", "foot", "share", "related") else "p"
+        inner = "".join(f"<{each}>{b}</{each}>" for b in blocks)
+        if kind == "comments" and rng.random() < 0.5:
+            inner = "".join(f"<article><p>{b}</p></article>" for b in blocks)
+        return f"<{tag or 'div'}{name}>{inner}</{tag or 'div'}>", "0" * len(blocks)
+
+    def boiler(kind: str, marked: bool = False) -> tuple[str, str]:
+        few = rng.randint(1, 4)
+        made = {
+            "menu": lambda: [link(1, 3) for _ in range(rng.randint(2, 7))], "share": lambda: [link(1, 2) for _ in range(few)], "related": lambda: [link(4, 12) for _ in range(few + 1)],
+            "notice": lambda: [said(8, 40)], "ad": lambda: [said(3, 25)], "side": lambda: [said(5, 30) for _ in range(few)], "comments": lambda: [said(4, 60) for _ in range(few)],
+            "news": lambda: [said(4, 25)], "foot": lambda: [rng.choice((some(1, 6), f"{some(1, 3)} {link(1, 2)} {link(1, 2)}")) for _ in range(rng.randint(1, 2))],
+        }[kind]()
+        return part(kind, made, marked)
+
+    def article() -> tuple[str, str]:
+        out, labels = [], ""
+        wrap = rng.choice(("article", "main", "named", "named", "none", "none"))
+
+        def add(tag: str, text: str) -> None:
+            nonlocal labels
+            out.append(f"<{tag}>{text}</{tag}>")
+            labels += "1"
+
+        if rng.random() < 0.8:
+            add(rng.choice(("h1", "h2")), some(1, 12))
+        for _ in range(rng.choice((1, 1, 2, 4, 8, 14))):
+            kind = rng.random()
+            if kind < 0.15:
+                add("p", said(1, 5))
+            elif kind < 0.75:
+                add("p", said(12, 90))
+            elif kind < 0.85:
+                add("p", f"{some(8, 30)} {link(1, 5)} {said(4, 20)}")
+            elif kind < 0.92:
+                add(rng.choice(("h2", "h3")), some(1, 6))
+                add("p", said(15, 60))
+            else:
+                for _ in range(rng.randint(2, 4)):
+                    add("li", some(1, 8))
+                add("p", said(10, 40))
+            if wrap in ("article", "main") and rng.random() < 0.15:  # such as sources
+                add(rng.choice(("p", "li")), link(1, 12))
+            if rng.random() < 0.06:
+                html_, zeros = boiler(rng.choice(("ad", "share", "news")), True)
+                out.append(html_)
+                labels += zeros
+        inner = "".join(out)
+        opened = {"article": "<article>", "main": "<main>", "named": f'<div class="{rng.choice(("content", "entry text", "post", "story-body"))}">', "none": "<div>"}[wrap]
+        return f"{opened}{inner}</{opened[1:].split()[0].rstrip('>')}>", labels
+
+    out = []
+    for _ in range(pages):
+        before = [boiler(k) for k in ("menu", "notice", "ad") if rng.random() < 0.6]
+        after = [boiler(k) for k in ("share", "related", "side", "comments", "news", "foot") if rng.random() < 0.4]
+        parts = [*before, article(), *after] if rng.random() < 0.93 else [boiler(k) for k in ("menu", "foot")]
+        page = "".join(h for h, _ in parts)
+        out.append((f"<body class={rng.choice(('has-sidebar', 'post', 'page'))}>{page}</body>" if rng.random() < 0.5 else page, "".join(x for _, x in parts)))
+    return out
 
 
 class Tree:
     """A small decision tree by Gini impurity, held as flat arrays."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 6):
-        self.feature, self.cut, self.left, self.value = [], [], [], []
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 4):
+        self.feature, self.cut, self.left, self.value, self.least = [], [], [], [], least
         self.grow(x, y, depth)
 
     def grow(self, x: np.ndarray, y: np.ndarray, depth: int) -> int:
@@ -163,12 +270,14 @@ class Tree:
         if depth and 0 < y.sum() < len(y):
             best = (len(y) * y.mean() * (1 - y.mean()) - 1e-9, None)
             for f in range(x.shape[1]):
-                values = np.unique(x[:, f])
-                for cut in (values[1:] + values[:-1]) / 2:
-                    low = x[:, f] < cut
-                    score = sum(len(p) * p.mean() * (1 - p.mean()) for p in (y[low], y[~low]))
-                    if score < best[0] - 1e-12:
-                        best = (score, (f, cut))
+                order = np.argsort(x[:, f], kind="stable")
+                v, ones = x[order, f], np.cumsum(y[order])[:-1]
+                n = np.arange(1, len(y))
+                score = ones * (1 - ones / n) + (ones[-1] + y[order[-1]] - ones) * (1 - (ones[-1] + y[order[-1]] - ones) / (len(y) - n))
+                score[(v[1:] == v[:-1]) | (n < self.least) | (len(y) - n < self.least)] = np.inf
+                at = int(score.argmin())
+                if score[at] < best[0] - 1e-12:
+                    best = (score[at], (f, (v[at] + v[at + 1]) / 2))
             if best[1]:
                 f, cut = best[1]
                 low = x[:, f] < cut
@@ -190,9 +299,9 @@ class Tree:
 
 
 def trained(labelled: list[tuple[str, str]] | None = None) -> Tree:
-    """The tree of a labelled table, by default the one in this module."""
+    """The tree of a labelled table, by default the one that labelled_table() draws."""
     xs, ys = [], []
-    for page, labels in LABELLED if labelled is None else labelled:
+    for page, labels in labelled_table() if labelled is None else labelled:
         texts, x = blocks(page)
         if len(texts) != len(labels):
             raise ValueError(f"{len(labels)} labels for {len(texts)} blocks: {texts}")
