@@ -1,14 +1,15 @@
 """Nearest neighbours by stable projections, kd-trees and a chi-square stopping test.
 
 Unit vectors are projected by a Gaussian matrix to PROJECTED dimensions. For two vectors at
-distance d, the squared projected distance over d*d follows a chi-square distribution, so once
-projected neighbours lie beyond d_k times the root of its CONFIDENCE quantile, a nearer vector is
-unlikely to be left and the search stops. Every vector that is reached is compared in full.
+distance d, the squared projected distance over d*d follows a chi-square distribution. So vectors are
+compared in full in the order of their projected distance, and once that lies beyond d_k, the k-th distance
+found so far, times the root of the CONFIDENCE quantile, the search stops: a vector as near as the k-th
+would have come up before with that probability, and a nearer one with a larger one.
 
 A kd-tree fitted on a bounded sample deals all vectors out to cells, and large cells are split
 into blocks by hash, so that many equal vectors do not gather in one task. A query first searches
 one block of its own cell; the k-th distance found there bounds the cells that it must visit.
-Inside a block, a kd-tree yields projected neighbours leaf by leaf.
+Inside a block, a kd-tree yields the projected neighbours leaf by leaf.
 """
 from __future__ import annotations
 
@@ -17,15 +18,16 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import cut, hash_sample
 
-PROJECTED = 8
-CONFIDENCE = 0.99
+PROJECTED = 32
+CONFIDENCE = 0.92
 #: Rows that fit the tree of cells, rows of a block, queries that meet a block at once, cells at most, rows of a leaf.
-SAMPLE, BLOCK, QUERIES, MOST_CELLS, LEAF = 16384, 4096, 1024, 2048, 64
+SAMPLE, BLOCK, QUERIES, MOST_CELLS, LEAF = 16384, 16384, 512, 2048, 256
 
 
 def chi_square_quantile(p: float, m: int) -> float:
@@ -34,8 +36,14 @@ def chi_square_quantile(p: float, m: int) -> float:
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """Rows of packed doubles."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
+    """Rows of packed floats or doubles as doubles, each scaled by a power of two to components of at most 1.
+
+    The scale leaves cosines as they are and keeps squares of very large or small components in range.
+    """
+    packed = b"".join(column.to_pylist())
+    width = len(packed) // (dim * max(len(column), 1))
+    x = np.frombuffer(packed, np.float32 if width == 4 else np.float64).astype(np.float64).reshape(-1, dim)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
 
 
 def norms(x: np.ndarray) -> np.ndarray:
@@ -52,20 +60,21 @@ def projected(x: np.ndarray, to: np.ndarray) -> np.ndarray:
 
 
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, vector) to (id, dimension, packed doubles) of the vectors that can have a cosine."""
+    """(id, vector) to (id, dimension, packed components) of the vectors that can have a cosine."""
     for batch in batches:
-        ids, out, dims = [], [], []
-        for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if i is None or not v or None in v:
-                continue
-            x = np.array(v, np.float64)
-            with np.errstate(over="ignore"):
-                size = (x * x).sum()
-            if 0 < size < np.inf:
-                ids.append(i)
-                out.append(x.tobytes())
-                dims.append(len(x))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(out, pa.binary())], names=["id", "dim", "vec"])
+        ids, vectors = batch.column(0), batch.column(1)
+        size = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy().astype(np.int64)
+        flat = vectors.flatten()
+        x = flat.to_numpy(zero_copy_only=False)
+        kind = np.float32 if pa.types.is_float32(flat.type) else np.float64
+        ends = np.cumsum(size)
+        # nulls come as NaN
+        odd = np.r_[0, np.cumsum(~np.isfinite(x.astype(np.float64)))]
+        filled = np.r_[0, np.cumsum(x != 0)]
+        good = (size > 0) & (odd[ends] == odd[ends - size]) & (filled[ends] > filled[ends - size]) & ids.is_valid().to_numpy(zero_copy_only=False)
+        rows = np.flatnonzero(good)
+        x = x.astype(kind)
+        yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), pa.array(size[rows].astype(np.int32)), pa.array([x[ends[i] - size[i] : ends[i]].tobytes() for i in rows], pa.binary())], names=["id", "dim", "vec"])
 
 
 def splits(points: np.ndarray, depth: int) -> list[tuple[int, float]]:
@@ -108,6 +117,47 @@ def leaves(points: np.ndarray, size: int = LEAF) -> list[np.ndarray]:
     return out
 
 
+class Block:
+    """Vectors with a kd-tree over their projections."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, to: np.ndarray):
+        self.ids, self.x, self.size, self.p = ids, x, norms(x), projected(x, to)
+        self.parts = leaves(self.p)
+        self.low, self.high = np.array([self.p[i].min(axis=0) for i in self.parts]), np.array([self.p[i].max(axis=0) for i in self.parts])
+        self.compared = 0
+
+    def scores(self, rows: np.ndarray, q: np.ndarray, q_size: float) -> np.ndarray:
+        return (self.x[rows] * q).sum(axis=1) / (self.size[rows] * q_size)
+
+    def search(self, qid: int, q: np.ndarray, q_size: float, at: np.ndarray, k: int, bound: float, limit: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best of the block for a query, best first; bound is the squared distance of the k-th known elsewhere."""
+        near = (np.maximum(np.maximum(self.low - at, at - self.high), 0) ** 2).sum(axis=1)
+        order, best = np.argsort(near), np.zeros(0, np.int64)
+        place, step = 0, 1
+        reach = lambda: bound * limit * (1 + 1e-9) + 1e-12
+        while place < len(order) and near[order[place]] <= reach():
+            own = np.concatenate([self.parts[j] for j in order[place : place + step]])
+            place, step = place + step, step * 2
+            far = ((self.p[own] - at) ** 2).sum(axis=1)
+            some = np.flatnonzero((far <= reach()) & (self.ids[own] != qid))
+            some = some[np.argsort(far[some], kind="stable")]
+            own, far, start, chunk = own[some], far[some], 0, 64
+            while start < len(own) and far[start] <= reach():  # else the chi-square test holds
+                rows = own[start : start + chunk]
+                start, chunk = start + chunk, chunk * 2
+                self.compared += len(rows)
+                rows = np.r_[best, rows]
+                score = self.scores(rows, q, q_size)
+                ranked = np.lexsort((self.ids[rows], -score))
+                rows, score = rows[ranked], score[ranked]
+                # of rows that repeat an id the best stands first
+                first = np.sort(np.unique(self.ids[rows], return_index=True)[1])[:k]
+                best = rows[first]
+                if len(best) == k:
+                    bound = min(bound, max(0.0, 2 - 2 * score[first[-1]]))
+        return self.ids[best], self.scores(best, q, q_size)
+
+
 def searcher(dim: int, m: int, k: int, limit: float) -> Callable:
     """Queries (qid, qvec, bound) against the vectors (id, vec) of one block: the k best of the block for each query."""
 
@@ -115,33 +165,14 @@ def searcher(dim: int, m: int, k: int, limit: float) -> Callable:
         found: tuple[list, list, list] = ([], [], [])
         if asked.num_rows and held.num_rows:
             to = projection(dim, m)
-            ids, x = held.column("id").to_numpy(), matrix(held.column("vec").combine_chunks(), dim)
-            size, p = norms(x), projected(x, to)
-            parts = leaves(p)
-            low, high = np.array([p[i].min(axis=0) for i in parts]), np.array([p[i].max(axis=0) for i in parts])
+            block = Block(held.column("id").to_numpy(), matrix(held.column("vec").combine_chunks(), dim), to)
             q = matrix(asked.column("qvec").combine_chunks(), dim)
             q_size, q_at = norms(q), projected(q, to)
             for i, (qid, bound) in enumerate(zip(asked.column("qid").to_pylist(), asked.column("bound").to_pylist())):
-                near = (np.maximum(np.maximum(low - q_at[i], q_at[i] - high), 0) ** 2).sum(axis=1)
-                order = np.argsort(near)
-                got_score, got_id = np.zeros(0), np.zeros(0, np.int64)
-                at, step = 0, 1
-                while at < len(order):
-                    if near[order[at]] > bound * limit * (1 + 1e-9) + 1e-12:
-                        break  # the chi-square test holds
-                    own = np.concatenate([parts[j] for j in order[at : at + step]])
-                    own = own[ids[own] != qid]
-                    at, step = at + step, step * 2
-                    score = (x[own] * q[i]).sum(axis=1) / (size[own] * q_size[i])
-                    got_score, got_id = np.r_[got_score, score], np.r_[got_id, ids[own]]
-                    best = np.lexsort((got_id, -got_score))
-                    best = best[np.r_[True, got_id[best][1:] != got_id[best][:-1]]][:k] if len(best) else best
-                    got_score, got_id = got_score[best], got_id[best]
-                    if len(got_id) == k:
-                        bound = min(bound, max(0.0, 2 - 2 * got_score[-1]))
-                found[0].extend([qid] * len(got_id))
-                found[1].extend(got_id.tolist())
-                found[2].extend(got_score.tolist())
+                ids, score = block.search(qid, q[i], q_size[i], q_at[i], k, bound, limit)
+                found[0].extend([qid] * len(ids))
+                found[1].extend(ids.tolist())
+                found[2].extend(score.tolist())
         return pa.table({"query_id": pa.array(found[0], pa.int64()), "vec_id": pa.array(found[1], pa.int64()), "score": pa.array(found[2], pa.float64())})
 
     return run
@@ -152,8 +183,9 @@ def nearest(vectors: DataFrame, asks: Callable[[Column], Column], k: int = 5, id
 
     asks makes a condition of the id column. A query's candidates are all rows of another id; fewer
     than k candidates are all returned; ties go to the smaller id. Vectors that are null, empty,
-    zero or hold null or non-finite components, null ids, and vectors of another length than the
-    commonest take no part. Rows that repeat an id count as one candidate, with the best of
+    zero or hold null or non-finite components, and null ids take no part; nor do vectors of another
+    length than the commonest, which have no cosine with the others. Any other vector does, however
+    long, large or small its components. Rows that repeat an id count as one candidate, with the best of
     their scores. Other input columns are ignored; an empty table gives an empty table.
     """
     spark = vectors.sparkSession
@@ -167,7 +199,7 @@ def nearest(vectors: DataFrame, asks: Callable[[Column], Column], k: int = 5, id
     sample = hash_sample(packed, "id", SAMPLE, n).toArrow()
     to = projection(dim, m)
     depth = 0
-    while (BLOCK << depth) < 2 * n and (1 << depth) < min(MOST_CELLS, sample.num_rows // 8):
+    while (BLOCK << depth) < n and (1 << depth) < min(MOST_CELLS, sample.num_rows // 8):
         depth += 1
     tree = splits(projected(matrix(sample.column("vec").combine_chunks(), dim), to), depth)
 
@@ -194,10 +226,10 @@ def nearest(vectors: DataFrame, asks: Callable[[Column], Column], k: int = 5, id
                 continue
             q = np.array(batch.column(2).to_pylist()).reshape(-1, m)
             bound = batch.column(3).to_numpy(zero_copy_only=False)
-            for start in range(0, len(q), 256):
-                own = q[start : start + 256, None, :]
+            for start in range(0, len(q), 64):
+                own = q[start : start + 64, None, :]
                 near = (np.maximum(np.maximum(low[None] - own, own - high[None]), 0) ** 2).sum(axis=2)
-                row, at = np.nonzero(near <= bound[start : start + 256, None] * limit * (1 + 1e-9) + 1e-12)
+                row, at = np.nonzero(near <= bound[start : start + 64, None] * limit * (1 + 1e-9) + 1e-12)
                 pick = pa.array(row + start)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pick), batch.column(1).take(pick), batch.column(3).take(pick), pa.array(cell[at].astype(np.int32))], names=["qid", "qvec", "bound", "cell"])
 
