@@ -6,8 +6,8 @@ probability per language. A convolution over bytes is a sum of table rows, one t
 place in the filter, so applying the network to a window is a few gathers and a maximum. The
 windows of a text cover all of it; their log-probabilities, weighted by length, are averaged.
 
-The network is trained on the driver, on windows of a sample of at most TRAIN_ROWS labelled rows
-(those of smallest id hash); everything else runs over all rows on the workers.
+The network is trained on the driver, on windows drawn from whole texts of a sample of at most
+TRAIN_ROWS labelled rows (those of smallest id hash); everything else runs over all rows on the workers.
 """
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .frames import hash_sample, without
+from .frames import cut, hash_sample, row_key, without
 
 WINDOW = 256
 #: Widths of the filters and filters of each width.
@@ -112,21 +112,42 @@ class Network:
                 q -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
 
 
+def drawn_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, text) to (label, window): of each text at most ROW_WINDOWS windows, evenly spaced over all of it."""
+    for piece in tb.pieces(batches, 1):
+        x, row, held = windows(*tb.column_bytes(piece.column(1)))
+        each = np.bincount(row, minlength=piece.num_rows)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+        # the n-th window is drawn when another of the ROW_WINDOWS marks lies in it
+        share = np.minimum(ROW_WINDOWS, each)[row]
+        drawn = (nth + 1) * share // each[row] > nth * share // each[row]
+        # a last window that is mostly padding teaches little, unless it is the only one
+        drawn &= (held >= WINDOW // 4) | (each[row] == 1)
+        yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(row[drawn])), pa.array([w.tobytes() for w in x[drawn]], pa.binary())], names=["y", "x"])
+
+
 def learn(labelled: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS) -> Network | None:
-    """A network trained on a bounded sample of labelled rows; None without any labelled text."""
-    head = F.substring(F.col(text_col).cast("binary"), 1, WINDOW * ROW_WINDOWS)
+    """A network trained on at most `rows` labelled rows with a letter, those of smallest id hash; None without any.
+
+    Of each of these texts at most ROW_WINDOWS windows are learnt from, spaced evenly from its
+    first byte to its last. Windows are drawn on the workers, so long texts stay there. Rows with a
+    null id are not learnt from.
+    """
     labelled = labelled.filter(F.col(label_col).isNotNull())
-    held = labelled.filter(F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("i"), F.col(label_col).cast("string").alias("y"), head.alias("x"))
-    sample = hash_sample(held, "i", rows, labelled.count()).toArrow()
-    if not sample.num_rows:
+    keys = [F.col(id_col).alias("i"), row_key(id_col, text_col).alias("k"), F.col(label_col).cast("string").alias("y")]
+    held = labelled.filter(F.col(text_col).rlike(r"\p{L}")).select(*keys)
+    chosen = cut(hash_sample(held, "i", rows, labelled.count()).distinct())
+    texts = labelled.select(*keys, F.col(text_col).alias("x")).join(F.broadcast(chosen), ["i", "k", "y"]).dropDuplicates(["i", "k", "y"])
+    drawn = texts.select("y", "x").mapInArrow(drawn_windows, "y string, x binary").toArrow()
+    if not drawn.num_rows:
         return None
-    labels = sorted(set(sample.column("y").to_pylist()))
-    data, offsets = tb.column_bytes(sample.column("x"))
-    x, row, held = windows(data, offsets)
-    number = np.array([labels.index(y) for y in sample.column("y").to_pylist()])
+    sample = sorted(zip(drawn.column("y").to_pylist(), drawn.column("x").to_pylist()))
+    labels = sorted({y for y, _ in sample})
+    x = np.frombuffer(b"".join(w for _, w in sample), np.uint8).reshape(-1, WINDOW)
+    number = np.array([labels.index(y) for y, _ in sample])
     network = Network(labels)
     if len(labels) > 1:
-        network.train(x, number[row])
+        network.train(x, number)
     return network
 
 
