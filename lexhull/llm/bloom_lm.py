@@ -1,16 +1,21 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
 Training tokens and bigrams are counted over the whole corpus. Each task sums its own counts,
-and what it shuffles are packed arrays of (hash, count) by bucket of the hash, not rows. A count
-c enters the filter as its level 1 + floor(log2 c): the keys (gram, 1) .. (gram, level) are set.
-Each bucket owns a slice of the filter, so its reducer writes the slice alone and the slices laid
-end to end are the filter, whose size is fixed. Workers get it by broadcast and read a level by
-probing 1, 2, ... until a key is missing.
-
-The score of a word after another is (c(h, w) + MU * P(w)) / (c(h) + MU), with the middle of each
-level's range for the counts and the smoothed unigram probability for P. The exact baseline needs
-exact counts: tokens of relative frequency 1/HOT_SHARE or more are at most HOT_SHARE many and are
-broadcast; all others are joined by a shuffle, where no key can be common.
+and what it shuffles are packed arrays of (hash, count) by bucket of the hash, not rows; the number of
+buckets follows the size of the training text, so a bucket's sums stay small. A count c enters the
+filter as its level 1 + floor(log2 c): the keys (gram, 1) .. (gram, level) are set. Each bucket owns
+a slice of the filter with KEY_BITS for each of its keys, so the filter grows with the corpus and its
+error rate does not. A level is read by probing 1, 2, ... until a key is missing or the slice's highest
+level is passed.
+
+Texts are packed into pieces. A piece asks each bucket for the exact counts of its distinct tokens; the
+answers meet the piece again by its number, so no key is ever common. Up to BROADCAST_BITS the slices
+are also laid end to end and broadcast; a larger filter stays in its slices, and the pieces
+ask these for their levels along with the counts. Both ways give the same scores.
+
+The score of a word after another is (c(h, w) + T(h) * P(w)) / (c(h) + T(h)), with the middle of each
+level's range for the counts, the smoothed unigram probability for P, and c(h)**FOLLOWERS for T(h), the number of
+different words that follow h.
 """
 from __future__ import annotations
 
@@ -23,17 +28,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .frames import cut, partitions, row_key
-
-#: Bits of the filter (32 MB; the only part of the model that is held whole by anyone) and probes for a key.
-FILTER_BITS, PROBES = 1 << 28, 4
-#: Bigrams seen less often stay out of the filter.
-LEAST_BIGRAM = 2
-#: Weight of the unigram probability against a bigram's history, in tokens.
-MU = 2000.0
-HOT_SHARE = 1 << 18
+from .frames import cut, partitions
+
+#: Bits of the filter for a key and probes for it: a level that isn't there is read as set in 1.2 of 100 cases.
+KEY_BITS, PROBES = 10, 4
+#: The filter is broadcast up to this size (128 MB), else the probes go to its slices.
+BROADCAST_BITS = 1 << 30
+#: Bytes of training text for a bucket of hashes.
+BUCKET_BYTES = 8 << 20
+#: Power of a word's count that tells how many different words follow it.
+FOLLOWERS = 0.8
 #: Entries a task holds before it sends them on.
-HELD = 3_000_000
+HELD = 1_500_000
 END = np.uint64(0x5D1E)
 SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -68,6 +74,24 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (hashes >> np.uint64(32)) % np.uint64(buckets)
 
 
+def narrow(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes each (1, 2, 4 or 8) that hold all of them."""
+    most = int(counts.max(initial=0))
+    return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max)).tobytes()
+
+
+def wide(packed: bytes, n: int) -> np.ndarray:
+    """n counts back from narrow()."""
+    return np.frombuffer(packed, f"u{len(packed) // n}" if n else np.uint8).astype(np.int64)
+
+
+def slices(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order, filled, cuts): what sorts by bucket, the buckets that hold any, and where each begins and ends."""
+    order = np.argsort(bucket, kind="stable")
+    filled, first = np.unique(bucket[order], return_index=True)
+    return order, filled.astype(np.int64), np.r_[first, len(bucket)]
+
+
 def packed_counts(buckets: int) -> Callable:
     """Text batches to (bucket, kind, hashes, counts): the sums of a task, packed by bucket; kind 1 words, 2 bigrams."""
 
@@ -78,14 +102,12 @@ def packed_counts(buckets: int) -> Callable:
             parts = held[kind]
             hashes, counts = summed(np.concatenate([h for h, _ in parts]), np.concatenate([c for _, c in parts])) if parts else (np.zeros(0, np.uint64), np.zeros(0, int))
             held[kind] = []
-            bucket = bucket_of(hashes, buckets)
-            order = np.argsort(bucket, kind="stable")
-            hashes, counts = hashes[order], np.minimum(counts[order], 0xFFFFFFFF).astype(np.uint32)
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1).astype(np.uint64))
-            rows = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-            if rows:
+            order, filled, cuts = slices(bucket_of(hashes, buckets), buckets)
+            hashes, counts = hashes[order], counts[order]
+            if len(filled):
+                spans = list(zip(cuts, cuts[1:]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int32()), pa.array([kind] * len(rows), pa.int32()), pa.array([hashes[cuts[b] : cuts[b + 1]].tobytes() for b in rows], pa.binary()), pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in rows], pa.binary())],
+                    [pa.array(filled), pa.array([kind] * len(filled), pa.int32()), pa.array([hashes[s:e].tobytes() for s, e in spans], pa.binary()), pa.array([narrow(counts[s:e]) for s, e in spans], pa.binary())],
                     names=["bucket", "kind", "hashes", "counts"],
                 )
 
@@ -107,77 +129,138 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1]
 
 
-def places(hashes: np.ndarray, level: int, probe: int, slice_bits: int) -> np.ndarray:
+def places(hashes: np.ndarray, level: int, probe: int, slice_bits: int | np.ndarray) -> np.ndarray:
     """Bit of the key (gram, level) for one of the probes."""
-    return tb.mix(hashes + np.uint64(int(SALT) * (level * PROBES + probe) % (1 << 64))) % np.uint64(slice_bits)
-
-
-def merge_bucket(slice_bits: int) -> Callable:
-    """All packed sums of one bucket to its word counts and its slice of the filter."""
-
-    def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        bits = np.zeros(slice_bits // 8, np.uint8)
-        out: dict[str, list] = {"bucket": [bucket], "hashes": [b""], "counts": [b""], "bits": [b""]}
-        for kind in (1, 2):
-            own = table.filter(pc.equal(table.column("kind"), kind))
-            if not own.num_rows:
-                continue
-            hashes = np.frombuffer(b"".join(own.column("hashes").to_pylist()), np.uint64)
-            counts = np.frombuffer(b"".join(own.column("counts").to_pylist()), np.uint32).astype(np.int64)
-            hashes, counts = summed(hashes, counts)
-            if kind == 1:
-                out["hashes"], out["counts"] = [hashes.tobytes()], [counts.tobytes()]
-            else:
-                keep = counts >= LEAST_BIGRAM
-                hashes, counts = hashes[keep], counts[keep]
-            level = levels(counts)
-            for j in range(1, int(level.max(initial=0)) + 1):
-                at = hashes[level >= j]
-                for probe in range(PROBES):
-                    place = places(at, j, probe, slice_bits)
-                    np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), (1 << (place & np.uint64(7))).astype(np.uint8))
-        out["bits"] = [bits.tobytes()]
-        return pa.table(out, schema=pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary()), ("bits", pa.binary())]))
-
-    return run
+    return tb.mix(hashes + np.uint64(int(SALT) * (level * PROBES + probe) % (1 << 64))) % np.asarray(slice_bits, np.uint64)
+
+
+MERGED = pa.schema([("bucket", pa.int64()), ("top", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary()), ("bits", pa.binary())])
+
+
+def merge_bucket(table: pa.Table) -> pa.Table:
+    """All packed sums of one bucket to its tokens' counts (n of v tokens) and its slice of the filter, whose highest level is top."""
+    found = {}
+    for kind in (1, 2):
+        own = table.filter(pc.equal(table.column("kind"), kind))
+        hashes = [np.frombuffer(h, np.uint64) for h in own.column("hashes").to_pylist()]
+        counts = [wide(c, len(h)) for c, h in zip(own.column("counts").to_pylist(), hashes)]
+        found[kind] = summed(np.concatenate(hashes), np.concatenate(counts)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    level = {kind: levels(counts) for kind, (_, counts) in found.items()}
+    keys = sum(int(x.sum()) for x in level.values())
+    bits = np.zeros(-(-keys * KEY_BITS // 64) * 8, np.uint8)
+    top = max((int(x.max(initial=0)) for x in level.values()))
+    for kind, (hashes, _) in found.items():
+        for j in range(1, top + 1):
+            at = hashes[level[kind] >= j]
+            for probe in range(PROBES):
+                place = places(at, j, probe, len(bits) * 8)
+                np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), (1 << (place & np.uint64(7))).astype(np.uint8))
+    hashes, counts = found[1]
+    return pa.table([[table.column("bucket")[0].as_py()], [top], [int(counts.sum())], [len(hashes)], [hashes.tobytes()], [narrow(counts)], [bits.tobytes()]], schema=MERGED)
 
 
-def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for h, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(c, np.int64))], names=["h", "c"])
+def middle(level: np.ndarray) -> np.ndarray:
+    """The middle of a level's range of counts; 0 for level 0."""
+    return np.where(level > 1, 1.5 * 2.0 ** (level - 1.0) - 0.5, np.minimum(level, 1.0))
 
 
 class Levels:
-    """Counts out of the filter by repeated membership probes."""
+    """Levels out of the filter by repeated membership probes: of each bucket the highest level and the bytes of its slice, then all slices end to end."""
 
-    def __init__(self, bits: bytes, buckets: int):
-        self.bits, self.buckets = np.frombuffer(bits, np.uint8), buckets
-        self.slice_bits = len(bits) * 8 // buckets
+    def __init__(self, top: np.ndarray, size: np.ndarray, bits: np.ndarray):
+        self.top, self.start, self.size, self.bits = top, np.cumsum(size) - size, size, bits
 
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """The middle of the level's range of counts; 0 for what was never set."""
-        base = bucket_of(hashes, self.buckets).astype(np.int64) * self.slice_bits
-        level, left = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
-        j = 0
+    def levels(self, hashes: np.ndarray) -> np.ndarray:
+        """0 for what was never set."""
+        bucket = bucket_of(hashes, len(self.top)).astype(np.int64)
+        base, bits, top = self.start[bucket] * 8, np.maximum(self.size[bucket] * 8, 1).astype(np.uint64), self.top[bucket]
+        level, left, j = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 0
         while len(left):
             j += 1
+            left = left[top[left] >= j]
             for probe in range(PROBES):
-                at = base[left] + places(hashes[left], j, probe, self.slice_bits).astype(np.int64)
+                at = base[left] + places(hashes[left], j, probe, bits[left]).astype(np.int64)
                 left = left[(self.bits[at >> 3] >> (at & 7) & 1).astype(bool)]
             level[left] = j
-        return np.where(level > 0, np.where(level > 1, 1.5 * 2.0 ** (level - 1) - 0.5, 1.0), 0.0)
+        return level
+
+
+def nothing() -> Levels:
+    return Levels(np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint8))
 
 
 def lookup(keys: np.ndarray, values: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(found, value) of hashes in a sorted table."""
     if not len(keys):
-        return np.zeros(len(hashes), bool), np.zeros(len(hashes))
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
     at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
     return keys[at] == hashes, values[at]
 
 
+def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, text) to one row for each piece: ids and texts."""
+    for piece in tb.pieces(batches, 1):
+        ends = pa.array([0, piece.num_rows], pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, piece.column(0)), pa.ListArray.from_arrays(ends, piece.column(1))], names=["ids", "texts"])
+
+
+def piece_tokens(texts: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, rows, follows, pairs): the tokens of a piece, which of them follow another one, and the bigrams these end."""
+    hashes, row = text_tokens(texts.values)
+    follows = np.flatnonzero(row[1:] == row[:-1]) + 1
+    return hashes, row, follows, bigrams(hashes)[follows - 1]
+
+
+def ask(buckets: int, routed: bool) -> Callable:
+    """Pieces to (bucket, piece, kind, hashes): their distinct tokens (kind 1), and bigrams (kind 2) if these are routed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes, _, _, pairs = piece_tokens(texts)
+                for kind, grams in ((1, np.unique(hashes)), (2, np.unique(pairs)))[: 1 + routed]:
+                    order, filled, cuts = slices(bucket_of(grams, buckets), buckets)
+                    grams = grams[order]
+                    yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array([piece] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array([grams[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "piece", "kind", "hashes"])
+
+    return run
+
+
+def answer(routed: bool) -> Callable:
+    """Rows in order of bucket, a bucket's own counts and slice before what it is asked, to (piece, kind, hashes, counts, levels)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, known, exact, model = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64), nothing()
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for at, piece, kind, hashes, counts, top, bits in zip(*[c.to_pylist() for c in batch.columns]):
+                hashes = np.frombuffer(hashes, np.uint64)
+                if piece is None:
+                    bucket, known, exact = at, hashes, wide(counts, len(hashes))
+                    model = Levels(np.array([top]), np.array([len(bits)]), np.frombuffer(bits, np.uint8)) if routed else model
+                    continue
+                if at != bucket:  # nothing was learnt for it
+                    bucket, known, exact, model = at, hashes[:0], exact[:0], nothing()
+                found, c = lookup(known, exact, hashes)
+                for column, value in zip(out, (piece, kind, hashes.tobytes(), narrow(np.where(found, c, 0).astype(np.int64)) if kind == 1 else b"", model.levels(hashes).astype(np.uint8).tobytes() if routed else b"")):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["piece", "kind", "hashes", "counts", "levels"])
+
+    return run
+
+
+def gathered(answers: pa.Table, kind: int, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, values) of all answers of a kind."""
+    own = answers.filter(pc.equal(answers.column("kind"), kind))
+    hashes = [np.frombuffer(h, np.uint64) for h in own.column("hashes").to_pylist()]
+    values = [wide(c, len(h)) for c, h in zip(own.column(column).to_pylist(), hashes)]
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    all_, values = np.concatenate(hashes), np.concatenate(values)
+    order = np.argsort(all_)
+    return all_[order], values[order]
+
+
 def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, n_tokens, n_known, train_tokens (long), base_score, score (double).
 
@@ -191,78 +274,59 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     input columns are ignored; an empty table gives an empty table.
     """
     spark = docs.sparkSession
-    sc = spark.sparkContext
-    buckets = 4 * partitions(spark)
-    slice_bits = FILTER_BITS // buckets // 64 * 64
-    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), train.alias("train"), F.col(text_col).alias("text"))
-    sums = rows.filter("train").select("text").mapInArrow(packed_counts(buckets), "bucket int, kind int, hashes binary, counts binary")
-    merged = cut(sums.groupBy("bucket").applyInArrow(merge_bucket(slice_bits), "bucket int, hashes binary, counts binary, bits binary"))
-    counts = merged.select("hashes", "counts").mapInArrow(unpack, "h long, c long")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n, v = total["n"], total["v"]
+    rows = docs.select(F.col(id_col).alias("id"), train.alias("train"), F.col(text_col).alias("text"))
+    taught = rows.filter("train").select("text")
+    size = taught.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(partitions(spark), -(-size // BUCKET_BYTES))
+    sums = taught.mapInArrow(packed_counts(buckets), "bucket long, kind int, hashes binary, counts binary")
+    merged = cut(sums.groupBy("bucket").applyInArrow(merge_bucket, "bucket long, top int, n long, v long, hashes binary, counts binary, bits binary"))
+    total = merged.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum(F.octet_length("bits").cast("long")), F.lit(0))).first()
+    n, v = total[0], total[1]
     whole = n + 0.5 * (v + 1)
-    # at most HOT_SHARE tokens can have so large a share each
-    hot = counts.filter(F.col("c") * HOT_SHARE >= n).toArrow()
-    keys = hot.column("h").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    hot_sent = sc.broadcast((keys[order].tobytes(), hot.column("c").to_numpy()[order].astype(np.int64).tobytes()))
-    bits = np.zeros((buckets, slice_bits // 8), np.uint8)
-    for part in merged.select("bucket", "bits").toLocalIterator(prefetchPartitions=False):
-        bits[part["bucket"]] = np.frombuffer(part["bits"], np.uint8)
-    filter_sent = sc.broadcast(bits.tobytes())
+    routed = total[2] * 8 > BROADCAST_BITS
+    filter_ = Levels(np.zeros(buckets, np.int64), np.zeros(buckets, np.int64), np.zeros(0, np.uint8))
+    if not routed:  # at most BROADCAST_BITS come to the driver, one slice at a time
+        for r in merged.select("bucket", "top", F.octet_length("bits").alias("size")).toLocalIterator():
+            filter_.top[r["bucket"]], filter_.size[r["bucket"]] = r["top"], r["size"]
+        filter_ = Levels(filter_.top, filter_.size, np.zeros(total[2], np.uint8))
+        for r in merged.select("bucket", "bits").toLocalIterator():
+            at = filter_.start[r["bucket"]]
+            filter_.bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    sent = spark.sparkContext.broadcast((filter_.top, filter_.size, filter_.bits))
     kind = rows.schema["id"].dataType.simpleString()
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(id, key, hash, times) of the tokens that aren't broadcast; the END hash once for each row."""
-        known = np.frombuffer(hot_sent.value[0], np.uint64)
-        for piece in tb.pieces(batches, 2):
-            hashes, row = text_tokens(piece.column(2))
-            left = (hashes != END) & ~lookup(known, known, hashes)[0]
-            hashes, row = hashes[left], row[left]
-            order = np.lexsort((hashes, row))
-            hashes, row = hashes[order], row[order]
-            first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])]) if len(hashes) else np.zeros(0, int)
-            at = np.r_[row[first], np.arange(piece.num_rows)]
-            hash_, times = np.r_[hashes[first], np.full(piece.num_rows, END)], np.r_[np.diff(np.r_[first, len(hashes)]), np.ones(piece.num_rows, int)]
-            at_ = pa.array(at.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([piece.column(0).take(at_), piece.column(1).take(at_), pa.array(hash_.view(np.int64)), pa.array(times.astype(np.int64))], names=["id", "key", "h", "times"])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, exact = np.frombuffer(hot_sent.value[0], np.uint64), np.frombuffer(hot_sent.value[1], np.int64)
-        model = Levels(filter_sent.value, buckets)
-        for piece in tb.pieces(batches, 2):
-            m = piece.num_rows
-            hashes, row = text_tokens(piece.column(2))
-            found, c = lookup(known, exact, hashes)
-            base = np.bincount(row[found], np.log10((c[found] + 0.5) / whole), minlength=m)
-            distinct, back = np.unique(hashes, return_inverse=True)
-            unigram = model.counts(distinct)[back]
+    pieces = cut(rows.select("id", "text").mapInArrow(pack_texts, f"ids array<{kind}>, texts array<string>").withColumn("piece", F.monotonically_increasing_id()))
+    none = F.lit(None)
+    asked = pieces.select("piece", "texts").mapInArrow(ask(buckets, routed), "bucket long, piece long, kind int, hashes binary")
+    asked = asked.select("bucket", "piece", "kind", "hashes", none.cast("binary").alias("counts"), none.cast("int").alias("top"), none.cast("binary").alias("bits"))
+    held = merged.select("bucket", none.cast("long").alias("piece"), none.cast("int").alias("kind"), "hashes", "counts", "top", "bits" if routed else none.cast("binary").alias("bits"))
+    meeting = asked.unionByName(held).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", F.col("piece").isNotNull())
+    answers = meeting.mapInArrow(answer(routed), "piece long, kind int, hashes binary, counts binary, levels binary")
+
+    def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        """One piece and its answers to the scores of its texts."""
+        out: list[list] = [[], [], [], [], []]
+        if texts.num_rows:
+            known, exact = gathered(answers, 1, "counts")
+            hashes, row, follows, pairs = piece_tokens(texts.column("texts")[0])
+            ids = texts.column("ids")[0].values
+            m = len(ids)
+            c = lookup(known, exact, hashes)[1]  # whatever was asked was answered, with 0 for what is unknown
+            if routed:
+                unigram = middle(lookup(*gathered(answers, 1, "levels"), hashes)[1])
+                pair = middle(lookup(*gathered(answers, 2, "levels"), pairs)[1])
+            else:
+                model = Levels(*sent.value)
+                distinct, back = np.unique(hashes, return_inverse=True)
+                unigram = middle(model.levels(distinct))[back]
+                pair = middle(model.levels(pairs))
             p = np.minimum((unigram + 0.5) / whole, 1.0)
-            follows = np.flatnonzero(row[1:] == row[:-1])
-            pair = np.minimum(model.counts(bigrams(hashes)[follows]), np.minimum(unigram[follows], unigram[follows + 1]))
-            p[follows + 1] = (pair + MU * p[follows + 1]) / (unigram[follows] + MU)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), piece.column(1), pa.array(np.bincount(row, minlength=m).astype(np.int64)), pa.array(np.bincount(row[found], minlength=m).astype(np.int64)), pa.array(base), pa.array(np.bincount(row, np.log10(p), minlength=m))],
-                names=["id", "key", "n_tokens", "hot_known", "hot_base", "score"],
-            )
-
-    text_rows = rows.select("id", "key", "text")
-    # the end token may itself be rare, or unknown: its row in rare() then brings it in, else it only counts the copies of a row
-    end_hot = bool(lookup(keys[order], keys[order], np.array([END]))[0][0])
-    one = text_rows.mapInArrow(rare, f"id {kind}, key long, h long, times long")
-    joined = one.join(counts, "h", "left")
-    is_end = F.col("h") == int(END)
-    counted = ~is_end | F.lit(not end_hot)
-    own = joined.groupBy("id", "key").agg(
-        F.sum(is_end.cast("int")).alias("copies"),
-        F.sum(F.when(counted, F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(whole)))).alias("rare_base"),
-        F.sum(F.when(counted & F.col("c").isNotNull(), F.col("times"))).alias("rare_known"),
-    ).select(F.col("id").alias("_id"), F.col("key").alias("_key"), "copies", "rare_base", "rare_known")
-    scored = text_rows.mapInArrow(score, f"id {kind}, key long, n_tokens long, hot_known long, hot_base double, score double")
-    out = scored.join(own, F.col("id").eqNullSafe(F.col("_id")) & F.col("key").eqNullSafe(F.col("_key")), "left")
-    return out.select(
-        F.col("id").alias(id_col), "n_tokens",
-        (F.col("hot_known") + F.expr("coalesce(rare_known, 0L) div copies")).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("hot_base") + F.coalesce(F.col("rare_base") / F.col("copies"), F.lit(0.0))).alias("base_score"), "score",
-    )
+            history = unigram[follows - 1]
+            pair = np.minimum(pair, np.minimum(history, unigram[follows]))
+            spread = np.maximum(history, 1.0) ** FOLLOWERS
+            p[follows] = np.minimum((pair + spread * p[follows]) / (history + spread), 1.0)
+            sums = lambda x: np.bincount(row, x, minlength=m)
+            out = [ids, np.bincount(row, minlength=m), sums(c > 0).astype(np.int64), sums(np.log10((c + 0.5) / whole)), sums(np.log10(p))]
+        return pa.table([pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in zip(out, (texts.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names=["id", "n_tokens", "n_known", "base_score", "score"])
+
+    scored = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(score, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
