@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from lexhull.llm import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, near_duplicates, token_counts, winnowing
+from lexhull.llm import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, near_duplicates, textbytes, token_counts, winnowing
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORDS = re.compile("[^\x20\x09-\x0d]+").findall
@@ -181,24 +181,70 @@ def test_lm_baseline_is_exact_and_model_predicts(docs):
     assert sum(got[i]["score"] for i in seen) > sum(got[i]["base_score"] for i in seen)
 
 
+def test_lm_score_is_the_formula_over_quantised_counts(docs, monkeypatch):
+    """With a filter so large that keys don't collide, broadcast and in slices, beside a plain version."""
+    monkeypatch.setattr(bloom_lm, "KEY_BITS", 400)
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
+    own = {r["doc_id"]: WORDS((r["text"] or "").translate(LOWER)) + [None] for r in docs.collect()}
+    taught = [ws for i, ws in own.items() if zlib.crc32(str(i).encode()) % 5 != 1]
+    one, two = Counter(w for ws in taught for w in ws), Counter(x for ws in taught for x in zip(ws, ws[1:]))
+    whole = one.total() + 0.5 * (len(one) + 1)
+    quant = lambda c: 0.0 if c == 0 else 1.0 if c == 1 else 1.5 * 2 ** (c.bit_length() - 1) - 0.5
+    want = {}
+    for i, ws in own.items():
+        total = 0.0
+        for h, w in zip([None, *ws], ws):
+            p = min((quant(one[w]) + 0.5) / whole, 1.0)
+            if h is not None:
+                ch = quant(one[h])
+                spread = max(ch, 1.0) ** bloom_lm.FOLLOWERS
+                p = min((min(quant(two[h, w]), ch, quant(one[w])) + spread * p) / (ch + spread), 1.0)
+            total += math.log10(p)
+        want[i] = total
+    for bits in (bloom_lm.BROADCAST_BITS, 0):
+        monkeypatch.setattr(bloom_lm, "BROADCAST_BITS", bits)
+        got = rows(bloom_lm.score_documents(docs, train))
+        assert {i: r["score"] for i, r in got.items()} == pytest.approx(want, rel=1e-9)
+        assert all(r["n_known"] == sum(w in one for w in own[i]) for i, r in got.items())
+
+
 def test_lm_levels_come_back_from_the_filter():
     import numpy as np
     import pyarrow as pa
 
     rng = np.random.default_rng(1)
-    hashes, counts = np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64)), None
+    hashes = np.unique(rng.integers(0, 1 << 63, 3000).astype(np.uint64))
     counts = rng.integers(1, 500, len(hashes))
-    table = pa.table({"bucket": pa.array([0], pa.int32()), "kind": pa.array([1], pa.int32()), "hashes": [hashes.tobytes()], "counts": [counts.astype(np.uint32).tobytes()]})
-    made = bloom_lm.merge_bucket(1 << 22)(table)
-    back = bloom_lm.Levels(made.column("bits")[0].as_py(), 1).counts(hashes)
-    assert (bloom_lm.levels(back + 0.4) >= bloom_lm.levels(counts)).all() and (bloom_lm.levels(back + 0.4) == bloom_lm.levels(counts)).mean() > 0.99
-    assert (bloom_lm.Levels(made.column("bits")[0].as_py(), 1).counts(tb_mixed(hashes)) > 0).mean() < 0.01
+    table = pa.table({"bucket": pa.array([0]), "kind": pa.array([1], pa.int32()), "hashes": [hashes.tobytes()], "counts": [bloom_lm.narrow(counts)]})
+    made = bloom_lm.merge_bucket(table).to_pylist()[0]
+    assert bloom_lm.wide(made["counts"], made["v"]).tolist() == counts.tolist() and made["n"] == counts.sum()
+    model = bloom_lm.Levels(np.array([made["top"]]), np.array([len(made["bits"])]), np.frombuffer(made["bits"], np.uint8))
+    back, real = model.levels(hashes), bloom_lm.levels(counts)
+    assert (back >= real).all() and (back == real).mean() > 0.98
+    others = model.levels(textbytes.mix(hashes + np.uint64(12345)))
+    assert (others > 0).mean() < 0.03 and others.max() <= made["top"]
+    # a filter whose bits are all set still ends
+    full = bloom_lm.Levels(np.array([made["top"]]), np.array([64]), np.full(64, 255, np.uint8))
+    assert set(full.levels(hashes).tolist()) == {made["top"]}
+
+
+def test_counts_beyond_32_bits():
+    import numpy as np
 
+    for most in (1, 255, 256, 1 << 20, (1 << 32) + 5):
+        assert bloom_lm.wide(bloom_lm.narrow(np.array([1, most])), 2).tolist() == [1, most]
 
-def tb_mixed(hashes):
-    from lexhull.llm import textbytes
 
-    return textbytes.mix(hashes + textbytes.np.uint64(12345))
+def test_hash_tells_regular_words_apart():
+    """A word of the Thue-Morse sequence and its complement, which a polynomial modulo 2**64 alone takes for one."""
+    import pyarrow as pa
+
+    word = "a"
+    for _ in range(12):
+        word += word.translate(str.maketrans("ab", "ba"))
+    data, offsets = textbytes.column_bytes(pa.array([f"{word} {word.translate(str.maketrans('ab', 'ba'))} {word.upper()}"]))
+    one, other, upper = textbytes.span_hashes(data, *textbytes.words(data, offsets)[:2]).tolist()
+    assert one == upper != other
 
 
 def test_language_id_on_held_out(spark):
@@ -225,25 +271,83 @@ def test_hilbert_curve_visits_every_cell_by_single_steps(spark):
         assert all(sum(abs(a - b) for a, b in zip(p[1:], q[1:])) == 1 for p, q in zip(path, path[1:]))
 
 
-def test_hilbert_shards_are_even_and_gapless(spark, docs):
-    out = hilbert.hilbert_shards(docs, ["lang", "source", "n_chars"], ["doc_id"], n_shards=16).collect()
+def plain_curve(cell, bits):
+    """Position on the Hilbert curve by the textbook's loops over bits and axes."""
+    x, n, q = list(cell), len(cell), 1 << (bits - 1)
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0], x[i] = x[0] ^ t, x[i] ^ t
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t, q = 0, 1 << (bits - 1)
+    while q > 1:
+        t, q = t ^ (q - 1) if x[-1] & q else t, q >> 1
+    return int("".join(str((v ^ t) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def plain_shards(rows_, dims, tie, shards, bits=8):
+    """(shard, slot) by row number: quantile steps, curve, order, runs."""
+    steps = []
+    for d in dims:
+        values = sorted((r[d] for r in rows_ if r[d] is not None), key=lambda v: v.encode() if isinstance(v, str) else v)
+        cuts = sorted({values[max(0, math.ceil(i / 2**bits * len(values)) - 1)] for i in range(1, 2**bits)}) if values else []
+        top = max(1, len(cuts) - (not cuts or values[-1] <= cuts[-1]))
+        steps.append([0 if r[d] is None else sum(c < r[d] for c in cuts) * (2**bits - 1) // top for r in rows_])
+    order = sorted(range(len(rows_)), key=lambda i: (plain_curve([s[i] for s in steps], bits), *[(r is not None, r) for r in (rows_[i][t] for t in tie)]))
+    out, n = {}, len(rows_)
+    for rank, i in enumerate(order):
+        shard = rank * shards // n
+        out[i] = (shard, rank - -(-shard * n // shards))
+    return out
+
+
+def test_hilbert_shards_equal_a_plain_version(spark, docs):
+    rng = random.Random(3)
+    made = [(i, rng.choice(["https://a.example/x", "https://a.example/y", "https://b.example", "", None]), rng.choice([None, 1.5, 2.5, 1e9]), rng.randrange(400)) for i in range(700)]
+    df = spark.createDataFrame(made, "doc_id long, source string, weight double, n_chars long").repartition(5)
+    for frame, dims in ((df, ["source", "weight", "n_chars"]), (docs, ["lang", "source", "n_chars"])):
+        out = hilbert.hilbert_shards(frame, dims, ["doc_id"], n_shards=16).collect()
+        want = plain_shards(out, dims, ["doc_id"], 16)
+        assert {i: (r["shard"], r["slot"]) for i, r in enumerate(out)} == want and len({r["curve"] for r in out}) > 20
+        sizes = [sum(r["shard"] == s for r in out) for s in range(16)]
+        assert max(sizes) - min(sizes) <= 1
+
+
+def test_hilbert_shards_are_narrow_in_every_dimension(spark):
+    rng = random.Random(9)
+    made = [(i, f"https://one.example/with/a/long/shared/start/{rng.randrange(50):02d}", float(rng.randrange(1000)), rng.choice("abcdefgh")) for i in range(4000)]
+    df = spark.createDataFrame(made, "doc_id long, source string, size double, lang string")
     by = defaultdict(list)
-    for r in out:
+    for r in hilbert.hilbert_shards(df, ["source", "size", "lang"], ["doc_id"], n_shards=64).collect():
         by[r["shard"]].append(r)
-    sizes = [len(by[s]) for s in range(16)]
-    assert sum(sizes) == docs.count() and max(sizes) - min(sizes) <= 1
-    assert all(sorted(r["slot"] for r in v) == list(range(len(v))) for v in by.values())
-    order = [(r["curve"], r["doc_id"]) for s in range(16) for r in sorted(by[s], key=lambda r: r["slot"])]
-    assert order == sorted(order)
+    for name in ("source", "size", "lang"):
+        values = sorted({m for m in ({"source": x[1], "size": x[2], "lang": x[3]}[name] for x in made)})
+        # a reader that wants one value opens the shards whose range holds it
+        opened = sum(min(r[name] for r in rs) <= v <= max(r[name] for r in rs) for v in values for rs in by.values()) / (64 * len(values))
+        assert opened < 0.55
 
 
-def test_html_keeps_the_article_only():
-    tree = html_text.trained()
+def test_op9_query_derives_size_and_checksum(spark):
+    from lexhull.llm import queries as q
+
+    out = rows(q.op9_hilbert_sharding(spark, "/root/testdata/sf0.001"))
+    src = rows(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    assert set(out) == set(src) and {r["law"] for r in out.values()} == {"rows"}
+    for i, r in src.items():
+        text = (r["text"] or "").encode()
+        assert (out[i]["size"], out[i]["text_crc32"], out[i]["grown_shard"]) == (len(text) + 1, zlib.crc32(text), None)
+    told = [dict(r.asDict(), lang=src[i]["lang"], source=src[i]["source"]) for i, r in out.items()]
+    want = plain_shards(told, ["lang", "source", "size"], ["text_crc32", "doc_id"], 16)
+    assert [(r["shard"], r["slot"]) for r in told] == [want[k] for k in range(len(told))]
 
-    def main(page):
-        texts, x = html_text.blocks(page)
-        return "\n".join(t for t, keep in zip(texts, tree.predict(x)) if keep)
 
+def test_html_keeps_the_article_only():
+    main = lambda page: "\n".join(main_text(page))
     page = """<!DOCTYPE html><html><head><title>T</title><style>p{a:b}</style><script>var t="</p>";</script></head><body><nav><a href=/>Start</a></nav><!-- x > y -->
       <div class="ad">Buy this</div><article><h1>A &amp; B</h1><p><b>First   words<br><p>Second&nbsp;words &lt;i&gt;.</p><form><label>Mail</label></form></article><footer>&copy; all</footer>"""
     assert main(page) == "A & B\nFirst words\nSecond words <i>."
@@ -257,10 +361,45 @@ def test_html_custom_elements_are_not_raw(name):
     assert texts == ["First.", "Second.", "Third."]
 
 
-def test_html_labelled_table_is_learnt():
-    tree = html_text.trained()
-    for page, labels in html_text.LABELLED:
-        assert "".join("01"[int(k)] for k in tree.predict(html_text.blocks(page)[1])) == labels
+LONG = "The harbour was opened again on Monday after two days of storm had kept all of the boats in the bay."
+MENU = "<ul><li><a href=1>Home</a><li><a href=2>About us</a><li><a href=3>World news</a></ul>"
+
+
+def main_text(page, tree=html_text.trained()):
+    texts, x = html_text.blocks(page)
+    return [t for t, keep in zip(texts, tree.predict(x)) if keep]
+
+
+def test_html_tree_uses_links_and_neighbours_and_holds_on_other_pages():
+    tree, right, n = html_text.trained(), 0, 0
+    used = {html_text.FEATURES[f] for f in tree.feature if f >= 0}
+    assert {"words", "links"} <= used and any("before" in f or "after" in f for f in used)
+    for page, labels in html_text.labelled_table(150, seed=99):
+        texts, x = html_text.blocks(page)
+        assert len(texts) == len(labels)
+        right, n = right + sum((c == "1") == k for c, k in zip(labels, tree.predict(x).tolist())), n + len(labels)
+    assert right / n > 0.98
+
+
+@pytest.mark.parametrize("name", "related-content sidebar-content footer-text newsletter-text cookie-text main-nav main-sidebar post-share story-ad".split())
+def test_html_compound_names_of_boilerplate(name):
+    assert main_text(f"{MENU}<article><h1>Title</h1><p>{LONG}</p></article><div class={name}><p>{LONG}</p></div>") == ["Title", LONG]
+    assert main_text(f"{MENU}<div><h1>Title</h1><p>{LONG}</p><p>Short one.</p></div><div class={name}><p>{LONG}</p></div>") == ["Title", LONG, "Short one."]
+
+
+def test_html_without_container():
+    assert main_text(f"{MENU}<h1>Title</h1><p>{LONG}</p><p>{LONG}</p><p><a href=1>Read more</a></p>") == ["Title", LONG, LONG]
+    assert main_text(f"<p>Short first.</p><p>{LONG}</p>") == ["Short first.", LONG]
+    assert main_text("<p>One short paragraph.</p>") == ["One short paragraph."]
+    assert main_text(f"<div><a href=1>One</a> <a href=2>Two</a> <a href=3>Three</a></div><div>{LONG}</div><div>{LONG}</div><div><a href=1>The next story of this week and of the one before</a></div>") == [LONG, LONG]
+    assert main_text(MENU) == []
+
+
+def test_html_layout_words_comments_and_forms():
+    assert main_text(f"<body class='has-sidebar no-menu'><h1>Title</h1><p>{LONG}</p></body>") == ["Title", LONG]
+    assert main_text(f"<article><p>{LONG}</p></article><div id=comments><article><p>{LONG}</p></article></div>") == [LONG]
+    assert main_text(f"<form><article><h1>Title</h1><p>{LONG}</p></article></form><form><p>{LONG}</p></form>") == ["Title", LONG]
+    assert main_text(f"<article><header><h1>Title</h1></header><p>{LONG}</p><aside><p>{LONG}</p></aside></article><footer><p>{LONG}</p></footer>") == ["Title", LONG]
 
 
 def test_html_pages_of_the_test_data(spark):
