@@ -37,7 +37,7 @@ BROADCAST_BITS = 1 << 30
 #: Bytes of training text for a bucket of hashes.
 BUCKET_BYTES = 8 << 20
 #: Power of a word's count that tells how many different words follow it.
-FOLLOWERS = 0.8
+FOLLOWERS = 0.9
 #: Entries a task holds before it sends them on.
 HELD = 1_500_000
 END = np.uint64(0x5D1E)
@@ -129,9 +129,17 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.frexp(counts.astype(np.float64))[1]
 
 
-def places(hashes: np.ndarray, level: int, probe: int, slice_bits: int | np.ndarray) -> np.ndarray:
-    """Bit of the key (gram, level) for one of the probes."""
-    return tb.mix(hashes + np.uint64(int(SALT) * (level * PROBES + probe) % (1 << 64))) % np.asarray(slice_bits, np.uint64)
+class Places:
+    """The bits of each key (gram, level): all probes of a gram follow from two hashes of it."""
+
+    def __init__(self, hashes: np.ndarray, bits: int | np.ndarray):
+        self.first, self.step = tb.mix(hashes + SALT), hashes | np.uint64(1)
+        self.bits = np.broadcast_to(np.asarray(bits, np.uint64), hashes.shape)
+
+    def of(self, rows: np.ndarray, level: int, probe: int) -> np.ndarray:
+        x = self.first[rows] + self.step[rows] * np.uint64(level * PROBES + probe)
+        # the high half, scaled to the slice, which has less than 2**32 bits
+        return ((x >> np.uint64(32)) * self.bits[rows] >> np.uint64(32)).astype(np.int64)
 
 
 MERGED = pa.schema([("bucket", pa.int64()), ("top", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary()), ("bits", pa.binary())])
@@ -150,11 +158,12 @@ def merge_bucket(table: pa.Table) -> pa.Table:
     bits = np.zeros(-(-keys * KEY_BITS // 64) * 8, np.uint8)
     top = max((int(x.max(initial=0)) for x in level.values()))
     for kind, (hashes, _) in found.items():
+        places = Places(hashes, len(bits) * 8)
         for j in range(1, top + 1):
-            at = hashes[level[kind] >= j]
+            rows = np.flatnonzero(level[kind] >= j)
             for probe in range(PROBES):
-                place = places(at, j, probe, len(bits) * 8)
-                np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), (1 << (place & np.uint64(7))).astype(np.uint8))
+                place = places.of(rows, j, probe)
+                np.bitwise_or.at(bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
     hashes, counts = found[1]
     return pa.table([[table.column("bucket")[0].as_py()], [top], [int(counts.sum())], [len(hashes)], [hashes.tobytes()], [narrow(counts)], [bits.tobytes()]], schema=MERGED)
 
@@ -173,13 +182,13 @@ class Levels:
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """0 for what was never set."""
         bucket = bucket_of(hashes, len(self.top)).astype(np.int64)
-        base, bits, top = self.start[bucket] * 8, np.maximum(self.size[bucket] * 8, 1).astype(np.uint64), self.top[bucket]
+        base, top, places = self.start[bucket] * 8, self.top[bucket], Places(hashes, np.maximum(self.size[bucket] * 8, 1))
         level, left, j = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 0
         while len(left):
             j += 1
             left = left[top[left] >= j]
             for probe in range(PROBES):
-                at = base[left] + places(hashes[left], j, probe, bits[left]).astype(np.int64)
+                at = base[left] + places.of(left, j, probe)
                 left = left[(self.bits[at >> 3] >> (at & 7) & 1).astype(bool)]
             level[left] = j
         return level
@@ -310,13 +319,13 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
             hashes, row, follows, pairs = piece_tokens(texts.column("texts")[0])
             ids = texts.column("ids")[0].values
             m = len(ids)
-            c = lookup(known, exact, hashes)[1]  # whatever was asked was answered, with 0 for what is unknown
+            distinct, back = np.unique(hashes, return_inverse=True)
+            c = lookup(known, exact, distinct)[1][back]  # whatever was asked was answered, with 0 for what is unknown
             if routed:
-                unigram = middle(lookup(*gathered(answers, 1, "levels"), hashes)[1])
+                unigram = middle(lookup(*gathered(answers, 1, "levels"), distinct)[1])[back]
                 pair = middle(lookup(*gathered(answers, 2, "levels"), pairs)[1])
             else:
                 model = Levels(*sent.value)
-                distinct, back = np.unique(hashes, return_inverse=True)
                 unigram = middle(model.levels(distinct))[back]
                 pair = middle(model.levels(pairs))
             p = np.minimum((unigram + 0.5) / whole, 1.0)

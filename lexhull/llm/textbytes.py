@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; one longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
@@ -132,11 +132,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     """
     power, inverse, small, small_inverse = powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((LOWER_KEYS if lower else BYTE_KEYS)[data] * power[: len(data)], out=total[1:])
+    each = (LOWER_KEYS if lower else BYTE_KEYS)[data]
+    each *= power[: len(data)]
+    np.cumsum(each, out=total[1:])
     first = (total[ends] - total[starts]) * inverse[starts]
-    part = (LOWER_PRIME_KEYS if lower else PRIME_KEYS)[data] * small[: len(data)]
+    np.take(LOWER_PRIME_KEYS if lower else PRIME_KEYS, data, out=each)
+    each *= small[: len(data)]
     # folded once, a product is below 2**32, and sums of them fit as long as a piece has less than 2**32 bytes
-    np.cumsum((part & np.uint64(PRIME)) + (part >> np.uint64(31)), out=total[1:])
+    high = each >> np.uint64(31)
+    each &= np.uint64(PRIME)
+    each += high
+    np.cumsum(each, out=total[1:])
     second = (total[ends] - total[starts]) % np.uint64(PRIME) * small_inverse[starts] % np.uint64(PRIME)
     return mix(first + mix(second))
 
