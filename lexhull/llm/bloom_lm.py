@@ -34,8 +34,8 @@ from .frames import cut, partitions
 KEY_BITS, PROBES = 10, 4
 #: The filter is broadcast up to this size (128 MB), else the probes go to its slices.
 BROADCAST_BITS = 1 << 30
-#: Bytes of training text for a bucket of hashes.
-BUCKET_BYTES = 8 << 20
+#: Bytes of training text for a bucket of hashes, of texts in a piece, and pieces that are scored at once; so that rows stay small.
+BUCKET_BYTES, PACK_BYTES, TOGETHER = 2 << 20, 1 << 18, 8
 #: Power of a word's count that tells how many different words follow it.
 FOLLOWERS = 0.9
 #: Entries a task holds before it sends them on.
@@ -206,9 +206,12 @@ def lookup(keys: np.ndarray, values: np.ndarray, hashes: np.ndarray) -> tuple[np
     return keys[at] == hashes, values[at]
 
 
+SCORES = ["id", "n_tokens", "n_known", "base_score", "score"]
+
+
 def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text) to one row for each piece: ids and texts."""
-    for piece in tb.pieces(batches, 1):
+    for piece in tb.pieces(batches, 1, PACK_BYTES):
         ends = pa.array([0, piece.num_rows], pa.int32())
         yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, piece.column(0)), pa.ListArray.from_arrays(ends, piece.column(1))], names=["ids", "texts"])
 
@@ -312,30 +315,30 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     answers = meeting.mapInArrow(answer(routed), "piece long, kind int, hashes binary, counts binary, levels binary")
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        """One piece and its answers to the scores of its texts."""
-        out: list[list] = [[], [], [], [], []]
-        if texts.num_rows:
-            known, exact = gathered(answers, 1, "counts")
-            hashes, row, follows, pairs = piece_tokens(texts.column("texts")[0])
-            ids = texts.column("ids")[0].values
-            m = len(ids)
+        """Some pieces and their answers to the scores of their texts."""
+        known, exact = gathered(answers, 1, "counts")
+        if routed:
+            levels_of = {k: gathered(answers, k, "levels") for k in (1, 2)}
+        else:
+            model = Levels(*sent.value)
+        kinds = (texts.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        parts = []
+        for ids, piece in zip(texts.column("ids"), texts.column("texts")):
+            hashes, row, follows, pairs = piece_tokens(piece)
             distinct, back = np.unique(hashes, return_inverse=True)
             c = lookup(known, exact, distinct)[1][back]  # whatever was asked was answered, with 0 for what is unknown
-            if routed:
-                unigram = middle(lookup(*gathered(answers, 1, "levels"), distinct)[1])[back]
-                pair = middle(lookup(*gathered(answers, 2, "levels"), pairs)[1])
-            else:
-                model = Levels(*sent.value)
-                unigram = middle(model.levels(distinct))[back]
-                pair = middle(model.levels(pairs))
+            one, two = (lookup(*levels_of[1], distinct)[1], lookup(*levels_of[2], pairs)[1]) if routed else (model.levels(distinct), model.levels(pairs))
+            unigram, pair = middle(one)[back], middle(two)
             p = np.minimum((unigram + 0.5) / whole, 1.0)
             history = unigram[follows - 1]
             pair = np.minimum(pair, np.minimum(history, unigram[follows]))
             spread = np.maximum(history, 1.0) ** FOLLOWERS
             p[follows] = np.minimum((pair + spread * p[follows]) / (history + spread), 1.0)
-            sums = lambda x: np.bincount(row, x, minlength=m)
-            out = [ids, np.bincount(row, minlength=m), sums(c > 0).astype(np.int64), sums(np.log10((c + 0.5) / whole)), sums(np.log10(p))]
-        return pa.table([pa.array(x, t) if not isinstance(x, pa.Array) else x for x, t in zip(out, (texts.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.float64(), pa.float64()))], names=["id", "n_tokens", "n_known", "base_score", "score"])
+            sums = lambda x, row=row, m=len(ids): np.bincount(row, x, minlength=m)
+            made = (ids.values, sums(None).astype(np.int64), sums(c > 0).astype(np.int64), sums(np.log10((c + 0.5) / whole)), sums(np.log10(p)))
+            parts.append(pa.table([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, kinds)], names=SCORES))
+        return pa.concat_tables(parts) if parts else pa.table([pa.array([], t) for t in kinds], names=SCORES)
 
-    scored = pieces.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(score, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    together = F.expr(f"piece div {TOGETHER}").alias("group")
+    scored = pieces.groupBy(together).cogroup(answers.groupBy(together)).applyInArrow(score, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
