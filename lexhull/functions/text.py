@@ -125,12 +125,16 @@ def normalised(name: Column, lower: bool = False) -> Column:
     return F.lower(out) if lower else out
 
 
-def canonical_brands(name: Column, brands: dict[str, list[str]] = rules.BRANDS) -> Column:
+def canonical_brands(name: Column, brands: dict[str, str] = rules.BRANDS) -> Column:
     """Brand names replaced by canonical ones, the longest first; a later rule sees what an earlier one made."""
-    pairs = [(b, canonical) for canonical, own in brands.items() for b in own]
-    for brand, canonical in sorted(pairs, key=lambda p: -len(p[0])):
-        name = F.replace(name, F.lit(brand), F.lit(canonical))
-    return name
+
+    def replaced(n: Column) -> Column:
+        for brand, canonical in sorted(brands.items(), key=lambda p: -len(p[0])):
+            n = F.replace(n, F.lit(brand), F.lit(canonical))
+        return n
+
+    # bound once, so that the many replacements are no part of generated code, whose size is limited
+    return F.transform(F.array(name), replaced)[0]
 
 
 def combination_rewritten(name: Column) -> Column:

@@ -1,6 +1,7 @@
 """Matching names to codes through layers of exact, normalised, fuzzy and positional joins."""
 from __future__ import annotations
 
+import math
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -24,45 +25,93 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-def ratio_bound(a: Column, b: Column) -> Column:
-    """No ratio is above this: by the lengths, and by the characters both names have."""
+def character_bound(a: Column, b: Column) -> Column:
+    """No ratio is above this: twice the characters that both names have, by the sum of the lengths."""
     chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
-    total = F.length(a) + F.length(b)
     shared = F.aggregate(
         F.array_distinct(chars(a)), F.lit(0),
         lambda n, ch: n + F.least(F.length(a) - F.length(F.replace(a, ch, F.lit(""))), F.length(b) - F.length(F.replace(b, ch, F.lit("")))),
     )
-    return F.when(2 * F.least(F.length(a), F.length(b)) / total < PRUNE, 0.0).otherwise(2 * shared / total)
+    return 2 * shared / (F.length(a) + F.length(b))
+
+
+def ratio_bound(a: Column, b: Column) -> Column:
+    """The same, with the lengths looked at first."""
+    return F.when(2 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b)) < PRUNE, 0.0).otherwise(character_bound(a, b))
+
+
+#: Steps of name length, each this much longer than the one before; names within REACH steps may be similar enough.
+LENGTH_STEP = 1.2
+REACH = math.ceil(math.log((2 - PRUNE) / PRUNE, LENGTH_STEP)) + 1
+
+
+def length_step(name: Column) -> Column:
+    return F.floor(F.log(F.greatest(F.length(name), F.lit(1)).cast("double")) / math.log(LENGTH_STEP)).cast("int")
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, block: list[str], key: str, name: str, other: str, prune: bool = True, others: bool = False) -> DataFrame:
     """The best right name of the same block for each left key, if it is good enough and clear.
 
-    left has block, key, name; right has block, other and what goes with it. A pair needs a ratio
-    of BEST, and a lead of LEAD over the second best distinct name or else to be a prefix pair of
-    PREFIX_BEST. Bounds prune pairs before Python scores them. Equal scores go to the smaller name.
+    left has block, key, name; right has block, other and what goes with it, each row an entry of its
+    own. A pair needs a ratio of BEST, and a lead of LEAD over the second best entry or else to be a
+    prefix pair of PREFIX_BEST; a name that two entries hold leaves itself no lead. Pairs meet by block
+    and length, and bounds prune them before Python scores them. Equal scores go to the smaller name.
     others leaves out the name itself, for a table against its own names.
     """
-    pairs = left.select(*block, key, name).distinct().join(right.select(*block, other).distinct(), block)
-    pairs = pairs.filter((F.length(name) > 0) & (F.length(other) > 0))
+    names = left.select(*block, key, name).distinct()
+    entries = right.groupBy(*block, other).agg(F.count("*").alias("_copies"))
+    keys = list(block)
+    if prune:
+        names = names.withColumn("_step", F.explode(F.sequence(length_step(F.col(name)) - REACH, length_step(F.col(name)) + REACH)))
+        entries = entries.withColumn("_step", length_step(F.col(other)))
+        keys.append("_step")
+    test = (F.length(name) > 0) & (F.length(other) > 0)
     if others:
-        pairs = pairs.filter(F.col(name) != F.col(other))
+        test = test & (F.col(name) != F.col(other))
     if prune:
-        pairs = pairs.filter(ratio_bound(F.col(name), F.col(other)) >= PRUNE)
-    scored = pairs.withColumn("score", ratio(F.col(name), F.col(other)))
-    best = scored.groupBy(*block, key, name).agg(F.slice(F.sort_array(F.collect_list("score"), asc=False), 1, 2).alias("_two"), F.min(F.struct((-F.col("score")).alias("s"), F.col(other).alias("o"))).alias("_best"))
-    best = best.select(*block, key, name, F.col("_best.o").alias(other), (-F.col("_best.s")).alias("score"), F.coalesce(F.get("_two", F.lit(1)), F.lit(0.0)).alias("second"))
+        test = test & (ratio_bound(F.col(name), F.col(other)) >= PRUNE)
+    scored = names.join(entries, keys).filter(test).withColumn("score", ratio(F.col(name), F.col(other)))
+    # the two first rows of a key are kept before the shuffle
+    place = F.row_number().over(Window.partitionBy(*block, key, name).orderBy(F.desc("score"), other))
+    best = scored.withColumn("_place", place).filter("_place <= 2").groupBy(*block, key, name).agg(
+        F.max(F.when(F.col("_place") == 1, F.struct(other, "score", "_copies"))).alias("_best"), F.max(F.when(F.col("_place") == 2, F.col("score"))).alias("_next")
+    )
+    second = F.when(F.col("_best._copies") > 1, F.col("_best.score")).otherwise(F.coalesce("_next", F.lit(0.0)))
+    best = best.select(*block, key, name, F.col(f"_best.{other}").alias(other), F.col("_best.score").alias("score"), second.alias("second"))
     prefix = F.col(name).startswith(F.col(other)) | F.col(other).startswith(F.col(name))
     return best.filter((F.col("score") >= BEST) & ((F.col("score") - F.col("second") >= LEAD) | (prefix & (F.col("score") >= PREFIX_BEST))))
 
 
 def best_candidate(df: DataFrame, key: str, name: str, candidates: DataFrame, candidate: str, threshold: float = 0.85) -> DataFrame:
-    """The best of a small candidate list for each text: equal, else one holding the other (4 characters or more), else by ratio; ties alphabetically."""
-    c = candidates.select(F.col(candidate).alias("candidate")).distinct()
-    a, b = F.upper(F.col(name)), F.upper(F.col("candidate"))
-    pairs = df.select(key, name).join(c, F.length(name) > 0)
-    level = F.when(a == b, 3).when((F.length(a) >= 4) & (F.contains(a, b) | F.contains(b, a)), 2).otherwise(1)
-    scored = pairs.withColumn("level", level).withColumn("score", F.when(F.col("level") > 1, 1.0).otherwise(ratio(a, b))).filter(F.col("score") >= threshold)
+    """The best of a list of candidates for each text: equal, else one holding the other (4 characters or more), else by ratio; ties alphabetically.
+
+    Equal names meet by an equi join. What holds or is held in another meets by shared runs of three characters, the
+    texts of 4 characters or more by all of their runs, shorter candidates by themselves. Only what
+    then is left is scored, against candidates of a length that can reach the threshold.
+    """
+    names = df.select(key, F.upper(F.col(name)).alias("_a")).filter(F.length("_a") > 0)
+    c = candidates.select(F.col(candidate).alias("candidate"), F.upper(F.col(candidate)).alias("_b")).distinct().filter(F.length("_b") > 0)
+    equal = names.join(c, F.col("_a") == F.col("_b")).select(key, "candidate", F.lit(3).alias("level"), F.lit(1.0).alias("score"))
+    open_ = names.join(equal.select(key).distinct(), key, "left_anti")
+
+    def runs(text: Column, size: int) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, F.lit(size))))
+
+    first = lambda text, size: F.substring(text, 1, size)
+    long = open_.filter(F.length("_a") >= 4)
+    # a candidate inside the text: its first run is one of the text's runs; the text inside a candidate: the other way round
+    sized = [(size, F.length("_b") == size) for size in (1, 2)] + [(3, F.length("_b") >= 3)]
+    inside = [long.withColumn("_r", F.explode(runs(F.col("_a"), size))).join(c.filter(fits).withColumn("_r", first(F.col("_b"), size)), "_r").filter(F.contains("_a", "_b")) for size, fits in sized]
+    around = long.withColumn("_r", first(F.col("_a"), 4)).join(c.filter(F.length("_b") >= 4).withColumn("_r", F.explode(runs(F.col("_b"), 4))), "_r").filter(F.contains("_b", "_a"))
+    held = around.select(key, "candidate")
+    for part in inside:
+        held = held.union(part.select(key, "candidate"))
+    held = held.distinct().select(key, "candidate", F.lit(2).alias("level"), F.lit(1.0).alias("score"))
+    rest = open_.join(held.select(key).distinct(), key, "left_anti")
+    reach = math.ceil(math.log((2 - threshold) / threshold, LENGTH_STEP)) + 1
+    near = rest.withColumn("_s", F.explode(F.sequence(length_step(F.col("_a")) - reach, length_step(F.col("_a")) + reach))).join(c.withColumn("_s", length_step(F.col("_b"))), "_s")
+    near = near.filter(character_bound(F.col("_a"), F.col("_b")) >= threshold).select(key, "candidate", F.lit(1).alias("level"), ratio(F.col("_a"), F.col("_b")).alias("score")).filter(F.col("score") >= threshold)
+    scored = equal.unionByName(held).unionByName(near)
     return scored.groupBy(key).agg(F.min(F.struct((-F.col("level")).alias("l"), (-F.col("score")).alias("s"), "candidate")).alias("_b")).select(key, F.col("_b.candidate").alias("candidate"), (-F.col("_b.s")).alias("score"))
 
 
@@ -125,62 +174,81 @@ def existing_map(segments: DataFrame, codes: DataFrame, names: DataFrame, key: s
     return out.withColumn("matched_code_source", F.coalesce("matched_code_source", F.when(F.col("_code").isNotNull(), "EXISTING"))).withColumn("matched_code_value", F.coalesce("matched_code_value", "_code")).drop("_code")
 
 
+def indication_part(code: Column) -> Column:
+    """What follows the first dot, up to the next one; the whole code without a dot."""
+    return F.when(code.contains("."), F.split(code, r"\.")[1]).otherwise(code)
+
+
 def keyed_layer(names: DataFrame, known: DataFrame, same: tuple[str, float], cross: tuple[str, float], rank: int) -> DataFrame:
     """Candidates by a shared key: of the same dossier, else of any when their indication part is unique.
 
     names has segment, dossier, key; known has key, code_value, dossier. A code of another dossier is
-    the segment's own dossier with the indication part of the known code.
+    the segment's own dossier with the indication part of the known code. matched_to says what was met.
     """
     k = known.filter(F.col("key") != "").select("key", "code_value", F.col("dossier").alias("_d")).distinct()
-    own = names.join(k, "key").filter(F.col("dossier") == F.col("_d")).groupBy("segment").agg(F.min("code_value").alias("code_value"))
-    parts = k.groupBy("key").agg(F.collect_set(F.substring_index("code_value", ".", -1)).alias("_p")).filter(F.size("_p") == 1)
-    other = names.join(parts, "key").groupBy("segment").agg(F.min(F.concat("dossier", F.lit("."), F.get("_p", F.lit(0)))).alias("code_value"))
-    tag = lambda df, t, r: df.filter(F.col("code_value").isNotNull()).select("segment", "code_value", F.lit(t[0]).alias("match_type"), F.lit(t[1]).alias("score"), F.lit(r).alias("rank"))
+    own = names.join(k, "key").filter(F.col("dossier") == F.col("_d")).groupBy("segment").agg(F.min("code_value").alias("code_value"), F.first("dossier").alias("_d"))
+    own = own.withColumn("matched_to", F.concat(F.lit("same dossier "), "_d"))
+    parts = k.groupBy("key").agg(F.min(indication_part(F.col("code_value"))).alias("_p"), F.max(indication_part(F.col("code_value"))).alias("_q"), F.min("code_value").alias("_ref")).filter("_p = _q")
+    other = names.join(parts, "key").groupBy("segment").agg(F.min(F.struct(F.concat("dossier", F.lit("."), "_p").alias("code_value"), F.concat(F.lit("ind_part ."), "_p", F.lit(" from "), "_ref").alias("matched_to"))).alias("_m")).select("segment", "_m.*")
+    tag = lambda df, t, r: df.filter(F.col("code_value").isNotNull()).select("segment", "code_value", F.lit(t[0]).alias("match_type"), F.lit(t[1]).alias("score"), "matched_to", F.lit(r).alias("rank"))
     return tag(own, same, rank).unionByName(tag(other, cross, rank + 1))
 
 
 def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool = True) -> DataFrame:
-    """One match at most for each segment: (segment, code_value, match_type, score).
+    """One match at most for each segment: (segment, code_value, match_type, score, matched_to).
 
     segments has segment, group, position, name, dossier; known has name, code_value, dossier; codes
     has group, code_value. Layers in order: a code inside the name; equal normalised names; parts
-    of piped names, as they are and with combinations rewritten; names with canonical brands; fuzzy
+    of piped names, as they are, then with combinations rewritten and brands made canonical; known single
+    names by that form, where it differs from the plain one; names with canonical brands; fuzzy
     names of one dossier; the only code of a group with one segment; codes and segments of a group
     paired in order. Each layer gives candidates, the first one wins, and the last two look only
     at what the others left.
     """
-    segs, layers = segments, []
+    layers = []
     inside = tx.embedded_code(F.col("name"))
-    layers.append(segments.filter(inside.isNotNull()).select("segment", inside.alias("code_value"), F.lit("EMBEDDED_IN_NAME").alias("match_type"), F.lit(1.0).alias("score"), F.lit(0).alias("rank")))
+    layers.append(segments.filter(inside.isNotNull()).select("segment", inside.alias("code_value"), F.lit("EMBEDDED_IN_NAME").alias("match_type"), F.lit(1.0).alias("score"), F.col("name").alias("matched_to"), F.lit(0).alias("rank")))
+    # all forms of a name at once, and null for a key that is the same as another one
+    forms = lambda n: F.struct(F.lower(n).alias("norm"), F.lower(tx.canonical_brands(n)).alias("brand"), F.lower(tx.canonical_brands(tx.combination_rewritten(n))).alias("combined"))
+    form = lambda pick: F.transform(F.transform(F.array(tx.normalised(F.col("name"))), forms), pick)[0]
+    norm, brand, combined = form(lambda f: f["norm"]), form(lambda f: f["brand"]), form(lambda f: f["combined"])
+    asks = lambda key: segments.select("segment", "dossier", key.alias("key"))
+    index = lambda df, key: df.select("code_value", "dossier", key.alias("key"))
+    unless = lambda one, other: form(lambda f: F.when(f[one] != f[other], f[one]))
     single = known.filter(~F.col("name").contains("|"))
-    norm = lambda c: F.lower(tx.normalised(c))
-    brand = lambda c: F.lower(tx.canonical_brands(tx.normalised(c)))
-    key = lambda df, e, *cols: df.select(*cols, e.alias("key"))
-    layers.append(keyed_layer(key(segs, norm(F.col("name")), "segment", "dossier"), key(single, norm(F.col("name")), "code_value", "dossier"), ("NORMALIZED_MATCH", 1.0), ("NORMALIZED_CROSS", 0.95), 10))
     pieces = known.filter(F.col("name").contains("|")).withColumn("name", F.explode(F.split("name", r"\|")))
-    layers.append(keyed_layer(key(segs, norm(F.col("name")), "segment", "dossier"), key(pieces, norm(F.col("name")), "code_value", "dossier"), ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90), 20))
-    rewritten = lambda c: F.lower(tx.combination_rewritten(tx.normalised(c)))
-    layers.append(keyed_layer(key(segs, rewritten(F.col("name")), "segment", "dossier"), key(pieces, rewritten(F.col("name")), "code_value", "dossier"), ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90), 30))
-    layers.append(keyed_layer(key(segs, rewritten(F.col("name")), "segment", "dossier"), key(single, rewritten(F.col("name")), "code_value", "dossier"), ("KOMBI_NORMALIZED", 0.90), ("KOMBI_CROSS", 0.85), 40))
-    layers.append(keyed_layer(key(segs, brand(F.col("name")), "segment", "dossier"), key(single, brand(F.col("name")), "code_value", "dossier"), ("BRAND_NORMALIZED", 0.9), ("BRAND_CROSS", 0.85), 50))
+    by_brand = index(single, brand).unionByName(index(single, unless("combined", "brand")))
+    by_piece = index(pieces, norm).unionByName(index(pieces, unless("brand", "norm")))
+    layers.append(keyed_layer(asks(norm), index(single, norm), ("NORMALIZED_MATCH", 1.0), ("NORMALIZED_CROSS", 0.95), 10))
+    layers.append(keyed_layer(asks(norm), by_piece, ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90), 20))
+    layers.append(keyed_layer(asks(combined), by_piece, ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90), 30))
+    layers.append(keyed_layer(asks(unless("combined", "norm")), by_brand, ("KOMBI_NORMALIZED", 0.90), ("KOMBI_CROSS", 0.85), 40))
+    layers.append(keyed_layer(asks(brand), by_brand, ("BRAND_NORMALIZED", 0.9), ("BRAND_CROSS", 0.85), 50))
     if fuzzy:
-        left = segs.select("dossier", "segment", norm(F.col("name")).alias("_a"))
-        right = single.select("dossier", norm(F.col("name")).alias("_b"), "code_value")
-        near = fuzzy_best(left, right, ["dossier"], "segment", "_a", "_b").join(right.groupBy("dossier", "_b").agg(F.min("code_value").alias("code_value")), ["dossier", "_b"])
-        layers.append(near.select("segment", "code_value", F.lit("FUZZY_MATCHED").alias("match_type"), "score", F.lit(60).alias("rank")))
+        left = segments.select("dossier", "segment", norm.alias("_a"))
+        right = single.select("dossier", norm.alias("_b"), "name", "code_value").distinct()
+        first = right.groupBy("dossier", "_b").agg(F.min(F.struct("code_value", F.col("name").alias("matched_to"))).alias("_m"))
+        near = fuzzy_best(left, right, ["dossier"], "segment", "_a", "_b").join(first, ["dossier", "_b"])
+        layers.append(near.select("segment", "_m.code_value", F.lit("FUZZY_MATCHED").alias("match_type"), "score", "_m.matched_to", F.lit(60).alias("rank")))
     found = layers[0]
     for layer in layers[1:]:
         found = found.unionByName(layer)
-    found = found.groupBy("segment").agg(F.min(F.struct("rank", "code_value", "match_type", "score")).alias("_m")).select("segment", "_m.code_value", "_m.match_type", "_m.score")
+    found = found.groupBy("segment").agg(F.min(F.struct("rank", "code_value", "match_type", "score", "matched_to")).alias("_m")).select("segment", "_m.code_value", "_m.match_type", "_m.score", "_m.matched_to")
     left = segments.join(found.select("segment"), "segment", "left_anti")
     per_group = segments.groupBy("group").agg(F.count("*").alias("_all"))
     only = codes.select("group", "code_value").distinct().groupBy("group").agg(F.min("code_value").alias("code_value"), F.count("*").alias("_c")).filter("_c = 1")
-    alone = left.join(per_group, "group").filter("_all = 1").join(only, "group").select("segment", "code_value", F.lit("SINGLE_SEGMENT_CODE").alias("match_type"), F.lit(1.0).alias("score"))
+    alone = left.join(per_group, "group").filter("_all = 1").join(only, "group").select("segment", "code_value", F.lit("SINGLE_SEGMENT_CODE").alias("match_type"), F.lit(1.0).alias("score"), F.concat(F.lit("only code for lim "), F.col("group").cast("string")).alias("matched_to"))
     whole = left.join(left.groupBy("group").agg(F.count("*").alias("_left")).join(per_group, "group").filter("_left = _all and _all >= 2").select("group"), "group", "left_semi")
-    paired = ordinal_pairs(whole.select("group", "segment", "position"), codes, "group", "position", "code_value").select("segment", "code_value", F.lit("ORDINAL_POSITION").alias("match_type"), F.lit(0.80).alias("score"))
+    paired = ordinal_pairs(whole.select("group", "segment", "position"), codes, "group", "position", "code_value", after_dot=False)
+    paired = paired.select("segment", "code_value", F.lit("ORDINAL_POSITION").alias("match_type"), F.lit(0.80).alias("score"), F.concat(F.lit("position in lim "), F.col("group").cast("string")).alias("matched_to"))
     return found.unionByName(alone).unionByName(paired)
 
 
+def match_log(segments: DataFrame, matches: DataFrame) -> DataFrame:
+    """The matches with the names they were found for."""
+    return matches.join(segments.select("segment", F.col("name").alias("segment_name")), "segment").select("segment", "segment_name", F.col("code_value").alias("matched_code"), "match_type", "matched_to", "score")
+
+
 #: Layers of the code-to-name map in order, with their confidence.
 MAP_LAYERS = {
     "REF_MAP": 1.0, "DIRECT_STRUCT": 1.0, "DIRECT_TEXT": 0.95, "SHARED_TEXT": 0.9, "ORDINAL_POSITION": 0.8, "NORM_SAME": 0.95, "NORM_CROSS": 0.9,
@@ -188,44 +256,74 @@ MAP_LAYERS = {
 }
 
 
-def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, reference: DataFrame | None = None, replies: DataFrame | None = None) -> DataFrame:
-    """Names for codes: (indication_code, indication_name_de, bag_dossier_no, match_source, match_confidence).
+REAL = ("STRUCTURED_XML", "TEXT_PARSED")
 
-    links has text_id, indication_code, code_source, is_fallback, bag_dossier_no; segments has text_id,
-    segment_order, indication_name_de; texts has text_id, text; reference and replies have
-    indication_code or text_id with indication_name_de. A later layer adds only (code, name)
-    pairs that no earlier one has, and the last three only codes that still have no name.
+
+def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, reference: DataFrame | None = None, replies: DataFrame | None = None) -> DataFrame:
+    """Names for codes: (indication_code, indication_name_de, indication_name_fr, bag_dossier_no, match_source, match_confidence).
+
+    links has text_id, indication_code, code_source; segments has text_id, segment_order, indication_name_de
+    (and _fr); texts has text_id, text; reference has indication_code, indication_name_de, bag_dossier_no, replies
+    text_id, indication_name_fr. A later layer adds only (code, name) pairs that no earlier one has, and
+    the last two only codes that still have no name. A direct layer takes one row per code, that of
+    the smallest text. Codes are counted by source: one structured code of a text is paired with its only segment
+    whatever else stands there; one parsed code if it is the only code of both sources. In the two layers by normalised name
+    a segment asks once, with the smallest code of its text. Some steps are persisted, as several later ones read them.
     """
-    real = links.filter(~F.col("is_fallback")).select("text_id", "indication_code", "code_source", "bag_dossier_no").distinct()
-    named = segments.filter(F.col("indication_name_de").isNotNull())
-    one_name = named.groupBy("text_id").agg(F.min("indication_name_de").alias("indication_name_de"), F.count("*").alias("_n")).filter("_n = 1").drop("_n")
-    per_text = real.groupBy("text_id").agg(F.countDistinct("indication_code").alias("_c"))
-    row = lambda df, source: df.select("indication_code", "indication_name_de", "bag_dossier_no", F.lit(source).alias("match_source"), F.lit(MAP_LAYERS[source]).alias("match_confidence"))
-    direct = real.join(per_text.filter("_c = 1"), "text_id").join(one_name, "text_id")
-    parts = [row(reference, "REF_MAP")] if reference is not None else []
-    parts += [row(direct.filter("code_source = 'STRUCTURED_XML'"), "DIRECT_STRUCT"), row(direct.filter("code_source = 'TEXT_PARSED'"), "DIRECT_TEXT")]
-    shared = real.join(per_text.filter("_c > 1"), "text_id").join(one_name, "text_id")
-    parts.append(row(shared, "SHARED_TEXT"))
-    one_dossier = real.groupBy("text_id").agg(F.countDistinct("bag_dossier_no").alias("_d")).filter("_d = 1").select("text_id")
-    pairs = ordinal_pairs(named.join(one_dossier, "text_id", "left_semi").select("text_id", "segment_order", "indication_name_de"), real, "text_id", "segment_order", "indication_code")
-    pairs = pairs.join(real.groupBy("indication_code").agg(F.min("bag_dossier_no").alias("bag_dossier_no")), "indication_code")
-    parts.append(row(pairs, "ORDINAL_POSITION"))
+    if "indication_name_fr" not in segments.columns:
+        segments = segments.withColumn("indication_name_fr", F.lit(None).cast("string"))
+    dossier = F.when(F.col("indication_code").contains("."), F.substring_index("indication_code", ".", 1))
+    # what several layers start from is kept, else each would make it anew
+    real = links.filter(F.col("code_source").isin(*REAL)).select("text_id", "indication_code", "code_source").distinct().persist()
+    only = segments.groupBy("text_id").agg(F.count("*").alias("_n"), F.min(F.struct("indication_name_de", "indication_name_fr")).alias("_s")).filter("_n = 1").select("text_id", "_s.*")
+    named = lambda df, source: df.select("indication_code", "indication_name_de", "indication_name_fr", dossier.alias("bag_dossier_no"), F.lit(source).alias("match_source"), F.lit(MAP_LAYERS[source]).alias("match_confidence"))
+
+    def per_code(df: DataFrame) -> DataFrame:
+        """One row per code: a named one before one without, then the smallest text."""
+        pick = F.struct(F.col("indication_name_de").isNull().alias("a"), F.col("text_id").alias("b"), "indication_name_de", "indication_name_fr")
+        return df.groupBy("indication_code").agg(F.min(pick).alias("_p")).select("indication_code", "_p.indication_name_de", "_p.indication_name_fr")
+
+    def with_one_code(df: DataFrame) -> DataFrame:
+        return df.groupBy("text_id").agg(F.countDistinct("indication_code").alias("_c")).filter("_c = 1").select("text_id")
+
+    structured, parsed = real.filter(F.col("code_source") == REAL[0]), real.filter(F.col("code_source") == REAL[1])
+    parts = []
+    if reference is not None:
+        parts.append(reference.select("indication_code", "indication_name_de", F.lit(None).cast("string").alias("indication_name_fr"), "bag_dossier_no", F.lit("REF_MAP").alias("match_source"), F.lit(MAP_LAYERS["REF_MAP"]).alias("match_confidence")))
+    parts.append(named(per_code(structured.join(with_one_code(structured), "text_id", "left_semi").join(only, "text_id")), "DIRECT_STRUCT"))
+    parts.append(named(per_code(parsed.join(with_one_code(real), "text_id", "left_semi").join(only, "text_id")), "DIRECT_TEXT"))
+    parts.append(named(per_code(real.join(only, "text_id")), "SHARED_TEXT"))
+    of_one_dossier = real.filter(F.col("indication_code").contains(".")).groupBy("text_id").agg(F.countDistinct(F.substring_index("indication_code", ".", 1)).alias("_d")).filter("_d = 1").select("text_id")
+    pairs = ordinal_pairs(segments.join(of_one_dossier, "text_id", "left_semi").select("text_id", "segment_order", "indication_name_de", "indication_name_fr"), real, "text_id", "segment_order", "indication_code")
+    parts.append(named(pairs, "ORDINAL_POSITION"))
     keys = ["indication_code", "indication_name_de"]
-    found = union_first_wins(parts, keys)
-    # names of segments that no code has, matched to known names
-    open_codes = real.join(found.select("indication_code").distinct(), "indication_code", "left_anti")
-    wanted = open_codes.join(named.select("text_id", "indication_name_de").distinct(), "text_id").select("indication_code", "bag_dossier_no", "indication_name_de").distinct()
+    found = union_first_wins(parts, keys).persist()
+    # segments whose name no code has yet, each with a code of its text, against the names that are there
+    wanted = segments.filter(F.col("indication_name_de").isNotNull()).join(found.select("indication_name_de").distinct(), "indication_name_de", "left_anti")
+    wanted = wanted.join(links.groupBy("text_id").agg(F.min("indication_code").alias("indication_code")), "text_id").withColumn("_dossier", dossier)
+    left, asked = [], wanted.persist()
     for same, cross, form in (("NORM_SAME", "NORM_CROSS", lambda c: tx.normalised(c, True)), ("BRAND_SAME", "BRAND_CROSS", lambda c: F.lower(tx.canonical_brands(tx.normalised(c))))):
-        known = found.select(form(F.col("indication_name_de")).alias("_key"), F.col("bag_dossier_no").alias("_d"), F.substring_index("indication_code", ".", -1).alias("_part")).distinct()
-        met = wanted.withColumn("_key", form(F.col("indication_name_de"))).filter("_key <> ''").join(known, "_key").filter(F.substring_index("indication_code", ".", -1) == F.col("_part"))
-        parts += [row(met.filter("bag_dossier_no = _d"), same), row(met.filter("bag_dossier_no <> _d"), cross)]
+        name = F.col("indication_name_de")
+        k = found.filter(name.isNotNull()).select(form(name).alias("_key"), F.col("bag_dossier_no").alias("_d"), F.col("indication_code").alias("_code"))
+        own = k.groupBy("_key", "_d").agg(F.min("_code").alias("_own"))
+        any_ = k.groupBy("_key").agg(F.min("_code").alias("_any"))
+        met = asked.withColumn("_key", form(name))
+        if same == "BRAND_SAME":
+            met = met.filter(F.col("_key") != tx.normalised(name, True))
+        met = met.join(any_, "_key").join(own.withColumnRenamed("_d", "_dossier"), ["_key", "_dossier"], "left")
+        crossed = F.when(F.col("_any").contains(".") & F.col("_dossier").isNotNull(), F.concat("_dossier", F.lit("."), indication_part(F.col("_any"))))
+        met = met.withColumn("indication_code", F.coalesce("_own", crossed)).filter(F.col("indication_code").isNotNull())
+        left += [named(met.filter("_own is not null"), same), named(met.filter("_own is null"), cross)]
+        asked = asked.join(met.select("text_id", "segment_order").distinct(), ["text_id", "segment_order"], "left_anti")
     if replies is not None:
-        one_reply = replies.groupBy("text_id").agg(F.min("indication_name_de").alias("indication_name_de"), F.count("*").alias("_n")).filter("_n = 1")
-        parts.append(row(open_codes.join(one_reply, "text_id"), "LLM_SEGMENT"))
-    found = union_first_wins([p.distinct() for p in parts], keys)
-    still = real.join(found.select("indication_code").distinct(), "indication_code", "left_anti").join(texts, "text_id")
-    still = still.groupBy("indication_code").agg(F.min(F.struct("text_id", "text", "bag_dossier_no")).alias("_t")).select("indication_code", "_t.*")
-    bold = F.regexp_extract("text", "(?d)<b>(.+?)</b>", 1)
-    extract = row(still.filter(bold != "").withColumn("indication_name_de", tx.normalised(bold)), "BOLD_EXTRACT")
-    cut = row(still.filter(bold == "").withColumn("indication_name_de", tx.first_sentence(tx.clean_markup(F.col("text")))).filter("indication_name_de <> ''"), "DESC_TRUNCATED")
-    return found.unionByName(extract).unionByName(cut)
+        fallback = links.filter(F.col("code_source") == "FALLBACK_XX").select("text_id", "indication_code").distinct()
+        one = replies.filter(F.col("indication_name_fr").isNotNull()).groupBy("text_id").agg(F.count("*").alias("_n"), F.min("indication_name_fr").alias("indication_name_fr")).filter("_n = 1").drop("_n").withColumn("indication_name_de", F.lit(None).cast("string"))
+        replied = fallback.join(with_one_code(fallback), "text_id", "left_semi").join(one, "text_id")
+        left.append(named(replied.groupBy("indication_code").agg(F.min(F.struct("text_id", "indication_name_de", "indication_name_fr")).alias("_p")).select("indication_code", "_p.indication_name_de", "_p.indication_name_fr"), "LLM_SEGMENT"))
+    found = union_first_wins([found, *left], keys).persist()
+    still = real.select("indication_code", "text_id").distinct().join(found.select("indication_code").distinct(), "indication_code", "left_anti").join(texts.filter(F.col("text") != ""), "text_id")
+    still = still.withColumn("text", tx.decode_entities(F.col("text"))).withColumn("_bold", F.nullif(F.regexp_extract("text", "(?d)<b>(.+?)</b>", 1), F.lit("")))
+    usable = F.col("_bold").isNotNull() & ~tx.is_structural(F.col("_bold"))
+    name = F.when(usable, F.col("_bold")).otherwise(F.nullif(tx.first_sentence(tx.clean_markup(F.col("text"))), F.lit("")))
+    still = still.withColumn("indication_name_de", name).withColumn("indication_name_fr", F.lit(None).cast("string")).withColumn("_usable", usable).filter("indication_name_de is not null")
+    return found.unionByName(union_first_wins([named(still.filter("_usable"), "BOLD_EXTRACT"), named(still.filter("not _usable"), "DESC_TRUNCATED")], keys))

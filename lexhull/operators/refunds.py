@@ -18,6 +18,7 @@ TITLE = r"(?:la\s+)?(?:société|entreprise|firme)?\s*"
 #: A name of at least one word, then a legal form; the words between are one flat run.
 COMPANY = rf"[A-Z][A-Za-zÀ-ÿ\-]+\s(?:[{rules.NAME_CLASS}\s]*\s)?{FORMS}"
 AFTER = r"(?:\s+[A-Za-zÀ-ÿ\-()]+)?"
+# Who pays, who is paid by, who is billed.
 PAYS = rf"{ANY}{TITLE}({COMPANY}{AFTER})\s+rembourse(?:ra)?"
 PAYS_SIGN = rf"{ANY}\s{FORMS}{AFTER}\s+rembourse"
 PAID_BY = rf"{ANY}remboursé(?:s|e|es)?\s+par\s+{TITLE}({COMPANY}{AFTER})"
@@ -73,7 +74,7 @@ def cost_section(text: Column) -> Column:
 
 #: Stands for a full stop that ends no sentence.
 DOT = "\ue000"
-#: Where a full stop ends no sentence: dates, amounts, percentages, abbreviations.
+# Where a full stop ends no sentence: dates, amounts, percentages, abbreviations.
 NO_END = [
     (r"(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2}(?!\d))", f"$1{DOT}$2{DOT}$3"),
     (r"Fr\.\s*([\d'’]+)\.(\d+)", f"Fr{DOT} $1{DOT}$2"),
@@ -99,17 +100,20 @@ def restored(text: Column) -> Column:
 
 def sentence(text: Column, clean: bool = True) -> Column:
     """The sentence that states a refund with those that follow on; null if there is none."""
-    named = rf"[A-Z][a-zA-ZÀ-ÿ\-]+\s(?:[{rules.NAME_CLASS}\s]*\s)?"
+    # one flat run for the words of a name, where nested repetition would exhaust the engine
+    words, flat = r"(?:\s+[A-Za-zÀ-ÿ\-\(\)&]+)*\s+", rf"\s(?:[{rules.NAME_CLASS}\s]*\s)?"
     tax = rf"(?:TVA|T[.{DOT}]?V[.{DOT}]?A[.{DOT}]?)"
-    follow = [ANY + r"^\s*(" + p.replace(rules.VAT, tax).replace(r"T\.?V\.?A\.?", rf"T[.{DOT}]?V[.{DOT}]?A[.{DOT}]?") + ")" for p in rules.FOLLOW_ON]
+    follow = [ANY + r"^\s*(" + p.replace(r"T\.?V\.?A\.?", rf"T[.{DOT}]?V[.{DOT}]?A[.{DOT}]?") + ")" for p in rules.FOLLOW_ON]
 
     def locate(t: Column) -> Column:
         found = None
         for p in rules.SENTENCES:
-            test = t.rlike(ANY + r"\s(?:SA|AG|GmbH|Sàrl)\s+(?:rembourse|restitue)") if "NAMED" in p else F.lit(True)
-            p = ANY + p.replace("NAMED", named)
-            this = F.struct(F.regexp_instr(t, F.lit(p)).alias("at"), F.regexp_extract(t, p, 0).alias("hit"), t.alias("t"))
-            found = F.when(test & t.rlike(p), this) if found is None else found.when(test & t.rlike(p), this)
+            test = t.rlike(ANY + r"\s(?:SA|AG|GmbH|Sàrl)\s+(?:rembourse|restitue)") if words in p else F.lit(True)
+            p = ANY + p.replace(words, flat)
+            hit = F.regexp_extract(t, p, 0)
+            # the first place of the matched words is that of the match: they would have matched there, too
+            this = F.when(test & (hit != ""), F.transform(F.array(hit), lambda h: F.struct(F.call_function("locate", h, t).alias("at"), h.alias("hit"), t.alias("t")))[0])
+            found = this if found is None else F.coalesce(found, this)
         return found
 
     def grow(x: Column) -> Column:
@@ -151,13 +155,17 @@ def calculation(text: Column, swiss: bool = True) -> Column:
     if swiss:
         text = F.regexp_replace(text, r"(?<=\d)['’](?=\d)", "")
     decimal = r"(\d+(?:[.,]\d+)?)"
-    out = None
-    for kind, pattern, has_value in rules.CALCULATIONS:
-        p = ANY + pattern.replace("N", decimal) if has_value else ANY + pattern
-        value = F.replace(F.regexp_extract(text, p, 1), F.lit(","), F.lit(".")).try_cast("double") if has_value else F.lit(None).cast("double")
-        this = F.struct(F.lit(kind).alias("type"), value.alias("value"))
-        out = F.when(text.rlike(p), this) if out is None else out.when(text.rlike(p), this)
-    return out.otherwise(F.struct(F.lit("unknown").alias("type"), F.lit(None).cast("double").alias("value")))
+    def read(t: Column) -> Column:
+        out = None
+        for kind, pattern, has_value in rules.CALCULATIONS:
+            p = ANY + pattern.replace("N", decimal)
+            hit = F.regexp_extract(t, p, 1 if has_value else 0)
+            value = F.replace(hit, F.lit(","), F.lit(".")).try_cast("double") if has_value else F.lit(None).cast("double")
+            this = F.when(hit != "", F.struct(F.lit(kind).alias("type"), value.alias("value")))
+            out = this if out is None else F.coalesce(out, this)
+        return F.coalesce(out, F.struct(F.lit("unknown").alias("type"), F.lit(None).cast("double").alias("value")))
+
+    return F.transform(F.array(text), read)[0]
 
 
 def refund_unit(text: Column) -> Column:
@@ -175,8 +183,16 @@ def number(word: Column) -> Column:
     return F.coalesce(F.try_element_at(known, low), F.when(low.rlike(r"^\d+$"), low.try_cast("int")))
 
 
+#: Each threshold pattern needs one of these.
+THRESHOLD_SIGNS = r"mois|semaine|jour|cycle|paquet|emballage|bo[îi]te|flacon|par\s+an|plafond|unique|administration|dose|besoin|ligne|progression|rechute|r[ée]cidive|(?:/|par\s+)j"
+
+
 def thresholds(text: Column) -> Column:
-    """array<struct<type, value, unit, match>>: the first match of each threshold pattern not near a deadline for asking."""
+    """array<struct<type, value, unit, match>>: the first match of each threshold pattern not near a deadline for asking.
+
+    Texts without any sign of a threshold meet one pattern only; the others meet each pattern once,
+    and value, place and unit are read from what it matched.
+    """
     low = F.lower(text)
     # of the words that begin with a digit, only these two don't end as digits and an ending
     words = "|".join(sorted((w for w in rules.NUMBER_WORDS if w[0].isalpha()), key=len, reverse=True))
@@ -189,19 +205,33 @@ def thresholds(text: Column) -> Column:
         found = []
         for kind, pattern, has_value in rules.THRESHOLDS:
             p = tx.FLAGS + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth)
-            at, hit = F.regexp_instr(t, F.lit(p)), F.regexp_extract(t, p, 0)
+            hit = F.regexp_extract(t, p, 0)
             if pattern[0] == "N":  # what follows the number is rarer than numbers, and quicker to look for
-                at = F.when(t.rlike(tx.FLAGS + pattern.removeprefix("N")), at).otherwise(0)
-            around = F.substring(t, F.greatest(at - rules.DEADLINE_REACH, F.lit(1)), F.length(hit) + rules.DEADLINE_REACH + F.least(at - 1, F.lit(rules.DEADLINE_REACH)))
-            value = number(F.regexp_extract(t, p, 1)) if has_value else F.lit(None).cast("int")
-            unit = None
-            for u, marks in rules.THRESHOLD_UNITS:
-                test = hit.rlike("|".join(marks))
-                unit = F.when(test, u) if unit is None else unit.when(test, u)
-            found.append(F.when((at > 0) & ~around.rlike(deadline), F.struct(F.lit(kind).alias("type"), value.alias("value"), unit.alias("unit"), hit.alias("match"))))
-        return F.filter(F.array(*found), lambda x: x.isNotNull())
+                hit = F.when(t.rlike(tx.FLAGS + pattern.removeprefix("N")), hit).otherwise("")
+            found.append(F.struct(F.lit(kind).alias("type"), hit.alias("match")))
+        return F.array(*found)
+
+    def read(x: Column, t: Column) -> Column:
+        """The entry of one match; the first place of the matched words is that of the match."""
+        at, size = F.call_function("locate", x["match"], t), F.length(x["match"])
+        around = F.substring(t, F.greatest(at - rules.DEADLINE_REACH, F.lit(1)), size + rules.DEADLINE_REACH + F.least(at - 1, F.lit(rules.DEADLINE_REACH)))
+        value = None
+        for kind, pattern, has_value in rules.THRESHOLDS:
+            if has_value:
+                own = number(F.regexp_extract(x["match"], tx.FLAGS + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth), 1))
+                value = F.when(x["type"] == kind, own) if value is None else value.when(x["type"] == kind, own)
+        unit = None
+        for u, marks in rules.THRESHOLD_UNITS:
+            test = x["match"].rlike("|".join(marks))
+            unit = F.when(test, u) if unit is None else unit.when(test, u)
+        return F.when(~around.rlike(deadline), F.struct(x["type"].alias("type"), value.alias("value"), unit.alias("unit"), x["match"].alias("match")))
 
-    return F.transform(F.array(low), every)[0]
+    def whole(t: Column) -> Column:
+        hits = F.filter(every(t), lambda x: x["match"] != "")
+        return F.filter(F.transform(hits, lambda x: read(x, t)), lambda x: x.isNotNull())
+
+    empty = F.array().cast("array<struct<type:string,value:int,unit:string,match:string>>")
+    return F.when(text.isNull(), None).when(low.rlike(tx.FLAGS + THRESHOLD_SIGNS), F.transform(F.array(low), whole)[0]).otherwise(empty)
 
 
 def primary_threshold(found: Column) -> Column:
@@ -223,22 +253,32 @@ def cotreatments(text: Column, drugs: list[str] = rules.DRUGS) -> Column:
     return F.array_distinct(F.concat(named, known))
 
 
-def mine(df: DataFrame, id_col: str, text_col: str, clean: bool = True) -> DataFrame:
+def mine(df: DataFrame, id_col: str, text_col: str, clean: bool = True, preparations: DataFrame | None = None, companies: DataFrame | None = None) -> DataFrame:
     """One row per text with a refund: detection, sentence and the rules read from it.
 
     Rules are read from the sentence, or from the whole text if no sentence was isolated; the
     company is the sentence's, else the detector's. Detection runs first and only texts that
-    pass go on, so that the many rule patterns meet few rows.
+    pass go on, so that the many rule patterns meet few rows. companies (company) adds texts that name one of these
+    near a refund verb; preparations (name, stem) adds the drugs whose stem stands in the basis.
     """
     text = tx.clean_markup(F.col(text_col)) if clean else F.col(text_col)
-    rows = df.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("found", detect(F.col("text"))).filter("found.is_cashback")
+    rows = df.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("found", detect(F.col("text")))
+    if companies is not None:
+        near = known_companies(rows.filter(~F.col("found.is_cashback")), "id", "text", companies).filter("near_refund").groupBy("id").agg(F.min("company").alias("known"))
+        told = F.struct(F.lit(True).alias("is_cashback"), F.col("known").alias("company"), F.lit("fuzzy_company").alias("pattern"))
+        rows = rows.join(near, "id", "left").withColumn("found", F.when(F.col("known").isNotNull(), told).otherwise(F.col("found"))).drop("known")
+    rows = rows.filter("found.is_cashback")
     rows = rows.withColumn("said", sentence(F.col("text"), clean=False)).withColumn("basis", F.coalesce("said", "text"))
     basis, calc = F.col("basis"), calculation(F.col("basis"))
     rows = rows.select(
-        "id", F.col("said").alias("cashback_extract"), F.coalesce(sentence_company(F.col("said")), F.col("found.company")).alias("cashback_company"),
+        "id", "basis", F.col("said").alias("cashback_extract"), F.coalesce(sentence_company(F.col("said")), F.col("found.company")).alias("cashback_company"),
         F.col("found.pattern").alias("detection_patterns"), calc.alias("calc"), refund_unit(basis).alias("rule_unit"), thresholds(basis).alias("thresholds"),
         *[c.alias(f"cond_{n.removeprefix('cond_')}") for n, c in conditions(basis).items()], cotreatments(basis).alias("cotreatments"), no_refund_phrase(F.col("text")).alias("no_refund_phrase"),
     ).withColumn("main", primary_threshold(F.col("thresholds")))
+    if preparations is not None:
+        known = contained_names(rows, "id", "basis", preparations, "name", "stem").groupBy("id").agg(F.sort_array(F.collect_set(F.upper("name"))).alias("prepared"))
+        more = F.filter(F.col("prepared"), lambda d: (F.length(d) >= 5) & ~d.isin(rules.NO_DRUGS))
+        rows = rows.join(known, "id", "left").withColumn("cotreatments", F.array_distinct(F.concat("cotreatments", F.coalesce(more, F.array().cast("array<string>")))))
     return rows.select(
         "id", "cashback_extract", "cashback_company", "detection_patterns", F.col("calc.type").alias("rule_calc_type"), F.col("calc.value").alias("rule_calc_value"), "rule_unit",
         F.col("main.type").alias("rule_threshold_type"), F.col("main.value").alias("rule_threshold_value"), F.col("main.unit").alias("rule_threshold_unit"), "thresholds",
@@ -246,6 +286,23 @@ def mine(df: DataFrame, id_col: str, text_col: str, clean: bool = True) -> DataF
     )
 
 
+def text_flags(df: DataFrame, text_col: str) -> DataFrame:
+    """Input columns plus what is kept beside a distinct text: is_cashback, cashback_company, cashback_patterns, cashback_calc_type, _value, cashback_unit, and has_cashback (1 or 0).
+
+    Character references are decoded and markup cleaned first; for has_cashback the markup stays. The detector's company comes before the sentence's, and
+    calculation and unit are read from a sentence only, never from the whole text.
+    """
+    plain = df.withColumn("_plain", tx.decode_entities(F.col(text_col)))
+    rows = plain.withColumn("_text", tx.clean_markup(F.col("_plain"))).withColumn("_found", detect(F.col("_text"))).withColumn("_said", F.when(F.col("_found.is_cashback"), sentence(F.col("_text"), clean=False)))
+    calc = F.when(F.col("_said").isNotNull(), calculation(F.col("_said")))
+    rows = rows.withColumn("_calc", calc)
+    return rows.select(
+        *df.columns, F.coalesce("_found.is_cashback", F.lit(False)).alias("is_cashback"), F.coalesce("_found.company", sentence_company(F.col("_said"))).alias("cashback_company"), F.col("_found.pattern").alias("cashback_patterns"),
+        F.col("_calc.type").alias("cashback_calc_type"), F.col("_calc.value").alias("cashback_calc_value"), F.when(F.col("_said").isNotNull(), refund_unit(F.col("_said"))).alias("cashback_unit"),
+        F.coalesce(detect(F.col("_plain"))["is_cashback"], F.lit(False)).cast("int").alias("has_cashback"),
+    )
+
+
 def segments_and_rest(segments: DataFrame, limitations: DataFrame, id_col: str = "limitation_id") -> DataFrame:
     """Segment texts, and whole texts of the limitations that have no segment."""
     own = segments.select(id_col, F.col("segment_order"), F.col("segment_text_fr").alias("text"))
@@ -266,16 +323,47 @@ def base_drug(name: Column) -> Column:
     return F.when(F.length(short) > 2, F.upper(short))
 
 
-def known_companies(df: DataFrame, id_col: str, text_col: str, companies: DataFrame, name: str = "company") -> DataFrame:
-    """(id, company, near_refund): known companies that a text names, and whether a refund verb stands within 50 characters before and 100 after.
+def company_set(refunds: DataFrame, partners: DataFrame, company: str = "cashback_company", partner: str = "name") -> DataFrame:
+    """(company, base): companies of earlier refunds, without those that are no names, and partners, each with its short form."""
+    names = refunds.select(F.col(company).alias("company")).filter((F.length("company") < rules.LONGEST_COMPANY) & ~either(F.lower("company"), rules.NO_COMPANY, ""))
+    return names.union(partners.select(F.col(partner))).filter("company <> ''").distinct().withColumn("base", base_company(F.col("company")))
+
+
+def drug_set(preparations: DataFrame, substances: DataFrame, name: str = "name_de", substance: str = "description_la") -> DataFrame:
+    """(name, stem): preparations as they are and substances without their ending, by what is looked for in a text."""
+    prepared = preparations.select(F.col(name).alias("name"), F.col(name).alias("stem"))
+    stem = F.regexp_replace(F.col(substance), f"(?i){rules.STEM_ENDING}", "")
+    made = substances.select(F.col(substance).alias("name"), stem.alias("stem")).filter(F.length("stem") >= 5)
+    return prepared.union(made).filter("name <> ''").distinct()
+
+
+def contained_names(df: DataFrame, id_col: str, text_col: str, names: DataFrame, name: str, looked_for: str) -> DataFrame:
+    """(id, text, name): names whose looked_for stands anywhere in a text, blind to case.
 
-    Each name is looked up by its first word, so texts meet only companies that can occur in
-    them; the full name is then compared.
+    A text and a name meet by the name's first characters (up to four), which are among the runs
+    of the text; only ids travel with the runs, and what has met is compared in full.
     """
-    first_word = lambda c: F.regexp_extract(F.lower(c), r"(?U)(\w+)", 1)
-    words = df.select(F.col(id_col).alias("id"), F.lower(F.col(text_col)).alias("text")).withColumn("word", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?U)(\w+)"), F.lit(1)))))
-    met = words.join(companies.select(F.col(name).alias("company"), first_word(F.col(name)).alias("word")).distinct(), "word").filter(F.contains("text", F.lower("company")))
-    place = F.expr("locate(lower(company), text)")
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    known = names.select(F.col(name).alias("name"), F.upper(F.col(looked_for)).alias("_n")).filter(F.length("_n") > 0).distinct()
+    reach = F.least(F.length("_n"), F.lit(4))
+    known = known.withColumn("_r", F.substring("_n", F.lit(1), reach))
+    # which of the four lengths there are
+    sizes = sorted(r[0] for r in known.select(reach).distinct().collect())
+
+    def runs(size: int) -> Column:
+        """All stretches of so many characters, one from each place, in one pass."""
+        return F.regexp_extract_all("_t", F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+
+    asked = texts.select("id", F.upper("text").alias("_t")).select("id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *map(runs, sizes)))).alias("_r"))
+    met = asked.join(known, "_r").select("id", "name", "_n").distinct()
+    return met.join(texts, "id").filter(F.contains(F.upper("text"), F.col("_n"))).select("id", "text", "name").distinct()
+
+
+def known_companies(df: DataFrame, id_col: str, text_col: str, companies: DataFrame, name: str = "company") -> DataFrame:
+    """(id, company, near_refund): known companies that a text names, and whether a refund verb stands within 50 characters before and 100 after."""
+    met = contained_names(df, id_col, text_col, companies, name, name).select("id", F.lower("text").alias("text"), F.col("name").alias("company"))
+    # the place of the name's first ten characters counts
+    place = F.expr("locate(substring(lower(company), 1, 10), text)")
     around = F.substring("text", F.greatest(place - 50, F.lit(1)), F.length("company") + 100 + F.least(place - 1, F.lit(50)))
     near = F.lit(False)
     for verb in rules.REFUND_VERBS:

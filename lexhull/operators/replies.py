@@ -20,10 +20,11 @@ def route(text: Column, large: int = LARGE) -> Column:
     return F.when(F.length(text) >= large, "large").otherwise("small")
 
 
-def targets(texts: DataFrame, segments: DataFrame, done: DataFrame, before: int = BEFORE_YEAR, force: bool = False) -> DataFrame:
-    """Texts of earlier years with a refund and no segments that have not been labelled yet, each with its route."""
+def targets(texts: DataFrame, segments: DataFrame, done: DataFrame, before: int = BEFORE_YEAR, force: bool = False, limit: int | None = None) -> DataFrame:
+    """Texts of earlier years with a refund and no segments that have not been labelled yet, each with its route; the first by id if a limit is asked for."""
     open_ = texts.filter((F.col("file_year") < before) & F.col("is_cashback")).join(segments.select("text_id").distinct(), "text_id", "left_anti")
-    return unprocessed(open_, done, "text_id", force).withColumn("route", route(F.col("text")))
+    out = unprocessed(open_, done, "text_id", force).withColumn("route", route(F.col("text")))
+    return out if limit is None else out.orderBy("text_id").limit(limit)
 
 
 def unfenced(raw: Column) -> Column:
@@ -49,9 +50,30 @@ def reply_segments(replies: DataFrame, key: str = "text_id", at: str = "processe
     return good.select(key, F.col("reply.is_multi_indication").alias("is_multi_indication"), F.posexplode("reply.segments").alias("segment_order", "s")).select(key, "is_multi_indication", "segment_order", "s.indication_name_fr", "s.is_cashback", "s.cashback_company", "s.cashback_calc_type", "s.cashback_calc_value", "s.cashback_unit")
 
 
-def concordance(labels: DataFrame, rules: DataFrame, key: str = "text_id") -> DataFrame:
-    """One row: texts that both judged, how many agree, the rate. Both have key and is_cashback, once or more per text."""
+def judged(labels: DataFrame, rules: DataFrame, key: str) -> DataFrame:
+    """(key, a, b): whether labels and rules found a refund in a text that both judged. Both have key and is_cashback, once or more per text."""
     a = labels.groupBy(key).agg(F.max(F.col("is_cashback").cast("int")).alias("a"))
-    b = rules.groupBy(key).agg(F.max(F.col("is_cashback").cast("int")).alias("b"))
+    return a.join(rules.groupBy(key).agg(F.max(F.col("is_cashback").cast("int")).alias("b")), key)
+
+
+def concordance(labels: DataFrame, rules: DataFrame, key: str = "text_id") -> DataFrame:
+    """One row: texts that both judged, how many agree, the rate."""
     agree = F.coalesce(F.sum((F.col("a") == F.col("b")).cast("int")), F.lit(0))
-    return a.join(b, key).agg(F.count("*").alias("n_texts"), agree.alias("n_agree"), F.when(F.count("*") > 0, agree / F.count("*")).otherwise(0.0).alias("rate"))
+    return judged(labels, rules, key).agg(F.count("*").alias("n_texts"), agree.alias("n_agree"), F.when(F.count("*") > 0, agree / F.count("*")).otherwise(0.0).alias("rate"))
+
+
+def disagreements(labels: DataFrame, rules: DataFrame, key: str = "text_id") -> DataFrame:
+    """(key, by_label, by_rule) of the texts that labels and rules judge differently."""
+    return judged(labels, rules, key).filter("a <> b").select(key, F.col("a").alias("by_label"), F.col("b").alias("by_rule"))
+
+
+def label_calculations(segments: DataFrame) -> DataFrame:
+    """Segments with a refund by calculation; null where a reply names none."""
+    return segments.filter("is_cashback").groupBy("cashback_calc_type").agg(F.count("*").alias("n"))
+
+
+def multi_indication_sample(segments: DataFrame, n: int = 10, key: str = "text_id") -> DataFrame:
+    """(key, n_segments, names) of the n texts of several indications with the most segments; ties by key."""
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("segment_order", "indication_name_fr"))), lambda x: x["indication_name_fr"]), " | ")
+    out = segments.filter("is_multi_indication").groupBy(key).agg(F.count("*").alias("n_segments"), listed.alias("names"))
+    return out.orderBy(F.desc("n_segments"), key).limit(n)

@@ -40,11 +40,35 @@ def code_summary(links: DataFrame, code: str = "indication_code", entity: str =
 
 
 def unmatched_names(segments: DataFrame, packs: DataFrame, key: str = "preparation_id") -> DataFrame:
-    """Names of segments without a code by dossier, counted after the join with packs."""
-    left = segments.filter(F.col("matched_code_value").isNull()).join(packs.select(key, "bag_dossier_no").distinct(), key, "left")
+    """Names of segments without a code by dossier; each segment counts once for every pack of its product, or once without any."""
+    left = segments.filter(F.col("matched_code_value").isNull() & F.col("indication_name_de").isNotNull()).join(packs.select(key, "bag_dossier_no"), key, "left")
     return left.groupBy("indication_name_de", "bag_dossier_no").agg(F.count("*").alias("n_segments"))
 
 
+def map_quality(names: DataFrame, links: DataFrame, code: str = "indication_code", source: str = "match_source") -> DataFrame:
+    """One row per source of names and one for all of them (source null): mappings, codes, and the codes' share of all codes."""
+    all_codes = links.agg(F.countDistinct(code).alias("_all"))
+    counted = names.rollup(source).agg(F.count("*").alias("n_mappings"), F.countDistinct(code).alias("n_codes"))
+    # one row, whatever the input
+    return counted.join(F.broadcast(all_codes)).select(source, "n_mappings", "n_codes", F.when(F.col("_all") > 0, F.col("n_codes") / F.col("_all")).otherwise(0.0).alias("share"))
+
+
+def refund_report(rules: DataFrame, n_texts: int | None = None) -> DataFrame:
+    """(kind, name, n): how many refunds were found, by calculation, primary threshold and condition, with several thresholds and with drugs given along."""
+    flags = ["cond_treatment_stop", "cond_adverse_effects", "cond_treatment_failure"]
+    threshold = F.col("rule_threshold_type")
+    entries = [F.struct(F.lit("detected").alias("kind"), F.lit("refund").alias("name")), F.struct(F.lit("calc").alias("kind"), F.col("rule_calc_type").alias("name"))]
+    entries += [F.when(threshold.isNotNull(), F.struct(F.lit(k).alias("kind"), v.alias("name"))) for k, v in (("with_threshold", F.lit("any")), ("threshold", threshold))]
+    entries.append(F.when(F.size("thresholds") > 1, F.struct(F.lit("with_threshold").alias("kind"), F.lit("several").alias("name"))))
+    entries += [F.when(F.col(c), F.struct(F.lit("condition").alias("kind"), F.lit(c.removeprefix("cond_")).alias("name"))) for c in flags]
+    entries.append(F.when(F.size("cotreatments") > 0, F.struct(F.lit("with_cotreatments").alias("kind"), F.lit("any").alias("name"))))
+    out = rules.select(F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")).groupBy("e.kind", "e.name").agg(F.count("*").alias("n"))
+    if n_texts is None:
+        return out
+    seen = rules.agg(F.count("*").alias("_d")).select(F.lit("detected").alias("kind"), F.lit("none").alias("name"), (F.lit(n_texts) - F.col("_d")).alias("n"))
+    return out.unionByName(seen)
+
+
 def codes_without_names(links: DataFrame, names: DataFrame, code: str = "indication_code") -> DataFrame:
     return links.select(code).distinct().join(names.select(code).distinct(), code, "left_anti")
 

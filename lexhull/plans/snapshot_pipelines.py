@@ -1,18 +1,38 @@
 """The pipelines that chain the operators, from snapshots to tables."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexhull.functions import text as tx
 from lexhull.operators import codes as cd
-from lexhull.operators import matching, packs, refunds
+from lexhull.operators import exports, matching, packs, refunds
 from lexhull.operators.history import snapshot_history
 from lexhull.operators.intervals import fan_out
 from lexhull.sources import snapshots as src
 from lexhull.sources.tables import stored
 
 
+#: What tells limitations apart.
+KEYS = ["swissmedic_no5", "limitation_code", "limitation_level", "content_hash"]
+
+
+def code_history(lims: DataFrame, order: list[str], suffix: str = ".xx") -> DataFrame:
+    """One row per limitation and code with the hull of the snapshots in which the limitation had it; source and dossier as first seen.
+
+    What repeats over snapshots is gathered before texts are searched for codes.
+    """
+    texts = ["description_de", "description_fr", "description_it"]
+    same = lims.groupBy(*KEYS, "limitation_type", "dossier", "given_codes", *texts).agg(F.min("extract_id").alias("first_seen"), F.max("extract_id").alias("last_seen"), F.min(F.struct(*order)).alias("_at"))
+    coded = cd.assign_codes(same, "given_codes", texts, "limitation_type", "dossier", suffix)
+    first = F.min_by(F.struct("code_source", "dossier_part", "indication_part", F.col("dossier").alias("bag_dossier_no")), "_at")
+    return coded.groupBy(*KEYS, "code_value").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), first.alias("_f")).select(*KEYS, "code_value", "_f.*", "first_seen", "last_seen")
+
+
+def limitation_id() -> Column:
+    return tx.content_hash(*[F.col(c) for c in KEYS])
+
+
 def ingest(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
     """Snapshot files to tables of entities with their history, keyed by natural keys.
 
@@ -20,29 +40,28 @@ def ingest(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
     """
     extracts, records = src.read_snapshots(spark, path)
     order = ["extract_id", "pos"]
-    names = {c: tx.filled(F.col(c)) for c in ("NameDe", "NameFr", "NameIt", "AtcCode", "OrgGenCode")}
-    prep = records.select("extract_id", "pos", tx.filled(F.col("SwissmedicNo5")).alias("swissmedic_no5"), *[e.alias(c) for c, e in names.items()])
-    pack_rows, lims = src.packs(records), src.limitations(records)
-    keys = ["swissmedic_no5", "limitation_code", "limitation_level", "content_hash"]
-    attrs = ["limitation_type", "limitation_niveau", "description_de", "description_fr", "description_it", "valid_from_date", "valid_thru_date", "dossier", "given_codes"]
-    subs = src.substances(records)
+    prep, pack_rows, lims = src.preparations(records), src.packs(records), src.limitations(records)
+    texts = ["description_de", "description_fr", "description_it"]
+    attrs = ["limitation_type", "limitation_niveau", *texts, "valid_from_date", "valid_thru_date", "dossier", "given_codes"]
+    subs, partners = src.substances(records), src.partners(pack_rows)
     tables = {
         "extract": extracts,
-        "preparation": snapshot_history(prep, ["swissmedic_no5"], "extract_id", order, last=list(names)),
-        "pack": snapshot_history(pack_rows, ["gtin"], "extract_id", [*order, "n"], first=["swissmedic_no5"], last=["swissmedic_no8", "bag_dossier_no", "description_de", "description_fr", "description_it", "status_code"], last_non_null=["public_price", "exfactory_price"]),
+        "preparation": snapshot_history(prep, ["swissmedic_no5"], "extract_id", order, last=list(src.PREPARATION_TEXTS)),
+        "pack": snapshot_history(pack_rows, ["gtin"], "extract_id", [*order, "n"], first=["swissmedic_no5"], last=[*src.PACK_TEXTS, *src.PACK_PRICES]),
+        "sku": snapshot_history(pack_rows, ["gtin"], "extract_id", [*order, "n"], first=["swissmedic_no5", *src.PACK_TEXTS], last_non_null=src.PACK_PRICES),
         "substance": snapshot_history(subs, ["swissmedic_no5", "description_la"], "extract_id", [*order, "n"], first=["quantity", "quantity_unit", "n"]),
-        "partner": snapshot_history(src.partners(pack_rows), ["gtin", "partner_type", "description"], "extract_id", [*order, "n", "m"], first=["place"]),
-        "limitation": snapshot_history(lims, keys, "extract_id", [*order, "limitation_level"], first=attrs),
+        "partner": snapshot_history(partners, ["gtin", "partner_type", "description"], "extract_id", [*order, "n", "m"], first=["street", "zip_code", "place", "phone"]),
+        "limitation": snapshot_history(lims, KEYS, "extract_id", [*order, "limitation_level"], first=attrs),
+        "limitation_text": snapshot_history(lims.filter("limitation_level <> 'ITCODE'"), ["content_hash"], "extract_id", [*order, "limitation_level"], first=["limitation_code", "limitation_type", "limitation_niveau", *texts]),
+        "code": code_history(lims, [*order, "limitation_level"]),
     }
     return {name: stored(df, f"{out}/{name}") for name, df in tables.items()}
 
 
 def indications(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Codes, segments and matches of the limitations of ingest(); each stage is written under out, as several later ones read it."""
-    lims = cd.named_limitations(tables["limitation"]).withColumn("limitation_id", tx.content_hash(*[F.col(c) for c in ("swissmedic_no5", "limitation_code", "limitation_level", "content_hash")]))
-    lims = stored(lims, f"{out}/named_limitation")
-    coded = cd.assign_codes(lims, "given_codes", ["description_de", "description_fr", "description_it"], "limitation_type", "dossier")
-    codes = coded.select("limitation_id", "code_value", "code_source", F.col("dossier").alias("bag_dossier_no"))
+    lims = stored(cd.named_limitations(tables["limitation"]).withColumn("limitation_id", limitation_id()), f"{out}/named_limitation")
+    codes = tables["code"].withColumn("limitation_id", limitation_id()).select("limitation_id", "swissmedic_no5", "code_value", "code_source", "bag_dossier_no", "first_seen", "last_seen")
     codes = stored(codes, f"{out}/first_code")
     names = stored(matching.name_code_map(lims, codes), f"{out}/name_map")
     codes = stored(matching.retro_map(codes, lims, names), f"{out}/mapped_code")
@@ -54,18 +73,33 @@ def indications(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     left = left.select(F.concat_ws("#", "limitation_id", "segment_order").alias("segment"), F.col("limitation_id").alias("group"), F.col("segment_order").alias("position"), F.col("indication_name_de").alias("name"), "dossier")
     known = names.select(F.col("indication_name_de").alias("name"), "code_value", F.col("bag_dossier_no").alias("dossier"))
     matches = matching.cascade(left, known, codes.select(F.col("limitation_id").alias("group"), "code_value"))
-    return {"limitation": lims, "code": codes, "name_map": names, "segment": segments, "match": stored(matches, f"{out}/match")}
+    log = stored(matching.match_log(left, matches), f"{out}/match_log")
+    return {"limitation": lims, "code": codes, "name_map": names, "segment": segments, "match": stored(matches, f"{out}/match"), "match_log": log}
 
 
 def item_links(tables: dict[str, DataFrame]) -> DataFrame:
     """Product-level links carried to items for the time both are valid; ITCODE limitations take no part."""
-    lims = tables["limitation"].filter("limitation_level <> 'ITCODE'")
-    coded = cd.assign_codes(lims, "given_codes", ["description_de", "description_fr", "description_it"], "limitation_type", "dossier", suffix=".XX")
-    links = coded.select("swissmedic_no5", "limitation_level", F.col("code_value").alias("indication_code"), "content_hash", "first_seen", "last_seen")
+    codes = tables["code"].filter("limitation_level <> 'ITCODE'")
+    fallback = F.col("code_source") == "FALLBACK_XX"
+    links = codes.select("swissmedic_no5", "limitation_level", F.when(fallback, F.concat("bag_dossier_no", F.lit(".XX"))).otherwise(F.col("code_value")).alias("indication_code"), "content_hash", "first_seen", "last_seen")
     items = tables["pack"].select("swissmedic_no5", F.col("gtin").alias("item"), "bag_dossier_no", "first_seen", "last_seen")
     return fan_out(links, items, "swissmedic_no5", keep=["content_hash"])
 
 
+def item_codes(tables: dict[str, DataFrame], made: dict[str, DataFrame]) -> DataFrame:
+    """The export of items x indications from the tables of ingest() and indications()."""
+    key = {"swissmedic_no5": "preparation_id"}
+    lims = made["limitation"].select("limitation_id", "limitation_code", "limitation_type", "limitation_level", *[f"indication_name_{x}" for x in ("de", "fr", "it")], F.col("description_de").alias("limitation_text"), F.col("valid_from_date").alias("limitation_valid_from"), F.col("valid_thru_date").alias("limitation_valid_thru"), "first_seen", "last_seen")
+    preps = tables["preparation"].withColumnsRenamed(key).select("preparation_id", F.col("name_de").alias("product_name"), "atc_code")
+    packs_ = tables["pack"].withColumnsRenamed(key).select("preparation_id", "gtin", "swissmedic_no8", "bag_dossier_no", F.col("description_de").alias("pack_desc"), "first_seen", "last_seen")
+    return exports.item_indications(made["code"].withColumnsRenamed(key), lims, preps, packs_, tables["extract"])
+
+
+def limitation_texts(tables: dict[str, DataFrame]) -> DataFrame:
+    """The distinct limitation texts with what is mined from the French one."""
+    return refunds.text_flags(tables["limitation_text"], "description_fr")
+
+
 def refund_rules(texts: DataFrame, id_col: str, text_col: str, unescape: bool = False) -> DataFrame:
     """Rules of each distinct text once, then carried to all ids that hold it."""
     text = tx.decode_entities(F.col(text_col)) if unescape else F.col(text_col)

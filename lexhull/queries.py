@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from lexhull.functions import text as tx
 from lexhull.operators import codes as cd
 from lexhull.operators import exports, history, intervals, matching, packs, refunds, replies, reports
+from lexhull.rules import names as name_rules
+from lexhull.rules import refunds as rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -269,32 +271,78 @@ def pack_distribution(spark, d):
     return reports.distribution(described(spark, d).select(packs.parse_packs(F.col("description_de")).alias("p")).select("p.*"), "parse_confidence", "parse_pattern")
 
 
-#: Refund sentences by document; v is a number from the id.
-SAID = """case doc_id % 9
- when 0 then concat('La société Example Pharma SA rembourse ', v, ' % du prix pour chaque emballage.')
- when 1 then concat('Ce montant est remboursé par Muster Schweiz GmbH. Soit ', v, ' francs par mois.')
- when 2 then concat('L''assureur facture à la firme Roche Example AG le montant de CHF ', v, ' par cycle.')
- when 3 then concat('Le titulaire de l''autorisation rembourse ', v, ' Fr. par flacon à partir du 3e emballage.')
- when 4 then concat('Ils remboursent à l''assurance-maladie les coûts de l''emballage complet après ', v, ' mois.')
- when 5 then concat('On rembourse le montant de Fr. ', v, ' par patient.')
- when 6 then concat('Le reste est payé ; on rembourse complètement au-delà de ', v, ' semaines.')
- else 'Rien à dire.' end"""
-
-
-def refund_texts(spark: SparkSession, d: str, whole: bool) -> DataFrame:
-    docs = table(spark, d, "documents").selectExpr("doc_id", "text", "cast(doc_id % 89 + 2 as string) as v")
-    said = F.expr(SAID)
-    return docs.select("doc_id", (F.concat_ws(" ", F.col("text"), said) if whole else said).alias("text"))
-
-
+#: A number from the id, in words for some.
+NUMBER = "case doc_id % 7 when 0 then 'douze' when 1 then 'vingt-deux' else cast(doc_id % 89 + 2 as {}) end"
+DIGITS = "cast(doc_id % 89 + 2 as {})"
+
+
+def phrases(said: list[str], number: str = DIGITS, text: str = "string") -> str:
+    """SQL for one of the phrases by the id, V in it the number; text is the engine's name for strings."""
+    v = number.format(text)
+    one = lambda p: "concat(" + ", ".join(x for i, q in enumerate(p.replace("'", "''").split("V")) for x in ([v] if i else []) + [f"'{q}'"]) + ")"
+    return f"case doc_id % {len(said)} " + " ".join(f"when {i} then {one(p)}" for i, p in enumerate(said)) + " end"
+
+
+#: Refund sentences, one for each detector.
+SAID = [
+    "La société Example Pharma SA rembourse V % du prix pour chaque emballage.", "Ce montant est remboursé par Muster Schweiz GmbH. Soit V francs par mois.",
+    "L'assureur facture à la firme Roche Example AG le montant de CHF V par cycle.", "Le titulaire de l'autorisation rembourse V Fr. par flacon à partir du 3e emballage.",
+    "Ils remboursent à l'assurance-maladie les coûts de l'emballage complet après V mois.", "On rembourse le montant de Fr. V par patient.",
+    "Le reste est payé ; on rembourse complètement au-delà de V semaines.", "Elle rembourse une partie fixe du prix.", "Rien à dire.",
+]
+#: One or two for each calculation, unit, threshold and sentence, in the order of the rules.
+CALCULATED = [
+    "V %", "V CHF", "V,5 francs", "CHF V", "francs V.25", "Fr. V", "V Fr.", "V centimes par mg", "coûts de la totalité de l'emballage", "coût de l'emballage complet", "prix départ usine", "à partir du Ve paquet",
+    "rembourse V, soit", "taux de V", "coûts correspondants", "part non divulguée", "convenu avec tous", "selon accord", "partie fixe du prix", "rembourse le montant", "CHF 3'V.40", "rien",
+]
+COUNTED = [
+    "pour chaque emballage", "chaque boîte achetée", "par boîte ou", "par emballage resp. boîte", "pour chaque flacon", "par seringue", "chaque stylo", "par auto-injecteur", "pour chaque solution", "par injection", "par mg", "V /mg", "par milligramme",
+    "par cycle combiné", "chaque cycle", "par mois", "mensuellement", "par patient", "par année civile", "pour chaque traitement", "par semaine", "chaque paquet", "rien",
+]
+BOUNDED = [
+    "à partir du Ve emballage", "à partir du Ve cycle", "à partir du Ve mois", "à partir du V semaines", "après V mois", "après V semaines", "après V jours", "après V cycles", "pendant V mois", "durant V semaines",
+    "durée de thérapie de V mois", "durée du traitement V semaines", "durée de traitement de V semaines", "au-delà de V cycles", "supérieur à V jours", "plus de V mois", "au moins V cycles", "au moins V mois", "dès le Ve flacon",
+    "période de V jours", "V jours suivant", "dans les V jours", "ne se poursuit pas au-delà de V semaines", "cure de V cycles", "par année civile", "V flacons par an", "maximum de V emballages", "plafond de V", "> V cycles",
+    "jusqu'à V boîtes", "les premiers V mois", "au cours des V premiers mois", "V semaines suivant le début", "montant forfaitaire unique", "forfait unique", "V cycles de chimiothérapie", "après V administrations",
+    "V boîtes au total", "les V premiers mois gratuits", "dose supérieure à V", "si le patient a besoin de plus de V", "à partir de V mg par jour", "après échec de V lignes de traitement", "en cas de progression", "en cas de récidive",
+    "V flacons par patient et par an", "après V jours de traitement", "la demande de remboursement dans les V jours", "rien",
+]
+STATED = [
+    "Au-delà d'une durée de V mois, elle rembourse tout.", "À partir du Ve mois la firme restitue la part.", "Pour chaque boîte la firme rembourse V francs.", "Sur première demande de l'assureur-maladie, elle rembourse V francs.",
+    "Example Pharma (Schweiz) AG remboursera V francs.", "Eli Lilly rembourse V francs.", "Le titulaire de l'autorisation restitue V francs.", "Dès la première demande écrite le titulaire rembourse V francs.",
+    "Dans cette indication on sait que Muster SA rembourse V francs.", "En cas d'arrêt on restitue V francs.",
+]
+CONDITIONAL = [
+    "arrêt du traitement", "la thérapie est arrêtée", "interruption de la thérapie", "cessation de traitement", "fin du traitement", "effets secondaires", "toxicité", "intolérance", "réactions adverses", "événements indésirables", "échec de la thérapie",
+    "non-réponse", "progression de la maladie", "récidive", "rechute", "toujours",
+]
+GIVEN = [
+    "en association avec Examplinib", "combiné avec l'Examplum", "traitement concomitant par Exampline", "avec le Examplumab", "schéma incluant Examplan", "pour l'association Examplor et autre", "Examplex en association avec rien",
+    "(en association avec Examplu)", "YERVOY puis opdivo", "Keytruda® seul", "avec pour", "rien",
+]
+
+
+def refund_texts(spark: SparkSession, d: str, said: list[str], number: str = DIGITS, between: str = " ") -> DataFrame:
+    """Whole documents, each with a phrase after it."""
+    return table(spark, d, "documents").select("doc_id", F.concat_ws(between, F.col("text"), F.expr(phrases(said, number))).alias("text"))
+
+
+def sql_texts(said: list[str], number: str = DIGITS, between: str = " ") -> str:
+    return f"WITH d AS (SELECT doc_id, coalesce(text || '{between}', '') || {phrases(said, number, 'VARCHAR')} AS t FROM documents)"
+
+
+def quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+# The company of a refund as the detectors of the first rank see it.
 CLASS = r"[A-Za-zÀ-ÿ\-\(\)&]"
 LEGAL = "(?:SA|AG|Sàrl|GmbH|Ltd|Suisse|Switzerland|Schweiz)"
 NAME = rf"[A-Z][A-Za-zÀ-ÿ\-]+(?:\s+{CLASS}+)*\s+{LEGAL}"
-SQL_TEXT = "WITH d AS (SELECT doc_id, coalesce(text || ' ', '') || " + SAID.replace("v, '", "CAST(doc_id % 89 + 2 AS VARCHAR), '") + " AS t FROM documents), "
 PRE = r"(?:la\s+)?(?:société|entreprise|firme)?\s*"
 
 
-@query(SQL_TEXT + rf"""
+@query(sql_texts(SAID) + rf""",
 f AS (SELECT doc_id, t, regexp_extract(t, '(?i){PRE}({NAME}(?:\s+[A-Za-zÀ-ÿ\-\(\)]+)?)\s+rembourse(?:ra)?', 1) AS a,
   regexp_extract(t, '(?i)remboursé(?:s|e|es)?\s+par\s+{PRE}({NAME}(?:\s+[A-Za-zÀ-ÿ\-\(\)]+)?)', 1) AS b,
   regexp_extract(t, '(?i)assureur\s+facture\s+à\s+{PRE}({NAME})(?:\s+le\s|\s+un|\s+la\s|\s+les\s|\s*$|\s*\.)', 1) AS c FROM d),
@@ -306,51 +354,69 @@ p AS (SELECT doc_id, a, b, c, CASE WHEN a <> '' THEN 'company_rembourse' WHEN b
   WHEN regexp_matches(t, '(?i)rembourse.*partie\s*fixe.*prix') THEN 'fixed_part' WHEN regexp_matches(t, '(?i)rembourse(?:ra)?\s+(?:intégralement|complètement)') THEN 'full_refund' END AS pattern FROM f)
 SELECT doc_id, pattern IS NOT NULL AS is_cashback, nullif(CASE WHEN a <> '' THEN a WHEN b <> '' THEN b ELSE c END, '') AS company, pattern FROM p""")
 def cashback_detect(spark, d):
-    return refund_texts(spark, d, True).select("doc_id", refunds.detect(F.col("text")).alias("f")).select("doc_id", "f.is_cashback", "f.company", "f.pattern")
+    return refund_texts(spark, d, SAID).select("doc_id", refunds.detect(F.col("text")).alias("f")).select("doc_id", "f.is_cashback", "f.company", "f.pattern")
 
 
-BY_KEY = "WITH d AS (SELECT doc_id, doc_id % 9 AS k, CAST(doc_id % 89 + 2 AS DOUBLE) AS v, CAST(doc_id % 89 + 2 AS VARCHAR) AS w FROM documents) "
+@query(f"SELECT doc_id, {phrases(STATED, text='VARCHAR')} AS sentence FROM documents")
+def cashback_sentence(spark, d):
+    # a full stop before the phrase, so that the twin knows where its sentence begins
+    return refund_texts(spark, d, STATED, between=" --. ").select("doc_id", refunds.sentence(F.col("text")).alias("sentence"))
 
 
-@query(BY_KEY + """
-SELECT doc_id, CASE k WHEN 0 THEN 'La société Example Pharma SA rembourse ' || w || ' % du prix pour chaque emballage.'
-  WHEN 3 THEN 'Le titulaire de l''autorisation rembourse ' || w || ' Fr.' END AS sentence FROM d WHERE k IN (0, 3, 7)""")
-def cashback_sentence(spark, d):
-    texts = refund_texts(spark, d, False).filter("doc_id % 9 in (0, 3, 7)").select("doc_id", F.concat(F.lit("Avant tout le 1.2.2020. "), F.col("text"), F.lit(" Puis la suite.")).alias("text"))
-    return texts.select("doc_id", refunds.sentence(F.col("text")).alias("sentence"))
+def sql_calculation() -> str:
+    case, value = "", ""
+    for kind, pattern, has_value in rules.CALCULATIONS:
+        p = quoted("(?i)" + pattern.replace("N", r"(\d+(?:[.,]\d+)?)"))
+        case += f" WHEN regexp_matches(u, {p}) THEN '{kind}'"
+        value += f" WHEN regexp_matches(u, {p}) THEN " + (f"TRY_CAST(replace(regexp_extract(u, {p}, 1), ',', '.') AS DOUBLE)" if has_value else "NULL")
+    plain = "regexp_replace(regexp_replace(t, '(\\d)[''’](\\d)', '\\1\\2', 'g'), '(\\d)[''’](\\d)', '\\1\\2', 'g')"
+    return sql_texts(CALCULATED) + f", e AS (SELECT doc_id, {plain} AS u FROM d) SELECT doc_id, CASE{case} ELSE 'unknown' END AS type, CASE{value} END AS value FROM e"
 
 
-@query(BY_KEY + """
-SELECT doc_id, CASE k WHEN 0 THEN 'percentage' WHEN 1 THEN 'chf_fixed' WHEN 2 THEN 'chf_fixed' WHEN 3 THEN 'chf_fixed' WHEN 4 THEN 'full_refund' WHEN 5 THEN 'chf_fixed' ELSE 'unknown' END AS type,
-  CASE WHEN k IN (0, 1, 2, 3, 5) THEN v END AS value FROM d""")
+@query(sql_calculation())
 def cashback_calc(spark, d):
-    return refund_texts(spark, d, False).select("doc_id", refunds.calculation(F.col("text")).alias("c")).select("doc_id", "c.type", "c.value")
+    return refund_texts(spark, d, CALCULATED).select("doc_id", refunds.calculation(F.col("text")).alias("c")).select("doc_id", "c.type", "c.value")
 
 
-@query(BY_KEY + "SELECT doc_id, CASE k WHEN 0 THEN 'per_box' WHEN 1 THEN 'per_month' WHEN 2 THEN 'per_cycle' WHEN 3 THEN 'per_flacon' WHEN 5 THEN 'per_patient' ELSE 'unknown' END AS unit FROM d")
+@query(sql_texts(COUNTED) + "SELECT doc_id, CASE" + "".join(f" WHEN regexp_matches(lower(t), {quoted(p)}) THEN '{u}'" for u, p in rules.UNITS) + " ELSE 'unknown' END AS unit FROM d")
 def cashback_unit(spark, d):
-    return refund_texts(spark, d, False).select("doc_id", refunds.refund_unit(F.col("text")).alias("unit"))
-
-
-@query(BY_KEY + """
-SELECT doc_id, CASE k WHEN 3 THEN 'from_box' WHEN 4 THEN 'after_months' WHEN 6 THEN 'beyond' END AS type,
-  CAST(CASE k WHEN 3 THEN 3 WHEN 4 THEN v WHEN 6 THEN v END AS INTEGER) AS value, CASE k WHEN 3 THEN 'boxes' WHEN 4 THEN 'months' WHEN 6 THEN 'weeks' END AS unit FROM d""")
+    return refund_texts(spark, d, COUNTED).select("doc_id", refunds.refund_unit(F.col("text")).alias("unit"))
+
+
+def sql_thresholds() -> str:
+    """All patterns, on whole texts; entries near a deadline go, the first with a value is the primary one, else the first."""
+    n = r"(\d+|" + "|".join(sorted(rules.NUMBER_WORDS, key=len, reverse=True)) + ")"
+    made = []
+    for kind, pattern, has_value in rules.THRESHOLDS:
+        p = quoted(pattern.replace("NTH", "\0").replace("N", n).replace("\0", n + "(?:e|[èé]me|ème|eme)?"))
+        made.append(f"{{'type': '{kind}', 'hit': regexp_extract(low, {p}, 0), 'raw': " + (f"regexp_extract(low, {p}, 1)" if has_value else "''") + "}")
+    words = "MAP {" + ", ".join(f"'{w}': {v}" for w, v in rules.NUMBER_WORDS.items()) + "}"
+    unit = "CASE" + "".join(f" WHEN regexp_matches(x.hit, '{'|'.join(marks)}') THEN '{u}'" for u, marks in rules.THRESHOLD_UNITS) + " END"
+    around = "substring(low, greatest(strpos(low, x.hit) - 150, 1), length(x.hit) + 150 + least(strpos(low, x.hit) - 1, 150))"
+    return sql_texts(BOUNDED, NUMBER) + f""", e AS (SELECT doc_id, lower(t) AS low FROM d), m AS (SELECT {words} AS w),
+h AS (SELECT doc_id, low, list_filter([{', '.join(made)}], lambda x: x.hit <> '') AS hits FROM e),
+k AS (SELECT doc_id, list_transform(list_filter(hits, lambda x: NOT regexp_matches({around}, {quoted('|'.join(rules.DEADLINES))})),
+  lambda x: {{'type': x.type, 'value': coalesce(w[x.raw], TRY_CAST(CASE WHEN regexp_full_match(x.raw, '[0-9]+') THEN x.raw END AS INTEGER)), 'unit': {unit}}}) AS t FROM h, m),
+f AS (SELECT doc_id, t, coalesce(list_filter(t, lambda x: x.value IS NOT NULL)[1], t[1]) AS p FROM k)
+SELECT doc_id, p.type AS type, CAST(p.value AS INTEGER) AS value, p.unit AS unit, array_to_string(list_transform(t, lambda x: x.type), ',') AS all_types FROM f"""
+
+
+@query(sql_thresholds())
 def cashback_threshold(spark, d):
-    return refund_texts(spark, d, False).select("doc_id", refunds.primary_threshold(refunds.thresholds(F.col("text"))).alias("t")).select("doc_id", "t.type", "t.value", "t.unit")
+    found = refund_texts(spark, d, BOUNDED, NUMBER).select("doc_id", refunds.thresholds(F.col("text")).alias("all")).withColumn("t", refunds.primary_threshold(F.col("all")))
+    return found.select("doc_id", "t.type", "t.value", "t.unit", F.array_join(F.transform("all", lambda x: x["type"]), ",").alias("all_types"))
 
 
-@query("""
-SELECT doc_id, doc_id % 4 = 0 AS treatment_stop, doc_id % 4 = 1 AS adverse_effects, doc_id % 4 = 2 AS treatment_failure FROM documents""")
+@query(sql_texts(CONDITIONAL) + "SELECT doc_id, " + ", ".join(f"regexp_matches(lower(t), {quoted('|'.join(ps))}) AS {name}" for name, ps in rules.CONDITIONS.items()) + " FROM d")
 def cashback_conditions(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.expr("case doc_id % 4 when 0 then 'En cas d''arrêt du traitement' when 1 then 'des effets indésirables' when 2 then 'un échec de la thérapie' else 'toujours' end").alias("t"))
-    return t.select("doc_id", *[c.alias(n) for n, c in refunds.conditions(F.col("t")).items()])
+    return refund_texts(spark, d, CONDITIONAL).select("doc_id", *[c.alias(n) for n, c in refunds.conditions(F.col("text")).items()])
 
 
-@query("""
-SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'EXAMPLINIB,KEYTRUDA' WHEN 1 THEN 'OPDIVO,YERVOY' ELSE '' END AS drugs FROM documents""")
+@query(sql_texts(GIVEN) + ", g AS (SELECT doc_id, t, list_filter(list_transform(flatten([" + ", ".join(f"regexp_extract_all(t, {quoted('(?i)' + p)}, 1)" for p in rules.GIVEN_ALONG) + f"""]), lambda x: upper(trim(x))), lambda x: length(x) >= 4 AND x NOT IN ({', '.join(map(quoted, rules.NO_DRUGS))})) AS named,
+  regexp_extract_all(upper(t), '\\b({'|'.join(rules.DRUGS)})®?\\b', 1) AS known FROM d)
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(named, known))), ',') AS drugs FROM g""")
 def cashback_cotreatments(spark, d):
-    t = table(spark, d, "documents").select("doc_id", F.expr("case doc_id % 3 when 0 then 'en association avec Examplinib, puis Keytruda®.' when 1 then 'YERVOY puis opdivo' else 'seul' end").alias("t"))
-    return t.select("doc_id", F.array_join(refunds.cotreatments(F.col("t")), ",").alias("drugs"))
+    return refund_texts(spark, d, GIVEN).select("doc_id", F.array_join(F.array_sort(refunds.cotreatments(F.col("text"))), ",").alias("drugs"))
 
 
 @query("""
@@ -364,7 +430,7 @@ def cashback_segments_union(spark, d):
 
 @query()
 def cashback_rules(spark, d):
-    out = refunds.mine(refund_texts(spark, d, True), "doc_id", "text")
+    out = refunds.mine(refund_texts(spark, d, SAID), "doc_id", "text")
     return out.withColumn("thresholds", F.to_json("thresholds")).withColumn("cotreatments", F.to_json("cotreatments"))
 
 
@@ -404,23 +470,75 @@ def segment_map(spark, d):
     return matching.segment_map(segs, codes, matching.name_code_map(lims, codes))[0].select("limitation_id", "matched_code_value", "matched_code_source")
 
 
+#: Names that lead each layer of the cascade, by part: what a segment is called, what the map knows, how the groups are made up.
+SEGMENT_NAME = (
+    "case p_partkey % 12 when 0 then concat(p_name, ' 12345.67.') when 1 then concat(upper(p_name), ' :') when 2 then concat(' ', p_name, '  x') when 3 then concat('Kombination REVLIMID, ', p_name) "
+    "when 4 then concat('IMNOVID ', p_name) when 8 then concat('cross ', p_name) when 9 then concat('piped ', p_name) when 10 then concat('Kombination VIDAZA und ', p_name) else concat('other ', p_partkey) end"
+)
+KNOWN_NAME = (
+    "case p_partkey % 12 when 1 then p_name when 2 then concat(p_name, ' x|', p_type) when 3 then concat('LENALIDOMID in Kombination mit ', p_name) when 4 then concat('POMALIDOMID SANDOZ ', p_name) "
+    "when 8 then concat('Cross ', p_name) when 9 then concat('Piped ', p_name, ' | more') when 10 then concat('AZACITIDIN in Kombination mit und ', p_name, '|rest') end"
+)
+
+
 def part_names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    p = table(spark, d, "part").selectExpr("p_partkey", "p_name", "concat('D', p_partkey % 40) as dossier", "cast(p_partkey % 90 as string) as part")
-    segs = p.selectExpr("p_partkey as segment", "p_partkey div 2 as `group`", "p_partkey % 2 as position", "case p_partkey % 4 when 0 then concat(p_name, ' 12345.67.') when 1 then concat(upper(p_name), ' :') when 2 then p_name else concat('other ', p_partkey) end as name", "dossier")
-    known = p.filter("p_partkey % 4 <> 2").selectExpr("p_name as name", "concat(dossier, '.', part) as code_value", "dossier")
-    codes = p.filter("p_partkey % 8 >= 4").selectExpr("p_partkey div 2 as `group`", "concat(dossier, '.', part) as code_value")
+    # parts of the second half of a dozen know their name under another dossier
+    p = table(spark, d, "part").selectExpr("*", "concat('D', p_partkey % 40) as dossier", "concat('D', (p_partkey + case when p_partkey % 12 >= 7 then 1 else 0 end) % 40) as other", "cast(p_partkey % 90 + 10 as string) as part")
+    segs = p.selectExpr("p_partkey as segment", "p_partkey div 2 as `group`", "p_partkey % 2 as position", f"{SEGMENT_NAME} as name", "dossier").filter("segment % 24 <> 5")
+    known = p.selectExpr(f"{KNOWN_NAME} as name", "concat(other, '.', part) as code_value", "other as dossier").filter("name is not null")
+    codes = p.selectExpr("p_partkey div 2 as `group`", "concat(dossier, '.', part) as code_value").filter("`group` % 7 < 5")
     return segs, known, codes
 
 
+def sql_cascade() -> str:
+    """The cascade without its fuzzy layer as unions of joins: names by key, same dossier first, else a part that is the only one."""
+    brands = "{}"
+    for brand, canonical in sorted(name_rules.BRANDS.items(), key=lambda x: -len(x[0])):
+        brands = f"replace({brands}, '{brand}', '{canonical}')"
+    plain = "regexp_replace(trim(regexp_replace(trim(name), ':+$', '')), '\\s+', ' ', 'g')"
+    combined = f"regexp_replace({plain}, '^Kombination\\s+(\\S*[^\\s,]),*(?:\\s+|$)(.*)', '\\1 in Kombination mit \\2')"
+    forms = f"lower({plain}) AS norm, lower({brands.replace('{}', plain)}) AS brand, lower({brands.replace('{}', combined)}) AS comb"
+    layers = [("norm", "n", 10, "NORMALIZED_MATCH", 1.0, "NORMALIZED_CROSS", 0.95, ""), ("norm", "p", 20, "PIPE_PART_MATCH", 0.95, "PIPE_PART_CROSS", 0.9, ""), ("comb", "p", 30, "PIPE_PART_MATCH", 0.95, "PIPE_PART_CROSS", 0.9, ""),
+              ("comb", "b", 40, "KOMBI_NORMALIZED", 0.9, "KOMBI_CROSS", 0.85, " AND s.comb <> s.norm"), ("brand", "b", 50, "BRAND_NORMALIZED", 0.9, "BRAND_CROSS", 0.85, "")]
+    found = "SELECT segment, regexp_extract(name, '(\\d{5}\\.\\d{2})\\.?\\b', 1) AS code_value, 'EMBEDDED_IN_NAME' AS match_type, 1.0 AS score, 0 AS rank FROM s WHERE regexp_matches(name, '(\\d{5}\\.\\d{2})\\.?\\b')"
+    for key, index, rank, same, s1, cross, s2, more in layers:
+        found += f" UNION ALL SELECT segment, min(code), '{same}', {s1}, {rank} FROM s JOIN ix ON kind = '{index}' AND k = {key} AND d = dossier WHERE k <> ''{more} GROUP BY segment"
+        found += f" UNION ALL SELECT segment, min(dossier || '.' || part), '{cross}', {s2}, {rank + 1} FROM s JOIN (SELECT kind, k, min(split_part(code, '.', 2)) AS part FROM ix GROUP BY 1, 2 HAVING count(DISTINCT split_part(code, '.', 2)) = 1) ON kind = '{index}' AND k = {key} WHERE k <> ''{more} GROUP BY segment"
+    segment, known = (x.replace("p_partkey as string", "p_partkey AS VARCHAR") for x in (SEGMENT_NAME, KNOWN_NAME))
+    return f"""
+WITH s0 AS (SELECT p_partkey AS segment, p_partkey // 2 AS grp, p_partkey % 2 AS position, {segment} AS name, 'D' || CAST(p_partkey % 40 AS VARCHAR) AS dossier FROM part WHERE p_partkey % 24 <> 5),
+s AS (SELECT *, {forms} FROM s0),
+m0 AS (SELECT {known} AS name, 'D' || CAST((p_partkey + CASE WHEN p_partkey % 12 >= 7 THEN 1 ELSE 0 END) % 40 AS VARCHAR) AS d, CAST(p_partkey % 90 + 10 AS VARCHAR) AS part FROM part),
+m AS (SELECT *, d || '.' || part AS code, {forms} FROM m0 WHERE name IS NOT NULL AND NOT contains(name, '|')),
+q AS (SELECT *, d || '.' || part AS code, {forms} FROM (SELECT unnest(string_split(name, '|')) AS name, d, part FROM m0 WHERE contains(name, '|'))),
+ix AS (SELECT 'n' AS kind, norm AS k, code, d FROM m UNION SELECT 'b', brand, code, d FROM m UNION SELECT 'b', comb, code, d FROM m WHERE comb <> brand UNION SELECT 'p', norm, code, d FROM q UNION SELECT 'p', brand, code, d FROM q WHERE brand <> norm),
+c AS (SELECT DISTINCT p_partkey // 2 AS grp, 'D' || CAST(p_partkey % 40 AS VARCHAR) || '.' || CAST(p_partkey % 90 + 10 AS VARCHAR) AS code FROM part WHERE p_partkey // 2 % 7 < 5),
+found AS ({found}),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY rank, code_value) AS r FROM found) WHERE r = 1),
+rest AS (SELECT s.*, count(*) OVER (PARTITION BY grp) AS n FROM s WHERE segment NOT IN (SELECT segment FROM best)),
+sized AS (SELECT grp, count(*) AS n FROM s GROUP BY 1),
+coded AS (SELECT grp, code, count(*) OVER (PARTITION BY grp) AS m, row_number() OVER (PARTITION BY grp ORDER BY code) AS i FROM c)
+SELECT segment, code_value, match_type, CAST(score AS DOUBLE) AS score FROM best
+UNION ALL SELECT segment, code, 'SINGLE_SEGMENT_CODE', 1.0 FROM rest JOIN sized USING (grp) JOIN coded USING (grp) WHERE sized.n = 1 AND m = 1
+UNION ALL SELECT segment, code, 'ORDINAL_POSITION', 0.8 FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY position) AS i FROM rest) r JOIN sized USING (grp) JOIN coded ON coded.grp = r.grp AND coded.i = r.i WHERE sized.n = r.n AND r.n >= 2 AND m = r.n"""
+
+
+@query(sql_cascade())
+def match_layers(spark, d):
+    """All layers that SQL can express."""
+    return matching.cascade(*part_names(spark, d), fuzzy=False).select("segment", "code_value", "match_type", "score")
+
+
 @query()
 def match_cascade(spark, d):
-    return matching.cascade(*part_names(spark, d))
+    segs, known, codes = part_names(spark, d)
+    return matching.match_log(segs, matching.cascade(segs, known, codes))
 
 
 @query()
 def fuzzy_best_gap(spark, d):
     p = table(spark, d, "part").selectExpr("p_partkey", "p_brand as dossier", "lower(p_name) as a")
-    left, right = p.withColumnRenamed("p_partkey", "segment"), p.selectExpr("dossier", "a as b")
+    left, right = p.withColumnRenamed("p_partkey", "segment"), p.selectExpr("dossier", "a as b").distinct()
     return matching.fuzzy_best(left, right, ["dossier"], "segment", "a", "b", others=True).select("segment", "dossier", "b", "score", "second")
 
 
@@ -435,16 +553,59 @@ def ordinal_pairing(spark, d):
     return matching.ordinal_pairs(names, codes, "l_orderkey", "l_linenumber", "code").select("l_orderkey", "l_linenumber", "code")
 
 
-@query()
+def sku_tables(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
+    """Links, segments, texts, reference names and replies in which every layer of the code map has its cases."""
+    lines = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey"))
+    links = lines.selectExpr(
+        "l_orderkey as text_id", "case when l_orderkey % 9 = 8 then concat('D', l_orderkey % 30, '.XX') else concat('D', l_orderkey % 30, '.', l_partkey % 900 + 10) end as indication_code",
+        "case when l_orderkey % 9 = 8 then 'FALLBACK_XX' when l_orderkey % 4 = 1 or (l_orderkey % 4 = 2 and l_linenumber = 1) then 'STRUCTURED_XML' else 'TEXT_PARSED' end as code_source",
+    ).filter("text_id % 5 <> 1 or code_source = 'FALLBACK_XX' or indication_code like '%7'")
+    segs = lines.filter("l_orderkey % 3 <> 0 and (l_orderkey % 2 = 0 or l_linenumber = 1)").selectExpr("l_orderkey as text_id", "l_linenumber as segment_order", "case when l_partkey % 11 = 0 then concat(p_name, ' :') else p_name end as indication_name_de")
+    segs = segs.groupBy("text_id", "segment_order").agg(F.min("indication_name_de").alias("indication_name_de"))
+    texts = table(spark, d, "orders").selectExpr("o_orderkey as text_id", "case o_orderkey % 4 when 0 then concat('<b>', o_orderpriority, '</b> x') when 1 then '<b>UND</b> Nur so. Mehr' else concat('Nur ', o_orderpriority, '. Mehr') end as text")
+    reference = table(spark, d, "nation").selectExpr("concat('D', n_nationkey % 30, '.', n_regionkey + 10) as indication_code", "n_name as indication_name_de", "concat('D', n_nationkey % 30) as bag_dossier_no")
+    replied = table(spark, d, "orders").filter("o_orderkey % 2 = 0").selectExpr("o_orderkey as text_id", "concat('reply ', o_orderpriority) as indication_name_fr")
+    return links, segs, texts, reference, replied
+
+
+@query("""
+WITH l AS (SELECT l_orderkey AS t, l_linenumber AS n, l_partkey AS p, p_name FROM lineitem JOIN part ON l_partkey = p_partkey),
+k0 AS (SELECT t, n, CASE WHEN t % 9 = 8 THEN 'D' || CAST(t % 30 AS VARCHAR) || '.XX' ELSE 'D' || CAST(t % 30 AS VARCHAR) || '.' || CAST(p % 900 + 10 AS VARCHAR) END AS code,
+  CASE WHEN t % 9 = 8 THEN 'F' WHEN t % 4 = 1 OR (t % 4 = 2 AND n = 1) THEN 'S' ELSE 'T' END AS src FROM l),
+k AS (SELECT DISTINCT t, code, src FROM k0 WHERE t % 5 <> 1 OR src = 'F' OR code LIKE '%7'),
+r AS (SELECT * FROM k WHERE src <> 'F'),
+s AS (SELECT t, n, min(CASE WHEN p % 11 = 0 THEN p_name || ' :' ELSE p_name END) AS name FROM l WHERE t % 3 <> 0 AND (t % 2 = 0 OR n = 1) GROUP BY t, n),
+one AS (SELECT t, min(name) AS name FROM s GROUP BY t HAVING count(*) = 1),
+g0 AS (SELECT 'D' || CAST(n_nationkey % 30 AS VARCHAR) || '.' || CAST(n_regionkey + 10 AS VARCHAR) AS code, n_name AS name, 0 AS rank FROM nation),
+g1 AS (SELECT code, arg_min(name, t) AS name, 1 AS rank FROM r JOIN one USING (t) WHERE src = 'S' AND t IN (SELECT t FROM k WHERE src = 'S' GROUP BY t HAVING count(DISTINCT code) = 1) GROUP BY code),
+g2 AS (SELECT code, arg_min(name, t) AS name, 2 AS rank FROM r JOIN one USING (t) WHERE src = 'T' AND t IN (SELECT t FROM r GROUP BY t HAVING count(DISTINCT code) = 1) GROUP BY code),
+g3 AS (SELECT code, arg_min(name, t) AS name, 3 AS rank FROM r JOIN one USING (t) GROUP BY code),
+c4 AS (SELECT t, code, row_number() OVER (PARTITION BY t ORDER BY split_part(code, '.', 2), code) AS i, count(*) OVER (PARTITION BY t) AS m FROM (SELECT DISTINCT t, code FROM r)),
+s4 AS (SELECT t, name, row_number() OVER (PARTITION BY t ORDER BY n) AS i, count(*) OVER (PARTITION BY t) AS m FROM s),
+g4 AS (SELECT code, name, 4 AS rank FROM c4 JOIN s4 USING (t, i, m) WHERE m >= 2),
+a AS (SELECT code, name, min(rank) AS rank FROM (FROM g0 UNION ALL FROM g1 UNION ALL FROM g2 UNION ALL FROM g3 UNION ALL FROM g4) GROUP BY ALL),
+f AS (SELECT lower(trim(regexp_replace(name, ' *:+$', ''))) AS form, split_part(code, '.', 1) AS d, code FROM a),
+w AS (SELECT s.name, lower(trim(regexp_replace(s.name, ' *:+$', ''))) AS form, split_part(c.code, '.', 1) AS d FROM s JOIN (SELECT t, min(code) AS code FROM k GROUP BY t) c USING (t) WHERE s.name NOT IN (SELECT name FROM a)),
+o AS (SELECT w.name, w.d, y.code AS own, x.code AS other FROM w JOIN (SELECT form, min(code) AS code FROM f GROUP BY 1) x USING (form) LEFT JOIN (SELECT form, d, min(code) AS code FROM f GROUP BY 1, 2) y USING (form, d)),
+g5 AS (SELECT own AS code, name, 5 AS rank FROM o WHERE own IS NOT NULL UNION SELECT d || '.' || split_part(other, '.', 2), name, 6 FROM o WHERE own IS NULL),
+b AS (SELECT code, name, min(rank) AS rank FROM (FROM a UNION ALL FROM g5) GROUP BY ALL),
+g7 AS (SELECT k.code, arg_min('reply ' || o_orderpriority, t) AS fr FROM k JOIN orders ON o_orderkey = t WHERE src = 'F' AND t % 2 = 0 GROUP BY k.code),
+z AS (SELECT DISTINCT r.code, CASE t % 4 WHEN 0 THEN o_orderpriority WHEN 1 THEN 'UND Nur so.' ELSE 'Nur ' || o_orderpriority || '.' END AS name, CASE WHEN t % 4 = 0 THEN 8 ELSE 9 END AS rank
+  FROM r JOIN orders ON o_orderkey = t WHERE r.code NOT IN (SELECT code FROM b UNION SELECT code FROM g7))
+SELECT code AS indication_code, name AS indication_name_de, CAST(NULL AS VARCHAR) AS indication_name_fr, split_part(code, '.', 1) AS bag_dossier_no,
+  ['REF_MAP', 'DIRECT_STRUCT', 'DIRECT_TEXT', 'SHARED_TEXT', 'ORDINAL_POSITION', 'NORM_SAME', 'NORM_CROSS', '', 'BOLD_EXTRACT', 'DESC_TRUNCATED'][rank + 1] AS match_source,
+  CAST([1, 1, 0.95, 0.9, 0.8, 0.95, 0.9, 0, 0.7, 0.5][rank + 1] AS DOUBLE) AS match_confidence FROM (FROM b UNION ALL SELECT code, name, min(rank) FROM z GROUP BY ALL)
+UNION ALL SELECT code, NULL, fr, split_part(code, '.', 1), 'LLM_SEGMENT', 0.85 FROM g7""")
 def sku_map_layers(spark, d):
-    lines = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_name", "p_type"), F.expr("l_partkey = p_partkey"))
-    links = lines.selectExpr("l_orderkey as text_id", "concat('D', l_orderkey % 30, '.', l_partkey % 90) as indication_code", "case when l_suppkey % 2 = 0 then 'STRUCTURED_XML' else 'TEXT_PARSED' end as code_source", "l_suppkey % 11 = 0 as is_fallback", "concat('D', l_orderkey % 30) as bag_dossier_no")
-    segs = lines.filter("l_orderkey % 3 <> 0").selectExpr("l_orderkey as text_id", "l_linenumber as segment_order", "p_name as indication_name_de")
-    texts = table(spark, d, "orders").selectExpr("o_orderkey as text_id", "case when o_orderkey % 2 = 0 then concat('<b>', o_orderpriority, '</b> x') else concat('Nur ', o_orderpriority, '. Mehr') end as text")
-    reference = table(spark, d, "nation").selectExpr("concat('D', n_nationkey % 30, '.', n_regionkey) as indication_code", "n_name as indication_name_de", "concat('D', n_nationkey % 30) as bag_dossier_no")
-    # replies are there for the texts of half the dossiers, so that the layers after them have codes left
-    replied = table(spark, d, "orders").filter("o_orderkey % 30 < 15").selectExpr("o_orderkey as text_id", "concat('reply ', o_orderpriority) as indication_name_de")
-    return matching.code_names(links, segs, texts, reference, replied)
+    return matching.code_names(*sku_tables(spark, d))
+
+
+@query("""
+WITH x AS (SELECT o_orderpriority AS source, o_custkey AS code FROM orders WHERE o_orderstatus = 'F'), a AS (SELECT count(DISTINCT o_custkey) AS n FROM orders)
+SELECT source AS match_source, count(*) AS n_mappings, count(DISTINCT code) AS n_codes, count(DISTINCT code) / (SELECT n FROM a) AS share FROM x GROUP BY GROUPING SETS ((source), ())""")
+def map_quality(spark, d):
+    orders = table(spark, d, "orders").withColumnsRenamed({"o_custkey": "indication_code", "o_orderpriority": "match_source"})
+    return reports.map_quality(orders.filter("o_orderstatus = 'F'"), orders)
 
 
 REPLIED = """case conv_id % 5
@@ -490,11 +651,13 @@ def coverage_counts(spark, d):
 
 
 @query("""
-SELECT p_name AS indication_name_de, 'D' || CAST(o_custkey % 40 AS VARCHAR) AS bag_dossier_no, count(*) AS n_segments FROM lineitem JOIN part ON l_partkey = p_partkey
-LEFT JOIN (SELECT DISTINCT o_orderkey, o_custkey FROM orders) ON o_orderkey = l_orderkey WHERE l_linenumber % 2 = 0 GROUP BY ALL""")
+WITH s AS (SELECT l_suppkey AS preparation_id, CASE WHEN p_size = 7 THEN NULL ELSE p_type END AS name FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber % 2 = 0),
+pk AS (SELECT o_custkey AS preparation_id, 'D' || CAST(o_orderkey % 4 AS VARCHAR) AS bag_dossier_no FROM orders)
+SELECT s.name AS indication_name_de, pk.bag_dossier_no, count(*) AS n_segments FROM s LEFT JOIN pk ON pk.preparation_id = s.preparation_id WHERE s.name IS NOT NULL GROUP BY s.name, pk.bag_dossier_no""")
 def unmatched_names(spark, d):
-    segs = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey")).selectExpr("l_orderkey as preparation_id", "p_name as indication_name_de", "case when l_linenumber % 2 <> 0 then 'x' end as matched_code_value")
-    return reports.unmatched_names(segs, table(spark, d, "orders").selectExpr("o_orderkey as preparation_id", "concat('D', o_custkey % 40) as bag_dossier_no"))
+    segs = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_type", "p_size"), F.expr("l_partkey = p_partkey"))
+    segs = segs.selectExpr("l_suppkey as preparation_id", "case when p_size <> 7 then p_type end as indication_name_de", "case when l_linenumber % 2 <> 0 then 'x' end as matched_code_value")
+    return reports.unmatched_names(segs, table(spark, d, "orders").selectExpr("o_custkey as preparation_id", "concat('D', o_orderkey % 4) as bag_dossier_no"))
 
 
 @query("SELECT o_orderpriority, n FROM (SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1) ORDER BY n DESC, o_orderpriority LIMIT 3")
@@ -537,3 +700,138 @@ def decode_entities(spark, d):
     for mark, entity in (("\x01", "&eacute;"), ("\x02", "&#60;"), ("\x03", "&amp;")):
         coded = F.replace(coded, F.lit(mark), F.lit(entity))
     return table(spark, d, "documents").select("doc_id", tx.decode_entities(coded).alias("plain"))
+
+
+#: Months since 1970 as snapshot numbers.
+MONTH = "cast((year({0}) - 1970) * 12 + month({0}) as int)"
+
+
+def listed_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Products, limitations, codes, segments, packs, rules and snapshots made of customers, orders and lines."""
+    orders, lines, customers = table(spark, d, "orders"), table(spark, d, "lineitem"), table(spark, d, "customer")
+    month = MONTH.format("o_orderdate")
+    lims = orders.selectExpr("o_orderkey as limitation_id", "o_custkey as preparation_id", "o_orderpriority as limitation_code", "concat('<b>', o_orderstatus, '</b> a&nbsp;b') as description_fr", f"{month} as first_seen", f"{month} + cast(o_orderkey % 24 as int) as last_seen")
+    own = lines.join(orders.select("o_orderkey", "o_custkey"), F.expr("l_orderkey = o_orderkey"))
+    shipped = MONTH.format("l_shipdate")
+    codes = own.selectExpr("l_orderkey as limitation_id", "o_custkey as preparation_id", "concat('D', l_suppkey % 3) as bag_dossier_no", "concat('D', l_suppkey % 3, '.', l_linenumber) as code_value", f"{shipped} as first_seen", f"{shipped} + 3 as last_seen").distinct()
+    segments = own.filter("l_orderkey % 3 <> 0").groupBy("l_orderkey", "l_linenumber", "o_custkey").agg(F.min("l_partkey").alias("p")).selectExpr("l_orderkey * 10 + l_linenumber as segment_id", "l_orderkey as limitation_id", "o_custkey as preparation_id", "l_linenumber as segment_order", "concat('n', p % 50) as indication_name_fr", "concat('a<br>', p) as segment_text_fr")
+    packs_ = orders.filter("o_custkey % 5 <> 0").selectExpr("o_custkey as preparation_id", "o_orderkey as gtin", "concat('D', o_orderkey % 3) as bag_dossier_no", f"{month} as first_seen", f"{month} + 6 as last_seen")
+    return {"preparations": customers.selectExpr("c_custkey as preparation_id", "c_name as name_de"), "limitations": lims, "codes": codes, "segments": segments, "packs": packs_, "extracts": spark.range(240, 480).selectExpr("cast(id as int) as extract_id", "concat('on ', id) as release_date")}
+
+
+SQL_MONTH = "CAST((year({0}) - 1970) * 12 + month({0}) AS INTEGER)"
+SQL_LISTED = f"""
+WITH lim AS (SELECT o_orderkey AS limitation_id, o_custkey AS preparation_id, o_orderpriority AS limitation_code, o_orderstatus || ' a b' AS description_fr, {SQL_MONTH.format('o_orderdate')} AS first_seen, {SQL_MONTH.format('o_orderdate')} + CAST(o_orderkey % 24 AS INTEGER) AS last_seen FROM orders),
+code AS (SELECT DISTINCT l_orderkey AS limitation_id, o_custkey AS preparation_id, 'D' || CAST(l_suppkey % 3 AS VARCHAR) AS bag_dossier_no, 'D' || CAST(l_suppkey % 3 AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR) AS code_value, {SQL_MONTH.format('l_shipdate')} AS first_seen, {SQL_MONTH.format('l_shipdate')} + 3 AS last_seen FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+seg AS (SELECT l_orderkey * 10 + l_linenumber AS segment_id, l_orderkey AS limitation_id, o_custkey AS preparation_id, l_linenumber AS segment_order, 'n' || CAST(min(l_partkey) % 50 AS VARCHAR) AS indication_name_fr, 'a ' || CAST(min(l_partkey) AS VARCHAR) AS segment_text_fr FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 3 <> 0 GROUP BY l_orderkey, l_linenumber, o_custkey),
+pk AS (SELECT o_custkey AS preparation_id, o_orderkey AS gtin, 'D' || CAST(o_orderkey % 3 AS VARCHAR) AS bag_dossier_no, {SQL_MONTH.format('o_orderdate')} AS first_seen, {SQL_MONTH.format('o_orderdate')} + 6 AS last_seen FROM orders WHERE o_custkey % 5 <> 0),
+ex AS (SELECT range AS extract_id, 'on ' || CAST(range AS VARCHAR) AS release_date FROM range(240, 480))"""
+
+
+@query(SQL_LISTED + """
+SELECT c.limitation_id, c.code_value, split_part(c.code_value, '.', 2) AS indication_part, l.limitation_code, c_name AS product_name, pk.gtin, ec.release_date AS code_first_seen, el.release_date AS limitation_last_seen, ep.release_date AS pack_first_seen, ef.release_date AS effective_from, et.release_date AS effective_to
+FROM code c JOIN lim l USING (limitation_id) JOIN customer ON c_custkey = c.preparation_id
+LEFT JOIN pk ON pk.preparation_id = c.preparation_id AND pk.bag_dossier_no = c.bag_dossier_no AND pk.first_seen <= c.last_seen AND pk.last_seen >= c.first_seen
+LEFT JOIN ex ec ON ec.extract_id = c.first_seen LEFT JOIN ex el ON el.extract_id = l.last_seen LEFT JOIN ex ep ON ep.extract_id = pk.first_seen
+LEFT JOIN ex ef ON ef.extract_id = CASE WHEN pk.gtin IS NOT NULL THEN greatest(pk.first_seen, c.first_seen) END LEFT JOIN ex et ON et.extract_id = CASE WHEN pk.gtin IS NOT NULL THEN least(pk.last_seen, c.last_seen) END""")
+def item_indications(spark, d):
+    t = listed_tables(spark, d)
+    out = exports.item_indications(t["codes"], t["limitations"].drop("description_fr"), t["preparations"].withColumnRenamed("name_de", "product_name"), t["packs"], t["extracts"])
+    return out.select("limitation_id", "code_value", "indication_part", "limitation_code", "product_name", "gtin", "code_first_seen", "limitation_last_seen", "pack_first_seen", "effective_from", "effective_to")
+
+
+@query(SQL_LISTED + "SELECT seg.segment_id, seg.segment_order, c_name AS product_name, limitation_code, indication_name_fr FROM seg JOIN lim USING (limitation_id) JOIN customer ON c_custkey = seg.preparation_id")
+def segment_listing(spark, d):
+    t = listed_tables(spark, d)
+    return exports.segment_listing(t["segments"], t["limitations"], t["preparations"]).select("segment_id", "segment_order", "product_name", "limitation_code", "indication_name_fr")
+
+
+@query(SQL_LISTED + """
+SELECT 'segment' AS level, seg.segment_id AS id, c_name AS product_name, CAST(seg.segment_id % 7 AS INTEGER) AS rule FROM seg JOIN customer ON c_custkey = preparation_id WHERE seg.segment_id % 2 = 0
+UNION ALL SELECT 'limitation', limitation_id, c_name, CAST(limitation_id % 7 AS INTEGER) FROM lim JOIN customer ON c_custkey = preparation_id WHERE limitation_id % 3 = 0""")
+def rules_by_level(spark, d):
+    t = listed_tables(spark, d)
+    listed = exports.segment_listing(t["segments"], t["limitations"], t["preparations"])
+    a = exports.segment_rules(listed.filter("segment_id % 2 = 0").selectExpr("segment_id", "cast(segment_id % 7 as int) as rule"), listed)
+    b = exports.limitation_rules(t["limitations"].filter("limitation_id % 3 = 0").selectExpr("limitation_id", "cast(limitation_id % 7 as int) as rule"), t["limitations"], t["preparations"])
+    return a.select(F.lit("segment").alias("level"), F.col("segment_id").alias("id"), "product_name", "rule").union(b.select(F.lit("limitation"), "limitation_id", "product_name", "rule"))
+
+
+@query(SQL_LISTED + """
+SELECT seg.segment_id, gtin, CAST(seg.segment_id % 4 = 0 AS INTEGER) AS has_cashback, segment_text_fr AS text, ep.release_date AS pack_from
+FROM seg LEFT JOIN pk USING (preparation_id) LEFT JOIN ex ep ON ep.extract_id = pk.first_seen""")
+def refund_analysis(spark, d):
+    t = listed_tables(spark, d)
+    segs = t["segments"].join(t["limitations"].select("limitation_id", "first_seen", "last_seen"), "limitation_id")
+    out = exports.refund_analysis(segs, t["packs"], segs.filter("segment_id % 4 = 0").selectExpr("segment_id", "'percentage' as rule_calc_type"), t["extracts"])
+    return out.select("segment_id", "gtin", "has_cashback", F.col("segment_text_fr").alias("text"), "pack_from")
+
+
+@query(SQL_LISTED + """
+SELECT limitation_id, gtin, 1 AS has_cashback, description_fr AS text, el.release_date AS limitation_from
+FROM lim LEFT JOIN pk USING (preparation_id) LEFT JOIN ex el ON el.extract_id = lim.first_seen WHERE limitation_id % 2 = 0 AND limitation_id NOT IN (SELECT limitation_id FROM seg)""")
+def unsegmented_analysis(spark, d):
+    t = listed_tables(spark, d)
+    out = exports.unsegmented_analysis(t["limitations"], t["segments"], t["packs"], t["limitations"].filter("limitation_id % 2 = 0").selectExpr("limitation_id", "'percentage' as rule_calc_type"), t["extracts"])
+    return out.select("limitation_id", "gtin", "has_cashback", F.col("description_fr").alias("text"), "limitation_from")
+
+
+@query("""
+WITH r AS (SELECT doc_id, lang AS calc, CASE WHEN n_chars > 3000 THEN source END AS threshold, doc_id % 2 = 0 AS stop, doc_id % 3 = 0 AS adverse, CASE WHEN n_chars > 3000 THEN doc_id % 3 ELSE 0 END AS size, doc_id % 5 AS drugs FROM documents),
+e AS (SELECT 'detected' AS kind, 'refund' AS name FROM r UNION ALL SELECT 'calc', calc FROM r UNION ALL SELECT 'with_threshold', 'any' FROM r WHERE threshold IS NOT NULL UNION ALL SELECT 'threshold', threshold FROM r WHERE threshold IS NOT NULL
+  UNION ALL SELECT 'with_threshold', 'several' FROM r WHERE size > 1 UNION ALL SELECT 'condition', 'treatment_stop' FROM r WHERE stop UNION ALL SELECT 'condition', 'adverse_effects' FROM r WHERE adverse UNION ALL SELECT 'with_cotreatments', 'any' FROM r WHERE drugs > 0)
+SELECT kind, name, count(*) AS n FROM e GROUP BY ALL""")
+def refund_report(spark, d):
+    rules_ = table(spark, d, "documents").selectExpr("lang as rule_calc_type", "case when n_chars > 3000 then source end as rule_threshold_type", "doc_id % 2 = 0 as cond_treatment_stop", "doc_id % 3 = 0 as cond_adverse_effects", "false as cond_treatment_failure",
+                                                     "case when n_chars > 3000 then array_repeat('x', cast(doc_id % 3 as int)) else array() end as thresholds", "array_repeat('x', cast(doc_id % 5 as int)) as cotreatments")
+    return reports.refund_report(rules_)
+
+
+@query("""
+SELECT doc_id AS text_id, CAST(a AS INTEGER) AS by_label, CAST(b AS INTEGER) AS by_rule FROM (SELECT doc_id, max(quality) AS a FROM labels GROUP BY 1) JOIN (SELECT doc_id, CAST(max(n_chars) > 1500 AS INTEGER) AS b FROM documents GROUP BY 1) USING (doc_id) WHERE a <> b""")
+def disagreements(spark, d):
+    return replies.disagreements(table(spark, d, "labels").selectExpr("doc_id as text_id", "quality = 1 as is_cashback"), table(spark, d, "documents").selectExpr("doc_id as text_id", "n_chars > 1500 as is_cashback"))
+
+
+@query("""
+SELECT conv_id AS text_id, count(*) AS n_segments, string_agg(role, ' | ' ORDER BY turn, role) AS names FROM conversations WHERE conv_id % 3 <> 0 GROUP BY 1 ORDER BY n_segments DESC, text_id LIMIT 10""")
+def multi_indication_sample(spark, d):
+    return replies.multi_indication_sample(table(spark, d, "conversations").selectExpr("conv_id as text_id", "turn as segment_order", "role as indication_name_fr", "conv_id % 3 <> 0 as is_multi_indication"))
+
+
+@query("SELECT role AS cashback_calc_type, count(*) AS n FROM conversations WHERE turn % 2 = 0 GROUP BY 1")
+def label_calculations(spark, d):
+    return replies.label_calculations(table(spark, d, "conversations").selectExpr("role as cashback_calc_type", "turn % 2 = 0 as is_cashback"))
+
+
+#: Texts with the name of a nation as it is, in other words, cut short, or none.
+NATION_SAID = "case p_partkey % 4 when 0 then initcap(n_name) when 1 then concat('In ', lower(n_name), ' now') when 2 then substring(n_name, 1, 4) else concat('qx', p_partkey) end"
+
+
+@query(f"""
+WITH t AS (SELECT p_partkey, upper({NATION_SAID.replace('initcap(n_name)', 'lower(n_name)')}) AS a FROM part JOIN nation ON n_nationkey = p_partkey % 25),
+c AS (SELECT p_partkey, n_name, CASE WHEN a = n_name THEN 1 WHEN length(a) >= 4 AND (contains(a, n_name) OR contains(n_name, a)) THEN 2 END AS level FROM t, nation)
+SELECT p_partkey, arg_min(n_name, level || n_name) AS candidate, CAST(1 AS DOUBLE) AS score FROM c WHERE level IS NOT NULL GROUP BY 1""")
+def best_candidate(spark, d):
+    named = table(spark, d, "part").join(table(spark, d, "nation"), F.expr("n_nationkey = p_partkey % 25")).selectExpr("p_partkey", f"{NATION_SAID} as name")
+    return matching.best_candidate(named, "p_partkey", "name", table(spark, d, "nation"), "n_name")
+
+
+@query("SELECT doc_id AS id, n_name AS name FROM (SELECT doc_id, upper(coalesce(text || ' ', '') || 'x' || n_name || CASE WHEN doc_id % 3 = 0 THEN 's' ELSE '' END) AS t FROM documents JOIN nation ON n_nationkey = doc_id % 25) d, nation n WHERE contains(t, n_name)")
+def contained_names(spark, d):
+    docs = table(spark, d, "documents").join(table(spark, d, "nation"), F.expr("n_nationkey = doc_id % 25")).select("doc_id", F.concat_ws(" ", "text", F.expr("concat('x', lower(n_name), case when doc_id % 3 = 0 then 's' else '' end)")).alias("text"))
+    return refunds.contained_names(docs, "doc_id", "text", table(spark, d, "nation"), "n_name", "n_name").select("id", "name")
+
+
+@query("""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'Muster Pharma (Schweiz) AG' END AS company, doc_id % 4 = 1 AS no_refund, CASE doc_id % 4 WHEN 2 THEN ' rest ' || CAST(doc_id AS VARCHAR) END AS section,
+  CASE doc_id % 4 WHEN 3 THEN '12345.67' END AS embedded, CASE WHEN doc_id % 4 = 3 THEN lang ELSE source END AS first_name, [CAST(doc_id AS VARCHAR)] AS structured FROM documents""")
+def text_helpers(spark, d):
+    docs = table(spark, d, "documents")
+    said = F.expr("case doc_id % 4 when 0 then ' .. Muster Pharma (Schweiz) AG paie.' when 1 then ' garantie de remboursement' when 2 then concat('<u>Coûts thérapeutiques</u> rest ', doc_id) else '' end")
+    whole = F.concat(F.coalesce("text", F.lit("")), said)
+    codes = cd.structured_codes(F.expr("case when doc_id % 2 = 0 then array(' ', cast(doc_id as string)) end"), F.expr("array(concat(' ', doc_id, ' '))"))
+    return docs.select(
+        "doc_id", F.when(F.expr("doc_id % 4 = 0"), refunds.sentence_company(F.substring_index(whole, " .. ", -1))).alias("company"), refunds.no_refund_phrase(whole).alias("no_refund"), F.when(F.expr("doc_id % 4 = 2"), refunds.cost_section(whole)).alias("section"),
+        tx.embedded_code(F.expr("case when doc_id % 4 = 3 then 'name 12345.67.' else 'name' end")).alias("embedded"), tx.first_filled(F.expr("case when doc_id % 4 = 3 then lang else '' end"), F.col("source")).alias("first_name"), codes.alias("structured"),
+    )

@@ -50,6 +50,28 @@ def read_snapshots(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     return extracts, rows.join(F.broadcast(extracts.select("file_name", "file_year", "extract_id")), ["file_name", "file_year"])
 
 
+#: Columns of packs and preparations by the element they come from.
+PACK_TEXTS = {
+    "swissmedic_no8": "SwissmedicNo8", "bag_dossier_no": "BagDossierNo", "description_de": "DescriptionDe", "description_fr": "DescriptionFr", "description_it": "DescriptionIt",
+    "swissmedic_category": "SwissmedicCategory", "flag_narcosis": "FlagNarcosis", "flag_modal": "FlagModal", "flag_ggsl": "FlagGGSL", "size_pack": "SizePack",
+    "prev_gtin_code": "PrevGTINcode", "swissmedic_no8_parallel_imp": "SwissmedicNo8ParallelImp", "wholesale_margin_grp": "WholesaleMarginGrp", "uniform_wholesale_margin": "UniformWholesaleMargin",
+    "integration_date": "Status.IntegrationDate", "valid_from_date": "Status.ValidFromDate", "valid_thru_date": "Status.ValidThruDate", "status_type_code": "Status.StatusTypeCodeSl",
+    "status_type_desc": "Status.StatusTypeDescriptionSl", "flag_apd": "Status.FlagApd",
+}
+PACK_PRICES = ["public_price", "public_price_valid_from", "exfactory_price", "exfactory_price_valid_from"]
+PREPARATION_TEXTS = {
+    "name_de": "NameDe", "name_fr": "NameFr", "name_it": "NameIt", "description_de": "DescriptionDe", "description_fr": "DescriptionFr", "description_it": "DescriptionIt",
+    "atc_code": "AtcCode", "org_gen_code": "OrgGenCode", "flag_it_limitation": "FlagItLimitation", "flag_sb": "FlagSB", "flag_ggsl": "FlagGGSL",
+    "comment_de": "CommentDe", "comment_fr": "CommentFr", "comment_it": "CommentIt", "vat_in_exf": "VatInEXF",
+}
+PARTNER_TEXTS = {"partner_type": "PartnerType", "description": "Description", "street": "Street", "zip_code": "ZipCode", "place": "Place", "phone": "Phone"}
+
+
+def preparations(records: DataFrame) -> DataFrame:
+    """One row per product and snapshot."""
+    return records.select("extract_id", "pos", tx.filled(F.col("SwissmedicNo5")).alias("swissmedic_no5"), *[tx.filled(F.col(e)).alias(c) for c, e in PREPARATION_TEXTS.items()])
+
+
 def price(column: str) -> tuple[Column, Column]:
     """(price, date): a price that can't be read is null, its date stays."""
     return tx.to_number(tx.strip(F.col(f"{column}.Price"))), tx.filled(F.col(f"{column}.ValidFromDate"))
@@ -61,17 +83,15 @@ def packs(preparations: DataFrame, with_gtin: bool = True) -> DataFrame:
     public, public_date = price("p.Prices.PublicPrice")
     factory, factory_date = price("p.Prices.ExFactoryPrice")
     out = p.select(
-        "extract_id", "pos", "n", "swissmedic_no5", tx.filled(F.col("p.GTIN")).alias("gtin"), tx.filled(F.col("p.SwissmedicNo8")).alias("swissmedic_no8"), tx.filled(F.col("p.BagDossierNo")).alias("bag_dossier_no"),
-        *[tx.filled(F.col(f"p.Description{x}")).alias(f"description_{x.lower()}") for x in ("De", "Fr", "It")],
-        public.alias("public_price"), public_date.alias("public_price_date"), factory.alias("exfactory_price"), factory_date.alias("exfactory_price_date"),
-        tx.filled(F.col("p.Status.StatusTypeCodeSl")).alias("status_code"), F.col("p.Partners.Partner").alias("partners"),
+        "extract_id", "pos", "n", "swissmedic_no5", tx.filled(F.col("p.GTIN")).alias("gtin"), *[tx.filled(F.col(f"p.{e}")).alias(c) for c, e in PACK_TEXTS.items()],
+        *[e.alias(c) for c, e in zip(PACK_PRICES, (public, public_date, factory, factory_date))], F.col("p.Partners.Partner").alias("partners"),
     )
     return out.filter(F.col("gtin").isNotNull()) if with_gtin else out
 
 
 def partners(pack_rows: DataFrame) -> DataFrame:
     p = pack_rows.select("extract_id", "pos", "n", "gtin", F.posexplode("partners").alias("m", "p"))
-    return p.select("extract_id", "pos", "n", "m", "gtin", tx.filled(F.col("p.PartnerType")).alias("partner_type"), tx.filled(F.col("p.Description")).alias("description"), tx.filled(F.col("p.Place")).alias("place"))
+    return p.select("extract_id", "pos", "n", "m", "gtin", *[tx.filled(F.col(f"p.{e}")).alias(c) for c, e in PARTNER_TEXTS.items()])
 
 
 def substances(preparations: DataFrame, first_only: bool = False) -> DataFrame:

@@ -139,10 +139,63 @@ def test_cascade_layers(spark):
         spark.createDataFrame(code, "group string, code_value string"),
     )
     got = {r["segment"]: (r["code_value"], r["match_type"]) for r in out.collect()}
-    assert got == {1: ("11111.01", "EMBEDDED_IN_NAME"), 2: ("D1.05", "NORMALIZED_MATCH"), 3: ("D2.05", "NORMALIZED_CROSS"), 4: ("D1.06", "PIPE_PART_MATCH"), 5: ("D1.07", "KOMBI_NORMALIZED"), 6: ("D1.08", "BRAND_NORMALIZED"),
+    assert got == {1: ("11111.01", "EMBEDDED_IN_NAME"), 2: ("D1.05", "NORMALIZED_MATCH"), 3: ("D2.05", "NORMALIZED_CROSS"), 4: ("D1.06", "PIPE_PART_MATCH"), 5: ("D1.07", "KOMBI_NORMALIZED"), 6: ("D1.08", "KOMBI_NORMALIZED"),
                    7: ("D7.03", "SINGLE_SEGMENT_CODE"), 8: ("D8.01", "ORDINAL_POSITION"), 9: ("D8.02", "ORDINAL_POSITION"), 10: ("D1.09", "FUZZY_MATCHED")}
 
 
+def test_cascade_rewrites_brands_in_combinations_and_orders_whole_codes(spark):
+    """Brands of rewritten combinations, a form met by its own layer only where it differs, codes of a group in order of all of the code."""
+    segs = [(1, "g1", 0, "Kombination REVLIMID, X", "D1"), (2, "g2", 0, "Kombination VIDAZA und Y", "D2"), (3, "g3", 0, "a", "D3"), (4, "g3", 1, "b", "D3"), (5, "g4", 0, "Kombination IMNOVID, Z", "D5")]
+    known = [("LENALIDOMID in Kombination mit X", "D1.01", "D1"), ("AZACITIDIN in Kombination mit und Y | mehr", "D2.02", "D2"), ("Kombination POMALIDOMID SANDOZ, Z", "D4.03", "D4")]
+    codes_ = [("g3", "00002.01"), ("g3", "00001.02")]
+    out = matching.cascade(spark.createDataFrame(segs, "segment int, group string, position int, name string, dossier string"), spark.createDataFrame(known, "name string, code_value string, dossier string"), spark.createDataFrame(codes_, "group string, code_value string"))
+    got = {r["segment"]: (r["code_value"], r["match_type"], r["matched_to"]) for r in out.collect()}
+    assert got == {1: ("D1.01", "KOMBI_NORMALIZED", "same dossier D1"), 2: ("D2.02", "PIPE_PART_MATCH", "same dossier D2"), 3: ("00001.02", "ORDINAL_POSITION", "position in lim g3"), 4: ("00002.01", "ORDINAL_POSITION", "position in lim g3"), 5: ("D5.03", "BRAND_CROSS", "ind_part .03 from D4.03")}
+
+
+def test_code_names_by_source_and_one_row_per_code(spark):
+    """A structured code is paired whatever parsed ones stand beside it; a code of several texts gets the name of the smallest."""
+    links = [(1, "D1.10", "STRUCTURED_XML"), (1, "D1.11", "TEXT_PARSED"), (2, "D1.10", "STRUCTURED_XML"), (3, "D2.12", "TEXT_PARSED"), (4, "D3.XX", "FALLBACK_XX"), (5, "D5.13", "TEXT_PARSED"), (6, "D6.14", "TEXT_PARSED"), (7, "D1.15", "TEXT_PARSED")]
+    segs = [(1, 0, "Eins"), (2, 0, "Zwei"), (3, 0, "eins :"), (3, 1, None), (7, 0, "zwei"), (7, 1, "eins")]
+    texts = [(3, "x"), (5, "<b>Melanom</b> y"), (6, "<b>UND</b> Nur dies. Mehr"), (5, "z")]
+    out = matching.code_names(
+        spark.createDataFrame(links, "text_id int, indication_code string, code_source string"), spark.createDataFrame(segs, "text_id int, segment_order int, indication_name_de string"),
+        spark.createDataFrame(texts, "text_id int, text string"), None, spark.createDataFrame([(4, "Trois")], "text_id int, indication_name_fr string"),
+    )
+    got = {(r["indication_code"], r["indication_name_de"], r["indication_name_fr"], r["match_source"]) for r in out.collect()}
+    assert got == {
+        ("D1.10", "Eins", None, "DIRECT_STRUCT"), ("D1.11", "Eins", None, "SHARED_TEXT"), ("D2.10", "eins :", None, "NORM_CROSS"), ("D1.10", "eins", None, "NORM_SAME"), ("D3.XX", None, "Trois", "LLM_SEGMENT"),
+        ("D5.13", "Melanom", None, "BOLD_EXTRACT"), ("D5.13", "z", None, "DESC_TRUNCATED"), ("D6.14", "UND Nur dies.", None, "DESC_TRUNCATED"), ("D2.12", "x", None, "DESC_TRUNCATED"),
+    } | {x for x in got if x[0] == "D1.15"}
+
+
+def test_two_entries_of_one_name_leave_no_lead(spark):
+    left = spark.createDataFrame([("d", 1, "abcdefghij"), ("d", 2, "klmnopqrst")], "dossier string, segment int, a string")
+    right = spark.createDataFrame([("d", "abcdefghix"), ("d", "abcdefghix"), ("d", "klmnopqrsx")], "dossier string, b string")
+    assert {r["segment"] for r in matching.fuzzy_best(left, right, ["dossier"], "segment", "a", "b").collect()} == {2}
+
+
+def test_unmatched_names_count_after_the_join_with_packs(spark):
+    segs = spark.createDataFrame([(1, "A", None), (1, None, None), (2, "B", None), (3, "C", "x")], "preparation_id int, indication_name_de string, matched_code_value string")
+    packs_ = spark.createDataFrame([(1, "D"), (1, "D"), (1, "E")], "preparation_id int, bag_dossier_no string")
+    assert {tuple(r) for r in reports.unmatched_names(segs, packs_).collect()} == {("A", "D", 2), ("A", "E", 1), ("B", None, 1)}
+
+
+def test_names_anywhere_in_a_text(spark):
+    df = spark.createDataFrame([(1, "xEXAMPLEx und Ab"), (2, "nichts"), (3, None), (4, "ab " + "wort " * 30000 + "example")], "id int, t string")
+    names = spark.createDataFrame([("Example", "example"), ("AB", "ab"), ("", ""), (None, None)], "name string, stem string")
+    assert {(r["id"], r["name"]) for r in refunds.contained_names(df, "id", "t", names, "name", "stem").collect()} == {(1, "Example"), (1, "AB"), (4, "AB"), (4, "Example")}
+
+
+def test_reference_sets_add_refunds_and_drugs(spark):
+    df = spark.createDataFrame([(1, "Hier verse Example Pharma AG einen Teil, mit Examplinum"), (2, "Example Pharma AG, sonst nichts"), (3, "Muster SA rembourse 5 francs avec le Testpraep.")], "id int, t string")
+    companies = refunds.company_set(spark.createDataFrame([("Example Pharma AG",), ("chaque SA",)], "cashback_company string"), spark.createDataFrame([("Partner GmbH",)], "name string"))
+    assert {(r["company"], r["base"]) for r in companies.collect()} == {("Example Pharma AG", "EXAMPLE"), ("Partner GmbH", "PARTNER")}
+    drugs = refunds.drug_set(spark.createDataFrame([("Testpraep",), ("AB",)], "name_de string"), spark.createDataFrame([("Examplinum",), ("Xum",)], "description_la string"))
+    got = {r["id"]: (r["detection_patterns"], r["cashback_company"], r["cotreatments"]) for r in refunds.mine(df, "id", "t", preparations=drugs, companies=companies).collect()}
+    assert got == {1: ("fuzzy_company", "Example Pharma AG", ["EXAMPLINUM"]), 3: ("company_rembourse", "Muster SA", ["TESTPRAEP"])}
+
+
 def test_fuzzy_pruning_changes_nothing(spark):
     import random
 

@@ -5,7 +5,11 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
+from lexhull import queries
+from lexhull.operators import matching
 from oracle_check import rows
 
 SF = "/root/testdata/sf0.001"
@@ -42,17 +46,25 @@ def test_fuzzy_best_gap_asks_for_every_part(spark, tmp_path):
 
 
 def test_match_cascade_runs_the_fuzzy_layer(spark, tmp_path):
-    spark.createDataFrame([(3, "zebra"), (43, "other 3a")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
-    got = {r["segment"]: r["match_type"] for r in entry.queries()["match_cascade"](spark, str(tmp_path)).collect()}
-    assert got[3] == "FUZZY_MATCHED"
-
-
-def test_sku_map_layers_takes_all_lines_and_layers(spark, tmp_path):
-    save = lambda name, data, schema: spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
-    save("part", [(k, f"name {k}", "t") for k in range(1, 10)], "p_partkey long, p_name string, p_type string")
-    # order 31: three names and codes, paired in order; order 3: no segments, has a reply; order 18: neither
-    save("lineitem", [(31, 1, 1, 2), (31, 2, 2, 2), (31, 3, 3, 2), (3, 1, 4, 2), (18, 1, 5, 2)], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
-    save("orders", [(31, "a"), (3, "b"), (18, "c")], "o_orderkey long, o_orderpriority string")
-    save("nation", [(7, "PERU", 1)], "n_nationkey int, n_name string, n_regionkey int")
-    got = {(r["indication_code"], r["indication_name_de"], r["match_source"]) for r in entry.queries()["sku_map_layers"](spark, str(tmp_path)).collect()}
-    assert got == {("D7.1", "PERU", "REF_MAP"), ("D1.1", "name 1", "ORDINAL_POSITION"), ("D1.2", "name 2", "ORDINAL_POSITION"), ("D1.3", "name 3", "ORDINAL_POSITION"), ("D3.4", "reply b", "LLM_SEGMENT"), ("D18.5", "c", "BOLD_EXTRACT")}
+    # parts 1 and 13 are of one dossier here: a name and one that differs in its last letter
+    spark.createDataFrame([(1, "zebra crossing", "t"), (121, "zebra crossinh", "t")], "p_partkey long, p_name string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    segs, known, codes = queries.part_names(spark, str(tmp_path))
+    got = {r["segment"]: (r["matched_code"], r["match_type"]) for r in matching.match_log(segs, matching.cascade(segs, known.filter("name like '%g'"), codes)).collect()}
+    assert got[121] == ("D1.11", "FUZZY_MATCHED") and got[1] == ("D1.11", "NORMALIZED_MATCH")
+
+
+def test_every_rule_has_a_phrase_that_it_finds(spark):
+    """The twins of the refund queries cover all calculations, units, thresholds and sentences."""
+    from lexhull.operators import refunds
+    from lexhull.rules import refunds as rules
+
+    def found(said, value):
+        df = spark.createDataFrame([(p.replace("V", "12"),) for p in said], "t string")
+        return [r[0] for r in df.select(value(F.col("t"))).collect()]
+
+    kinds = {k for k, *_ in rules.CALCULATIONS} - {"per_mg"}  # per_mg comes after an amount, which every text with it has
+    assert set(found(queries.CALCULATED, lambda t: refunds.calculation(t)["type"])) == kinds - {"threshold_box"} | {"unknown"} | ({"threshold_box"} & kinds)
+    assert set(found(queries.COUNTED, refunds.refund_unit)) == {u for u, _ in rules.UNITS} | {"unknown"}
+    seen = {x for xs in found(queries.BOUNDED, lambda t: F.transform(refunds.thresholds(t), lambda x: x["type"])) for x in xs}
+    assert seen == {k for k, *_ in rules.THRESHOLDS}
+    assert all(found(queries.STATED, refunds.sentence)) and len(queries.STATED) == len(rules.SENTENCES)

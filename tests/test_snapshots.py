@@ -10,7 +10,7 @@ from lexhull.sources import snapshots, tables
 def pack(gtin, dossier, text="5 Fertspr 3 ml", price="10.5", inner=""):
     gtin = f"<GTIN>{gtin}</GTIN>" if gtin else ""
     dossier = f"<BagDossierNo>{dossier}</BagDossierNo>" if dossier else "<BagDossierNo/>"
-    return f"<Pack>{gtin}{dossier}<DescriptionDe>{text}</DescriptionDe><Prices><PublicPrice><Price>{price}</Price><ValidFromDate>01.01.2020</ValidFromDate></PublicPrice></Prices><Partners><Partner><PartnerType>V</PartnerType><Description>Firma</Description></Partner></Partners>{inner}</Pack>"
+    return f"<Pack>{gtin}{dossier}<DescriptionDe>{text}</DescriptionDe><Prices><PublicPrice><Price>{price}</Price><ValidFromDate>01.01.2020</ValidFromDate></PublicPrice></Prices><Partners><Partner><PartnerType>V</PartnerType><Description>Firma</Description><Street>Weg 1</Street><Phone>044</Phone></Partner></Partners><Status><StatusTypeCodeSl>0</StatusTypeCodeSl><FlagApd>N</FlagApd></Status><SizePack>5</SizePack>{inner}</Pack>"
 
 
 def limitation(code, text, given="", kind="DIA"):
@@ -53,10 +53,17 @@ def test_snapshot_files_are_numbered_in_order(spark, path):
 
 def test_history_tables(ingested):
     got = ingested
-    preps = {r["swissmedic_no5"]: (r["first_seen"], r["last_seen"], r["NameDe"]) for r in got["preparation"].collect()}
+    preps = {r["swissmedic_no5"]: (r["first_seen"], r["last_seen"], r["name_de"]) for r in got["preparation"].collect()}
     assert preps == {"111": (1, 3, "Neu"), "222": (2, 2, "Zwei"), "333": (3, 3, "Drei")}
     packs = {r["gtin"]: (r["first_seen"], r["last_seen"], r["public_price"]) for r in got["pack"].collect()}
-    assert packs == {"g1": (1, 2, 10.5), "g2": (2, 3, 10.5), "g3": (2, 2, 10.5), "g4": (3, 3, 10.5)}
+    assert packs == {"g1": (1, 2, None), "g2": (2, 3, 10.5), "g3": (2, 2, 10.5), "g4": (3, 3, 10.5)}
+    assert {r["gtin"]: r["public_price"] for r in got["sku"].collect()} == {"g1": 10.5, "g2": 10.5, "g3": 10.5, "g4": 10.5}
+    first = got["pack"].filter("gtin = 'g2'").first()
+    assert (first["flag_apd"], first["size_pack"], first["status_type_code"], first["public_price_valid_from"], first["swissmedic_no5"]) == ("N", "5", "0", "01.01.2020", "111")
+    assert {(r["gtin"], r["partner_type"], r["description"], r["street"], r["phone"]) for r in got["partner"].collect()} == {(g, "V", "Firma", "Weg 1", "044") for g in ("g1", "g2", "g3", "g4")}
+    # one text of two limitations once, texts of ITCODE limitations not at all
+    assert {(r["limitation_code"], r["first_seen"], r["last_seen"]) for r in got["limitation_text"].collect()} == {("L1", 2, 3), (None, 2, 2), ("L3", 3, 3)}
+    assert {(r["code_value"], r["code_source"], r["bag_dossier_no"], r["first_seen"], r["last_seen"]) for r in got["code"].collect()} == {("500.01", "STRUCTURED_XML", "500", 2, 3), ("800.xx", "FALLBACK_XX", "800", 2, 2), ("99999.09", "TEXT_PARSED", "500", 3, 3)}
     lims = sorted((r["swissmedic_no5"], r["limitation_code"] or "", r["limitation_level"], r["first_seen"], r["last_seen"]) for r in got["limitation"].collect())
     assert lims == [("111", "L1", "PREPARATION", 2, 3), ("222", "", "PACK", 2, 2), ("222", "L9", "ITCODE", 2, 2), ("333", "L3", "PREPARATION", 3, 3)]
     dated = history.resolve_dates(got["pack"], got["extract"], since="first_seen", until="last_seen").filter("gtin = 'g1'").first()
@@ -70,6 +77,10 @@ def test_codes_segments_and_links(ingested, tmp_path):
     segs = sorted(((r["indication_name_de"], r["segment_order"], r["matched_code_value"], r["matched_code_source"]) for r in made["segment"].collect()), key=str)
     assert segs == [("Lunge", 1, None, None), ("Melanom", 0, "500.01", "EXISTING"), ("Melanom", 0, None, None)]
     assert [(r["code_value"], r["match_type"]) for r in made["match"].collect() if r["segment"].endswith("#0")] == [("800.01", "NORMALIZED_CROSS")]
+    log = {(r["segment_name"], r["matched_code"], r["matched_to"]) for r in made["match_log"].collect() if r["match_type"] == "NORMALIZED_CROSS"}
+    assert log == {("Melanom", "800.01", "ind_part .01 from 500.01")}
+    listed = sorted((r["code_value"], r["gtin"], r["product_name"], r["effective_from"], r["effective_to"], r["code_first_seen"]) for r in plans.item_codes(t, made).collect())
+    assert listed == [("500.01", "g1", "Neu", "02.01.2020", "02.01.2020", "02.01.2020"), ("800.xx", "g3", "Zwei", "02.01.2020", "02.01.2020", "02.01.2020"), ("99999.09", "g4", "Drei", "03.01.2020", "03.01.2020", "03.01.2020")]
     links = sorted((r["item"], r["indication_code"], r["valid_from"], r["valid_thru"]) for r in plans.item_links(t).collect())
     assert links == [("g1", "500.01", 2, 2), ("g2", "500.01", 2, 3), ("g3", "800.XX", 2, 2), ("g4", "99999.09", 3, 3)]
 
@@ -87,3 +98,12 @@ def test_packs_and_sinks(spark, ingested, tmp_path):
 def test_refund_rules_of_equal_texts_are_mined_once(spark):
     df = spark.createDataFrame([(1, "Example SA rembourse 5 francs."), (2, "Example SA rembourse 5 francs."), (3, "nichts")], "id int, t string")
     assert sorted((r["id"], r["rule_calc_value"]) for r in plans.refund_rules(df, "id", "t").collect()) == [(1, 5.0), (2, 5.0)]
+
+
+def test_flags_of_limitation_texts(spark):
+    texts = {"a": "L'assureur facture &agrave; la firme Roche Example AG le montant.", "b": "<b>x</b> Example SA rembourse 5 francs par mois.", "c": "nichts", "d": None}
+    df = spark.createDataFrame([(k, None, "DIA", None, None, v, None, 1, 1) for k, v in texts.items()], "content_hash string, limitation_code string, limitation_type string, limitation_niveau string, description_de string, description_fr string, description_it string, first_seen int, last_seen int")
+    got = {r["content_hash"]: r for r in plans.limitation_texts({"limitation_text": df}).collect()}
+    flags = {k: (r["has_cashback"], r["is_cashback"], r["cashback_company"], r["cashback_patterns"], r["cashback_calc_type"], r["cashback_calc_value"], r["cashback_unit"]) for k, r in got.items()}
+    # without a sentence there is no calculation, though the text is one with a refund
+    assert flags == {"a": (1, True, "Roche Example AG", "assureur_facture", None, None, None), "b": (1, True, "Example SA", "company_rembourse", "chf_fixed", 5.0, "per_month"), "c": (0, False, None, None, None, None, None), "d": (0, False, None, None, None, None, None)}
