@@ -189,6 +189,10 @@ def contaminated() -> "F.Column":
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """The documents, all columns, without the contaminated ones (see contamination())."""
+    """The documents, all columns, without the contaminated ones (see contamination()).
+
+    Null or empty texts and rows with a null id have no part in what goes wrong elsewhere: the former have no words and
+    stay, the latter are judged by their own text. Rows that repeat stay or go together; an empty benchmark takes nothing.
+    """
     bad = contamination(docs, benchmark, id_col, text_col, **more).filter(contaminated()).select(F.col(id_col).alias("_bad_id"), F.col("row_hash").alias("_bad_hash")).distinct()
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad_id")) & (row_key(id_col, text_col) == F.col("_bad_hash")), "left_anti")

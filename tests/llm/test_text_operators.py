@@ -45,9 +45,9 @@ def sets(docs):
     return out
 
 
-def test_near_duplicates_match_brute_force(docs):
-    own, label = sets(docs), {}
-    links = defaultdict(set)
+def components_of(own):
+    """Smallest id reachable over links of 75 of 100, by comparing all pairs."""
+    links, label = defaultdict(set), {}
     for i, x in own.items():
         for j, y in own.items():
             if x and y and 100 * len(x & y) >= 75 * len(x | y):
@@ -59,6 +59,12 @@ def test_near_duplicates_match_brute_force(docs):
             if k not in label:
                 label[k] = i
                 todo += links[k]
+    return label
+
+
+def test_near_duplicates_match_brute_force(docs):
+    own = sets(docs)
+    label = components_of(own)
     got = rows(near_duplicates.near_duplicates(docs))
     assert {i: (len(own[i]), label[i], label[i] == i) for i in own} == {i: (r["n_shingles"], r["component_id"], r["kept"]) for i, r in got.items()}
     assert len(set(label.values())) < len(own) - 10  # the fixture holds links at all
@@ -90,6 +96,22 @@ def test_large_group_without_its_template_matches_brute_force(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want and len(set(want.values())) < 100
 
 
+def test_clusters_whose_common_text_is_linked_to_none(spark):
+    """Several clusters around one common text that is itself too far from all of them, and pairs that just miss or just make it."""
+    rng, texts = random.Random(2), ["c" + " c".join(str(i) for i in range(100))]
+    for k in range(12):
+        head = [f"c{i}" for i in range(62)] + [f"k{k}w{i}" for i in range(38)]
+        for m in range(14):
+            own = list(head)
+            for j, at in enumerate(rng.sample(range(0, 100, 5), rng.randrange(0, 4))):
+                own[at] = f"n{k}m{m}x{j}"
+            texts.append(" ".join(own))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = components_of(sets(df))
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == want and 12 <= len(set(want.values())) < 100 and want[0] == 0 and list(want.values()).count(0) == 1
+
+
 def test_contamination_matches_brute_force(spark, docs):
     own = {r["doc_id"]: r["text"] for r in docs.collect()}
     some = [t for t in own.values() if t and len(t) > 200][:6]
