@@ -8,10 +8,10 @@ a slice of the filter with KEY_BITS for each of its keys, so the filter grows wi
 error rate does not. A level is read by probing 1, 2, ... until a key is missing or the slice's highest
 level is passed.
 
-Texts are packed into pieces. A piece asks each bucket for the exact counts of its distinct tokens; the
-answers meet the piece again by its number, so no key is ever common. Up to BROADCAST_BITS the slices
-are also laid end to end and broadcast; a larger filter stays in its slices, and the pieces
-ask these for their levels along with the counts. Both ways give the same scores.
+Texts are dealt out to groups of some megabytes by hash. A group asks each bucket for the exact counts of its
+distinct tokens; the answers meet the group again by its number, so no key is ever common. Up to
+BROADCAST_BITS the slices are also laid end to end and broadcast; a larger filter stays in its slices,
+and the groups ask these for their levels along with the counts. Both ways give the same scores.
 
 The score of a word after another is (c(h, w) + T(h) * P(w)) / (c(h) + T(h)), with the middle of each
 level's range for the counts, the smoothed unigram probability for P, and c(h)**FOLLOWERS for T(h), the number of
@@ -34,8 +34,8 @@ from .frames import cut, partitions
 KEY_BITS, PROBES = 10, 4
 #: The filter is broadcast up to this size (128 MB), else the probes go to its slices.
 BROADCAST_BITS = 1 << 30
-#: Bytes of training text for a bucket of hashes, of texts in a piece, and pieces that are scored at once; so that rows stay small.
-BUCKET_BYTES, PACK_BYTES, TOGETHER = 2 << 20, 1 << 18, 8
+#: Bytes of training text for a bucket of hashes, and of texts that are scored at once.
+BUCKET_BYTES, GROUP_BYTES = 2 << 20, 2 << 20
 #: Power of a word's count that tells how many different words follow it.
 FOLLOWERS = 0.9
 #: Entries a task holds before it sends them on.
@@ -209,54 +209,59 @@ def lookup(keys: np.ndarray, values: np.ndarray, hashes: np.ndarray) -> tuple[np
 SCORES = ["id", "n_tokens", "n_known", "base_score", "score"]
 
 
-def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to one row for each piece: ids and texts."""
-    for piece in tb.pieces(batches, 1, PACK_BYTES):
-        ends = pa.array([0, piece.num_rows], pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, piece.column(0)), pa.ListArray.from_arrays(ends, piece.column(1))], names=["ids", "texts"])
-
-
-def piece_tokens(texts: pa.ListScalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, rows, follows, pairs): the tokens of a piece, which of them follow another one, and the bigrams these end."""
-    hashes, row = text_tokens(texts.values)
+def piece_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, rows, follows, pairs): the tokens of some texts, which of them follow another one, and the bigrams these end."""
+    hashes, row = text_tokens(texts)
     follows = np.flatnonzero(row[1:] == row[:-1]) + 1
     return hashes, row, follows, bigrams(hashes)[follows - 1]
 
 
 def ask(buckets: int, routed: bool) -> Callable:
-    """Pieces to (bucket, piece, kind, hashes): their distinct tokens (kind 1), and bigrams (kind 2) if these are routed."""
+    """(group, text) in order of group to (bucket, group, kind, hashes): its distinct tokens (kind 1), and bigrams (kind 2) if these are routed."""
+
+    def questions(group: int, found: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for kind, parts in found.items():
+            grams = np.unique(np.concatenate(parts))
+            order, filled, cuts = slices(bucket_of(grams, buckets), buckets)
+            grams = grams[order]
+            yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array([group] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array([grams[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "group", "kind", "hashes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                hashes, _, _, pairs = piece_tokens(texts)
-                for kind, grams in ((1, np.unique(hashes)), (2, np.unique(pairs)))[: 1 + routed]:
-                    order, filled, cuts = slices(bucket_of(grams, buckets), buckets)
-                    grams = grams[order]
-                    yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array([piece] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array([grams[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "piece", "kind", "hashes"])
+        at, found = None, {}
+        for piece in tb.pieces(batches, 1):
+            groups = piece.column(0).to_numpy()
+            ends = np.r_[np.flatnonzero(groups[1:] != groups[:-1]) + 1, len(groups)]
+            for s, e in zip(np.r_[0, ends[:-1]], ends):
+                if groups[s] != at:
+                    yield from questions(at, found)
+                    at, found = int(groups[s]), {}
+                hashes, _, _, pairs = piece_tokens(piece.column(1).slice(s, e - s))
+                for kind, grams in ((1, hashes), (2, pairs))[: 1 + routed]:
+                    found.setdefault(kind, []).append(np.unique(grams))
+        yield from questions(at, found)
 
     return run
 
 
 def answer(routed: bool) -> Callable:
-    """Rows in order of bucket, a bucket's own counts and slice before what it is asked, to (piece, kind, hashes, counts, levels)."""
+    """Rows in order of bucket, a bucket's own counts and slice before what it is asked, to (group, kind, hashes, counts, levels)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, known, exact, model = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64), nothing()
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
-            for at, piece, kind, hashes, counts, top, bits in zip(*[c.to_pylist() for c in batch.columns]):
+            for at, group, kind, hashes, counts, top, bits in zip(*[c.to_pylist() for c in batch.columns]):
                 hashes = np.frombuffer(hashes, np.uint64)
-                if piece is None:
+                if group is None:
                     bucket, known, exact = at, hashes, wide(counts, len(hashes))
                     model = Levels(np.array([top]), np.array([len(bits)]), np.frombuffer(bits, np.uint8)) if routed else model
                     continue
                 if at != bucket:  # nothing was learnt for it
                     bucket, known, exact, model = at, hashes[:0], exact[:0], nothing()
                 found, c = lookup(known, exact, hashes)
-                for column, value in zip(out, (piece, kind, hashes.tobytes(), narrow(np.where(found, c, 0).astype(np.int64)) if kind == 1 else b"", model.levels(hashes).astype(np.uint8).tobytes() if routed else b"")):
+                for column, value in zip(out, (group, kind, hashes.tobytes(), narrow(np.where(found, c, 0).astype(np.int64)) if kind == 1 else b"", model.levels(hashes).astype(np.uint8).tobytes() if routed else b"")):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["piece", "kind", "hashes", "counts", "levels"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["group", "kind", "hashes", "counts", "levels"])
 
     return run
 
@@ -287,9 +292,9 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), train.alias("train"), F.col(text_col).alias("text"))
-    taught = rows.filter("train").select("text")
-    size = taught.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    buckets = max(partitions(spark), -(-size // BUCKET_BYTES))
+    taught, size = rows.filter("train").select("text"), F.octet_length("text")
+    sizes = rows.agg(F.coalesce(F.sum(size), F.lit(0)), F.coalesce(F.sum(F.when(F.col("train"), size)), F.lit(0))).first()
+    groups, buckets = max(partitions(spark), -(-sizes[0] // GROUP_BYTES)), max(partitions(spark), -(-sizes[1] // BUCKET_BYTES))
     sums = taught.mapInArrow(packed_counts(buckets), "bucket long, kind int, hashes binary, counts binary")
     merged = cut(sums.groupBy("bucket").applyInArrow(merge_bucket, "bucket long, top int, n long, v long, hashes binary, counts binary, bits binary"))
     total = merged.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0)), F.coalesce(F.sum(F.octet_length("bits").cast("long")), F.lit(0))).first()
@@ -306,25 +311,26 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
             filter_.bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     sent = spark.sparkContext.broadcast((filter_.top, filter_.size, filter_.bits))
     kind = rows.schema["id"].dataType.simpleString()
-    pieces = cut(rows.select("id", "text").mapInArrow(pack_texts, f"ids array<{kind}>, texts array<string>").withColumn("piece", F.monotonically_increasing_id()))
+    # dealt out once: what asks and what is scored read the same exchange
+    grouped = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(groups)).alias("group"), "id", "text").repartition(partitions(spark), "group")
     none = F.lit(None)
-    asked = pieces.select("piece", "texts").mapInArrow(ask(buckets, routed), "bucket long, piece long, kind int, hashes binary")
-    asked = asked.select("bucket", "piece", "kind", "hashes", none.cast("binary").alias("counts"), none.cast("int").alias("top"), none.cast("binary").alias("bits"))
-    held = merged.select("bucket", none.cast("long").alias("piece"), none.cast("int").alias("kind"), "hashes", "counts", "top", "bits" if routed else none.cast("binary").alias("bits"))
-    meeting = asked.unionByName(held).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", F.col("piece").isNotNull())
-    answers = meeting.mapInArrow(answer(routed), "piece long, kind int, hashes binary, counts binary, levels binary")
+    asked = grouped.sortWithinPartitions("group").select("group", "text").mapInArrow(ask(buckets, routed), "bucket long, group long, kind int, hashes binary")
+    asked = asked.select("bucket", "group", "kind", "hashes", none.cast("binary").alias("counts"), none.cast("int").alias("top"), none.cast("binary").alias("bits"))
+    held = merged.select("bucket", none.cast("long").alias("group"), none.cast("int").alias("kind"), "hashes", "counts", "top", "bits" if routed else none.cast("binary").alias("bits"))
+    meeting = asked.unionByName(held).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", F.col("group").isNotNull())
+    answers = meeting.mapInArrow(answer(routed), "group long, kind int, hashes binary, counts binary, levels binary")
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        """Some pieces and their answers to the scores of their texts."""
+        """A group of texts and its answers to the scores of the texts."""
         known, exact = gathered(answers, 1, "counts")
         if routed:
             levels_of = {k: gathered(answers, k, "levels") for k in (1, 2)}
         else:
             model = Levels(*sent.value)
-        kinds = (texts.schema.field("ids").type.value_type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        kinds = (texts.schema.field("id").type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
         parts = []
-        for ids, piece in zip(texts.column("ids"), texts.column("texts")):
-            hashes, row, follows, pairs = piece_tokens(piece)
+        for piece in tb.pieces(texts.select(["id", "text"]).to_batches(), 1):
+            hashes, row, follows, pairs = piece_tokens(piece.column(1))
             distinct, back = np.unique(hashes, return_inverse=True)
             c = lookup(known, exact, distinct)[1][back]  # whatever was asked was answered, with 0 for what is unknown
             one, two = (lookup(*levels_of[1], distinct)[1], lookup(*levels_of[2], pairs)[1]) if routed else (model.levels(distinct), model.levels(pairs))
@@ -334,11 +340,10 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
             pair = np.minimum(pair, np.minimum(history, unigram[follows]))
             spread = np.maximum(history, 1.0) ** FOLLOWERS
             p[follows] = np.minimum((pair + spread * p[follows]) / (history + spread), 1.0)
-            sums = lambda x, row=row, m=len(ids): np.bincount(row, x, minlength=m)
-            made = (ids.values, sums(None).astype(np.int64), sums(c > 0).astype(np.int64), sums(np.log10((c + 0.5) / whole)), sums(np.log10(p)))
+            sums = lambda x, row=row, m=piece.num_rows: np.bincount(row, x, minlength=m)
+            made = (piece.column(0), sums(None).astype(np.int64), sums(c > 0).astype(np.int64), sums(np.log10((c + 0.5) / whole)), sums(np.log10(p)))
             parts.append(pa.table([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, kinds)], names=SCORES))
         return pa.concat_tables(parts) if parts else pa.table([pa.array([], t) for t in kinds], names=SCORES)
 
-    together = F.expr(f"piece div {TOGETHER}").alias("group")
-    scored = pieces.groupBy(together).cogroup(answers.groupBy(together)).applyInArrow(score, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    scored = grouped.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(score, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
