@@ -158,9 +158,12 @@ def codes_three_layer(spark, d):
     o = table(spark, d, "orders").selectExpr("o_orderkey", "lpad(cast(o_custkey % 90000 as string), 5, '0') as dossier", "lpad(cast(o_orderkey % 90 as string), 2, '0') as part", "o_orderkey % 4 as k")
     o = o.selectExpr(
         "o_orderkey", "dossier", "case when k < 3 then 'DIA' else 'OTHER' end as kind", "case when k = 0 then array(concat(dossier, '.', part)) end as given",
-        "case when k < 2 then concat('Der Indikationscode ist: ', dossier, '.', part, '. Ende') else 'Kein Code' end as de", "case when k = 1 then concat('le code correspondant est&nbsp;: ', dossier, '.', part) end as fr",
+        # a text names its code in one of seven ways, three German, two French, two Italian
+        "case when k < 2 and o_orderkey div 4 % 7 < 3 then concat(element_at(array('Der Indikationscode ist: ', 'Dieser Code ist dem Krankenversicherer zu melden: ', 'Code zu &uuml;bermitteln ist: '), cast(o_orderkey div 4 % 7 + 1 as int)), dossier, '.', part, '. Ende') else 'Kein Code' end as de",
+        "case when k < 2 and o_orderkey div 4 % 7 in (3, 4) then concat(case o_orderkey div 4 % 7 when 3 then 'le code d''indication suivant: ' else 'le code correspondant est&nbsp;: ' end, dossier, '.', part) end as fr",
+        "case when k < 2 and o_orderkey div 4 % 7 > 4 then concat(case o_orderkey div 4 % 7 when 5 then 'il codice seguente: ' else 'All''assicuratore malattie: ' end, dossier, '.', part) end as it",
     )
-    return cd.assign_codes(o, "given", ["de", "fr"], "kind", "dossier").select("o_orderkey", "code_value", "code_source", "dossier_part", "indication_part")
+    return cd.assign_codes(o, "given", ["de", "fr", "it"], "kind", "dossier").select("o_orderkey", "code_value", "code_source", "dossier_part", "indication_part")
 
 
 HEADED = "concat('<b>', {}, '</b>', ' text of ', {}, ' with <b>inline</b> stress<br>', '<br>\n', '<b>UND</b> more<br/>', '<b>', {}, '</b>: body ', cast(p_size as string))"
@@ -181,12 +184,12 @@ def segment_split(spark, d):
 
 @query("""
 SELECT p_partkey, CAST(s AS INTEGER) AS segment_order,
-       CASE s WHEN 0 THEN p_name WHEN 1 THEN 'UND' ELSE p_brand END AS name_de, CASE WHEN s = 0 THEN p_type END AS name_fr
+       CASE s WHEN 0 THEN p_name WHEN 1 THEN 'UND' ELSE p_brand END AS name_de, CASE WHEN s = 0 THEN p_type END AS name_fr, CASE s WHEN 0 THEN p_brand WHEN 1 THEN p_type END AS name_it
 FROM part, (SELECT unnest([0, 1, 2]) AS s)""")
 def align_three(spark, d):
-    p = table(spark, d, "part").select("p_partkey", F.expr(headed("p_name", "p_type", "p_brand")).alias("de"), F.expr("concat('<b>', p_type, '</b> un texte')").alias("fr"))
-    out = p.select("p_partkey", F.posexplode(tx.aligned(tx.segments(F.col("de")).alias("de"), tx.segments(F.col("fr")).alias("fr"))).alias("segment_order", "s"))
-    return out.select("p_partkey", "segment_order", F.col("s.de.name").alias("name_de"), F.col("s.fr.name").alias("name_fr"))
+    p = table(spark, d, "part").select("p_partkey", F.expr(headed("p_name", "p_type", "p_brand")).alias("de"), F.expr("concat('<b>', p_type, '</b> un texte')").alias("fr"), F.expr("concat('<b>', p_brand, '</b> un testo<br><br>\n<b>', p_type, '</b> un altro')").alias("it"))
+    out = p.select("p_partkey", F.posexplode(tx.aligned(*[tx.segments(F.col(x)).alias(x) for x in ("de", "fr", "it")])).alias("segment_order", "s"))
+    return out.select("p_partkey", "segment_order", *[F.col(f"s.{x}.name").alias(f"name_{x}") for x in ("de", "fr", "it")])
 
 
 @query("SELECT p_partkey, p_name || ' | inline | UND | ' || p_brand AS names, CASE WHEN p_size % 2 = 0 THEN p_type END AS other FROM part")
