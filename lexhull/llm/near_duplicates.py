@@ -318,7 +318,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = cut(across(labelled.filter(F.col("n") <= SMALL)))
     large = labelled.filter(F.col("n") > SMALL)
     mixed = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    left = cut(large.join(mixed, "key", "left_semi").groupBy("id").agg(F.count("*").alias("n"), F.first("label").alias("label")).filter(F.col("n") >= LEAST_BANDS).select("id", "label"))
+    left = cut(spread_join(large, mixed, "key", hot).groupBy("id").agg(F.count("*").alias("n"), F.first("label").alias("label")).filter(F.col("n") >= LEAST_BANDS).select("id", "label"))
     needed = left.union(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(left, "id", "left_anti").withColumn("label", F.lit(None).cast("long")))
     sets = cut(sets_of(needed))
     if not left.isEmpty():
