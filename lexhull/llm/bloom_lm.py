@@ -217,7 +217,7 @@ def piece_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def ask(buckets: int, routed: bool) -> Callable:
-    """(group, text) in order of group to (bucket, group, kind, hashes): its distinct tokens (kind 1), and bigrams (kind 2) if these are routed."""
+    """(group, id, text) in order of group to (bucket, group, kind, hashes): its distinct tokens (kind 1), and bigrams (kind 2) if these are routed."""
 
     def questions(group: int, found: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for kind, parts in found.items():
@@ -228,14 +228,14 @@ def ask(buckets: int, routed: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, found = None, {}
-        for piece in tb.pieces(batches, 1):
+        for piece in tb.pieces(batches, 2):
             groups = piece.column(0).to_numpy()
             ends = np.r_[np.flatnonzero(groups[1:] != groups[:-1]) + 1, len(groups)]
             for s, e in zip(np.r_[0, ends[:-1]], ends):
                 if groups[s] != at:
                     yield from questions(at, found)
                     at, found = int(groups[s]), {}
-                hashes, _, _, pairs = piece_tokens(piece.column(1).slice(s, e - s))
+                hashes, _, _, pairs = piece_tokens(piece.column(2).slice(s, e - s))
                 for kind, grams in ((1, hashes), (2, pairs))[: 1 + routed]:
                     found.setdefault(kind, []).append(np.unique(grams))
         yield from questions(at, found)
@@ -311,10 +311,10 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
             filter_.bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
     sent = spark.sparkContext.broadcast((filter_.top, filter_.size, filter_.bits))
     kind = rows.schema["id"].dataType.simpleString()
-    # dealt out once: what asks and what is scored read the same exchange
+    # dealt out once: what asks and what is scored read the same exchange, as long as both take all of its columns
     grouped = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(groups)).alias("group"), "id", "text").repartition(partitions(spark), "group")
     none = F.lit(None)
-    asked = grouped.sortWithinPartitions("group").select("group", "text").mapInArrow(ask(buckets, routed), "bucket long, group long, kind int, hashes binary")
+    asked = grouped.sortWithinPartitions("group").mapInArrow(ask(buckets, routed), "bucket long, group long, kind int, hashes binary")
     asked = asked.select("bucket", "group", "kind", "hashes", none.cast("binary").alias("counts"), none.cast("int").alias("top"), none.cast("binary").alias("bits"))
     held = merged.select("bucket", none.cast("long").alias("group"), none.cast("int").alias("kind"), "hashes", "counts", "top", "bits" if routed else none.cast("binary").alias("bits"))
     meeting = asked.unionByName(held).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", F.col("group").isNotNull())
