@@ -256,6 +256,37 @@ def pack_parse(spark, d):
     return p.select("p_partkey", *[f"p.{c}" for c in "form_type container_count unit_count volume_per_unit volume_unit total_volume dose_count multiplier total_units is_alt annotation parse_confidence parse_pattern".split()])
 
 
+#: A description of each shape, A a number from 1 to 9 and B the part's size, and what it says: pattern, form, containers, units, volume, its unit, doses, all units, all volume.
+SHAPES = [
+    ("Blist A x B x 2 Stk", "P1_TRIPLE", "BLISTER", None, "2", None, None, None, "a * b * 2", None), ("Ds A x B x 2.5 ml", "P1_TRIPLE", "DISPENSER", None, None, "2.5", "ml", None, "a * b", "a * b * 2.5"),
+    ("Disp A x B Dosen", "P1B_FORM_MULT", "DISPENSER", None, None, None, None, "a * b", "a", None), ("Stick A x B Stk", "P1B_FORM_MULT", "SACHET", None, "b", None, None, None, "a * b", None),
+    ("A x B Fertspr", "P8B_MULT_FORM_BARE", "SYRINGE", "b", None, None, None, None, "a * b", None), ("A x Fl B ml", "P2_MULT_FORM_UNIT", "BOTTLE", "a", None, "b", "ml", None, "a", "a * b"),
+    ("A x Btl B Stk", "P2_MULT_FORM_UNIT", "SACHET", None, "b", None, None, None, "a * b", None), ("A x B g", "P3_MULT_UNIT", None, None, None, "b", "g", None, "a", "a * b"),
+    ("A x B Stk", "P3_MULT_UNIT", None, None, "b", None, None, None, "a * b", None), ("A Amp B ml", "P4_N_FORM_VOL", "AMPOULE", "a", None, "b", "ml", None, "a", "a * b"),
+    ("A Polybag B Stk", "P4_N_FORM_VOL", "BAG", "a", "b", None, None, None, "a * b", None), ("Durchstf B Stk", "P5_FORM_STK", "VIAL", "b", "b", None, None, None, "b", None),
+    ("Dosierspr B Dos", "P7_FORM_DOS", "METERED_SYRINGE", "1", None, None, None, "b", "1", None), ("Tb B g", "P6_FORM_VOL", "TUBE", "1", None, "b", "g", None, "1", "b"),
+    ("B Monodos", "P8_N_FORM", "MONODOSE", "b", None, None, None, None, "b", None), ("B ml zur Injektion", "P11_VOL_ZUR", None, None, None, "b", "ml", None, "1", "b"),
+    ("A B ml", "P10_N_N_UNIT", None, "a", None, "b", "ml", None, "a", "a * b"), ("B MBq", "P9_SIMPLE", None, None, None, "b", "MBq", None, "1", "b"),
+    ("B Monodos A Btl à 10 Stk", "P14_MONODOS_BTL", "MONODOSE", "b", "10", None, None, None, "b", None), ("Durchstf A Stk B ml", "P12_FORM_STK_VOL", "VIAL", "a", None, "b", "ml", None, "a", "a * b"),
+    ("A ml B Stk", "P13_VOL_STK", None, "b", None, "a", "ml", None, "b", "a * b"), ("Topf", "BARE_FORM", "JAR", "1", None, None, None, None, "1", None),
+]
+
+
+def sql_shapes() -> str:
+    pick = lambda i, wrap, kind: "CAST(CASE k " + " ".join(f"WHEN {n} THEN {wrap(row[i])}" for n, row in enumerate(SHAPES) if row[i] is not None) + f" END AS {kind})"
+    said, plain = (lambda v: f"'{v}'"), (lambda v: v)
+    columns = [("parse_pattern", 1, said, "VARCHAR"), ("form_type", 2, said, "VARCHAR"), ("container_count", 3, plain, "INTEGER"), ("unit_count", 4, plain, "INTEGER"), ("volume_per_unit", 5, plain, "DOUBLE"), ("volume_unit", 6, said, "VARCHAR"), ("dose_count", 7, plain, "INTEGER"), ("total_units", 8, plain, "INTEGER"), ("total_volume", 9, plain, "DOUBLE")]
+    return f"WITH p AS (SELECT p_partkey, p_partkey % {len(SHAPES)} AS k, p_partkey % 9 + 1 AS a, p_size AS b FROM part) SELECT p_partkey, " + ", ".join(f"{pick(i, wrap, kind)} AS {name}" for name, i, wrap, kind in columns) + " FROM p"
+
+
+@query(sql_shapes())
+def pack_shapes(spark, d):
+    said = [F.lit(row[0]) for row in SHAPES]
+    text = F.replace(F.replace(F.element_at(F.array(*said), F.expr(f"cast(p_partkey % {len(SHAPES)} + 1 as int)")), F.lit("A "), F.expr("concat(p_partkey % 9 + 1, ' ')")), F.lit("B "), F.expr("concat(p_size, ' ')"))
+    p = table(spark, d, "part").select("p_partkey", packs.parse_packs(text).alias("p"))
+    return p.select("p_partkey", *[f"p.{c}" for c in "parse_pattern form_type container_count unit_count volume_per_unit volume_unit dose_count total_units total_volume".split()])
+
+
 @query(f"""
 WITH {PACK_SQL}
 SELECT p_partkey, CASE p_partkey % 5 WHEN 4 THEN NULL ELSE CAST(p_partkey % 100 AS DOUBLE) + 0.25 END AS substance_qty,
