@@ -12,8 +12,8 @@ buckets of up to SMALL classes form them all, and the classes of larger buckets
 prefixes of their sets. Two sets of sizes n and m are linked only if they share need(n, m) shingles;
 in any order that is the same for all, a shared one is then among the first n - need(n, m) + 1 of
 the one and the first m - need(n, m) + 1 of the other. The order puts shingles first that only one
-component holds, which can't be shared, then the rarer ones, and a pair is also left out when too few
-shingles follow. Linked pairs agree in LEAST_BANDS bands or more (all but 4e-8 of those just linked), so
+component holds, which can't be shared, then the rarer ones. A pair is also left out when too few
+shingles follow, or when marks of their shingles (128 bits) show that too many differ; both are exact. Linked pairs agree in LEAST_BANDS bands or more (all but 4e-8 of those just linked), so
 classes in fewer large buckets take no part.
 
 Pairs pass the Jaccard estimate (share of equal registers, less those equal by chance) with a margin
@@ -194,14 +194,26 @@ def set_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.concatenate(grams))], names=["set", "label", "g"])
 
 
+def marks(g: np.ndarray, largest: int) -> tuple[int, int]:
+    """Two words of 64 bits, in which each shingle sets one; of sets much larger than these only a share of the shingles do, the same one for all."""
+    v = g.view(np.uint64)
+    v = v[(v >> np.uint64(8)) % np.uint64(max(1, -(-largest // 96))) == 0] & np.uint64(127)
+    words = [np.bitwise_or.reduce(np.uint64(1) << (part & np.uint64(63)), initial=np.uint64(0)) for part in (v[v < 64], v[v >= 64])]
+    return tuple(int(np.uint64(w).astype(np.int64)) for w in words)
+
+
+PREFIX = {"g": "long", "lo": "int", "hi": "int", "id": "long", "label": "long", "size": "long", "after": "long", "shared": "long", "m0": "long", "m1": "long"}
+
+
 def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, label, size, shared shingles, rarer ones first) to the rows that may meet a linked set: g, lo, hi, id, label, size, after.
+    """(id, label, size, shared shingles, rarer ones first) to the rows that may meet a linked set, with the columns of PREFIX.
 
     lo and hi are the steps of both sets' sizes, so that either side takes a prefix for just the
-    sizes it is compared with; after counts the shared shingles from this one on.
+    sizes it is compared with; after counts the shared shingles from this one on, shared all of them, and m0 and m1 are
+    their marks.
     """
     for batch in batches:
-        out: list[list] = [[], [], [], [], [], [], []]
+        out: list[list] = [[] for _ in PREFIX]
         for id_, label, size, shared in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3)):
             g = np.asarray(shared.values)
             own = size_step(size)
@@ -210,9 +222,13 @@ def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 least = max(step_floor(step), -(-size * PERCENT // 100))
                 take = len(g) - shared_need(size, least) + 1
                 if take > 0:
-                    for column, value in zip(out, (g[:take].tolist(), [min(own, step)] * take, [max(own, step)] * take, [id_] * take, [label] * take, [size] * take, range(len(g), len(g) - take, -1))):
-                        column.extend(value)
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["g", "lo", "hi", "id", "label", "size", "after"])
+                    lo, hi = min(own, step), max(own, step)
+                    same = (lo, hi, id_, label, size, len(g), *marks(g, step_floor(hi)))
+                    rows = [g[:take].tolist(), *[[v] * take for v in same]]
+                    rows.insert(6, range(len(g), len(g) - take, -1))
+                    for column, values in zip(out, rows):
+                        column.extend(values)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if t == "int" else pa.int64()) for c, t in zip(out, PREFIX.values())], names=list(PREFIX))
 
 
 def shared_need(n: int, m: int) -> int:
@@ -238,15 +254,18 @@ def left_pairs(sets: DataFrame) -> DataFrame:
     hot = shared.filter(F.col("n") * HOT >= total)
     listed = spread_join(shingles.select("set", "g"), shared, "g", hot).groupBy("set").agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
     listed = sets.select(own_key, "id", "label", "size").join(listed, "set").select("id", "label", "size", F.col("gs.g").alias("gs"))
-    prefix = cut(listed.mapInArrow(prefixes, "g long, lo int, hi int, id long, label long, size long, after long"))
+    prefix = cut(listed.mapInArrow(prefixes, ", ".join(f"{c} {t}" for c, t in PREFIX.items())))
     keys = ["g", "lo", "hi"]
     # the label that holds most of a key's sets meets the others, not itself
     main = prefix.groupBy(*keys, "label").count().groupBy(*keys).agg(F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")).filter("labels > 1").select(*keys, "main")
     mixed = cut(prefix.join(main, keys))
-    left = mixed.filter("label <> main").select(*keys, F.col("id").alias("x"), F.col("label").alias("label_x"), F.col("size").alias("size_x"), F.col("after").alias("after_x"))
+    left = mixed.filter("label <> main").select(*keys, *[F.col(c).alias(f"{c}_x") for c in PREFIX if c not in keys])
     need = F.ceil(PERCENT * (F.col("size_x") + F.col("size")) / (100 + PERCENT))
     near = (F.col("label_x") != F.col("label")) & (100 * F.least("size_x", "size") >= PERCENT * F.greatest("size_x", "size")) & (F.least("after_x", "after") >= need)
-    return left.join(mixed, keys).filter(near).select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+    # each mark of one set that the other lacks stands for a shingle at least that it lacks
+    lacks = lambda one, other: sum(F.bit_count(F.col(f"{m}{one}").bitwiseAND(F.bitwise_not(F.col(f"{m}{other}")))) for m in ("m0", "m1"))
+    near = near & (F.col("shared_x") - lacks("_x", "") >= need) & (F.col("shared") - lacks("", "_x") >= need)
+    return left.join(mixed, keys).filter(near).select(F.least("id_x", "id").alias("a"), F.greatest("id_x", "id").alias("b")).distinct()
 
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
