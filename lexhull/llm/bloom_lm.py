@@ -301,15 +301,17 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     n, v = total[0], total[1]
     whole = n + 0.5 * (v + 1)
     routed = total[2] * 8 > BROADCAST_BITS
-    filter_ = Levels(np.zeros(buckets, np.int64), np.zeros(buckets, np.int64), np.zeros(0, np.uint8))
+    laid = None
     if not routed:  # at most BROADCAST_BITS come to the driver, one slice at a time
+        top, size = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for r in merged.select("bucket", "top", F.octet_length("bits").alias("size")).toLocalIterator():
-            filter_.top[r["bucket"]], filter_.size[r["bucket"]] = r["top"], r["size"]
-        filter_ = Levels(filter_.top, filter_.size, np.zeros(total[2], np.uint8))
+            top[r["bucket"]], size[r["bucket"]] = r["top"], r["size"]
+        filter_ = Levels(top, size, np.zeros(total[2], np.uint8))
         for r in merged.select("bucket", "bits").toLocalIterator():
             at = filter_.start[r["bucket"]]
             filter_.bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
-    sent = spark.sparkContext.broadcast((filter_.top, filter_.size, filter_.bits))
+        laid = (top, size, filter_.bits)
+    sent = spark.sparkContext.broadcast(laid)
     kind = rows.schema["id"].dataType.simpleString()
     # dealt out once: what asks and what is scored read the same exchange, as long as both take all of its columns
     grouped = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(groups)).alias("group"), "id", "text").repartition(partitions(spark), "group")
