@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, near_duplicates, token_counts, vector_search, winnowing
+from . import bloom_lm, byte_bpe, conversation_repair, hard_negatives, hilbert, html_text, language_id, line_dedup, near_duplicates, scaled_sketch, token_counts, vector_search, winnowing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -152,6 +152,120 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 50 == 0, k=5)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.audit(conversation_repair.damaged(rows))
+    every = rows.select("conv_id").distinct()
+    met = every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return met.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", hex_sha(F.lit(""))).alias("repaired_sha256"))
+
+
+#: The checksum bit by bit; then, row by row, for each state the cheapest way as a string of its cost and edits, so that the least string is the best way.
+OP11_SQL = r"""
+WITH RECURSIVE ids AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ord(c) AS BIGINT)) AS bytes
+  FROM conversations),
+kinds AS (
+  SELECT conv_id, turn, role, text,
+         xor(4294967295, list_reduce(list_prepend(4294967295, bytes), lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda i: CAST(i AS BIGINT))), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 20 AS kind
+  FROM ids),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(generate_series(1, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, left(role, 1) AS ini,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n
+  FROM hurt),
+faults AS MATERIALIZED (
+  SELECT *, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 AS again,
+         lag(ini) OVER (PARTITION BY conv_id ORDER BY n) || ini AS two
+  FROM placed),
+steps AS MATERIALIZED (
+  SELECT *, blank OR again AS must, NOT (blank OR again) AND right(bare, 1) NOT IN ('.', '!', '?') AS short FROM faults),
+-- ways to each state: a string of five digits (the cost) and the edits, or null
+ways AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, '00000' AS w0, CAST(NULL AS VARCHAR) AS w1, CAST(NULL AS VARCHAR) AS w2, CAST(NULL AS VARCHAR) AS w3 FROM (SELECT DISTINCT conv_id FROM steps)
+  UNION ALL
+  SELECT conv_id, n,
+    list_min(list_transform(list_filter(opts, lambda o: o.t = 0), lambda o: o.w)), list_min(list_transform(list_filter(opts, lambda o: o.t = 1), lambda o: o.w)),
+    list_min(list_transform(list_filter(opts, lambda o: o.t = 2), lambda o: o.w)), list_min(list_transform(list_filter(opts, lambda o: o.t = 3), lambda o: o.w))
+  FROM (
+    SELECT conv_id, n, list_transform(
+      list_filter([
+        {'f': w0, 't': 0, 'c': 3, 'e': 'D', 'ok': true}, {'f': w1, 't': 1, 'c': 3, 'e': 'D', 'ok': true}, {'f': w2, 't': 2, 'c': 3, 'e': 'D', 'ok': true}, {'f': w3, 't': 3, 'c': 3, 'e': 'D', 'ok': true},
+        {'f': w0, 't': 1, 'c': 0 + x, 'e': 'K', 'ok': stays AND ini = 's'}, {'f': w0, 't': 2, 'c': 0 + x, 'e': 'K', 'ok': stays AND ini = 'u'}, {'f': w0, 't': 2, 'c': 2 + x, 'e': 'R', 'ok': stays},
+        {'f': w0, 't': 3, 'c': 2 + x, 'e': 'IK', 'ok': stays AND ini = 'a'}, {'f': w0, 't': 3, 'c': 4 + x, 'e': 'IR', 'ok': stays}, {'f': w0, 't': 2, 'c': 4 + x, 'e': 'IIK', 'ok': stays AND ini = 'u'},
+        {'f': w1, 't': 2, 'c': 0 + x, 'e': 'K', 'ok': stays AND ini = 'u'}, {'f': w1, 't': 2, 'c': 2 + x, 'e': 'R', 'ok': stays}, {'f': w1, 't': 3, 'c': 2 + x, 'e': 'IK', 'ok': stays AND ini = 'a'}, {'f': w1, 't': 3, 'c': 4 + x, 'e': 'IR', 'ok': stays},
+        {'f': w2, 't': 3, 'c': 0 + x, 'e': 'K', 'ok': stays AND ini = 'a'}, {'f': w2, 't': 3, 'c': 2 + x, 'e': 'R', 'ok': stays}, {'f': w2, 't': 2, 'c': 2 + x, 'e': 'IK', 'ok': stays AND ini = 'u'}, {'f': w2, 't': 2, 'c': 4 + x, 'e': 'IR', 'ok': stays},
+        {'f': w3, 't': 2, 'c': 0 + x, 'e': 'K', 'ok': stays AND ini = 'u'}, {'f': w3, 't': 2, 'c': 2 + x, 'e': 'R', 'ok': stays}, {'f': w3, 't': 3, 'c': 2 + x, 'e': 'IK', 'ok': stays AND ini = 'a'}, {'f': w3, 't': 3, 'c': 4 + x, 'e': 'IR', 'ok': stays}],
+        lambda o: o.ok AND o.f IS NOT NULL),
+      lambda o: {'t': o.t, 'w': lpad(CAST(CAST(left(o.f, 5) AS INTEGER) + o.c AS VARCHAR), 5, '0') || substr(o.f, 6) || o.e}) AS opts
+    FROM (SELECT w.conv_id, s.n, w0, w1, w2, w3, NOT s.must AS stays, s.ini, CAST(s.short AS INTEGER) AS x FROM ways w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.n = w.n + 1))),
+ends AS (
+  SELECT conv_id, list_min(list_filter([w0, w3,
+           lpad(CAST(CAST(left(w2, 5) AS INTEGER) + 2 AS VARCHAR), 5, '0') || substr(w2, 6) || 'I', lpad(CAST(CAST(left(w1, 5) AS INTEGER) + 4 AS VARCHAR), 5, '0') || substr(w1, 6) || 'II'], lambda w: w IS NOT NULL)) AS w
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) AS back FROM ways) WHERE back = 1),
+edits AS (
+  SELECT conv_id, e, i, sum(CAST(e <> 'I' AS INTEGER)) OVER (PARTITION BY conv_id ORDER BY i) AS n
+  FROM (SELECT conv_id, unnest(string_split(substr(w, 6), '')) AS e, generate_subscripts(string_split(substr(w, 6), ''), 1) AS i FROM ends)),
+stay AS (
+  SELECT d.conv_id, d.e, d.i, s.role, s.text, row_number() OVER (PARTITION BY d.conv_id ORDER BY d.i) AS j, max(CAST(d.e = 'K' AND s.ini = 's' AS INTEGER)) OVER (PARTITION BY d.conv_id) AS sys
+  FROM edits d LEFT JOIN steps s ON d.conv_id IS NOT DISTINCT FROM s.conv_id AND d.n = s.n AND d.e <> 'I' WHERE d.e IN ('K', 'R', 'I')),
+text_of AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (j - sys) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY i)) AS sha
+  FROM stay GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate,
+         count(*) FILTER (WHERE short) AS truncated, count(*) FILTER (WHERE two NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM steps GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(CAST(left(w, 5) AS INTEGER), 0) AS BIGINT) AS cost, coalesce(substr(w, 6), '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN text_of t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label")), lambda i: i % 100 == 0)
+
+
+#: Every anchor meets every row.
+OP12_SQL = """
+WITH rows AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM rows a JOIN rows r ON r.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 5
+"""
+
+
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = scaled_sketch.edited_and_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, edited, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return made.select(
+        "doc_id", "n_chars", hex_sha(F.col("edited")).alias("edited_sha256"), scaled_sketch.written(own).alias("fingerprint"), scaled_sketch.written(edited).alias("edited_fingerprint"),
+        scaled_sketch.containment(own, edited).alias("near_edited"), scaled_sketch.containment(own, after).alias("near_next"),
+        scaled_sketch.resemblance(own, edited).alias("resemblance_edited"), scaled_sketch.resemblance(own, after).alias("resemblance_next"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -164,8 +278,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": op8_benchmark_decontamination,
         "op9_hilbert_sharding": op9_hilbert_sharding,
         "op10_nearest_neighbours": op10_nearest_neighbours,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_hard_negatives": op12_hard_negatives,
+        "op13_document_fingerprints": op13_document_fingerprints,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op8_benchmark_decontamination": OP8_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op8_benchmark_decontamination": OP8_SQL, "op11_conversation_repair": OP11_SQL, "op12_hard_negatives": OP12_SQL}
