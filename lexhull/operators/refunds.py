@@ -6,6 +6,10 @@ repetition. So no text, however long, can exhaust the stack of Java's regex engi
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,14 +34,36 @@ def either(text: Column, patterns: list[str], flags: str = ANY) -> Column:
     return text.rlike(flags + "(?:" + "|".join(patterns) + ")")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def first_in_runs(text: Column, word: str, pattern: str, sign: str) -> Column:
     """The pattern's group in the first run of name characters that holds the word and matches.
 
     sign is a short stretch that every match holds; runs without it, in which the pattern would be
     tried in vain from every character, are left out.
     """
-    runs = F.filter(F.split(text, rf"[^{rules.NAME_CLASS}\s]+"), lambda r: F.lower(r).contains(word) & r.rlike(sign))
-    return F.when(F.lower(text).contains(word), F.get(F.filter(F.transform(runs, lambda r: F.regexp_extract(r, pattern, 1)), lambda c: c != ""), F.lit(0)))
+    # a run is read from its first character only, once
+    whole = rf"{ANY}(?<![{rules.NAME_CLASS}\s])[{rules.NAME_CLASS}\s]*?{word}[{rules.NAME_CLASS}\s]*"
+    runs = F.filter(F.regexp_extract_all(text, F.lit(whole), F.lit(0)), lambda r: r.rlike(sign))
+    return F.get(F.filter(F.transform(runs, lambda r: F.regexp_extract(r, pattern, 1)), lambda c: c != ""), F.lit(0))
+
+
+def from_word(text: Column, word: str) -> Column:
+    """The text from the first place of a word, in any case, to its end; null without the word."""
+    return F.nullif(F.regexp_extract(text, rf"(?siu){word}.*", 0), F.lit(""))
+
+
+def run_of_word(text: Column, word: str) -> Column:
+    """The text from the run of name characters on in which a word first stands, in any case; empty without the word."""
+
+    def cut(rest: Column) -> Column:
+        before = F.substring(text, F.lit(1), F.length(text) - F.length(rest))
+        return F.concat(F.reverse(F.regexp_extract(F.reverse(before), rf"^[{rules.NAME_CLASS}\s]*", 0)), rest)
+
+    return F.when(text.isNotNull(), F.coalesce(bound(from_word(text, word), cut), F.lit("")))
 
 
 def billed_company(text: Column) -> Column:
@@ -49,16 +75,19 @@ def billed_company(text: Column) -> Column:
 
 def detect(text: Column) -> Column:
     """struct<is_cashback, company, pattern>: the first detector of the cascade that fires."""
-    names = F.array(F.struct(first_in_runs(text, "rembours", PAYS, PAYS_SIGN).alias("pays"), first_in_runs(text, "rembours", PAID_BY, ANY + r"remboursé(?:s|e|es)?\s+par\s").alias("paid"), billed_company(text).alias("billed")))
+    paid_sign = ANY + r"remboursé(?:s|e|es)?\s+par\s"
+    # what begins with a word is looked for from the word's first place on
+    places = F.struct(run_of_word(text, "rembours").alias("run"), from_word(text, "titulaire").alias("holder"), from_word(text, "rembourse").alias("verb"))
+    names = lambda x: F.struct(x.alias("x"), first_in_runs(x["run"], "rembours", PAYS, PAYS_SIGN).alias("pays"), first_in_runs(x["run"], "rembours", PAID_BY, paid_sign).alias("paid"), billed_company(text).alias("billed"))
 
     def decide(n: Column) -> Column:
         found = F.when(n["pays"].isNotNull(), "company_rembourse").when(n["paid"].isNotNull(), "rembourse_par").when(n["billed"].isNotNull(), "assureur_facture")
-        found = found.when(text.rlike(ANY + rules.HOLDER), "titulaire_rembourse").when(text.rlike(ANY + rules.TO_INSURER), "rembourse_assurance")
+        found = found.when(n["x"]["holder"].rlike(ANY + rules.HOLDER), "titulaire_rembourse").when(n["x"]["verb"].rlike(ANY + rules.TO_INSURER), "rembourse_assurance")
         for name, pattern in rules.WEAKER:
-            found = found.when(text.rlike(ANY + pattern), name)
+            found = found.when(n["x"]["verb"].rlike(ANY + pattern), name)
         return F.struct(found.isNotNull().alias("is_cashback"), tx.strip(F.coalesce(n["pays"], n["paid"], n["billed"])).alias("company"), found.alias("pattern"))
 
-    return F.transform(names, decide)[0]
+    return bound(bound(places, names), decide)
 
 
 def no_refund_phrase(text: Column) -> Column:
@@ -183,32 +212,59 @@ def number(word: Column) -> Column:
     return F.coalesce(F.try_element_at(known, low), F.when(low.rlike(r"^\d+$"), low.try_cast("int")))
 
 
-#: Each threshold pattern needs one of these.
-THRESHOLD_SIGNS = r"mois|semaine|jour|cycle|paquet|emballage|bo[îi]te|flacon|par\s+an|plafond|unique|administration|dose|besoin|ligne|progression|rechute|r[ée]cidive|(?:/|par\s+)j"
+def number_pattern() -> str:
+    """A number in digits or words, as one group; look-aheads spare most places the many alternatives."""
+    longest_first = sorted(rules.NUMBER_WORDS, key=len, reverse=True)
+    told = [w for w in longest_first if w[0].isalpha()]
+    return rf"(\d+|(?=[{''.join(sorted({w[0] for w in told}))}])(?:{'|'.join(told)})|(?=\d)(?:{'|'.join(w for w in longest_first if not w[0].isalpha())}))"
+
+
+def anchored(text: Column, there: Column, anchor: str, reach: int = rules.THRESHOLD_REACH) -> Column:
+    """array<string>: the stretch around each place of an anchor, from the place before to the next one, and no further than a match can reach.
+
+    A match holds the anchor just once, so it lies in the stretch of its own place; the first stretch
+    with a match has the text's first match. there tells whether the anchor stands in the text at all.
+    """
+    alone = "|" not in anchor  # one word can be cut out and put back, which is quicker than looking ahead at every place
+
+    def around(parts: Column) -> Column:
+        def pair(part: Column, i: Column) -> Column:
+            before = F.get(parts, i)
+            near = [F.substring(before, F.greatest(F.length(before) - reach + 1, F.lit(1)), F.lit(reach)), F.substring(part, 1, reach)]
+            whole = [before, part]
+            if alone:
+                near.insert(1, F.lit(anchor))
+                whole.insert(1, F.lit(anchor))
+            # what a match can't be without when it reaches further
+            return bound(F.concat(*near), lambda x: F.when(x.rlike(rules.LONG_RUNS), F.concat(*whole)).otherwise(x))
+
+        return F.transform(F.slice(parts, F.lit(2), F.size(parts) - 1), pair)
+
+    # a mark, so that no text begins with its anchor
+    parts = F.split(F.concat(F.lit("\u0001"), text), anchor if alone else f"(?={anchor})")
+    return F.when(there, bound(parts, around)).otherwise(F.array().cast("array<string>"))
 
 
 def thresholds(text: Column) -> Column:
     """array<struct<type, value, unit, match>>: the first match of each threshold pattern not near a deadline for asking.
 
-    Texts without any sign of a threshold meet one pattern only; the others meet each pattern once,
-    and value, place and unit are read from what it matched.
+    Each anchor is looked for once a text; a pattern meets the stretches around its own anchor only. Value,
+    place and unit are read from what it matched.
     """
     low = F.lower(text)
-    # of the words that begin with a digit, only these two don't end as digits and an ending
-    words = "|".join(sorted((w for w in rules.NUMBER_WORDS if w[0].isalpha()), key=len, reverse=True))
-    # the look-ahead spares most places the many alternatives
-    n = rf"(\d+|(?=[{''.join(sorted({w[0] for w in rules.NUMBER_WORDS if w[0].isalpha()}))}])(?:{words})|1er|1ère)"
+    n = number_pattern()
     nth = n + "(?:e|[èé]me|ème|eme)?"
     deadline = tx.FLAGS + "(?:" + "|".join(rules.DEADLINES) + ")"
+    full = lambda pattern: tx.FLAGS + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth)
+    matcher = lambda p: lambda s: F.regexp_extract(s, p, 0)
+    anchors = {a: f"a{i}" for i, a in enumerate(dict.fromkeys(rules.THRESHOLD_ANCHORS.values()))}
 
-    def every(t: Column) -> Column:
+    def every(around: Column) -> Column:
+        """The first match of each pattern, in the order of the patterns."""
         found = []
-        for kind, pattern, has_value in rules.THRESHOLDS:
-            p = tx.FLAGS + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth)
-            hit = F.regexp_extract(t, p, 0)
-            if pattern[0] == "N":  # what follows the number is rarer than numbers, and quicker to look for
-                hit = F.when(t.rlike(tx.FLAGS + pattern.removeprefix("N")), hit).otherwise("")
-            found.append(F.struct(F.lit(kind).alias("type"), hit.alias("match")))
+        for kind, pattern, _ in rules.THRESHOLDS:
+            hits = F.transform(around[anchors[rules.THRESHOLD_ANCHORS[kind]]], matcher(full(pattern)))
+            found.append(F.struct(F.lit(kind).alias("type"), F.get(F.filter(hits, lambda h: h != ""), F.lit(0)).alias("match")))
         return F.array(*found)
 
     def read(x: Column, t: Column) -> Column:
@@ -218,7 +274,7 @@ def thresholds(text: Column) -> Column:
         value = None
         for kind, pattern, has_value in rules.THRESHOLDS:
             if has_value:
-                own = number(F.regexp_extract(x["match"], tx.FLAGS + pattern.replace("NTH", "\0").replace("N", n).replace("\0", nth), 1))
+                own = number(F.regexp_extract(x["match"], full(pattern), 1))
                 value = F.when(x["type"] == kind, own) if value is None else value.when(x["type"] == kind, own)
         unit = None
         for u, marks in rules.THRESHOLD_UNITS:
@@ -226,12 +282,16 @@ def thresholds(text: Column) -> Column:
             unit = F.when(test, u) if unit is None else unit.when(test, u)
         return F.when(~around.rlike(deadline), F.struct(x["type"].alias("type"), value.alias("value"), unit.alias("unit"), x["match"].alias("match")))
 
-    def whole(t: Column) -> Column:
-        hits = F.filter(every(t), lambda x: x["match"] != "")
-        return F.filter(F.transform(hits, lambda x: read(x, t)), lambda x: x.isNotNull())
+    def whole(x: Column) -> Column:
+        there = lambda a: reduce(or_, [x["has"][words[w]] for w in a.split("|")])
+        # without an anchor the text is the only stretch
+        around = F.struct(*[(anchored(x["t"], there(a), a) if a else F.array(x["t"])).alias(name) for a, name in anchors.items()])
+        hits = F.filter(bound(around, every), lambda h: h["match"].isNotNull())
+        return F.filter(F.transform(hits, lambda h: read(h, x["t"])), lambda h: h.isNotNull())
 
-    empty = F.array().cast("array<struct<type:string,value:int,unit:string,match:string>>")
-    return F.when(text.isNull(), None).when(low.rlike(tx.FLAGS + THRESHOLD_SIGNS), F.transform(F.array(low), whole)[0]).otherwise(empty)
+    words = {w: f"w{i}" for i, w in enumerate(dict.fromkeys(w for a in anchors for w in a.split("|") if w))}
+    looked = lambda t: F.struct(t.alias("t"), F.struct(*[F.contains(t, F.lit(w)).alias(name) for w, name in words.items()]).alias("has"))
+    return F.when(text.isNotNull(), bound(bound(low, looked), whole))
 
 
 def primary_threshold(found: Column) -> Column:

@@ -339,7 +339,8 @@ BOUNDED = [
     "période de V jours", "V jours suivant", "dans les V jours", "ne se poursuit pas au-delà de V semaines", "cure de V cycles", "par année civile", "V flacons par an", "maximum de V emballages", "plafond de V", "> V cycles",
     "jusqu'à V boîtes", "les premiers V mois", "au cours des V premiers mois", "V semaines suivant le début", "montant forfaitaire unique", "forfait unique", "V cycles de chimiothérapie", "après V administrations",
     "V boîtes au total", "les V premiers mois gratuits", "dose supérieure à V", "si le patient a besoin de plus de V", "à partir de V mg par jour", "après échec de V lignes de traitement", "en cas de progression", "en cas de récidive",
-    "V flacons par patient et par an", "après V jours de traitement", "la demande de remboursement dans les V jours", "rien",
+    "V flacons par patient et par an", "après V jours de traitement", "la demande de remboursement dans les V jours", "après 3ème mois", "au moins 2e cycles", "durant 1ère semaine, puis après 12e jours de traitement",
+    "après          V          mois", "plus de 00000000000000V jours", "> V mois ; après V mois ; pendant V mois", "rien",
 ]
 STATED = [
     "Au-delà d'une durée de V mois, elle rembourse tout.", "À partir du Ve mois la firme restitue la part.", "Pour chaque boîte la firme rembourse V francs.", "Sur première demande de l'assureur-maladie, elle rembourse V francs.",

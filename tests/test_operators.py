@@ -236,3 +236,38 @@ def test_reports(spark):
     assert sorted(tuple(r) for r in reports.joined_list(df, ["k"], "v", "all", " | ").collect()) == [(1, "a | b"), (2, "a")]
     assert tuple(reports.coverage(df.limit(0), a=F.col("k") == 1).first()) == (0, 0, 0.0)
     assert [r["k"] for r in reports.keys_having(df, "k", rows=1).collect()] == [2]
+
+
+def test_thresholds_around_their_anchors_are_those_of_whole_texts(spark):
+    """Each pattern tried on the whole text, in Python, gives the same matches."""
+    import random
+    import re
+
+    from lexhull.operators import refunds
+    from lexhull.rules import refunds as rules
+
+    rng = random.Random(4)
+    words = "|".join(map(re.escape, sorted(rules.NUMBER_WORDS, key=len, reverse=True)))
+    said = ["après 3ème mois", "au moins 2e cycles", "dès le premier flacon", "5 flacons par patient et par an", "les premiers deux mois", "jusqu'à 3 boîtes", "maximum de 4 emballages", "par année", "rechute", "forfait unique", "mois", "jour", "partir", "à partir du 3e", "flacon",
+            "traitement de", "12 jours après", "si le patient a besoin de plus de 3", "récidive", "durée", "de thérapie de trois mois", "à", "plus de", "deux", "semaines", "> 3 cycles", "au-delà de dix cycles", " " * 300, "\n", "7" * 260, "la demande de remboursement", "mot " * 50]
+    texts = ["", "mois", "après 2 mois", *[" ".join(rng.choice(said) for _ in range(rng.randrange(1, 14))) for _ in range(250)]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = {r["id"]: [(x["type"], x["match"]) for x in r["t"]] for r in df.select("id", refunds.thresholds(F.col("text")).alias("t")).collect()}
+    for i, text in enumerate(texts):
+        low, want = text.lower(), []
+        for kind, pattern, _ in rules.THRESHOLDS:
+            n = rf"(\d+|{words})"
+            m = re.search(pattern.replace("NTH", "\0").replace("N", n).replace("\0", n + "(?:e|[èé]me|ème|eme)?"), low)
+            near = low[max(0, m.start() - 150) : m.end() + 150] if m else ""
+            if m and not any(re.search(p, near) for p in rules.DEADLINES):
+                want.append((kind, m.group(0)))
+        assert got[i] == want, text
+
+
+def test_detection_from_the_place_of_its_words(spark):
+    from lexhull.operators import refunds
+
+    texts = ["Alpha Beta SA, puis. Gamma Delta AG rembourse 3 % du prix", "rembourse. Le titulaire rembourse", "Example Rembourse Pharma SA rembourse", "TITULAIRE restitue", "", None, "x" * 70000 + " On REMBOURSE complètement", "facture Remboursés par Muster Example GmbH."]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = [tuple(r) for r in df.select("id", refunds.detect(F.col("text")).alias("f")).select("f.is_cashback", "f.company", "f.pattern").collect()]
+    assert got == [(True, "Gamma Delta AG", "company_rembourse"), (True, None, "titulaire_rembourse"), (True, "Example Rembourse Pharma SA", "company_rembourse"), (True, None, "titulaire_rembourse"), (False, None, None), (False, None, None), (True, None, "full_refund"), (True, "Muster Example GmbH", "rembourse_par")]
