@@ -271,11 +271,12 @@ def thresholds(text: Column) -> Column:
         """The entry of one match; the first place of the matched words is that of the match."""
         at, size = F.call_function("locate", x["match"], t), F.length(x["match"])
         around = F.substring(t, F.greatest(at - rules.DEADLINE_REACH, F.lit(1)), size + rules.DEADLINE_REACH + F.least(at - 1, F.lit(rules.DEADLINE_REACH)))
-        value = None
+        told = None
         for kind, pattern, has_value in rules.THRESHOLDS:
             if has_value:
-                own = number(F.regexp_extract(x["match"], full(pattern), 1))
-                value = F.when(x["type"] == kind, own) if value is None else value.when(x["type"] == kind, own)
+                own = F.regexp_extract(x["match"], full(pattern), 1)
+                told = F.when(x["type"] == kind, own) if told is None else told.when(x["type"] == kind, own)
+        value = number(told)
         unit = None
         for u, marks in rules.THRESHOLD_UNITS:
             test = x["match"].rlike("|".join(marks))
