@@ -119,14 +119,14 @@ def edited_and_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = F.col(f"`{id_col}`").cast("long")
     # ids that are null can't be joined on; the hash tells them from 0
     rows = docs.select(F.coalesce(given, F.lit(0).cast("long")).alias("i"), F.xxhash64(given.isNull(), text).alias("k"), given.alias("id"), text.alias("text"))
-    sketched = cut(rows.select("i", "k", "id", F.char_length("text").cast("long").alias("chars"), sketch(F.col("text"), n, scale).alias("sketch")))
-    keys = sketched.groupBy("id", "k").agg(F.first("chars").alias("chars"))
-    asked = before_each(keys, "id", "k", "chars").select(F.coalesce("id", F.lit(0).cast("long")).alias("i"), "k", F.coalesce("asker.id", F.lit(0).cast("long")).alias("ask_i"), F.col("asker.k").alias("ask_k"), F.expr("asker.chars div 3").cast("int").alias("reach"))
-    own = sketched.groupBy("i", "k").agg(F.first("id").alias("id"), F.first("chars").alias("chars"), F.first("sketch").alias("sketch"))
+    keys = rows.groupBy("id", "k").agg(F.first(F.char_length("text").cast("long")).alias("chars"))
+    asked = before_each(keys, "id", "k", "chars").select(F.coalesce("id", F.lit(0).cast("long")).alias("i"), "k", F.coalesce("asker.id", F.lit(0).cast("long")).alias("ask_i"), F.col("asker.k").alias("ask_k"), F.col("asker.id").isNull().alias("nameless"), F.expr("asker.chars div 3").cast("int").alias("reach"))
+    # texts are dealt out once, by their keys; what is given away holds a third of them at most
     dealt = rows.select("i", "k", "text")
-    given_away = dealt.join(asked.join(own.select("i", "k", "sketch"), ["i", "k"]).hint("shuffle_hash"), ["i", "k"])
-    given_away = given_away.select(F.col("ask_i").alias("i"), F.col("ask_k").alias("k"), F.expr("substring(text, 1, reach)").alias("patch"), F.col("sketch").alias("next_sketch"))
-    patches = given_away.groupBy("i", "k").agg(F.first("patch").alias("patch"), F.first("next_sketch").alias("next_sketch"))
-    met = dealt.join(patches.join(own, ["i", "k"]).hint("shuffle_hash"), ["i", "k"])
+    given_away = dealt.join(asked.hint("shuffle_hash"), ["i", "k"])
+    given_away = given_away.select(F.col("ask_i").alias("i"), F.col("ask_k").alias("k"), "nameless", F.expr("substring(text, 1, reach)").alias("patch"), sketch(F.col("text"), n, scale).alias("next_sketch"))
+    patches = given_away.groupBy("i", "k").agg(F.first("nameless").alias("nameless"), F.first("patch").alias("patch"), F.first("next_sketch").alias("next_sketch"))
+    met = dealt.join(patches.hint("shuffle_hash"), ["i", "k"]).withColumn("chars", F.char_length("text").cast("long"))
     edited = F.concat(F.expr("substring(text, 1, cast(chars - chars div 3 as int))"), F.col("patch"))
-    return met.select(F.col("id").alias(id_col), F.col("chars").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch").withColumn("edited_sketch", sketch(F.col("edited"), n, scale))
+    met = met.select(F.when(~F.col("nameless"), F.col("i")).alias(id_col), F.col("chars").alias("n_chars"), edited.alias("edited"), sketch(F.col("text"), n, scale).alias("sketch"), "next_sketch")
+    return met.withColumn("edited_sketch", sketch(F.col("edited"), n, scale))
