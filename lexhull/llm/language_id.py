@@ -6,8 +6,8 @@ probability per language. A convolution over bytes is a sum of table rows, one t
 place in the filter, so applying the network to a window is a few gathers and a maximum. The
 windows of a text cover all of it; their log-probabilities, weighted by length, are averaged.
 
-The network is trained on the driver, on windows drawn from whole texts of a sample of at most
-TRAIN_ROWS labelled rows (those of smallest id hash); everything else runs over all rows on the workers.
+The network is trained on the driver, on all windows of a sample of labelled rows: those of smallest id hash, at most
+TRAIN_ROWS of them and with at most TRAIN_WINDOWS windows; everything else runs over all rows on the workers.
 """
 from __future__ import annotations
 
@@ -24,8 +24,8 @@ from .frames import cut, hash_sample, row_key, without
 WINDOW = 256
 #: Widths of the filters and filters of each width.
 WIDTHS, FILTERS = (2, 3, 4), 16
-#: Bounds of the training sample: rows, windows of a row.
-TRAIN_ROWS, ROW_WINDOWS = 4000, 4
+#: Bounds of the training sample: rows, and windows of all of them together.
+TRAIN_ROWS, TRAIN_WINDOWS = 4000, 1 << 17
 STEPS, BATCH, RATE = 600, 128, 0.01
 UNKNOWN = "und"
 #: Fixed value: digits, punctuation and white space of ASCII all look the same to the network, and case is folded.
@@ -112,42 +112,46 @@ class Network:
                 q -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
 
 
-def drawn_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, text) to (label, window): of each text at most ROW_WINDOWS windows, evenly spaced over all of it."""
+def all_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, text) to (label, window) for each window of each text."""
     for piece in tb.pieces(batches, 1):
-        x, row, held = windows(*tb.column_bytes(piece.column(1)))
-        each = np.bincount(row, minlength=piece.num_rows)
-        nth = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-        # the n-th window is drawn when another of the ROW_WINDOWS marks lies in it
-        share = np.minimum(ROW_WINDOWS, each)[row]
-        drawn = (nth + 1) * share // each[row] > nth * share // each[row]
-        # a last window that is mostly padding teaches little, unless it is the only one
-        drawn &= (held >= WINDOW // 4) | (each[row] == 1)
-        yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(row[drawn])), pa.array([w.tobytes() for w in x[drawn]], pa.binary())], names=["y", "x"])
-
-
-def learn(labelled: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS) -> Network | None:
-    """A network trained on at most `rows` labelled rows with a letter, those of smallest id hash; None without any.
-
-    Of each of these texts at most ROW_WINDOWS windows are learnt from, spaced evenly from its
-    first byte to its last. Windows are drawn on the workers, so long texts stay there. Rows with a
-    null id are not learnt from.
+        x, row, _ = windows(*tb.column_bytes(piece.column(1)))
+        yield pa.RecordBatch.from_arrays([piece.column(0).take(pa.array(row)), pa.array([w.tobytes() for w in x], pa.binary())], names=["y", "x"])
+
+
+def learn(labelled: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = TRAIN_ROWS, most: int = TRAIN_WINDOWS) -> Network | None:
+    """A network trained on a sample of the labelled rows with a letter; None without any.
+
+    The sample takes rows by their id hash, `rows` at most, and leaves out those that would bring it above `most` windows; what is taken is
+    learnt from as a whole, every window of it. Rows that repeat are learnt from once, rows with a null id not at all.
     """
     labelled = labelled.filter(F.col(label_col).isNotNull())
     keys = [F.col(id_col).alias("i"), row_key(id_col, text_col).alias("k"), F.col(label_col).cast("string").alias("y")]
-    held = labelled.filter(F.col(text_col).rlike(r"\p{L}")).select(*keys)
-    chosen = cut(hash_sample(held, "i", rows, labelled.count()).distinct())
+    held = labelled.filter(F.col(text_col).rlike(r"\p{L}")).select(*keys, F.ceil(F.octet_length(text_col) / WINDOW).cast("long").alias("n"))
+    # one small row for each of the rows of the sample
+    sample = hash_sample(held, "i", rows, labelled.count()).distinct().withColumn("h", F.xxhash64("i", "k", "y")).orderBy("h", "k", "y").collect()
+    taken, total = [], 0
+    for r in sample:
+        if r["i"] is not None and total + r["n"] <= most:
+            taken.append((r["i"], r["k"], r["y"]))
+            total += r["n"]
+    if not taken:
+        return None
+    kinds = {f.name: f.dataType.simpleString() for f in held.schema.fields}
+    chosen = labelled.sparkSession.createDataFrame(taken, ", ".join(f"{c} {kinds[c]}" for c in ("i", "k", "y")))
     texts = labelled.select(*keys, F.col(text_col).alias("x")).join(F.broadcast(chosen), ["i", "k", "y"]).dropDuplicates(["i", "k", "y"])
-    drawn = texts.select("y", "x").mapInArrow(drawn_windows, "y string, x binary").toArrow()
+    drawn = texts.select("y", "x").mapInArrow(all_windows, "y string, x binary").toArrow()
     if not drawn.num_rows:
         return None
-    sample = sorted(zip(drawn.column("y").to_pylist(), drawn.column("x").to_pylist()))
-    labels = sorted({y for y, _ in sample})
-    x = np.frombuffer(b"".join(w for _, w in sample), np.uint8).reshape(-1, WINDOW)
-    number = np.array([labels.index(y) for y, _ in sample])
+    # in an order that doesn't depend on the tasks
+    label, bytes_ = drawn.column("y").to_pylist(), drawn.column("x").to_pylist()
+    labels = sorted(set(label))
+    number = np.array([labels.index(y) for y in label])
+    x = np.frombuffer(b"".join(bytes_), np.uint8).reshape(-1, WINDOW)
+    order = np.lexsort((*x.view(">u8").T[::-1], number))
     network = Network(labels)
     if len(labels) > 1:
-        network.train(x, number)
+        network.train(x[order], number[order])
     return network
 
 
