@@ -13,8 +13,8 @@ prefixes of their sets. Two sets of sizes n and m are linked only if they share
 in any order that is the same for all, a shared one is then among the first n - need(n, m) + 1 of
 the one and the first m - need(n, m) + 1 of the other. The order puts shingles first that only one
 component holds, which can't be shared, then the rarer ones. A pair is also left out when too few
-shingles follow, or when marks of their shingles (128 bits) show that too many differ; both are exact. Linked pairs agree in LEAST_BANDS bands or more (all but 4e-8 of those just linked), so
-classes in fewer large buckets take no part.
+shingles follow, or when marks of their shingles (128 bits) show that too many differ; both are exact.
+A class takes part in this if any one of its large buckets holds another component.
 
 Pairs pass the Jaccard estimate (share of equal registers, less those equal by chance) with a margin
 of several standard deviations, then the full shingle sets decide. Components come from the links by
@@ -37,8 +37,8 @@ SHINGLE = 5
 #: Links need 100 * shared >= PERCENT * union.
 PERCENT = 75
 REGISTERS, MANTISSA = 64, 10
-#: Registers in a band; classes in a bucket up to which all pairs across components are formed; bands that a linked pair shares.
-BAND, SMALL, LEAST_BANDS = 2, 16, 4
+#: Registers in a band; classes in a bucket up to which all pairs across components are formed.
+BAND, SMALL = 2, 16
 #: Sizes of sets are compared by steps, each this much larger than the one below.
 STEP = 1.06
 #: Standard deviations by which an estimate may fall short before a pair is given up.
@@ -298,7 +298,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     SHINGLE words, a shorter text is one shingle. Documents are linked when their sets reach
     PERCENT; component_id is the smallest id reachable and kept marks the row that holds it.
 
-    Buckets of any size lose no link (see the module). Null, empty and blank texts have no shingles and are their own component. Rows that repeat
+    Buckets of any size lose no link (see the module); what the method itself may miss is a pair that agrees in no band (3e-12 of the pairs
+    just at the threshold). Null, empty and blank texts have no shingles and are their own component. Rows that repeat
     an id are one document, linked through any of their texts. Rows with a null id are never
     linked, have a null component and are kept. Other input columns are ignored; an empty table
     gives an empty table. Ids must be integers.
@@ -337,7 +338,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = cut(across(labelled.filter(F.col("n") <= SMALL)))
     large = labelled.filter(F.col("n") > SMALL)
     mixed = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    left = cut(spread_join(large, mixed, "key", hot).groupBy("id").agg(F.count("*").alias("n"), F.first("label").alias("label")).filter(F.col("n") >= LEAST_BANDS).select("id", "label"))
+    left = cut(spread_join(large, mixed, "key", hot).groupBy("id").agg(F.first("label").alias("label")))
     needed = left.union(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct().join(left, "id", "left_anti").withColumn("label", F.lit(None).cast("long")))
     sets = cut(sets_of(needed))
     if not left.isEmpty():
