@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 from difflib import SequenceMatcher
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -179,22 +180,41 @@ def indication_part(code: Column) -> Column:
     return F.when(code.contains("."), F.split(code, r"\.")[1]).otherwise(code)
 
 
-def keyed_layer(names: DataFrame, known: DataFrame, same: tuple[str, float], cross: tuple[str, float], rank: int) -> DataFrame:
-    """Candidates by a shared key: of the same dossier, else of any when their indication part is unique.
+#: Layers of the cascade that look a form of the name up among the known names: rank of a match of the own dossier (one of another
+#: dossier ranks next), form, kind of known names, and the type and score of either match. Types and scores.
+KEYED_LAYERS = [
+    (10, "norm", "single", ("NORMALIZED_MATCH", 1.0), ("NORMALIZED_CROSS", 0.95)),
+    (20, "norm", "piece", ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90)),
+    (30, "combined", "piece", ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90)),
+    (40, "rewritten", "brand", ("KOMBI_NORMALIZED", 0.90), ("KOMBI_CROSS", 0.85)),
+    (50, "brand", "brand", ("BRAND_NORMALIZED", 0.9), ("BRAND_CROSS", 0.85)),
+]
 
-    names has segment, dossier, key; known has key, code_value, dossier. A code of another dossier is
-    the segment's own dossier with the indication part of the known code. matched_to says what was met.
-    """
-    k = known.filter(F.col("key") != "").select("key", "code_value", F.col("dossier").alias("_d")).distinct()
-    own = names.join(k, "key").filter(F.col("dossier") == F.col("_d")).groupBy("segment").agg(F.min("code_value").alias("code_value"), F.first("dossier").alias("_d"))
-    own = own.withColumn("matched_to", F.concat(F.lit("same dossier "), "_d"))
-    parts = k.groupBy("key").agg(F.min(indication_part(F.col("code_value"))).alias("_p"), F.max(indication_part(F.col("code_value"))).alias("_q"), F.min("code_value").alias("_ref")).filter("_p = _q")
-    other = names.join(parts, "key").groupBy("segment").agg(F.min(F.struct(F.concat("dossier", F.lit("."), "_p").alias("code_value"), F.concat(F.lit("ind_part ."), "_p", F.lit(" from "), "_ref").alias("matched_to"))).alias("_m")).select("segment", "_m.*")
-    tag = lambda df, t, r: df.filter(F.col("code_value").isNotNull()).select("segment", "code_value", F.lit(t[0]).alias("match_type"), F.lit(t[1]).alias("score"), "matched_to", F.lit(r).alias("rank"))
-    return tag(own, same, rank).unionByName(tag(other, cross, rank + 1))
 
+def looked_up(asks: DataFrame, known: DataFrame, layers: list[tuple]) -> DataFrame:
+    """Candidates of all layers by shared keys: of the same dossier, else of any when their indication part is unique.
 
-def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool = True) -> DataFrame:
+    asks has segment, dossier and asked, an array of (rank, kind, key); known has code_value, dossier and kinds, an array of (kind, key). All
+    known names are one index by kind and key, summed up once for each dossier and once for all, and each of these is joined once. A
+    code of another dossier is the segment's own dossier with the indication part of the known code. matched_to says what was met.
+    """
+    index = known.select("code_value", F.col("dossier").alias("_d"), F.explode("kinds").alias("_k")).select("code_value", "_d", "_k.kind", "_k.key").filter("key <> ''")
+    part = indication_part(F.col("code_value"))
+    own = index.groupBy("kind", "key", "_d").agg(F.min("code_value").alias("_own"), F.min(part).alias("_p"), F.max(part).alias("_q"))
+    every = own.groupBy("kind", "key").agg(F.min("_own").alias("_ref"), F.min("_p").alias("_p"), F.max("_q").alias("_q"))
+    asked = asks.select("segment", "dossier", F.explode("asked").alias("_a")).select("segment", "dossier", "_a.rank", "_a.kind", "_a.key").filter("key <> ''")
+    met = asked.join(every, ["kind", "key"]).join(own.select("kind", "key", F.col("_d").alias("dossier"), "_own"), ["kind", "key", "dossier"], "left")
+    same = reduce(lambda c, x: c.when(F.col("rank") == x[0], F.struct(F.lit(x[3][0]).alias("type"), F.lit(x[3][1]).alias("score"))), layers[1:], F.when(F.col("rank") == layers[0][0], F.struct(F.lit(layers[0][3][0]).alias("type"), F.lit(layers[0][3][1]).alias("score"))))
+    cross = reduce(lambda c, x: c.when(F.col("rank") == x[0], F.struct(F.lit(x[4][0]).alias("type"), F.lit(x[4][1]).alias("score"))), layers[1:], F.when(F.col("rank") == layers[0][0], F.struct(F.lit(layers[0][4][0]).alias("type"), F.lit(layers[0][4][1]).alias("score"))))
+    of_own, crossed = F.col("_own").isNotNull(), F.when(F.col("_p") == F.col("_q"), F.concat("dossier", F.lit("."), "_p"))
+    met = met.withColumns({
+        "code_value": F.when(of_own, F.col("_own")).otherwise(crossed), "_t": F.when(of_own, same).otherwise(cross), "rank": F.when(of_own, F.col("rank")).otherwise(F.col("rank") + 1),
+        "matched_to": F.when(of_own, F.concat(F.lit("same dossier "), "dossier")).otherwise(F.concat(F.lit("ind_part ."), "_p", F.lit(" from "), "_ref")),
+    })
+    return met.filter("code_value is not null").select("segment", "code_value", F.col("_t.type").alias("match_type"), F.col("_t.score").alias("score"), "matched_to", "rank")
+
+
+def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool = True, whole: DataFrame | None = None) -> DataFrame:
     """One match at most for each segment: (segment, code_value, match_type, score, matched_to).
 
     segments has segment, group, position, name, dossier; known has name, code_value, dossier; codes
@@ -203,45 +223,42 @@ def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool
     names by that form, where it differs from the plain one; names with canonical brands; fuzzy
     names of one dossier; the only code of a group with one segment; codes and segments of a group
     paired in order. Each layer gives candidates, the first one wins, and the last two look only
-    at what the others left.
+    at what the others left, and only where a group has no other segments: whole (group) has a row for each
+    segment of a group, those that have a code already too (default: segments).
     """
-    layers = []
     inside = tx.embedded_code(F.col("name"))
-    layers.append(segments.filter(inside.isNotNull()).select("segment", inside.alias("code_value"), F.lit("EMBEDDED_IN_NAME").alias("match_type"), F.lit(1.0).alias("score"), F.col("name").alias("matched_to"), F.lit(0).alias("rank")))
+    found = segments.filter(inside.isNotNull()).select("segment", inside.alias("code_value"), F.lit("EMBEDDED_IN_NAME").alias("match_type"), F.lit(1.0).alias("score"), F.col("name").alias("matched_to"), F.lit(0).alias("rank"))
     # all forms of a name at once, and null for a key that is the same as another one
     forms = lambda n: F.struct(F.lower(n).alias("norm"), F.lower(tx.canonical_brands(n)).alias("brand"), F.lower(tx.canonical_brands(tx.combination_rewritten(n))).alias("combined"))
-    form = lambda pick: F.transform(F.transform(F.array(tx.normalised(F.col("name"))), forms), pick)[0]
-    norm, brand, combined = form(lambda f: f["norm"]), form(lambda f: f["brand"]), form(lambda f: f["combined"])
-    asks = lambda key: segments.select("segment", "dossier", key.alias("key"))
-    index = lambda df, key: df.select("code_value", "dossier", key.alias("key"))
-    unless = lambda one, other: form(lambda f: F.when(f[one] != f[other], f[one]))
-    single = known.filter(~F.col("name").contains("|"))
-    pieces = known.filter(F.col("name").contains("|")).withColumn("name", F.explode(F.split("name", r"\|")))
-    by_brand = index(single, brand).unionByName(index(single, unless("combined", "brand")))
-    by_piece = index(pieces, norm).unionByName(index(pieces, unless("brand", "norm")))
-    layers.append(keyed_layer(asks(norm), index(single, norm), ("NORMALIZED_MATCH", 1.0), ("NORMALIZED_CROSS", 0.95), 10))
-    layers.append(keyed_layer(asks(norm), by_piece, ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90), 20))
-    layers.append(keyed_layer(asks(combined), by_piece, ("PIPE_PART_MATCH", 0.95), ("PIPE_PART_CROSS", 0.90), 30))
-    layers.append(keyed_layer(asks(unless("combined", "norm")), by_brand, ("KOMBI_NORMALIZED", 0.90), ("KOMBI_CROSS", 0.85), 40))
-    layers.append(keyed_layer(asks(brand), by_brand, ("BRAND_NORMALIZED", 0.9), ("BRAND_CROSS", 0.85), 50))
+    formed = lambda df: df.withColumn("_f", F.transform(F.array(tx.normalised(F.col("name"))), forms)[0])
+    form = {"norm": F.col("_f.norm"), "brand": F.col("_f.brand"), "combined": F.col("_f.combined"), "rewritten": F.when(F.col("_f.combined") != F.col("_f.norm"), F.col("_f.combined"))}
+    kinds = lambda *ks: F.array(*[F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in ks])
+    asks = formed(segments.select("segment", "dossier", "name")).withColumn("asked", F.array(*[F.struct(F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), form[f].alias("key")) for rank, f, kind, _, _ in KEYED_LAYERS]))
+    # a name without a bar is known as a whole, one with bars by its pieces
+    barred = F.col("name").contains("|")
+    entries = formed(known.select("code_value", "dossier", barred.alias("_piece"), F.explode(F.when(barred, F.split("name", r"\|")).otherwise(F.array("name"))).alias("name")))
+    entries = entries.withColumn("kinds", F.when(F.col("_piece"), kinds(("piece", form["norm"]), ("piece", form["brand"]))).otherwise(kinds(("single", form["norm"]), ("brand", form["brand"]), ("brand", form["combined"]))))
+    found = found.unionByName(looked_up(asks, entries, KEYED_LAYERS))
     if fuzzy:
-        left = segments.select("dossier", "segment", norm.alias("_a"))
-        right = single.select("dossier", norm.alias("_b"), "name", "code_value").distinct()
+        left = asks.select("dossier", "segment", form["norm"].alias("_a"))
+        right = entries.filter("not _piece").select("dossier", form["norm"].alias("_b"), "name", "code_value").distinct()
         first = right.groupBy("dossier", "_b").agg(F.min(F.struct("code_value", F.col("name").alias("matched_to"))).alias("_m"))
         near = fuzzy_best(left, right, ["dossier"], "segment", "_a", "_b").join(first, ["dossier", "_b"])
-        layers.append(near.select("segment", "_m.code_value", F.lit("FUZZY_MATCHED").alias("match_type"), "score", "_m.matched_to", F.lit(60).alias("rank")))
-    found = layers[0]
-    for layer in layers[1:]:
-        found = found.unionByName(layer)
-    found = found.groupBy("segment").agg(F.min(F.struct("rank", "code_value", "match_type", "score", "matched_to")).alias("_m")).select("segment", "_m.code_value", "_m.match_type", "_m.score", "_m.matched_to")
-    left = segments.join(found.select("segment"), "segment", "left_anti")
-    per_group = segments.groupBy("group").agg(F.count("*").alias("_all"))
-    only = codes.select("group", "code_value").distinct().groupBy("group").agg(F.min("code_value").alias("code_value"), F.count("*").alias("_c")).filter("_c = 1")
-    alone = left.join(per_group, "group").filter("_all = 1").join(only, "group").select("segment", "code_value", F.lit("SINGLE_SEGMENT_CODE").alias("match_type"), F.lit(1.0).alias("score"), F.concat(F.lit("only code for lim "), F.col("group").cast("string")).alias("matched_to"))
-    whole = left.join(left.groupBy("group").agg(F.count("*").alias("_left")).join(per_group, "group").filter("_left = _all and _all >= 2").select("group"), "group", "left_semi")
-    paired = ordinal_pairs(whole.select("group", "segment", "position"), codes, "group", "position", "code_value", after_dot=False)
-    paired = paired.select("segment", "code_value", F.lit("ORDINAL_POSITION").alias("match_type"), F.lit(0.80).alias("score"), F.concat(F.lit("position in lim "), F.col("group").cast("string")).alias("matched_to"))
-    return found.unionByName(alone).unionByName(paired)
+        found = found.unionByName(near.select("segment", "_m.code_value", F.lit("FUZZY_MATCHED").alias("match_type"), "score", "_m.matched_to", F.lit(60).alias("rank")))
+    best = found.groupBy("segment").agg(F.min(F.struct("rank", "code_value", "match_type", "score", "matched_to")).alias("_m"))
+    # each segment once, with what the layers by name found, the size of its group and the codes of it
+    sizes = (segments if whole is None else whole).groupBy("group").agg(F.count("*").alias("_all"))
+    given = codes.select("group", "code_value").distinct().groupBy("group").agg(F.count("*").alias("_codes"), F.min("code_value").alias("_only"))
+    all_ = segments.select("segment", "group", "position").join(best, "segment", "left").join(sizes, "group").join(given, "group", "left")
+    own = all_.filter("_m is not null").select("segment", "_m.code_value", "_m.match_type", "_m.score", "_m.matched_to")
+    left = all_.filter("_m is null")
+    said = lambda kind, score, what: [F.lit(kind).alias("match_type"), F.lit(score).alias("score"), F.concat(F.lit(what), F.col("group").cast("string")).alias("matched_to")]
+    alone = left.filter("_all = 1 and _codes = 1").select("segment", F.col("_only").alias("code_value"), *said("SINGLE_SEGMENT_CODE", 1.0, "only code for lim "))
+    # a group of which no segment has a code pairs them in order, if there are as many codes
+    ordered = left.filter("_all >= 2 and _codes = _all").withColumn("_i", F.row_number().over(Window.partitionBy("group").orderBy("position"))).withColumn("_left", F.count("*").over(Window.partitionBy("group"))).filter("_left = _all")
+    numbered = codes.select("group", "code_value").distinct().withColumn("_i", F.row_number().over(Window.partitionBy("group").orderBy("code_value")))
+    paired = ordered.select("segment", "group", "_i").join(numbered, ["group", "_i"]).select("segment", "code_value", *said("ORDINAL_POSITION", 0.80, "position in lim "))
+    return own.unionByName(alone).unionByName(paired)
 
 
 def match_log(segments: DataFrame, matches: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexhull.functions import text as tx
 from lexhull.operators import codes as cd
-from lexhull.operators import exports, matching, packs, refunds
+from lexhull.operators import exports, matching, packs, refunds, reports
 from lexhull.operators.history import snapshot_history
 from lexhull.operators.intervals import fan_out
 from lexhull.sources import snapshots as src
@@ -72,9 +72,13 @@ def indications(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     left = segments.filter("matched_code_value is null").join(lims.select("limitation_id", F.col("dossier")), "limitation_id")
     left = left.select(F.concat_ws("#", "limitation_id", "segment_order").alias("segment"), F.col("limitation_id").alias("group"), F.col("segment_order").alias("position"), F.col("indication_name_de").alias("name"), "dossier")
     known = names.select(F.col("indication_name_de").alias("name"), "code_value", F.col("bag_dossier_no").alias("dossier"))
-    matches = matching.cascade(left, known, codes.select(F.col("limitation_id").alias("group"), "code_value"))
+    # groups are as large as they are, whatever has a code already
+    matches = stored(matching.cascade(left, known, codes.select(F.col("limitation_id").alias("group"), "code_value"), whole=segments.select(F.col("limitation_id").alias("group"))), f"{out}/match")
     log = stored(matching.match_log(left, matches), f"{out}/match_log")
-    return {"limitation": lims, "code": codes, "name_map": names, "segment": segments, "match": stored(matches, f"{out}/match"), "match_log": log}
+    found = matches.select(F.col("segment").alias("segment_id"), F.col("code_value").alias("_code"), F.col("match_type").alias("_type"))
+    matched = segments.withColumn("segment_id", F.concat_ws("#", "limitation_id", "segment_order")).join(found, "segment_id", "left")
+    matched = matched.withColumns({"matched_code_value": F.coalesce("matched_code_value", "_code"), "matched_code_source": F.coalesce("matched_code_source", "_type")}).drop("_code", "_type")
+    return {"limitation": lims, "code": codes, "name_map": names, "segment": stored(matched, f"{out}/matched_segment"), "match": matches, "match_log": log}
 
 
 def item_links(tables: dict[str, DataFrame]) -> DataFrame:
@@ -100,12 +104,40 @@ def limitation_texts(tables: dict[str, DataFrame]) -> DataFrame:
     return refunds.text_flags(tables["limitation_text"], "description_fr")
 
 
-def refund_rules(texts: DataFrame, id_col: str, text_col: str, unescape: bool = False) -> DataFrame:
-    """Rules of each distinct text once, then carried to all ids that hold it."""
+def refund_rules(texts: DataFrame, id_col: str, text_col: str, unescape: bool = False, preparations: DataFrame | None = None, companies: DataFrame | None = None) -> DataFrame:
+    """Rules of each distinct text once, then carried to all ids that hold it. preparations and companies as in refunds.mine()."""
     text = tx.decode_entities(F.col(text_col)) if unescape else F.col(text_col)
     keyed = texts.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("hash", tx.content_hash(F.col("text")))
     unique = keyed.groupBy("hash").agg(F.first("text").alias("text"))
-    return keyed.select("id", "hash").join(refunds.mine(unique, "hash", "text").withColumnRenamed("id", "hash"), "hash").drop("hash")
+    return keyed.select("id", "hash").join(refunds.mine(unique, "hash", "text", preparations=preparations, companies=companies).withColumnRenamed("id", "hash"), "hash").drop("hash")
+
+
+def refund_exports(tables: dict[str, DataFrame], made: dict[str, DataFrame], out: str, earlier: DataFrame | None = None) -> dict[str, DataFrame]:
+    """From rules to exports: refunds of segments and of the limitations without any, and the tables for analysis.
+
+    Companies are those of earlier refunds (cashback_company), if given, and the partners of packs; drugs are the preparations and
+    substances there are. Each table is written under out.
+    """
+    key = {"swissmedic_no5": "preparation_id"}
+    preps = tables["preparation"].withColumnsRenamed(key).select("preparation_id", "name_de")
+    none = tables["partner"].select(F.lit(None).cast("string").alias("cashback_company")).limit(0)
+    companies = stored(refunds.company_set(none if earlier is None else earlier, tables["partner"], partner="description"), f"{out}/company")
+    drugs = stored(refunds.drug_set(tables["preparation"], tables["substance"]), f"{out}/drug")
+    lims = made["limitation"].withColumnsRenamed(key).select("limitation_id", "preparation_id", "limitation_code", "limitation_type", "limitation_level", "description_fr", "first_seen", "last_seen")
+    segments = made["segment"].join(lims.select("limitation_id", "preparation_id", "limitation_code", "first_seen", "last_seen"), "limitation_id").join(preps.withColumnRenamed("name_de", "product_name"), "preparation_id")
+    pack_rows = tables["pack"].withColumnsRenamed(key).select("preparation_id", "gtin", "bag_dossier_no", "first_seen", "last_seen")
+    told = {"preparations": drugs, "companies": companies}
+    own = stored(refund_rules(segments.filter("segment_text_fr is not null"), "segment_id", "segment_text_fr", **told).withColumnRenamed("id", "segment_id"), f"{out}/segment_refund")
+    bare = lims.join(segments.select("limitation_id").distinct(), "limitation_id", "left_anti").filter("description_fr is not null")
+    rest = stored(refund_rules(bare, "limitation_id", "description_fr", **told).withColumnRenamed("id", "limitation_id"), f"{out}/limitation_refund")
+    exported = {
+        "unmatched_names": reports.unmatched_names(segments, pack_rows),
+        "segment_rules": exports.segment_rules(own, segments),
+        "limitation_rules": exports.limitation_rules(rest, lims, preps),
+        "refund_analysis": exports.refund_analysis(segments, pack_rows, own, tables["extract"]),
+        "unsegmented_analysis": exports.unsegmented_analysis(lims, segments, pack_rows, rest, tables["extract"]),
+    }
+    return {"segment_refund": own, "limitation_refund": rest, **{name: stored(df, f"{out}/{name}") for name, df in exported.items()}}
 
 
 def normalised_packs(tables: dict[str, DataFrame]) -> DataFrame:

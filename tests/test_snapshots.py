@@ -75,7 +75,9 @@ def test_codes_segments_and_links(ingested, tmp_path):
     made = plans.indications(t, str(tmp_path))
     assert sorted((r["code_value"], r["code_source"]) for r in made["code"].collect()) == [("500.01", "STRUCTURED_XML"), ("800.xx", "FALLBACK_XX"), ("99999.09", "TEXT_PARSED")]
     segs = sorted(((r["indication_name_de"], r["segment_order"], r["matched_code_value"], r["matched_code_source"]) for r in made["segment"].collect()), key=str)
-    assert segs == [("Lunge", 1, None, None), ("Melanom", 0, "500.01", "EXISTING"), ("Melanom", 0, None, None)]
+    # what the cascade finds is on the segments; Lunge is no lone segment of its limitation, as Melanom stands beside it
+    assert segs == [("Lunge", 1, None, None), ("Melanom", 0, "500.01", "EXISTING"), ("Melanom", 0, "800.01", "NORMALIZED_CROSS")]
+    assert made["match"].count() == 1
     assert [(r["code_value"], r["match_type"]) for r in made["match"].collect() if r["segment"].endswith("#0")] == [("800.01", "NORMALIZED_CROSS")]
     log = {(r["segment_name"], r["matched_code"], r["matched_to"]) for r in made["match_log"].collect() if r["match_type"] == "NORMALIZED_CROSS"}
     assert log == {("Melanom", "800.01", "ind_part .01 from 500.01")}
@@ -85,6 +87,35 @@ def test_codes_segments_and_links(ingested, tmp_path):
     assert links == [("g1", "500.01", 2, 2), ("g2", "500.01", 2, 3), ("g3", "800.XX", 2, 2), ("g4", "99999.09", 3, 3)]
 
 
+def test_group_sizes_count_segments_that_have_a_code(spark):
+    """A limitation of two segments, one with a code already: the other is neither alone nor paired with the codes in order."""
+    from lexhull.operators import matching
+
+    segments = spark.createDataFrame([("a#1", "a", 1, "x", "1"), ("b#0", "b", 0, "y", "1"), ("c#0", "c", 0, "z", "1"), ("c#1", "c", 1, "w", "1"), ("d#1", "d", 1, "v", "1"), ("d#2", "d", 2, "u", "1")], "segment string, group string, position int, name string, dossier string")
+    codes = spark.createDataFrame([("a", "1.01"), ("b", "1.02"), ("c", "1.04"), ("c", "1.03"), ("d", "1.05"), ("d", "1.06")], "group string, code_value string")
+    known = spark.createDataFrame([], "name string, code_value string, dossier string")
+    whole = segments.select("group").unionByName(spark.createDataFrame([("a",), ("d",)], "group string"))
+    got = {r["segment"]: (r["code_value"], r["match_type"]) for r in matching.cascade(segments, known, codes, whole=whole).collect()}
+    assert got == {"b#0": ("1.02", "SINGLE_SEGMENT_CODE"), "c#0": ("1.03", "ORDINAL_POSITION"), "c#1": ("1.04", "ORDINAL_POSITION")}
+
+
+def test_from_rules_to_exports(spark, ingested, tmp_path):
+    made = plans.indications(ingested, str(tmp_path / "i"))
+    # a French text for a segment and for a limitation without any
+    made["segment"] = made["segment"].withColumn("segment_text_fr", F.when(F.col("indication_name_de") == "Lunge", "Firma verse 12 francs par emballage, en association avec Neu."))
+    made["limitation"] = made["limitation"].withColumn("description_fr", F.when(F.col("limitation_code") == "L3", "Example Pharma SA rembourse 5 % du prix."))
+    got = plans.refund_exports(ingested, made, str(tmp_path / "x"))
+    own = got["segment_refund"].collect()
+    # the partner's name near a verb tells a refund that no detector sees
+    assert [(r["detection_patterns"], r["cashback_company"], r["rule_calc_type"], r["rule_calc_value"]) for r in own] == [("fuzzy_company", "Firma", "chf_fixed", 12.0)]
+    assert [(r["product_name"], r["indication_name_fr"], r["segment_order"]) for r in got["segment_rules"].collect()] == [("Zwei", None, 1)]
+    assert [(r["product_name"], r["cashback_company"], r["rule_calc_value"]) for r in got["limitation_rules"].collect()] == [("Drei", "Example Pharma SA", 5.0)]
+    assert {(r["indication_name_de"], r["bag_dossier_no"], r["n_segments"]) for r in got["unmatched_names"].collect()} == {("Lunge", "800", 1)}
+    analysed = {(r["product_name"], r["indication_name_de"], r["gtin"], r["has_cashback"], r["pack_from"]) for r in got["refund_analysis"].collect()}
+    assert analysed == {("Neu", "Melanom", "g1", 0, "01.01.2020"), ("Neu", "Melanom", "g2", 0, "02.01.2020"), ("Zwei", "Melanom", "g3", 0, "02.01.2020"), ("Zwei", "Lunge", "g3", 1, "02.01.2020")}
+    assert {(r["limitation_code"], r["gtin"], r["has_cashback"]) for r in got["unsegmented_analysis"].collect()} == {("L3", "g4", 1)}
+
+
 def test_packs_and_sinks(spark, ingested, tmp_path):
     out = plans.normalised_packs(ingested).select("gtin", "form_type", "container_count", "substance_qty", "total_substance")
     assert {tuple(r) for r in out.collect()} == {(g, "SYRINGE", 5, 20.0, 100.0) for g in ("g1", "g2", "g3", "g4")}
