@@ -1,7 +1,6 @@
 """Matching names to codes through layers of exact, normalised, fuzzy and positional joins."""
 from __future__ import annotations
 
-import math
 from difflib import SequenceMatcher
 from functools import reduce
 
@@ -26,28 +25,53 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-def character_bound(a: Column, b: Column) -> Column:
-    """No ratio is above this: twice the characters that both names have, by the sum of the lengths."""
-    chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
-    shared = F.aggregate(
-        F.array_distinct(chars(a)), F.lit(0),
-        lambda n, ch: n + F.least(F.length(a) - F.length(F.replace(a, ch, F.lit(""))), F.length(b) - F.length(F.replace(b, ch, F.lit("")))),
-    )
-    return 2 * shared / (F.length(a) + F.length(b))
+def letters(name: Column) -> Column:
+    """array<long>: the characters of a name, each with its number among those alike, the higher numbers first.
+
+    Two names share as many of these as they have characters in common. The order is the same for all names; letters that come late
+    in it stand in most names.
+    """
+    each = F.transform(F.filter(F.split(name, ""), lambda c: c != ""), lambda c: F.ascii(c))
+    # equal characters stand together once sorted
+    numbered = F.transform(F.sort_array(each), lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+    start = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(-1).alias("c"), F.lit(0).alias("at"))
+
+    def step(acc: Column, x: Column) -> Column:
+        at = F.when(x["c"] == acc["c"], acc["at"]).otherwise(x["i"])
+        own = (x["i"] - at).cast("bigint") * (1 << 21) + (1 << 21) - 1 - x["c"]
+        return F.struct(F.concat(acc["out"], F.array(own)).alias("out"), x["c"].alias("c"), at.alias("at"))
+
+    return F.sort_array(F.aggregate(numbered, start, step, lambda acc: acc["out"]), asc=False)
 
 
-def ratio_bound(a: Column, b: Column) -> Column:
-    """The same, with the lengths looked at first."""
-    return F.when(2 * F.least(F.length(a), F.length(b)) / (F.length(a) + F.length(b)) < PRUNE, 0.0).otherwise(character_bound(a, b))
+def shared_letters(a: Column, b: Column) -> Column:
+    return F.size(F.array_intersect(a, b))
 
 
-#: Steps of name length, each this much longer than the one before; names within REACH steps may be similar enough.
-LENGTH_STEP = 1.2
-REACH = math.ceil(math.log((2 - PRUNE) / PRUNE, LENGTH_STEP)) + 1
+def needed_letters(size: Column, other: Column, least: float) -> Column:
+    """The fewest characters that names of these lengths share if their ratio is not below least."""
+    return F.ceil(least * (size + other) / 2 - 1e-9).cast("int")
 
 
-def length_step(name: Column) -> Column:
-    return F.floor(F.log(F.greatest(F.length(name), F.lit(1)).cast("double")) / math.log(LENGTH_STEP)).cast("int")
+def first_letters(own: Column, size: Column, lowest: Column, least: float) -> Column:
+    """Those of a name's letters of which one is shared with any name of at least `lowest` characters that reaches the ratio."""
+    return F.slice(own, F.lit(1), F.greatest(size - needed_letters(size, lowest, least) + 1, F.lit(0)))
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, keys: list[str], a: str, b: str, least: float) -> DataFrame:
+    """Pairs of names of the same keys whose ratio can reach least; none that does is missing. left has keys and a, right keys and b.
+
+    An inverted index of letters: a pair shares so many that one of them is among the first few of both names,
+    so names meet by these alone. A pair is let through at the first letter that its firsts have in common, once;
+    then the count of all shared letters decides.
+    """
+    short = (least / (2 - least)) - 1e-9
+    sized = lambda df, n, s: df.filter(F.length(n) > 0).withColumn(f"_l{s}", letters(F.col(n))).withColumn(f"_n{s}", F.length(n)).withColumn(f"_f{s}", first_letters(F.col(f"_l{s}"), F.col(f"_n{s}"), F.ceil(F.col(f"_n{s}") * short).cast("int"), least))
+    ours = sized(left, a, "a").withColumn("_x", F.explode("_fa"))
+    theirs = sized(right, b, "b").withColumn("_x", F.explode("_fb"))
+    met = ours.join(theirs, [*keys, "_x"]).filter((2 * F.least("_na", "_nb") >= least * (F.col("_na") + F.col("_nb")) - 1e-9) & (F.array_max(F.array_intersect("_fa", "_fb")) == F.col("_x")))
+    met = met.filter(shared_letters(F.col("_la"), F.col("_lb")) >= needed_letters(F.col("_na"), F.col("_nb"), least))
+    return met.drop("_la", "_lb", "_na", "_nb", "_fa", "_fb", "_x")
 
 
 def fuzzy_best(left: DataFrame, right: DataFrame, block: list[str], key: str, name: str, other: str, prune: bool = True, others: bool = False) -> DataFrame:
@@ -56,22 +80,18 @@ def fuzzy_best(left: DataFrame, right: DataFrame, block: list[str], key: str, na
     left has block, key, name; right has block, other and what goes with it, each row an entry of its
     own. A pair needs a ratio of BEST, and a lead of LEAD over the second best entry or else to be a
     prefix pair of PREFIX_BEST; a name that two entries hold leaves itself no lead. Pairs meet by block
-    and length, and bounds prune them before Python scores them. Equal scores go to the smaller name.
+    and rare letters, and the letters they share prune them before Python scores them. Equal scores go to the smaller name.
     others leaves out the name itself, for a table against its own names.
     """
     names = left.select(*block, key, name).distinct()
     entries = right.groupBy(*block, other).agg(F.count("*").alias("_copies"))
-    keys = list(block)
-    if prune:
-        names = names.withColumn("_step", F.explode(F.sequence(length_step(F.col(name)) - REACH, length_step(F.col(name)) + REACH)))
-        entries = entries.withColumn("_step", length_step(F.col(other)))
-        keys.append("_step")
+    # equal names of a block are scored once
+    asked = names.select(*block, name).distinct()
     test = (F.length(name) > 0) & (F.length(other) > 0)
     if others:
         test = test & (F.col(name) != F.col(other))
-    if prune:
-        test = test & (ratio_bound(F.col(name), F.col(other)) >= PRUNE)
-    scored = names.join(entries, keys).filter(test).withColumn("score", ratio(F.col(name), F.col(other)))
+    met = (similar_pairs(asked, entries, block, name, other, PRUNE) if prune else asked.join(entries, block)).filter(test)
+    scored = names.join(met.withColumn("score", ratio(F.col(name), F.col(other))), [*block, name])
     # the two first rows of a key are kept before the shuffle
     place = F.row_number().over(Window.partitionBy(*block, key, name).orderBy(F.desc("score"), other))
     best = scored.withColumn("_place", place).filter("_place <= 2").groupBy(*block, key, name).agg(
@@ -109,9 +129,9 @@ def best_candidate(df: DataFrame, key: str, name: str, candidates: DataFrame, ca
         held = held.union(part.select(key, "candidate"))
     held = held.distinct().select(key, "candidate", F.lit(2).alias("level"), F.lit(1.0).alias("score"))
     rest = open_.join(held.select(key).distinct(), key, "left_anti")
-    reach = math.ceil(math.log((2 - threshold) / threshold, LENGTH_STEP)) + 1
-    near = rest.withColumn("_s", F.explode(F.sequence(length_step(F.col("_a")) - reach, length_step(F.col("_a")) + reach))).join(c.withColumn("_s", length_step(F.col("_b"))), "_s")
-    near = near.filter(character_bound(F.col("_a"), F.col("_b")) >= threshold).select(key, "candidate", F.lit(1).alias("level"), ratio(F.col("_a"), F.col("_b")).alias("score")).filter(F.col("score") >= threshold)
+    # one key for all: here names meet by their letters only
+    one = lambda df: df.withColumn("_all", F.lit(0))
+    near = similar_pairs(one(rest), one(c), ["_all"], "_a", "_b", threshold).select(key, "candidate", F.lit(1).alias("level"), ratio(F.col("_a"), F.col("_b")).alias("score")).filter(F.col("score") >= threshold)
     scored = equal.unionByName(held).unionByName(near)
     return scored.groupBy(key).agg(F.min(F.struct((-F.col("level")).alias("l"), (-F.col("score")).alias("s"), "candidate")).alias("_b")).select(key, F.col("_b.candidate").alias("candidate"), (-F.col("_b.s")).alias("score"))
 

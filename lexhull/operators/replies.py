@@ -10,10 +10,6 @@ from .history import latest_wins, unprocessed
 CALC_TYPES = ["percentage", "chf_fixed", "chf_per_mg", "chf_per_box", "full_refund", "undisclosed_fixed", "unknown"]
 UNITS = ["per_box", "per_mg", "per_cycle", "per_month", "per_patient", "per_year", "per_treatment", "per_dose", "per_week", "per_flacon", "per_syringe", "per_pen", "unknown"]
 LARGE, BEFORE_YEAR = 2000, 2023
-REPLY = (
-    "struct<is_multi_indication:boolean,comment:string,segments:array<struct<`order`:int,indication_name_fr:string,is_cashback:boolean,"
-    "cashback_company:string,cashback_calc_type:string,cashback_calc_value:double,cashback_unit:string>>>"
-)
 
 
 def route(text: Column, large: int = LARGE) -> Column:
@@ -34,14 +30,33 @@ def unfenced(raw: Column) -> Column:
 
 
 def parse_replies(replies: DataFrame, raw: str = "raw") -> DataFrame:
-    """Adds reply (typed; vocabulary checked) and error: why a reply is of no use, else null."""
-    out = replies.withColumn("reply", F.from_json(unfenced(F.col(raw)), REPLY))
-    segs = F.col("reply.segments")
-    # a missing key and a null one both read as null
-    error = F.when(segs.isNull(), "no segments").when(F.size(segs) == 0, "empty segments").when(F.exists(segs, lambda s: s["indication_name_fr"].isNull() | s["is_cashback"].isNull()), "incomplete segment")
-    known = lambda c, words: F.when(c.isNull() | c.isin(words), c).otherwise("unknown")
-    checked = F.transform(segs, lambda s: s.withField("cashback_calc_type", known(s["cashback_calc_type"], CALC_TYPES)).withField("cashback_unit", known(s["cashback_unit"], UNITS)))
-    return out.withColumn("error", error).withColumn("reply", F.when(F.col("error").isNull(), F.col("reply").withField("segments", checked)))
+    """Adds reply (typed; vocabulary checked) and error: why a reply is of no use, else null.
+
+    A segment must have the keys of a name and of a verdict; either may be null. Values of another type than the
+    reply's are null, words that are not known become unknown.
+    """
+    out = replies.withColumn("_v", F.try_parse_json(unfenced(F.col(raw)).cast("string")))
+    parts = F.expr("try_variant_get(_v, '$.segments', 'array<variant>')")
+    # a null in JSON is a value here, a missing key is none
+    has = lambda s, key: F.try_variant_get(s, f"$.{key}", "variant").isNotNull()
+    error = (
+        F.when(F.col("_v").isNull(), "no JSON").when(~F.schema_of_variant("_v").startswith("OBJECT"), "no object").when(~has(F.col("_v"), "segments"), "no segments").when(F.col("_parts").isNull(), "segments are no list")
+        .when(F.size("_parts") == 0, "empty segments").when(F.exists("_parts", lambda s: F.coalesce(~has(s, "indication_name_fr"), F.lit(True))), "segment without a name").when(F.exists("_parts", lambda s: ~has(s, "is_cashback")), "segment without a verdict")
+    )
+    got = lambda s, key, kind: F.try_variant_get(s, f"$.{key}", kind).alias(key)
+
+    def known(s: Column, key: str, words: list[str]) -> Column:
+        word = F.try_variant_get(s, f"$.{key}", "string")
+        told = F.try_variant_get(s, f"$.{key}", "variant")
+        return F.when(told.isNull() | F.is_variant_null(told), None).when(word.isin(words), word).otherwise("unknown").alias(key)
+
+    typed = F.transform("_parts", lambda s: F.struct(
+        got(s, "order", "int"), got(s, "indication_name_fr", "string"), got(s, "is_cashback", "boolean"), got(s, "cashback_company", "string"),
+        known(s, "cashback_calc_type", CALC_TYPES), got(s, "cashback_calc_value", "double"), known(s, "cashback_unit", UNITS),
+    ))
+    reply = F.struct(got(F.col("_v"), "is_multi_indication", "boolean"), got(F.col("_v"), "comment", "string"), typed.alias("segments"))
+    out = out.withColumn("_parts", parts).withColumn("error", error)
+    return out.withColumn("reply", F.when(F.col("error").isNull(), reply)).select(*replies.columns, "reply", "error")
 
 
 def reply_segments(replies: DataFrame, key: str = "text_id", at: str = "processed_at") -> DataFrame:

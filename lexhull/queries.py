@@ -643,22 +643,33 @@ def map_quality(spark, d):
     return reports.map_quality(orders.filter("o_orderstatus = 'F'"), orders)
 
 
-REPLIED = """case conv_id % 5
+REPLIED = """case conv_id % 9
  when 0 then concat('```json\n{"is_multi_indication": false, "segments": [{"order": 1, "indication_name_fr": "n', turn, '", "is_cashback": true, "cashback_calc_type": "percentage", "cashback_unit": "per_foot"}]}\n```')
  when 1 then concat('{"segments": [{"indication_name_fr": "m', turn, '", "is_cashback": false}, {"indication_name_fr": "k", "is_cashback": true, "cashback_calc_type": "guess"}]}')
- when 2 then '{"segments": []}' when 3 then 'not json' else '{"segments": [{"is_cashback": true}]}' end"""
+ when 2 then '{"segments": []}' when 3 then 'not json' when 4 then '{"segments": [{"is_cashback": true}]}'
+ when 5 then '{"segments": [{"indication_name_fr": null, "is_cashback": null, "cashback_unit": null}]}' when 6 then '[1]' when 7 then '{"segments": {"a": 1}}' else '{"segments": [{"indication_name_fr": "q"}]}' end"""
 
 
 @query("""
 WITH last AS (SELECT conv_id, max(turn) AS turn FROM conversations GROUP BY 1)
-SELECT conv_id AS text_id, 0 AS segment_order, CASE conv_id % 5 WHEN 0 THEN 'n' ELSE 'm' END || CAST(turn AS VARCHAR) AS indication_name_fr, conv_id % 5 = 0 AS is_cashback,
-  CASE conv_id % 5 WHEN 0 THEN 'percentage' END AS cashback_calc_type, CASE conv_id % 5 WHEN 0 THEN 'unknown' END AS cashback_unit FROM last WHERE conv_id % 5 < 2
-UNION ALL SELECT conv_id, 1, 'k', true, 'unknown', NULL FROM last WHERE conv_id % 5 = 1""")
+SELECT conv_id AS text_id, 0 AS segment_order, CASE conv_id % 9 WHEN 0 THEN 'n' ELSE 'm' END || CAST(turn AS VARCHAR) AS indication_name_fr, conv_id % 9 = 0 AS is_cashback,
+  CASE conv_id % 9 WHEN 0 THEN 'percentage' END AS cashback_calc_type, CASE conv_id % 9 WHEN 0 THEN 'unknown' END AS cashback_unit FROM last WHERE conv_id % 9 < 2
+UNION ALL SELECT conv_id, 1, 'k', true, 'unknown', NULL FROM last WHERE conv_id % 9 = 1
+UNION ALL SELECT conv_id, 0, NULL, NULL, NULL, NULL FROM last WHERE conv_id % 9 = 5""")
 def llm_parse_validate(spark, d):
     raw = table(spark, d, "conversations").selectExpr("conv_id as text_id", f"{REPLIED} as raw", "lpad(cast(turn as string), 6, '0') as processed_at")
     return replies.reply_segments(raw).select("text_id", "segment_order", "indication_name_fr", "is_cashback", "cashback_calc_type", "cashback_unit")
 
 
+@query("""
+WITH last AS (SELECT conv_id, max(turn) AS turn FROM conversations GROUP BY 1)
+SELECT error, count(*) AS n FROM (SELECT CASE conv_id % 9 WHEN 2 THEN 'empty segments' WHEN 3 THEN 'no JSON' WHEN 4 THEN 'segment without a name' WHEN 6 THEN 'no object' WHEN 7 THEN 'segments are no list' WHEN 8 THEN 'segment without a verdict' END AS error
+FROM conversations) GROUP BY error""")
+def llm_reply_errors(spark, d):
+    raw = table(spark, d, "conversations").selectExpr(f"{REPLIED} as raw")
+    return replies.parse_replies(raw).groupBy("error").agg(F.count("*").alias("n"))
+
+
 @query("""
 SELECT count(*) AS n_texts, CAST(coalesce(sum(CASE WHEN a = b THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_agree, coalesce(CAST(sum(CASE WHEN a = b THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 0) AS rate
 FROM (SELECT doc_id, max(quality) = 1 AS a FROM labels GROUP BY 1) JOIN (SELECT doc_id, max(n_chars) > 1500 AS b FROM documents GROUP BY 1) USING (doc_id)""")

@@ -217,10 +217,11 @@ def test_best_candidate(spark):
 
 def test_replies(spark):
     good = '```json\n{"is_multi_indication": true, "segments": [{"order": 1, "indication_name_fr": "A", "is_cashback": true, "cashback_calc_type": "bad", "cashback_unit": null}]}\n```'
-    rows = [(1, good, "2"), (1, '{"segments": [{"indication_name_fr": "old", "is_cashback": false}]}', "1"), (2, "no", "1"), (3, '{"segments": []}', "1"), (4, '{"segments": [{"indication_name_fr": "B"}]}', "1")]
+    rows = [(1, good, "2"), (1, '{"segments": [{"indication_name_fr": "old", "is_cashback": false}]}', "1"), (2, "no", "1"), (3, '{"segments": []}', "1"), (4, '{"segments": [{"indication_name_fr": "B"}]}', "1"), (5, '{"segments": [{"indication_name_fr": null, "is_cashback": null}]}', "1"), (6, None, "1"), (7, '"segments"', "1"), (8, '{"segments": [7]}', "1")]
     df = spark.createDataFrame(rows, "text_id int, raw string, processed_at string")
-    assert [(r["text_id"], r["indication_name_fr"], r["cashback_calc_type"], r["cashback_unit"]) for r in replies.reply_segments(df).collect()] == [(1, "A", "unknown", None)]
-    assert sorted((r["text_id"], r["error"]) for r in replies.parse_replies(df).filter("error is not null").collect()) == [(2, "no segments"), (3, "empty segments"), (4, "incomplete segment")]
+    assert [(r["text_id"], r["indication_name_fr"], r["cashback_calc_type"], r["cashback_unit"]) for r in replies.reply_segments(df).collect()] == [(1, "A", "unknown", None), (5, None, None, None)]
+    errors = [(2, "no JSON"), (3, "empty segments"), (4, "segment without a verdict"), (6, "no JSON"), (7, "no object"), (8, "segment without a name")]
+    assert sorted((r["text_id"], r["error"]) for r in replies.parse_replies(df).filter("error is not null").collect()) == errors
 
 
 def test_upserts(spark):
@@ -271,3 +272,18 @@ def test_detection_from_the_place_of_its_words(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = [tuple(r) for r in df.select("id", refunds.detect(F.col("text")).alias("f")).select("f.is_cashback", "f.company", "f.pattern").collect()]
     assert got == [(True, "Gamma Delta AG", "company_rembourse"), (True, None, "titulaire_rembourse"), (True, "Example Rembourse Pharma SA", "company_rembourse"), (True, None, "titulaire_rembourse"), (False, None, None), (False, None, None), (True, None, "full_refund"), (True, "Muster Example GmbH", "rembourse_par")]
+
+
+def test_similar_pairs_lose_none(spark):
+    import random
+
+    from difflib import SequenceMatcher
+
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdeéß xy") for _ in range(rng.randrange(1, 30))) for _ in range(60)] + ["a" * 1500, "a" * 1400 + "b", "日本語🙂", "日本語🙂x"]
+    names = sorted({*base, *["".join(c for c in n if rng.random() > 0.08) for n in base for _ in range(2)]})
+    left, right = spark.createDataFrame([(i % 2, n) for i, n in enumerate(names)] + [(0, None), (0, "")], "k int, a string"), spark.createDataFrame([(k, n) for k in (0, 1) for n in names], "k int, b string")
+    got = [(r["k"], r["a"], r["b"]) for r in matching.similar_pairs(left, right, ["k"], "a", "b", 0.85).collect()]
+    assert len(got) == len(set(got)) < 0.2 * len(names) ** 2
+    want = {(i % 2, a, b) for i, a in enumerate(names) if a for b in names if b and SequenceMatcher(None, a, b).ratio() >= 0.85}
+    assert want <= set(got) and len(want) > 100
