@@ -27,12 +27,49 @@ def snapshot_history(df: DataFrame, keys: list[str], seen: str, order: list[str]
     return out.select(*keys, "first_seen", "last_seen", *picked, *last_non_null)
 
 
+def partial_history(df: DataFrame, keys: list[str], seen: str, order: list[str] | None = None, first: list[str] = (), last: list[str] = (), last_non_null: list[str] = ()) -> DataFrame:
+    """The history of some snapshots as it can be merged with that of others: each value beside the place it was taken from.
+
+    Arguments as in snapshot_history(). One row per key: first_seen, last_seen, _first and _last (place and attributes), and _kept_<attribute> (place and value).
+    """
+    at = F.struct(*(order or [seen])).alias("at")
+    aggs = [F.min(seen).alias("first_seen"), F.max(seen).alias("last_seen")]
+    if first:
+        aggs.append(F.min_by(F.struct(at, *first), at).alias("_first"))
+    if last:
+        aggs.append(F.max_by(F.struct(at, *last), at).alias("_last"))
+    aggs += [F.max_by(F.when(F.col(c).isNotNull(), F.struct(at, c)), F.when(F.col(c).isNotNull(), at)).alias(f"_kept_{c}") for c in last_non_null]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def merged_history(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Partial histories of two sets of snapshots as one; the order of the two doesn't matter. Rows of the old ones are not read again, only what was kept of them."""
+    rows = old.unionByName(new)
+    picked = [F.min_by("_first", "_first.at").alias("_first")] if "_first" in old.columns else []
+    picked += [F.max_by(c, f"{c}.at").alias(c) for c in old.columns if c == "_last" or c.startswith("_kept_")]
+    return rows.groupBy(*keys).agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), *picked).select(*old.columns)
+
+
+def told_history(partial: DataFrame, keys: list[str], first: list[str] = (), last: list[str] = (), last_non_null: list[str] = ()) -> DataFrame:
+    """What snapshot_history() gives, from a partial history of all snapshots."""
+    picked = [F.col(f"_first.{c}") for c in first] + [F.col(f"_last.{c}") for c in last] + [F.col(f"_kept_{c}.{c}") for c in last_non_null]
+    return partial.select(*keys, "first_seen", "last_seen", *picked)
+
+
+#: Snapshots up to which their dates are held in a map.
+MAPPED_SNAPSHOTS = 1000
+
+
 def resolve_dates(df: DataFrame, extracts: DataFrame, **columns: str) -> DataFrame:
     """Adds release dates: each keyword names a new column and the snapshot id column it is looked up by.
 
-    extracts is (extract_id, release_date), one row per snapshot file; Spark broadcasts it by
-    its size.
+    extracts is (extract_id, release_date), one row per snapshot file. Up to MAPPED_SNAPSHOTS, as many as
+    make 80 years of months, their dates are one map that each column is looked up in, without a join; beyond, each column is joined.
     """
+    listed = extracts.select("extract_id", "release_date").take(MAPPED_SNAPSHOTS + 1)
+    if len(listed) <= MAPPED_SNAPSHOTS:
+        dates = F.create_map(*[F.lit(x) for r in listed if r["extract_id"] is not None for x in (r["extract_id"], r["release_date"])]) if listed else F.create_map().cast("map<int,string>")
+        return df.withColumns({new: F.try_element_at(dates, F.col(by).cast("int")) for new, by in columns.items()})
     for new, by in columns.items():
         df = df.join(extracts.select(F.col("extract_id").alias(by), F.col("release_date").alias(new)), by, "left")
     return df
@@ -70,3 +107,27 @@ def unprocessed(df: DataFrame, done: DataFrame, key: str, force: bool = False) -
 def replaced(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Old rows, those of keys that come anew replaced by the new ones."""
     return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+
+
+def bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert(path: str, new: DataFrame, keys: list[str], order: list[str], buckets: int = 64) -> None:
+    """Upsert into a Parquet table on disk: of the rows of a key, stored or new, the last by order stays.
+
+    The table is parted by a hash bucket of its keys; only buckets that new rows fall in are read and rewritten,
+    each as a whole, the files of the others stay as they are. A rerun with the same rows changes nothing in the table. buckets must
+    stay the same for a table; a table that isn't there yet is made. A failed run leaves the table as it was.
+    """
+    spark = new.sparkSession
+    # read twice, and must be the same both times
+    fresh = bucketed(latest_wins(new, keys, order), keys, buckets).persist()
+    touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]  # as many as there are buckets, at most
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    rows = fresh
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        old = spark.read.parquet(path).filter(F.col("_bucket").isin(touched))
+        rows = latest_wins(old.select(*fresh.columns).unionByName(fresh), [*keys, "_bucket"], order).select(*fresh.columns)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+    fresh.unpersist()

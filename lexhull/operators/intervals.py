@@ -34,6 +34,31 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return out.withColumn("valid_from", latest(F.col(first), F.col(f"{first}_right"))).withColumn("valid_thru", earliest(F.col(last), F.col(f"{last}_right")))
 
 
+def bucket_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, how: str = "inner", row: list[str] = (), first: str = "first_seen", last: str = "last_seen") -> DataFrame:
+    """What overlap_join() gives, for keys with so many intervals that most of their pairs don't overlap.
+
+    Time is cut into buckets of a width, and each interval stands in all the buckets it covers, so only intervals of one bucket are
+    compared; a pair is reported in the first bucket that both cover. A width near the usual length of an interval is best: then an interval stands in
+    about two buckets. A left join needs row, columns that tell the left rows apart. Ends are integers; intervals with a null end, or that end before they begin, meet nothing.
+    """
+    if how not in ("inner", "left") or (how == "left" and not row):
+        raise ValueError("how is inner or left, and a left join needs the columns of row")
+    names = {c: c if c not in left.columns else f"{c}_right" for c in right.columns}
+    span = lambda a, b: F.when(F.col(a) <= F.col(b), F.sequence(F.floor(F.col(a) / width), F.floor(F.col(b) / width)))
+    ours = left.withColumn("_bucket", F.explode(span(first, last)))
+    other = right.select(*[F.col(c).alias(f"_k{keys.index(c)}" if c in keys else names[c]) for c in right.columns])
+    other = other.withColumn("_other", F.explode(span(f"{first}_right", f"{last}_right")))
+    test = F.col("_bucket") == F.col("_other")
+    for i, k in enumerate(keys):
+        test = (F.col(k) == F.col(f"_k{i}")) & test
+    test = test & overlaps(F.col(first), F.col(last), F.col(f"{first}_right"), F.col(f"{last}_right"))
+    test = test & (F.col("_bucket") == F.floor(F.greatest(first, f"{first}_right") / width))
+    out = ours.join(other, test).drop("_bucket", "_other", *[f"_k{i}" for i in range(len(keys))])
+    if how == "left":
+        out = out.unionByName(left.join(out.select(*row).distinct(), row, "left_anti"), allowMissingColumns=True)
+    return out.withColumn("valid_from", latest(F.col(first), F.col(f"{first}_right"))).withColumn("valid_thru", earliest(F.col(last), F.col(f"{last}_right")))
+
+
 def fan_out(links: DataFrame, items: DataFrame, key: str, level: str = "limitation_level", dossier: str = "bag_dossier_no", code: str = "indication_code", keep: list[str] = ()) -> DataFrame:
     """Links of a product carried to its items for the time both are valid.
 

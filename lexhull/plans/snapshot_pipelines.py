@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexhull.functions import text as tx
 from lexhull.operators import codes as cd
 from lexhull.operators import exports, matching, packs, refunds, reports
-from lexhull.operators.history import snapshot_history
+from lexhull.operators.history import merged_history, partial_history, told_history
 from lexhull.operators.intervals import fan_out
 from lexhull.sources import snapshots as src
 from lexhull.sources.tables import stored
@@ -17,47 +17,87 @@ from lexhull.sources.tables import stored
 KEYS = ["swissmedic_no5", "limitation_code", "limitation_level", "content_hash"]
 
 
-def code_history(lims: DataFrame, order: list[str], suffix: str = ".xx") -> DataFrame:
-    """One row per limitation and code with the hull of the snapshots in which the limitation had it; source and dossier as first seen.
+def coded_rows(lims: DataFrame, order: list[str], suffix: str = ".xx") -> DataFrame:
+    """A limitation's codes as rows, at the first and the last snapshot in which it was as it is.
 
     What repeats over snapshots is gathered before texts are searched for codes.
     """
     texts = ["description_de", "description_fr", "description_it"]
-    same = lims.groupBy(*KEYS, "limitation_type", "dossier", "given_codes", *texts).agg(F.min("extract_id").alias("first_seen"), F.max("extract_id").alias("last_seen"), F.min(F.struct(*order)).alias("_at"))
-    coded = cd.assign_codes(same, "given_codes", texts, "limitation_type", "dossier", suffix)
-    first = F.min_by(F.struct("code_source", "dossier_part", "indication_part", F.col("dossier").alias("bag_dossier_no")), "_at")
-    return coded.groupBy(*KEYS, "code_value").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), first.alias("_f")).select(*KEYS, "code_value", "_f.*", "first_seen", "last_seen")
+    same = lims.groupBy(*KEYS, "limitation_type", "dossier", "given_codes", *texts).agg(F.min(F.struct("extract_id", *[c for c in order if c != "extract_id"])).alias("_at"), F.max("extract_id").alias("_last"))
+    coded = cd.assign_codes(same, "given_codes", texts, "limitation_type", "dossier", suffix).withColumnRenamed("dossier", "bag_dossier_no")
+    # the last place comes after all others of its snapshot; nothing but the snapshot is taken from it
+    ends = F.array(F.struct(F.col("_at.extract_id").alias("extract_id"), F.col("_at").alias("place")), F.struct(F.col("_last").alias("extract_id"), F.lit(None).alias("place")))
+    return coded.withColumn("_e", F.explode(ends)).select("*", "_e.extract_id", "_e.place").drop("_e", "_at", "_last")
 
 
 def limitation_id() -> Column:
     return tx.content_hash(*[F.col(c) for c in KEYS])
 
 
-def ingest(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
-    """Snapshot files to tables of entities with their history, keyed by natural keys.
-
-    Each table is written under out and read back, so the XML is parsed here only.
-    """
-    extracts, records = src.read_snapshots(spark, path)
+def entities(records: DataFrame) -> dict[str, tuple[DataFrame, dict]]:
+    """For each table of entities: the rows of some snapshots, and the arguments of their history."""
     order = ["extract_id", "pos"]
     prep, pack_rows, lims = src.preparations(records), src.packs(records), src.limitations(records)
     texts = ["description_de", "description_fr", "description_it"]
     attrs = ["limitation_type", "limitation_niveau", *texts, "valid_from_date", "valid_thru_date", "dossier", "given_codes"]
     subs, partners = src.substances(records), src.partners(pack_rows)
-    tables = {
-        "extract": extracts,
-        "preparation": snapshot_history(prep, ["swissmedic_no5"], "extract_id", order, last=list(src.PREPARATION_TEXTS)),
-        "pack": snapshot_history(pack_rows, ["gtin"], "extract_id", [*order, "n"], first=["swissmedic_no5"], last=[*src.PACK_TEXTS, *src.PACK_PRICES]),
-        "sku": snapshot_history(pack_rows, ["gtin"], "extract_id", [*order, "n"], first=["swissmedic_no5", *src.PACK_TEXTS], last_non_null=src.PACK_PRICES),
-        "substance": snapshot_history(subs, ["swissmedic_no5", "description_la"], "extract_id", [*order, "n"], first=["quantity", "quantity_unit", "n"]),
-        "partner": snapshot_history(partners, ["gtin", "partner_type", "description"], "extract_id", [*order, "n", "m"], first=["street", "zip_code", "place", "phone"]),
-        "limitation": snapshot_history(lims, KEYS, "extract_id", [*order, "limitation_level"], first=attrs),
-        "limitation_text": snapshot_history(lims.filter("limitation_level <> 'ITCODE'"), ["content_hash"], "extract_id", [*order, "limitation_level"], first=["limitation_code", "limitation_type", "limitation_niveau", *texts]),
-        "code": code_history(lims, [*order, "limitation_level"]),
+    rules = lambda keys, place, **how: {"keys": keys, "seen": "extract_id", "order": place, **how}
+    return {
+        "preparation": (prep, rules(["swissmedic_no5"], order, last=list(src.PREPARATION_TEXTS))),
+        "pack": (pack_rows, rules(["gtin"], [*order, "n"], first=["swissmedic_no5"], last=[*src.PACK_TEXTS, *src.PACK_PRICES])),
+        "sku": (pack_rows, rules(["gtin"], [*order, "n"], first=["swissmedic_no5", *src.PACK_TEXTS], last_non_null=src.PACK_PRICES)),
+        "substance": (subs, rules(["swissmedic_no5", "description_la"], [*order, "n"], first=["quantity", "quantity_unit", "n"])),
+        "partner": (partners, rules(["gtin", "partner_type", "description"], [*order, "n", "m"], first=["street", "zip_code", "place", "phone"])),
+        "limitation": (lims, rules(KEYS, [*order, "limitation_level"], first=attrs)),
+        "limitation_text": (lims.filter("limitation_level <> 'ITCODE'"), rules(["content_hash"], [*order, "limitation_level"], first=["limitation_code", "limitation_type", "limitation_niveau", *texts])),
+        "code": (coded_rows(lims, [*order, "limitation_level"]), rules([*KEYS, "code_value"], ["extract_id", "missing", "place"], first=["code_source", "dossier_part", "indication_part", "bag_dossier_no"])),
     }
+
+
+def partial_tables(records: DataFrame) -> dict[str, tuple[DataFrame, dict]]:
+    out = {}
+    for name, (rows, how) in entities(records).items():
+        rows = rows.withColumn("missing", F.col("place").isNull()) if name == "code" else rows
+        out[name] = (partial_history(rows, **how), {k: v for k, v in how.items() if k not in ("seen", "order")})
+    return out
+
+
+def ingest(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
+    """Snapshot files to tables of entities with their history, keyed by natural keys.
+
+    Each table is written under out and read back, so the XML is parsed here only.
+    """
+    extracts, records = src.read_snapshots(spark, path)
+    tables = {"extract": extracts, **{name: told_history(partial, **how) for name, (partial, how) in partial_tables(records).items()}}
     return {name: stored(df, f"{out}/{name}") for name, df in tables.items()}
 
 
+def ingest_new(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
+    """The tables of ingest(), brought up to date: only snapshot files that have not been read yet are.
+
+    Partial histories are stored under <out>/upto-<number of snapshots>, with the list of the files in them written last; so
+    a run that fails leaves the state before in use. New files' histories are merged with the stored ones. A new file
+    that comes before one already read would change the numbers of snapshots: that is an error, and asks for a rebuild with another out.
+    """
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    done = hadoop(f"{out}/upto-*/extract/_SUCCESS")
+    states = sorted(f.getPath().getParent().getParent().toString() for f in done.getFileSystem(conf).globStatus(done) or [])
+    ledger = spark.read.parquet(f"{states[-1]}/extract") if states else None
+    known = [] if ledger is None else sorted((r["extract_id"], r["file_year"], r["file_name"]) for r in ledger.select("extract_id", "file_year", "file_name").collect())  # one row a file
+    files = src.snapshot_files(spark, path)
+    if [(y, n) for _, y, n in known] != [(y, n) for y, n, _ in files[: len(known)]]:
+        raise ValueError("the files already read are not the first ones under this path: rebuild")
+    extracts, records = src.read_snapshots(spark, path, known=len(known))
+    made, state = partial_tables(records), f"{out}/upto-{len(files):08d}"
+    if len(known) < len(files):
+        for name, (partial, how) in made.items():
+            old = spark.read.parquet(f"{states[-1]}/{name}") if states else None
+            (partial if old is None else merged_history(old, partial.select(*old.columns), how["keys"])).write.mode("overwrite").parquet(f"{state}/{name}")
+        (extracts if ledger is None else ledger.unionByName(extracts)).write.mode("overwrite").parquet(f"{state}/extract")
+    tables = {name: told_history(spark.read.parquet(f"{state}/{name}"), **how) for name, (_, how) in made.items()}
+    return {"extract": spark.read.parquet(f"{state}/extract"), **tables}
+
+
 def indications(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Codes, segments and matches of the limitations of ingest(); each stage is written under out, as several later ones read it."""
     lims = stored(cd.named_limitations(tables["limitation"]).withColumn("limitation_id", limitation_id()), f"{out}/named_limitation")

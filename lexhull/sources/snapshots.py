@@ -1,7 +1,7 @@
 """Nested XML snapshots of a product list, read by Spark's own XML source."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,20 +34,33 @@ PREPARATION = record(
 )
 
 
-def read_snapshots(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(extracts, preparations) of all snapshot files <path>/<year>/Preparations-*.xml.
+def snapshot_files(spark: SparkSession, path: str) -> list[tuple[int, str, str]]:
+    """(year, name, place) of all snapshot files <path>/<year>/Preparations-*.xml, in order; they are listed, not read."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/[0-9][0-9][0-9][0-9]/Preparations-*.xml")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob) or []
+    places = [f.getPath() for f in found]
+    return sorted((int(p.getParent().getName()), p.getName(), p.toString()) for p in places)
+
+
+def read_snapshots(spark: SparkSession, path: str, known: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(extracts, preparations) of the snapshot files under a path, without the `known` first ones, which aren't read.
 
     extracts: extract_id int, file_name, file_year int, release_date; ids number the files in order of
     year folder and name. preparations: one row per record with a number, its extract_id and pos, its
-    place in the file. Only the short list of files is numbered by a window.
+    place in the file.
     """
-    glob = f"{path.rstrip('/')}/[0-9][0-9][0-9][0-9]/Preparations-*.xml"
+    files = snapshot_files(spark, path)
+    numbered = [(i + 1, name, year) for i, (year, name, _) in enumerate(files)][known:]
+    ids = spark.createDataFrame(numbered, "extract_id int, file_name string, file_year int")
+    places = [place for _, _, place in files[known:]]
+    if not places:
+        return ids.withColumn("release_date", F.lit(None).cast("string")), spark.createDataFrame([], T.StructType([*T.StructType.fromDDL("file_name string, file_year int").fields, *PREPARATION.fields, *T.StructType.fromDDL("pos long, extract_id int").fields]))
     where = [F.col("_metadata.file_name").alias("file_name"), F.regexp_extract("_metadata.file_path", r"/(\d{4})/[^/]*$", 1).cast("int").alias("file_year")]
-    heads = spark.read.format("xml").option("rowTag", "Preparations").schema(record("_ReleaseDate")).load(glob).select(*where, F.col("_ReleaseDate").alias("release_date")).distinct()
-    extracts = heads.select(F.row_number().over(Window.orderBy("file_year", "file_name")).alias("extract_id"), "file_name", "file_year", "release_date")
-    rows = spark.read.format("xml").option("rowTag", "Preparation").schema(PREPARATION).load(glob).select("*", *where, F.monotonically_increasing_id().alias("pos"))
+    heads = spark.read.format("xml").option("rowTag", "Preparations").schema(record("_ReleaseDate")).load(places).select(*where, F.col("_ReleaseDate").alias("release_date")).distinct()
+    extracts = heads.join(F.broadcast(ids), ["file_name", "file_year"]).select("extract_id", "file_name", "file_year", "release_date")
+    rows = spark.read.format("xml").option("rowTag", "Preparation").schema(PREPARATION).load(places).select("*", *where, F.monotonically_increasing_id().alias("pos"))
     rows = rows.filter(tx.filled(F.col("SwissmedicNo5")).isNotNull())
-    return extracts, rows.join(F.broadcast(extracts.select("file_name", "file_year", "extract_id")), ["file_name", "file_year"])
+    return extracts, rows.join(F.broadcast(ids), ["file_name", "file_year"])
 
 
 #: Columns of packs and preparations by the element they come from.

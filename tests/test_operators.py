@@ -287,3 +287,47 @@ def test_similar_pairs_lose_none(spark):
     assert len(got) == len(set(got)) < 0.2 * len(names) ** 2
     want = {(i % 2, a, b) for i, a in enumerate(names) if a for b in names if b and SequenceMatcher(None, a, b).ratio() >= 0.85}
     assert want <= set(got) and len(want) > 100
+
+
+def test_bucket_join_equals_overlap_join(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = lambda n: [(i, rng.choice(["k", "k", "k", "m", None]), a := rng.randrange(-400, 400), a + rng.randrange(0, 30)) for i in range(n)]
+    left = spark.createDataFrame([*rows(400), (900, "k", None, 5), (901, "k", 7, 3)], "a int, key string, first_seen int, last_seen int")
+    right = spark.createDataFrame([*rows(400), (900, "k", 5, None)], "b int, key string, first_seen int, last_seen int")
+    for how in ("inner", "left"):
+        want = intervals.overlap_join(left.filter("first_seen <= last_seen or first_seen is null"), right, ["key"], how)
+        got = intervals.bucket_join(left.filter("first_seen <= last_seen or first_seen is null"), right, ["key"], 16, how, row=["a"])
+        assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    # one key with many intervals: what is compared is near what is found
+    many = spark.range(20000).selectExpr("id as a", "1 as key", "id * 10 as first_seen", "id * 10 + 12 as last_seen")
+    other = many.withColumnRenamed("a", "b")
+    assert intervals.bucket_join(many, other, ["key"], 16).count() == 20000 + 2 * 19999
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+    import pathlib
+
+    path = str(tmp_path / "t")
+    files = lambda: {str(f.relative_to(path)) for f in pathlib.Path(path).rglob("*.parquet")}
+    rows = lambda: sorted(map(tuple, spark.read.parquet(path).select("id", "v", "at").collect()))
+    old = spark.createDataFrame([(i, "old", 1) for i in range(200)], "id int, v string, at int")
+    history.upsert(path, old, ["id"], ["at", "v"], buckets=16)
+    before = files()
+    new = spark.createDataFrame([(5, "new", 2), (5, "newer", 3), (6, "stale", 0), (1000, "more", 1)], "id int, v string, at int")
+    history.upsert(path, new, ["id"], ["at", "v"], buckets=16)
+    after, want = files(), sorted([*[(i, "old", 1) for i in range(200) if i != 5], (5, "newer", 3), (1000, "more", 1)])
+    assert rows() == want and 10 <= len(before & after) < len(before)
+    history.upsert(path, new, ["id"], ["at", "v"], buckets=16)
+    assert rows() == want
+
+
+def test_dates_are_looked_up_without_a_join(spark, monkeypatch):
+    df, extracts = spark.createDataFrame([(1, 2), (None, 9)], "a int, b int"), spark.createDataFrame([(1, "x"), (2, None), (3, "z")], "extract_id int, release_date string")
+    out = history.resolve_dates(df, extracts, p="a", q="b")
+    assert {tuple(r) for r in out.select("p", "q").collect()} == {("x", None), (None, None)}
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(history, "MAPPED_SNAPSHOTS", 2)
+    assert {tuple(r) for r in history.resolve_dates(df, extracts, p="a", q="b").select("p", "q").collect()} == {("x", None), (None, None)}
+    assert history.resolve_dates(df, extracts.limit(0), p="a").select("p").distinct().collect()[0]["p"] is None
