@@ -286,7 +286,7 @@ def match_log(segments: DataFrame, matches: DataFrame) -> DataFrame:
     return matches.join(segments.select("segment", F.col("name").alias("segment_name")), "segment").select("segment", "segment_name", F.col("code_value").alias("matched_code"), "match_type", "matched_to", "score")
 
 
-#: Layers of the code-to-name map in order, with their confidence.
+#: Layers of the code-to-name map in order, with their confidence.
 MAP_LAYERS = {
     "REF_MAP": 1.0, "DIRECT_STRUCT": 1.0, "DIRECT_TEXT": 0.95, "SHARED_TEXT": 0.9, "ORDINAL_POSITION": 0.8, "NORM_SAME": 0.95, "NORM_CROSS": 0.9,
     "BRAND_SAME": 0.9, "BRAND_CROSS": 0.85, "LLM_SEGMENT": 0.85, "BOLD_EXTRACT": 0.7, "DESC_TRUNCATED": 0.5,
@@ -297,28 +297,34 @@ REAL = ("STRUCTURED_XML", "TEXT_PARSED")
 
 
 def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, reference: DataFrame | None = None, replies: DataFrame | None = None) -> DataFrame:
-    """Names for codes: (indication_code, indication_name_de, indication_name_fr, bag_dossier_no, match_source, match_confidence).
+    """Names for codes: (indication_code, indication_name_de, _fr and _it, bag_dossier_no, match_source, match_confidence, source_text_id, source_segment_order).
 
     links has text_id, indication_code, code_source; segments has text_id, segment_order, indication_name_de
-    (and _fr); texts has text_id, text; reference has indication_code, indication_name_de, bag_dossier_no, replies
-    text_id, indication_name_fr. A later layer adds only (code, name) pairs that no earlier one has, and
+    (and _fr, _it); texts has text_id, text (and text_fr); reference has indication_code, indication_name_de (and _fr, _it), bag_dossier_no, replies
+    text_id, indication_name_fr (and segment_order). The source columns say which text and segment a name is from; a reference name is from none, one read from a text from no segment. A later layer adds only (code, name) pairs that no earlier one has, and
     the last two only codes that still have no name. A direct layer takes one row per code, that of
     the smallest text. Codes are counted by source: one structured code of a text is paired with its only segment
     whatever else stands there; one parsed code if it is the only code of both sources. In the two layers by normalised name
     a segment asks once, with the smallest code of its text. Some steps are persisted, as several later ones read them.
     """
-    if "indication_name_fr" not in segments.columns:
-        segments = segments.withColumn("indication_name_fr", F.lit(None).cast("string"))
+    names, origin = ["indication_name_de", "indication_name_fr", "indication_name_it"], ["text_id", "segment_order"]
+    missing = lambda df, columns, kind: df.withColumns({c: F.lit(None).cast(kind) for c in columns if c not in df.columns})
+    segments = missing(segments, names, "string")
+    kinds = dict(segments.dtypes)
     dossier = F.when(F.col("indication_code").contains("."), F.substring_index("indication_code", ".", 1))
     # what several layers start from is kept, else each would make it anew
     real = links.filter(F.col("code_source").isin(*REAL)).select("text_id", "indication_code", "code_source").distinct().persist()
-    only = segments.groupBy("text_id").agg(F.count("*").alias("_n"), F.min(F.struct("indication_name_de", "indication_name_fr")).alias("_s")).filter("_n = 1").select("text_id", "_s.*")
-    named = lambda df, source: df.select("indication_code", "indication_name_de", "indication_name_fr", dossier.alias("bag_dossier_no"), F.lit(source).alias("match_source"), F.lit(MAP_LAYERS[source]).alias("match_confidence"))
+    only = segments.groupBy("text_id").agg(F.count("*").alias("_n"), F.min(F.struct(*names, "segment_order")).alias("_s")).filter("_n = 1").select("text_id", "_s.*")
+
+    def named(df: DataFrame, source: str, of: Column = dossier) -> DataFrame:
+        df = missing(missing(df, names, "string"), origin, "string").select("*", of.alias("_of"))
+        came = [F.col(c).cast(kinds[c]).alias(f"source_{c}") for c in origin]
+        return df.select("indication_code", *names, F.col("_of").alias("bag_dossier_no"), F.lit(source).alias("match_source"), F.lit(MAP_LAYERS[source]).alias("match_confidence"), *came)
 
     def per_code(df: DataFrame) -> DataFrame:
         """One row per code: a named one before one without, then the smallest text."""
-        pick = F.struct(F.col("indication_name_de").isNull().alias("a"), F.col("text_id").alias("b"), "indication_name_de", "indication_name_fr")
-        return df.groupBy("indication_code").agg(F.min(pick).alias("_p")).select("indication_code", "_p.indication_name_de", "_p.indication_name_fr")
+        pick = F.struct(F.col("indication_name_de").isNull().alias("a"), "text_id", *names, "segment_order")
+        return df.groupBy("indication_code").agg(F.min(pick).alias("_p")).select("indication_code", *[f"_p.{c}" for c in (*names, *origin)])
 
     def with_one_code(df: DataFrame) -> DataFrame:
         return df.groupBy("text_id").agg(F.countDistinct("indication_code").alias("_c")).filter("_c = 1").select("text_id")
@@ -326,12 +332,12 @@ def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, referenc
     structured, parsed = real.filter(F.col("code_source") == REAL[0]), real.filter(F.col("code_source") == REAL[1])
     parts = []
     if reference is not None:
-        parts.append(reference.select("indication_code", "indication_name_de", F.lit(None).cast("string").alias("indication_name_fr"), "bag_dossier_no", F.lit("REF_MAP").alias("match_source"), F.lit(MAP_LAYERS["REF_MAP"]).alias("match_confidence")))
+        parts.append(named(reference.select(*[c for c in reference.columns if c not in origin]), "REF_MAP", F.col("bag_dossier_no")))
     parts.append(named(per_code(structured.join(with_one_code(structured), "text_id", "left_semi").join(only, "text_id")), "DIRECT_STRUCT"))
     parts.append(named(per_code(parsed.join(with_one_code(real), "text_id", "left_semi").join(only, "text_id")), "DIRECT_TEXT"))
     parts.append(named(per_code(real.join(only, "text_id")), "SHARED_TEXT"))
     of_one_dossier = real.filter(F.col("indication_code").contains(".")).groupBy("text_id").agg(F.countDistinct(F.substring_index("indication_code", ".", 1)).alias("_d")).filter("_d = 1").select("text_id")
-    pairs = ordinal_pairs(segments.join(of_one_dossier, "text_id", "left_semi").select("text_id", "segment_order", "indication_name_de", "indication_name_fr"), real, "text_id", "segment_order", "indication_code")
+    pairs = ordinal_pairs(segments.join(of_one_dossier, "text_id", "left_semi").select(*origin, *names), real, "text_id", "segment_order", "indication_code")
     parts.append(named(pairs, "ORDINAL_POSITION"))
     keys = ["indication_code", "indication_name_de"]
     found = union_first_wins(parts, keys).persist()
@@ -354,13 +360,15 @@ def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, referenc
         asked = asked.join(met.select("text_id", "segment_order").distinct(), ["text_id", "segment_order"], "left_anti")
     if replies is not None:
         fallback = links.filter(F.col("code_source") == "FALLBACK_XX").select("text_id", "indication_code").distinct()
-        one = replies.filter(F.col("indication_name_fr").isNotNull()).groupBy("text_id").agg(F.count("*").alias("_n"), F.min("indication_name_fr").alias("indication_name_fr")).filter("_n = 1").drop("_n").withColumn("indication_name_de", F.lit(None).cast("string"))
+        one = missing(replies, ["segment_order"], kinds["segment_order"]).filter(F.col("indication_name_fr").isNotNull()).groupBy("text_id").agg(F.count("*").alias("_n"), F.min("indication_name_fr").alias("indication_name_fr"), F.min("segment_order").alias("segment_order")).filter("_n = 1").drop("_n")
         replied = fallback.join(with_one_code(fallback), "text_id", "left_semi").join(one, "text_id")
-        left.append(named(replied.groupBy("indication_code").agg(F.min(F.struct("text_id", "indication_name_de", "indication_name_fr")).alias("_p")).select("indication_code", "_p.indication_name_de", "_p.indication_name_fr"), "LLM_SEGMENT"))
+        left.append(named(replied.groupBy("indication_code").agg(F.min(F.struct("text_id", "indication_name_fr", "segment_order")).alias("_p")).select("indication_code", "_p.*"), "LLM_SEGMENT"))
     found = union_first_wins([found, *left], keys).persist()
     still = real.select("indication_code", "text_id").distinct().join(found.select("indication_code").distinct(), "indication_code", "left_anti").join(texts.filter(F.col("text") != ""), "text_id")
-    still = still.withColumn("text", tx.decode_entities(F.col("text"))).withColumn("_bold", F.nullif(F.regexp_extract("text", "(?d)<b>(.+?)</b>", 1), F.lit("")))
-    usable = F.col("_bold").isNotNull() & ~tx.is_structural(F.col("_bold"))
-    name = F.when(usable, F.col("_bold")).otherwise(F.nullif(tx.first_sentence(tx.clean_markup(F.col("text"))), F.lit("")))
-    still = still.withColumn("indication_name_de", name).withColumn("indication_name_fr", F.lit(None).cast("string")).withColumn("_usable", usable).filter("indication_name_de is not null")
-    return found.unionByName(union_first_wins([named(still.filter("_usable"), "BOLD_EXTRACT"), named(still.filter("not _usable"), "DESC_TRUNCATED")], keys))
+    bold = lambda c: F.nullif(F.regexp_extract(c, "(?d)<b>(.+?)</b>", 1), F.lit(""))
+    still = missing(still, ["text_fr"], "string").withColumns({"text": tx.decode_entities(F.col("text")), "text_fr": tx.decode_entities(F.col("text_fr"))}).withColumn("_bold", bold("text"))
+    # what tells one layer from the other is worked out once
+    still = still.withColumn("_usable", F.col("_bold").isNotNull() & ~tx.is_structural(F.col("_bold"))).persist()
+    by_bold = still.filter("_usable").select("indication_code", "text_id", F.col("_bold").alias("indication_name_de"), bold("text_fr").alias("indication_name_fr"))
+    by_text = still.filter("not _usable").select("indication_code", "text_id", F.nullif(tx.first_sentence(tx.clean_markup(F.col("text"))), F.lit("")).alias("indication_name_de")).filter("indication_name_de is not null")
+    return found.unionByName(union_first_wins([named(by_bold, "BOLD_EXTRACT"), named(by_text, "DESC_TRUNCATED")], keys))

@@ -632,7 +632,7 @@ SELECT code AS indication_code, name AS indication_name_de, CAST(NULL AS VARCHAR
   CAST([1, 1, 0.95, 0.9, 0.8, 0.95, 0.9, 0, 0.7, 0.5][rank + 1] AS DOUBLE) AS match_confidence FROM (FROM b UNION ALL SELECT code, name, min(rank) FROM z GROUP BY ALL)
 UNION ALL SELECT code, NULL, fr, split_part(code, '.', 1), 'LLM_SEGMENT', 0.85 FROM g7""")
 def sku_map_layers(spark, d):
-    return matching.code_names(*sku_tables(spark, d))
+    return matching.code_names(*sku_tables(spark, d)).select("indication_code", "indication_name_de", "indication_name_fr", "bag_dossier_no", "match_source", "match_confidence")
 
 
 @query("""

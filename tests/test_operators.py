@@ -167,6 +167,21 @@ def test_code_names_by_source_and_one_row_per_code(spark):
         ("D1.10", "Eins", None, "DIRECT_STRUCT"), ("D1.11", "Eins", None, "SHARED_TEXT"), ("D2.10", "eins :", None, "NORM_CROSS"), ("D1.10", "eins", None, "NORM_SAME"), ("D3.XX", None, "Trois", "LLM_SEGMENT"),
         ("D5.13", "Melanom", None, "BOLD_EXTRACT"), ("D5.13", "z", None, "DESC_TRUNCATED"), ("D6.14", "UND Nur dies.", None, "DESC_TRUNCATED"), ("D2.12", "x", None, "DESC_TRUNCATED"),
     } | {x for x in got if x[0] == "D1.15"}
+    came = {(r["indication_code"], r["indication_name_de"]): (r["source_text_id"], r["source_segment_order"]) for r in out.collect()}
+    assert (came["D1.10", "Eins"], came["D1.11", "Eins"], came["D2.10", "eins :"], came["D5.13", "Melanom"], came["D3.XX", None]) == ((1, 0), (1, 0), (3, 0), (5, None), (4, None))
+
+
+def test_code_names_in_three_languages_and_by_brand(spark):
+    links = [(1, "D1.10", "STRUCTURED_XML"), (2, "D1.11", "FALLBACK_XX"), (3, "D2.12", "FALLBACK_XX"), (5, "D5.13", "TEXT_PARSED")]
+    segs = [(1, 0, "LENALIDOMID Lunge", "poumon", "polmone"), (2, 0, "Revlimid Lunge", "b", "c"), (3, 0, "REVLIMID Lunge", "e", "f")]
+    texts = [(5, "<b>Haut</b> y", "x <b>Peau</b>")]
+    out = matching.code_names(
+        spark.createDataFrame(links, "text_id int, indication_code string, code_source string"), spark.createDataFrame(segs, "text_id int, segment_order int, indication_name_de string, indication_name_fr string, indication_name_it string"),
+        spark.createDataFrame(texts, "text_id int, text string, text_fr string"), spark.createDataFrame([("R.1", "Ref", "réf", "rif", "R")], "indication_code string, indication_name_de string, indication_name_fr string, indication_name_it string, bag_dossier_no string"),
+    )
+    got = {(r["match_source"], r["indication_code"], r["indication_name_de"], r["indication_name_fr"], r["indication_name_it"], r["source_text_id"]) for r in out.collect()}
+    assert {x for x in got if not x[0].startswith("BRAND")} == {("REF_MAP", "R.1", "Ref", "réf", "rif", None), ("DIRECT_STRUCT", "D1.10", "LENALIDOMID Lunge", "poumon", "polmone", 1), ("BOLD_EXTRACT", "D5.13", "Haut", "Peau", None, 5)}
+    assert {x[:2] for x in got if x[0].startswith("BRAND")} == {("BRAND_CROSS", "D2.10")}
 
 
 def test_two_entries_of_one_name_leave_no_lead(spark):
