@@ -2,8 +2,9 @@
 
 A page is read as a flat sequence of text blocks. Each block is described by its own word count
 and link density, by those of the blocks before and after it and of the next longer ones around it, by whether it ends
-like a sentence, and by what its mark-up says: inside an element made for boilerplate or for the
-article, inside one whose class, id or role names either, a heading, a list item. A decision tree trained on
+like a sentence, by the container it stands in (its words, its share of the largest one's, whether it has a heading, whether it comes
+before or after the largest), and by what its mark-up says: inside an element made for boilerplate or for the
+article, how many elements and words of class, id or role around it are marks of either, one of several articles side by side, a heading, a list item. A decision tree trained on
 a small labelled table, drawn by rule from layouts with and without telling mark-up, says which
 blocks are main text.
 """
@@ -33,10 +34,14 @@ MAIN_TAGS = frozenset(("article", "main"))
 LOOSE_TAGS = frozenset("form header fieldset".split())
 #: Words in class, id and role that hint at boilerplate or at the article, and words before them that say what a layout has.
 BOILER_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notification outbrain pager pagination popup promo promotion recommended related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags teaser toolbar topbar widget".split()
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments complementary consent contentinfo cookie cookies copyright dialog disclaimer disqus footer form gdpr header legal login masthead menu modal nav navbar navigation newsletter notice notification outbrain pager pagination popup promo promotion recommended related replies reply respond search share sharing side sidebar signup skip social sponsor sponsored subscribe taboola tags teaser toolbar topbar widget".split()
 )
 MAIN_WORDS = frozenset("article content entry main post story text body".split())
 LAYOUT_WORDS = frozenset("has with no without".split())
+#: Words after them that say it isn't there.
+ABSENT_WORDS = frozenset("free less off".split())
+#: Elements of which a block or a list is made; what holds these is the container.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre figure figcaption table thead tbody tfoot tr td th".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -50,44 +55,50 @@ PART = re.compile(r"[a-z]+")
 #: What a block is described by, in order; the words and link density of a block that isn't there are 0.
 FEATURES = (
     "words", "links", "words before", "links before", "words after", "links after", "links of the longer block before", "links of the longer block after",
-    "sentence", "heading", "item", "boilerplate element", "boilerplate name", "article element", "article name",
+    "words of the container", "share of the largest container", "heading in the container", "place to the largest container",
+    "sentence", "heading", "item", "boilerplate element", "boilerplate marks", "article element", "article marks", "articles side by side",
 )
+#: Of these a block says itself: words, links, container, and the ones from "sentence" on.
+OWN = 3 + len(FEATURES) - FEATURES.index("sentence")
 SENTENCE_END = (".", "!", "?", "…", ":", "。", "！", "？", '."', ".”", ".)")
 
 
-def named(attrs: str) -> tuple[bool, bool]:
-    """Whether class, id or role hold a word that hints at boilerplate, and one that hints at the article."""
-    boiler = main = False
+def named(attrs: str) -> tuple[int, int]:
+    """How many words of class, id or role hint at boilerplate, and how many at the article."""
+    boiler = main = 0
     for value in NAMED.findall(attrs):
-        before = ""
-        for word in PART.findall(value.lower()):
-            if before not in LAYOUT_WORDS:
-                boiler, main = boiler or word in BOILER_WORDS, main or word in MAIN_WORDS
-            before = word
+        for name in value.lower().split():
+            words = PART.findall(name)
+            for before, word, after in zip(["", *words], words, [*words[1:], ""]):
+                if before not in LAYOUT_WORDS and after not in ABSENT_WORDS:
+                    boiler, main = boiler + (word in BOILER_WORDS), main + (word in MAIN_WORDS)
     return boiler, main
 
 
 class Container:
     """An open element and what it says about the text inside."""
 
-    __slots__ = ("name", "tag", "hint", "main_tag", "main_hint")
+    __slots__ = ("name", "number", "tag", "hint", "main_tag", "main_hint", "articles", "among")
 
-    def __init__(self, name: str, attrs: str, outer: Container | None):
-        self.name = name
-        self.tag, self.hint, self.main_tag, self.main_hint = (outer.tag, outer.hint, outer.main_tag, outer.main_hint) if outer else ("", False, False, False)
-        boiler, main = named(attrs) if "=" in attrs and name not in ("html", "body") else (False, False)
+    def __init__(self, name: str, attrs: str, outer: Container | None, number: int):
+        self.name, self.number, self.articles = name, number, [0]
+        self.tag, self.hint, self.main_tag, self.main_hint, self.among = (outer.tag, outer.hint, outer.main_tag, outer.main_hint, outer.among) if outer else ("", 0, False, 0, [0])
+        boiler, main = named(attrs) if "=" in attrs and name not in ("html", "body") else (0, 0)
+        if name == "article" and outer:
+            # how many there are is known once all of them have been read
+            outer.articles[0] += 1
+            self.among = outer.articles
         if name in MAIN_TAGS:
             self.main_tag = True
             if self.tag in LOOSE_TAGS or name == "main":
                 self.tag = ""
             if name == "main":
-                self.hint = False
+                self.hint = 0
         elif name in BOILER_TAGS and not (name == "header" and self.main_tag):
             self.tag = self.tag if self.tag and self.tag not in LOOSE_TAGS else name
         if boiler and not (self.main_tag and name in ("header", *HEADINGS)):
-            self.hint = True
-        if main and not boiler:
-            self.main_hint = True
+            self.hint += boiler
+        self.main_hint += main
 
 
 def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
@@ -95,7 +106,9 @@ def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
     texts: list[str] = []
     rows: list[tuple] = []
     parts: list[str] = []
+    root = Container("", "", None, 0)
     stack: list[Container] = []
+    opened = 0
     linked, in_link, breaks = 0, 0, 0
 
     def flush() -> None:
@@ -105,9 +118,11 @@ def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
             text = " ".join((html.unescape(text) if "&" in text else text).split())
             if text:
                 texts.append(text)
-                inner = stack[-1] if stack else Container("", "", None)
+                inner = stack[-1] if stack else root
                 words = text.count(" ") + 1
-                rows.append((words, min(1.0, linked / words), text.endswith(SENTENCE_END), inner.name in HEADINGS, inner.name == "li", inner.tag != "", inner.hint, inner.main_tag, inner.main_hint))
+                # the element around a block's own one, with lists and the like seen through; what says what it is made for holds its own text
+                around = next((c.number for c in reversed(stack[:-1] if inner.name == "div" else stack) if c.name not in PARTS), 0)
+                rows.append((words, min(1.0, linked / words), around, text.endswith(SENTENCE_END), inner.name in HEADINGS, inner.name == "li", inner.tag != "", inner.hint + (inner.tag != ""), inner.main_tag, inner.main_hint + inner.main_tag, inner.among))
             parts.clear()
         linked, breaks = 0, 0
 
@@ -149,10 +164,11 @@ def blocks(page: str | None) -> tuple[list[str], np.ndarray]:
         elif name not in VOID and not m["attrs"].endswith("/"):
             if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1].name == name:
                 stack.pop()  # its end may be left out
-            stack.append(Container(name, m["attrs"], stack[-1] if stack else None))
+            opened += 1
+            stack.append(Container(name, m["attrs"], stack[-1] if stack else root, opened))
     add(page[at:])
     flush()
-    return texts, features(np.array(rows, float).reshape(-1, 9))
+    return texts, features(np.array([(*r[:-1], r[-1][0]) for r in rows], float).reshape(-1, OWN))
 
 
 def features(own: np.ndarray) -> np.ndarray:
@@ -168,20 +184,29 @@ def features(own: np.ndarray) -> np.ndarray:
                 waiting.pop()
             longer[way][i] = links[waiting[-1]] if waiting else 0
             waiting.append(i)
-    return np.column_stack([words, links, *around, *longer, own[:, 2:]]) if len(own) else np.zeros((0, len(FEATURES)))
-
-
-def labelled_table(pages: int = 240, seed: int = 7) -> list[tuple[str, str]]:
+    if not len(own):
+        return np.zeros((0, len(FEATURES)))
+    _, container = np.unique(own[:, 2], return_inverse=True)
+    inside = np.bincount(container, words * (1 - links))  # what is linked is no text
+    largest = int(inside.argmax())
+    headed = np.bincount(container, own[:, 4]) > 0
+    own_place = np.flatnonzero(container == largest)
+    place = np.where(np.arange(len(own)) < own_place[0], -1, np.where(np.arange(len(own)) > own_place[-1], 1, 0))
+    place[own_place] = 0
+    return np.column_stack([words, links, *around, *longer, inside[container], inside[container] / max(inside[largest], 1), headed[container], place, own[:, 3:]])
+
+
+def labelled_table(pages: int = 900, seed: int = 7) -> list[tuple[str, str]]:
     """The labelled table, drawn by rule: pages, and for each of their blocks whether it is main text.
 
     A page is a menu, notices, an article, and what comes after it. Each part is marked by an element
-    made for it, by a name, by a compound name, or by nothing; so the tree learns what words, links
-    and neighbours tell, and how far names can be trusted.
+    made for it, by a name, by a compound name, by a name that says nothing, or by nothing, and articles have names that speak of
+    boilerplate, too; so the tree learns what words, links, neighbours and containers tell, and how far names can be trusted.
     """
     rng = random.Random(seed)
     some = lambda low, high: " ".join(rng.choice(("stone", "river", "late", "market", "of", "the", "and", "seven", "walked", "green", "slowly", "house")) for _ in range(rng.randint(low, high)))
     said = lambda low, high: some(low, high).capitalize() + rng.choice("...?!:")
-    link = lambda low, high: f"<a href=x>{some(low, high)}</a>"
+    link = lambda low, high: f"<a href=x>{rng.choice((some, some, said))(low, high)}</a>"
     names = {
         "menu": ("main-nav", "menu", "navbar top", "navigation"), "notice": ("cookie-notice", "cookie-text", "notice", "gdpr-banner"), "ad": ("ad", "ads", "story-ad", "sponsored content"),
         "side": ("sidebar", "sidebar-content", "main-sidebar", "widget text"), "related": ("related", "related-content", "recommended"), "comments": ("comments", "comment-body", "replies"),
@@ -190,29 +215,35 @@ def labelled_table(pages: int = 240, seed: int = 7) -> list[tuple[str, str]]:
     tags = {"menu": "nav", "side": "aside", "foot": "footer", "news": "form", "ad": "aside"}
 
     def part(kind: str, blocks: list[str], marked: bool = False) -> tuple[str, str]:
-        how = rng.choice(("tag", "name", "name", "none")) if not marked else rng.choice(("tag", "name"))
+        how = rng.choice(("tag", "tag", "name", "name", "none")) if not marked else rng.choice(("tag", "name"))
         tag = tags.get(kind) if how == "tag" else None
-        if how == "none" and kind in ("notice", "ad", "side", "comments", "news"):  # nothing else tells their sentences from an article's
-            how = "name"
         name = f' {rng.choice(("class", "id"))}="{rng.choice(names[kind])}"' if how == "name" or (how == "tag" and not tag) else ""
-        each = rng.choice(("p", "div", "li")) if kind in ("menu", "foot", "share", "related") else "p"
+        if how == "none" and rng.random() < 0.5:  # a name in another language, or one that says nothing
+            name = f' class="{rng.choice(("seitenleiste", "usr-cmts", "box-3", "kasten", "c1", "zusatz"))}"'
+        each = rng.choice(("p", "div", "li")) if kind in ("menu", "foot", "share", "related") else rng.choice(("p", "p", "div"))
         inner = "".join(f"<{each}>{b}</{each}>" for b in blocks)
-        if kind == "comments" and rng.random() < 0.5:
+        if len(blocks) == 1 and rng.random() < 0.5:
+            inner = blocks[0]
+        if kind in ("comments", "side", "related") and len(blocks) > 1 and rng.random() < 0.5:
             inner = "".join(f"<article><p>{b}</p></article>" for b in blocks)
+        if how == "none" and kind in ("menu", "share", "related", "foot") and rng.random() < 0.5:  # straight in the page
+            return (f"<ul>{inner}</ul>" if each == "li" else inner), "0" * len(blocks)
         return f"<{tag or 'div'}{name}>{inner}</{tag or 'div'}>", "0" * len(blocks)
 
     def boiler(kind: str, marked: bool = False) -> tuple[str, str]:
         few = rng.randint(1, 4)
+        if kind in ("notice", "ad", "news") and rng.random() < 0.4:  # something to do
+            return part(kind, [rng.choice((f"{said(3, 14)} {link(1, 3)}", some(1, 3), said(1, 3)))], marked)
         made = {
             "menu": lambda: [link(1, 3) for _ in range(rng.randint(2, 7))], "share": lambda: [link(1, 2) for _ in range(few)], "related": lambda: [link(4, 12) for _ in range(few + 1)],
             "notice": lambda: [said(8, 40)], "ad": lambda: [said(3, 25)], "side": lambda: [said(5, 30) for _ in range(few)], "comments": lambda: [said(4, 60) for _ in range(few)],
-            "news": lambda: [said(4, 25)], "foot": lambda: [rng.choice((some(1, 6), f"{some(1, 3)} {link(1, 2)} {link(1, 2)}")) for _ in range(rng.randint(1, 2))],
+            "news": lambda: [said(4, 25)], "foot": lambda: [rng.choice((some(1, 6), said(2, 9), f"{some(1, 3)} {link(1, 2)} {link(1, 2)}")) for _ in range(rng.randint(1, 2))],
         }[kind]()
         return part(kind, made, marked)
 
     def article() -> tuple[str, str]:
         out, labels = [], ""
-        wrap = rng.choice(("article", "main", "named", "named", "none", "none"))
+        wrap, para = rng.choice(("article", "main", "named", "named", "none", "bare", "bare")), rng.choice(("p", "p", "div"))
 
         def add(tag: str, text: str) -> None:
             nonlocal labels
@@ -226,31 +257,37 @@ def labelled_table(pages: int = 240, seed: int = 7) -> list[tuple[str, str]]:
             if kind < 0.15:
                 add("p", said(1, 5))
             elif kind < 0.75:
-                add("p", said(12, 90))
+                add(para, said(12, 90))
             elif kind < 0.85:
                 add("p", f"{some(8, 30)} {link(1, 5)} {said(4, 20)}")
             elif kind < 0.92:
                 add(rng.choice(("h2", "h3")), some(1, 6))
                 add("p", said(15, 60))
+            elif kind < 0.95:
+                add("figcaption", rng.choice((some, said))(3, 14))
+                add("p", said(15, 50))
             else:
                 for _ in range(rng.randint(2, 4)):
                     add("li", some(1, 8))
                 add("p", said(10, 40))
             if wrap in ("article", "main") and rng.random() < 0.15:  # such as sources
                 add(rng.choice(("p", "li")), link(1, 12))
-            if rng.random() < 0.06:
+            if rng.random() < 0.12:
                 html_, zeros = boiler(rng.choice(("ad", "share", "news")), True)
                 out.append(html_)
                 labels += zeros
         inner = "".join(out)
-        opened = {"article": "<article>", "main": "<main>", "named": f'<div class="{rng.choice(("content", "entry text", "post", "story-body"))}">', "none": "<div>"}[wrap]
+        if wrap == "bare":
+            return inner, labels
+        opened = {"article": "<article>", "main": "<main>", "named": f'<div class="{rng.choice(("content", "entry text", "post", "story-body", "text-ad-free", "content no-sidebar", "post share-enabled", "spalte-2"))}">', "none": "<div>"}[wrap]
         return f"{opened}{inner}</{opened[1:].split()[0].rstrip('>')}>", labels
 
     out = []
     for _ in range(pages):
         before = [boiler(k) for k in ("menu", "notice", "ad") if rng.random() < 0.6]
         after = [boiler(k) for k in ("share", "related", "side", "comments", "news", "foot") if rng.random() < 0.4]
-        parts = [*before, article(), *after] if rng.random() < 0.93 else [boiler(k) for k in ("menu", "foot")]
+        kind = rng.random()
+        parts = [*before, article(), *after] if kind < 0.82 else [article()] if kind < 0.94 else [boiler("menu"), boiler("foot", True)]
         page = "".join(h for h, _ in parts)
         out.append((f"<body class={rng.choice(('has-sidebar', 'post', 'page'))}>{page}</body>" if rng.random() < 0.5 else page, "".join(x for _, x in parts)))
     return out
@@ -259,7 +296,7 @@ def labelled_table(pages: int = 240, seed: int = 7) -> list[tuple[str, str]]:
 class Tree:
     """A small decision tree by Gini impurity, held as flat arrays."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 10, least: int = 4):
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = 12, least: int = 4):
         self.feature, self.cut, self.left, self.value, self.least = [], [], [], [], least
         self.grow(x, y, depth)
 

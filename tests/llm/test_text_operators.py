@@ -438,3 +438,29 @@ def test_html_pages_of_the_test_data(spark):
 def test_sha_of_ids(spark):
     r = spark.createDataFrame([([1, 22, 333],), ([],)], "ids array<int>").select(F.sha2(byte_bpe.token_text(F.col("ids")), 256)).collect()
     assert [x[0] for x in r] == [hashlib.sha256(b"1 22 333").hexdigest(), hashlib.sha256(b"").hexdigest()]
+
+
+BRIDGE = "<p>" + "The council met on Tuesday to speak about the new bridge and its cost, which has grown. " * 2 + "</p><p>" + "A second paragraph tells what the mayor said to the press after the meeting had ended. " * 2 + "</p>"
+
+
+@pytest.mark.parametrize("page, also", [
+    (f'<body><div class="text-ad-free"><h1>Bridge</h1>{BRIDGE}</div></body>', []),
+    (f"<article><h1>Bridge</h1>{BRIDGE}<figure><img src=x><figcaption>The old bridge in spring</figcaption></figure><p>One more paragraph, with words to read.</p></article>", ["The old bridge in spring", "One more paragraph, with words to read."]),
+    (f'<body><div>We use cookies to make this site better. <a href=x>Accept</a></div><div class="content"><h1>Bridge</h1>{BRIDGE}</div></body>', []),
+    (f'<body><article><h1>Bridge</h1>{BRIDGE}</article><div class="seitenleiste"><p>Wetter heute schön.</p><p>Lesen Sie auch dies.</p></div></body>', []),
+    (f'<body><article><h1>Bridge</h1>{BRIDGE}</article><div class="usr-cmts"><p>I like the bridge a lot, thanks for it!</p><p>Too dear if you ask me.</p></div></body>', []),
+    (f'<body><article><h1>Bridge</h1>{BRIDGE}</article><div class="side-content"><p>Most read this week was that.</p></div></body>', []),
+    (f'<body><nav><ul><li><a href=a>News.</a></li><li><a href=b>Sports</a></li></ul></nav><h1>Bridge</h1>{BRIDGE}<footer>All rights reserved.</footer></body>', []),
+])
+def test_pages_whose_names_say_nothing_or_mislead(spark, page, also):
+    text = html_text.extract_text(spark.createDataFrame([(page,)], "html string")).first()["text"].split("\n")
+    assert [t[:11] for t in text[:3]] == ["Bridge", "The council", "A second pa"] and text[3:] == also
+
+
+def test_blocks_of_pages_drawn_anew_are_told_apart():
+    tree, right, total = html_text.trained(), 0, 0
+    for seed in (99, 1234):
+        for page, labels in html_text.labelled_table(pages=240, seed=seed):
+            found = tree.predict(html_text.blocks(page)[1])
+            right, total = right + sum(bool(f) == (c == "1") for f, c in zip(found, labels)), total + len(labels)
+    assert right / total > 0.98
