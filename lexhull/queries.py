@@ -66,6 +66,20 @@ def history_first_write_last_nonnull(spark, d):
     return history.snapshot_history(e, ["user_id", "event_type"], "seen", ["ts", "event_id"], first=["event_id"], last_non_null=["price"])
 
 
+@query(f"""
+WITH e AS (SELECT *, {DAY.format('ts')} AS seen, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS l,
+           row_number() OVER (PARTITION BY user_id, event_id % 3 <> 0 ORDER BY ts DESC, event_id DESC) AS k FROM events)
+SELECT user_id, min(seen) AS first_seen, max(seen) AS last_seen, max(CASE WHEN r = 1 THEN event_type END) AS event_type, max(CASE WHEN l = 1 THEN props END) AS props,
+       max(CASE WHEN k = 1 AND event_id % 3 <> 0 THEN value END) AS price
+FROM e GROUP BY user_id""")
+def history_merged_parts(spark, d):
+    e = table(spark, d, "events").withColumn("seen", F.expr(day("ts"))).withColumn("price", F.expr("case when event_id % 3 <> 0 then value end"))
+    how = {"first": ["event_type"], "last": ["props"], "last_non_null": ["price"]}
+    # three parts, as if the events of each had been read at another time
+    old, new, late = (history.partial_history(e.filter(f"event_id % 3 = {k}"), ["user_id"], "seen", ["ts", "event_id"], **how) for k in range(3))
+    return history.told_history(history.merged_history(history.merged_history(old, new, ["user_id"]), late, ["user_id"]), ["user_id"], **how)
+
+
 @query("""
 SELECT md5(coalesce(text, '') || '|' || coalesce(lang, '') || '|') AS content_hash, min(doc_id) AS first_seen, max(doc_id) AS last_seen, count(*) AS n
 FROM documents GROUP BY 1""")
@@ -99,6 +113,16 @@ def overlap_left_join(spark, d):
     return intervals.overlap_join(own, lines, ["o_custkey"]).select("o_custkey", "o_orderpriority", "l_orderkey", "first_seen", "last_seen", "valid_from", "valid_thru")
 
 
+@query(f"""
+WITH {HULLS}
+SELECT o.o_custkey, o.o_orderpriority, l.l_orderkey, o.first_seen, o.last_seen, CASE WHEN l.first_seen IS NOT NULL THEN greatest(o.first_seen, l.first_seen) END AS valid_from, CASE WHEN l.last_seen IS NOT NULL THEN least(o.last_seen, l.last_seen) END AS valid_thru
+FROM o LEFT JOIN l ON o.o_custkey = l.o_custkey AND o.first_seen <= l.last_seen AND o.last_seen >= l.first_seen""")
+def overlap_by_buckets(spark, d):
+    own, lines = customer_hulls(spark, d)
+    out = intervals.bucket_join(own, lines, ["o_custkey"], 120, "left", row=["o_custkey", "o_orderpriority"])
+    return out.select("o_custkey", "o_orderpriority", "l_orderkey", "first_seen", "last_seen", "valid_from", "valid_thru")
+
+
 @query(f"""
 WITH {HULLS},
 links AS (SELECT o_custkey, CASE WHEN o_orderpriority < '3' THEN 'PACK' ELSE 'PREPARATION' END AS limitation_level,
@@ -182,6 +206,16 @@ def segment_split(spark, d):
     return cd.segment_table(p, "p_partkey", {"de": "de"}).select("p_partkey", "segment_order", "indication_name_de", "segment_text_de")
 
 
+@query("""
+SELECT p_partkey, CAST(s AS INTEGER) AS segment_order, CASE WHEN s = 0 THEN p_name ELSE p_brand END AS indication_name_fr, CASE s WHEN 0 THEN p_type END AS indication_name_de
+FROM part, (SELECT unnest([0, 2]) AS s)""")
+def segment_split_by_french_names(spark, d):
+    """Headings are judged by the French name, and orders keep the place in the text."""
+    texts = table(spark, d, "part").select("p_partkey", F.expr(headed("p_name", "p_type", "p_brand")).alias("fr"), F.expr("concat('<b>', p_type, '</b> x')").alias("de"))
+    out = cd.segment_table(texts, "p_partkey", {"de": "de", "fr": "fr"}, renumber=False, name_by=["fr", "de"])
+    return out.select("p_partkey", "segment_order", "indication_name_fr", "indication_name_de")
+
+
 @query("""
 SELECT p_partkey, CAST(s AS INTEGER) AS segment_order,
        CASE s WHEN 0 THEN p_name WHEN 1 THEN 'UND' ELSE p_brand END AS name_de, CASE WHEN s = 0 THEN p_type END AS name_fr, CASE s WHEN 0 THEN p_brand WHEN 1 THEN p_type END AS name_it
@@ -463,6 +497,26 @@ def cashback_segments_union(spark, d):
     return refunds.segments_and_rest(segs, table(spark, d, "orders").selectExpr("o_orderkey as limitation_id", "o_orderpriority as description_fr"))
 
 
+@query(sql_texts(["Un texte. La firme Nova-V verse V francs par mois.", "Nova-2 dit-on, sans plus.", "Le titulaire rembourse V francs par emballage, en association avec Examplinib.", "Rien."]) + """,
+k AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'nova-' || CAST(doc_id % 89 + 2 AS VARCHAR) END AS named FROM d)
+SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 'fuzzy_company' ELSE 'titulaire_rembourse' END AS detection_patterns, CASE WHEN doc_id % 4 = 0 THEN (SELECT min(c) FROM (SELECT unnest(['Nova-1', 'Nova-2', 'Nova-3']) AS c) WHERE starts_with(named, lower(c))) END AS cashback_company,
+  'chf_fixed' AS rule_calc_type
+FROM k WHERE doc_id % 4 = 2 OR (doc_id % 4 = 0 AND substr(named, 6, 1) IN ('1', '2', '3'))""")
+def cashback_known_companies(spark, d):
+    """A known company near a verb tells a refund that no detector sees."""
+    said = ["Un texte. La firme Nova-V verse V francs par mois.", "Nova-2 dit-on, sans plus.", "Le titulaire rembourse V francs par emballage, en association avec Examplinib.", "Rien."]
+    texts = table(spark, d, "documents").select("doc_id", F.expr(phrases(said)).alias("text"))
+    companies = table(spark, d, "region").selectExpr("concat('Nova-', r_regionkey) as company").filter("company between 'Nova-1' and 'Nova-3'")
+    return refunds.mine(texts, "doc_id", "text", companies=companies).select("id", "detection_patterns", "cashback_company", "rule_calc_type")
+
+
+@query(sql_texts(["<b>x</b> Example SA rembourse V francs par mois.", "L'assureur facture &agrave; la firme Roche Example AG le montant.", "rien"], between=" --. ") + """
+SELECT doc_id, doc_id % 3 < 2 AS is_cashback, CASE doc_id % 3 WHEN 0 THEN 'company_rembourse' WHEN 1 THEN 'assureur_facture' END AS cashback_patterns, CAST(doc_id % 3 < 2 AS INTEGER) AS has_cashback FROM d""")
+def cashback_text_flags(spark, d):
+    said = ["<b>x</b> Example SA rembourse V francs par mois.", "L'assureur facture &agrave; la firme Roche Example AG le montant.", "rien"]
+    return refunds.text_flags(refund_texts(spark, d, said, between=" --. "), "text").select("doc_id", "is_cashback", "cashback_patterns", "has_cashback")
+
+
 @query()
 def cashback_rules(spark, d):
     out = refunds.mine(refund_texts(spark, d, SAID), "doc_id", "text")
