@@ -1,10 +1,11 @@
 """Counts, coverage and lists for reports."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexhull.functions.text import code_type
+from lexhull.rules import refunds as refund_rules
 
 
 def distribution(df: DataFrame, *by: str) -> DataFrame:
@@ -69,6 +70,23 @@ def refund_report(rules: DataFrame, n_texts: int | None = None) -> DataFrame:
     return out.unionByName(seen)
 
 
+def watched_refunds(rules: DataFrame, name: str = "refunds") -> tuple[DataFrame, Observation]:
+    """The rules with counters that fill while they are written, so that a report needs no second pass. watched_report() reads them afterwards."""
+    flags = ["cond_treatment_stop", "cond_adverse_effects", "cond_treatment_failure"]
+    counted = {("detected", "refund"): F.lit(True), ("with_threshold", "any"): F.col("rule_threshold_type").isNotNull(), ("with_threshold", "several"): F.size("thresholds") > 1, ("with_cotreatments", "any"): F.size("cotreatments") > 0}
+    counted |= {("condition", c.removeprefix("cond_")): F.col(c) for c in flags}
+    counted |= {("calc", kind): F.col("rule_calc_type") == kind for kind in dict.fromkeys([*(k for k, _, _ in refund_rules.CALCULATIONS), "unknown"])}
+    counted |= {("threshold", kind): F.col("rule_threshold_type") == kind for kind in dict.fromkeys(k for k, _, _ in refund_rules.THRESHOLDS)}
+    seen = Observation(name)
+    return rules.observe(seen, *[F.count_if(test).alias(f"{kind}:{what}") for (kind, what), test in counted.items()]), seen
+
+
+def watched_report(seen: Observation, n_texts: int | None = None) -> list[tuple[str, str, int]]:
+    """(kind, name, n) of what has been written, as refund_report() counts it; waits until it has been."""
+    out = [(*key.split(":", 1), n) for key, n in seen.get.items() if n or key == "detected:refund"]
+    return out if n_texts is None else [*out, ("detected", "none", n_texts - seen.get["detected:refund"])]
+
+
 def codes_without_names(links: DataFrame, names: DataFrame, code: str = "indication_code") -> DataFrame:
     return links.select(code).distinct().join(names.select(code).distinct(), code, "left_anti")
 

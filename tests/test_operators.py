@@ -346,3 +346,14 @@ def test_dates_are_looked_up_without_a_join(spark, monkeypatch):
     monkeypatch.setattr(history, "MAPPED_SNAPSHOTS", 2)
     assert {tuple(r) for r in history.resolve_dates(df, extracts, p="a", q="b").select("p", "q").collect()} == {("x", None), (None, None)}
     assert history.resolve_dates(df, extracts.limit(0), p="a").select("p").distinct().collect()[0]["p"] is None
+
+
+def test_counters_taken_while_writing_equal_the_report(spark, tmp_path):
+    from lexhull.operators import refunds
+
+    texts = ["Example SA rembourse 5 % du prix après 3 mois, au moins 2 cycles, en association avec Examplinib.", "Le titulaire rembourse 7 francs en cas de progression.", "On rembourse complètement en cas d'arrêt du traitement.", "nichts"]
+    rules_ = refunds.mine(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "id", "text")
+    watched, seen = reports.watched_refunds(rules_)
+    watched.write.parquet(str(tmp_path / "r"))
+    want = {tuple(r) for r in reports.refund_report(spark.read.parquet(str(tmp_path / "r")), len(texts)).collect()}
+    assert set(reports.watched_report(seen, len(texts))) == want and ("detected", "none", 1) in want
