@@ -15,6 +15,7 @@ from lexhull.operators import codes as cd
 from lexhull.operators import exports, history, intervals, matching, packs, refunds, replies, reports
 from lexhull.rules import names as name_rules
 from lexhull.rules import refunds as rules
+from lexhull.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -393,7 +394,7 @@ GIVEN = [
 
 def refund_texts(spark: SparkSession, d: str, said: list[str], number: str = DIGITS, between: str = " ") -> DataFrame:
     """Whole documents, each with a phrase after it."""
-    return table(spark, d, "documents").select("doc_id", F.concat_ws(between, F.col("text"), F.expr(phrases(said, number))).alias("text"))
+    return tables.dealt(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.concat_ws(between, F.col("text"), F.expr(phrases(said, number))).alias("text"))
 
 
 def sql_texts(said: list[str], number: str = DIGITS, between: str = " ") -> str:

@@ -5,6 +5,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: What a row group holds at most by default; one task reads a row group.
+ROW_GROUP_BYTES = 128 << 20
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt out to all cores, for work that costs much more than the shuffle, if the input is so small that a few row groups may hold it.
+
+    An input of at least a row group for each core stays as it is read: there the scan's own tasks keep all cores busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if size < cores * ROW_GROUP_BYTES else df
+
+
 def read_texts(spark: SparkSession, path: str, id_col: str, text_col: str, limit: int | None = None) -> DataFrame:
     """(id, text) of a Parquet table by the caller's column names; a limit only on demand."""
     out = spark.read.parquet(path).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
