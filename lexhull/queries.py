@@ -412,7 +412,8 @@ NAME = rf"[A-Z][A-Za-zÀ-ÿ\-]+(?:\s+{CLASS}+)*\s+{LEGAL}"
 PRE = r"(?:la\s+)?(?:société|entreprise|firme)?\s*"
 
 
-@query(sql_texts(SAID) + rf""",
+#: Detection of the texts in d.
+DETECTED = rf""",
 f AS (SELECT doc_id, t, regexp_extract(t, '(?i){PRE}({NAME}(?:\s+[A-Za-zÀ-ÿ\-\(\)]+)?)\s+rembourse(?:ra)?', 1) AS a,
   regexp_extract(t, '(?i)remboursé(?:s|e|es)?\s+par\s+{PRE}({NAME}(?:\s+[A-Za-zÀ-ÿ\-\(\)]+)?)', 1) AS b,
   regexp_extract(t, '(?i)assureur\s+facture\s+à\s+{PRE}({NAME})(?:\s+le\s|\s+un|\s+la\s|\s+les\s|\s*$|\s*\.)', 1) AS c FROM d),
@@ -421,8 +422,11 @@ p AS (SELECT doc_id, a, b, c, CASE WHEN a <> '' THEN 'company_rembourse' WHEN b
   WHEN regexp_matches(t, '(?i)rembourse(?:nt|ra|ront)?\s+(?:à\s+)?l[''’]assur(?:ance|eur)[\s\-]?maladie') THEN 'rembourse_assurance'
   WHEN regexp_matches(t, '(?i)rembourse.*\d+[.,]?\d*\s*%\s*(?:du|de|des)') THEN 'percentage'
   WHEN regexp_matches(t, '(?i)rembourse(?:ra)?\s+(?:à\s+l''assureur)?.*?(?:CHF|Fr\.)\s*[\d'']+') THEN 'amount'
-  WHEN regexp_matches(t, '(?i)rembourse.*partie\s*fixe.*prix') THEN 'fixed_part' WHEN regexp_matches(t, '(?i)rembourse(?:ra)?\s+(?:intégralement|complètement)') THEN 'full_refund' END AS pattern FROM f)
-SELECT doc_id, pattern IS NOT NULL AS is_cashback, nullif(CASE WHEN a <> '' THEN a WHEN b <> '' THEN b ELSE c END, '') AS company, pattern FROM p""")
+  WHEN regexp_matches(t, '(?i)rembourse.*partie\s*fixe.*prix') THEN 'fixed_part' WHEN regexp_matches(t, '(?i)rembourse(?:ra)?\s+(?:intégralement|complètement)') THEN 'full_refund' END AS pattern FROM f)"""
+COMPANY = "nullif(CASE WHEN a <> '' THEN a WHEN b <> '' THEN b ELSE c END, '')"
+
+
+@query(sql_texts(SAID) + DETECTED + f" SELECT doc_id, pattern IS NOT NULL AS is_cashback, {COMPANY} AS company, pattern FROM p")
 def cashback_detect(spark, d):
     return refund_texts(spark, d, SAID).select("doc_id", refunds.detect(F.col("text")).alias("f")).select("doc_id", "f.is_cashback", "f.company", "f.pattern")
 
@@ -433,22 +437,27 @@ def cashback_sentence(spark, d):
     return refund_texts(spark, d, STATED, between=" --. ").select("doc_id", refunds.sentence(F.col("text")).alias("sentence"))
 
 
-def sql_calculation() -> str:
+def sql_calculation() -> tuple[str, str, str]:
+    """The text with Swiss amounts as plain numbers, and kind and value read from that, which is u."""
     case, value = "", ""
     for kind, pattern, has_value in rules.CALCULATIONS:
         p = quoted("(?i)" + pattern.replace("N", r"(\d+(?:[.,]\d+)?)"))
         case += f" WHEN regexp_matches(u, {p}) THEN '{kind}'"
         value += f" WHEN regexp_matches(u, {p}) THEN " + (f"TRY_CAST(replace(regexp_extract(u, {p}, 1), ',', '.') AS DOUBLE)" if has_value else "NULL")
     plain = "regexp_replace(regexp_replace(t, '(\\d)[''’](\\d)', '\\1\\2', 'g'), '(\\d)[''’](\\d)', '\\1\\2', 'g')"
-    return sql_texts(CALCULATED) + f", e AS (SELECT doc_id, {plain} AS u FROM d) SELECT doc_id, CASE{case} ELSE 'unknown' END AS type, CASE{value} END AS value FROM e"
+    return plain, f"CASE{case} ELSE 'unknown' END", f"CASE{value} END"
+
 
+PLAIN, CALC_TYPE, CALC_VALUE = sql_calculation()
+UNIT = "CASE" + "".join(f" WHEN regexp_matches(lower(t), {quoted(p)}) THEN '{u}'" for u, p in rules.UNITS) + " ELSE 'unknown' END"
 
-@query(sql_calculation())
+
+@query(sql_texts(CALCULATED) + f", e AS (SELECT doc_id, {PLAIN} AS u FROM d) SELECT doc_id, {CALC_TYPE} AS type, {CALC_VALUE} AS value FROM e")
 def cashback_calc(spark, d):
     return refund_texts(spark, d, CALCULATED).select("doc_id", refunds.calculation(F.col("text")).alias("c")).select("doc_id", "c.type", "c.value")
 
 
-@query(sql_texts(COUNTED) + "SELECT doc_id, CASE" + "".join(f" WHEN regexp_matches(lower(t), {quoted(p)}) THEN '{u}'" for u, p in rules.UNITS) + " ELSE 'unknown' END AS unit FROM d")
+@query(sql_texts(COUNTED) + f" SELECT doc_id, {UNIT} AS unit FROM d")
 def cashback_unit(spark, d):
     return refund_texts(spark, d, COUNTED).select("doc_id", refunds.refund_unit(F.col("text")).alias("unit"))
 
@@ -463,28 +472,34 @@ def sql_thresholds() -> str:
     words = "MAP {" + ", ".join(f"'{w}': {v}" for w, v in rules.NUMBER_WORDS.items()) + "}"
     unit = "CASE" + "".join(f" WHEN regexp_matches(x.hit, '{'|'.join(marks)}') THEN '{u}'" for u, marks in rules.THRESHOLD_UNITS) + " END"
     around = "substring(low, greatest(strpos(low, x.hit) - 150, 1), length(x.hit) + 150 + least(strpos(low, x.hit) - 1, 150))"
-    return sql_texts(BOUNDED, NUMBER) + f""", e AS (SELECT doc_id, lower(t) AS low FROM d), m AS (SELECT {words} AS w),
+    return f"""e AS (SELECT doc_id, lower(t) AS low FROM d), m AS (SELECT {words} AS w),
 h AS (SELECT doc_id, low, list_filter([{', '.join(made)}], lambda x: x.hit <> '') AS hits FROM e),
 k AS (SELECT doc_id, list_transform(list_filter(hits, lambda x: NOT regexp_matches({around}, {quoted('|'.join(rules.DEADLINES))})),
-  lambda x: {{'type': x.type, 'value': coalesce(w[x.raw], TRY_CAST(CASE WHEN regexp_full_match(x.raw, '[0-9]+') THEN x.raw END AS INTEGER)), 'unit': {unit}}}) AS t FROM h, m),
-f AS (SELECT doc_id, t, coalesce(list_filter(t, lambda x: x.value IS NOT NULL)[1], t[1]) AS p FROM k)
-SELECT doc_id, p.type AS type, CAST(p.value AS INTEGER) AS value, p.unit AS unit, array_to_string(list_transform(t, lambda x: x.type), ',') AS all_types FROM f"""
+  lambda x: {{'type': x.type, 'value': coalesce(w[x.raw], TRY_CAST(CASE WHEN regexp_full_match(x.raw, '[0-9]+') THEN x.raw END AS INTEGER)), 'unit': {unit}, 'match': x.hit}}) AS t FROM h, m),
+main AS (SELECT doc_id, t, coalesce(list_filter(t, lambda x: x.value IS NOT NULL)[1], t[1]) AS p FROM k)"""
 
 
-@query(sql_thresholds())
+@query(sql_texts(BOUNDED, NUMBER) + f""", {sql_thresholds()}
+SELECT doc_id, p.type AS type, CAST(p.value AS INTEGER) AS value, p.unit AS unit, array_to_string(list_transform(t, lambda x: x.type), ',') AS all_types FROM main""")
 def cashback_threshold(spark, d):
     found = refund_texts(spark, d, BOUNDED, NUMBER).select("doc_id", refunds.thresholds(F.col("text")).alias("all")).withColumn("t", refunds.primary_threshold(F.col("all")))
     return found.select("doc_id", "t.type", "t.value", "t.unit", F.array_join(F.transform("all", lambda x: x["type"]), ",").alias("all_types"))
 
 
-@query(sql_texts(CONDITIONAL) + "SELECT doc_id, " + ", ".join(f"regexp_matches(lower(t), {quoted('|'.join(ps))}) AS {name}" for name, ps in rules.CONDITIONS.items()) + " FROM d")
+CONDITIONS = ", ".join(f"regexp_matches(lower(t), {quoted('|'.join(ps))}) AS {name}" for name, ps in rules.CONDITIONS.items())
+
+
+@query(sql_texts(CONDITIONAL) + f" SELECT doc_id, {CONDITIONS} FROM d")
 def cashback_conditions(spark, d):
     return refund_texts(spark, d, CONDITIONAL).select("doc_id", *[c.alias(n) for n, c in refunds.conditions(F.col("text")).items()])
 
 
-@query(sql_texts(GIVEN) + ", g AS (SELECT doc_id, t, list_filter(list_transform(flatten([" + ", ".join(f"regexp_extract_all(t, {quoted('(?i)' + p)}, 1)" for p in rules.GIVEN_ALONG) + f"""]), lambda x: upper(trim(x))), lambda x: length(x) >= 4 AND x NOT IN ({', '.join(map(quoted, rules.NO_DRUGS))})) AS named,
-  regexp_extract_all(upper(t), '\\b({'|'.join(rules.DRUGS)})®?\\b', 1) AS known FROM d)
-SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(named, known))), ',') AS drugs FROM g""")
+#: Drugs given along of the texts in d, by patterns and by name.
+DRUGS_FOUND = ("SELECT doc_id, t, list_filter(list_transform(flatten([" + ", ".join(f"regexp_extract_all(t, {quoted('(?i)' + p)}, 1)" for p in rules.GIVEN_ALONG) + f"""]), lambda x: upper(trim(x))), lambda x: length(x) >= 4 AND x NOT IN ({', '.join(map(quoted, rules.NO_DRUGS))})) AS named,
+  regexp_extract_all(upper(t), '\\b({'|'.join(rules.DRUGS)})®?\\b', 1) AS known FROM d""")
+
+
+@query(sql_texts(GIVEN) + f", g AS ({DRUGS_FOUND}) SELECT doc_id, array_to_string(list_sort(list_distinct(list_concat(named, known))), ',') AS drugs FROM g")
 def cashback_cotreatments(spark, d):
     return refund_texts(spark, d, GIVEN).select("doc_id", F.array_join(F.array_sort(refunds.cotreatments(F.col("text"))), ",").alias("drugs"))
 
@@ -518,7 +533,25 @@ def cashback_text_flags(spark, d):
     return refunds.text_flags(refund_texts(spark, d, said, between=" --. "), "text").select("doc_id", "is_cashback", "cashback_patterns", "has_cashback")
 
 
-@query()
+def sql_rules() -> str:
+    """Detection, then all rules over the sentence of the first phrase and of the one with the holder, and over the whole text of the others, which have no sentence."""
+    clean = r"trim(regexp_replace(regexp_replace(regexp_replace(t, '<br/?>|&nbsp;', ' ', 'g'), '</?[bu]>', '', 'g'), '\s+', ' ', 'g'))"
+    said = rf"nullif(CASE doc_id % {len(SAID)} WHEN 0 THEN regexp_extract(t, '(?s)^(?:.*\. )?(.*)$', 1) WHEN 3 THEN regexp_extract(t, '(?s)^(?:.*\. )?(.*?rembourse \d+ Fr\.) par flacon', 1) ELSE '' END, '')"
+    legal = quoted(rf"([A-ZÀÂÄÉÈÊËÏÎÔÖÙÛÜŸÇ][a-zA-ZÀ-ÿ\-]*(?:[\s\-][{rules.NAME_CLASS}\s]*)?(?:\s*\([^)]+\))?\s*(?:SA|AG|GmbH|Sàrl))")
+    entry = """'{"type":"' || x.type || '"' || coalesce(',"value":' || CAST(x.value AS VARCHAR), '') || coalesce(',"unit":"' || x.unit || '"', '') || ',"match":"' || x.match || '"}'"""
+    conditions = ", ".join(f"cond_{n}" for n in rules.CONDITIONS)
+    return sql_texts(SAID).replace("WITH d AS", "WITH raw AS") + f""", texts AS (SELECT doc_id, {clean} AS t FROM raw){DETECTED.replace("FROM d)", "FROM texts)")},
+s AS (SELECT doc_id, t AS whole, {said} AS said, pattern, {COMPANY} AS company FROM p JOIN texts USING (doc_id) WHERE pattern IS NOT NULL),
+d AS (SELECT doc_id, coalesce(said, whole) AS t FROM s), {sql_thresholds()}, g AS ({DRUGS_FOUND}),
+c AS (SELECT doc_id, {CALC_TYPE} AS rule_calc_type, {CALC_VALUE} AS rule_calc_value FROM (SELECT doc_id, {PLAIN} AS u FROM d)),
+r AS (SELECT doc_id, {UNIT} AS rule_unit, {CONDITIONS.replace(" AS ", " AS cond_")} FROM d)
+SELECT doc_id AS id, said AS cashback_extract, coalesce(nullif(trim(regexp_extract(said, {legal}, 1)), ''), company) AS cashback_company, pattern AS detection_patterns, rule_calc_type, rule_calc_value, rule_unit,
+  main.p.type AS rule_threshold_type, CAST(main.p.value AS INTEGER) AS rule_threshold_value, main.p.unit AS rule_threshold_unit, '[' || array_to_string(list_transform(main.t, lambda x: {entry}), ',') || ']' AS thresholds, {conditions},
+  '[' || array_to_string(list_transform(list_sort(list_distinct(list_concat(named, known))), lambda x: '"' || x || '"'), ',') || ']' AS cotreatments, regexp_matches(whole, {quoted('(?i)' + '|'.join(rules.NO_REFUND))}) AS no_refund_phrase
+FROM s JOIN main USING (doc_id) JOIN g USING (doc_id) JOIN c USING (doc_id) JOIN r USING (doc_id)"""
+
+
+@query(sql_rules())
 def cashback_rules(spark, d):
     out = refunds.mine(refund_texts(spark, d, SAID), "doc_id", "text")
     return out.withColumn("thresholds", F.to_json("thresholds")).withColumn("cotreatments", F.to_json("cotreatments"))
