@@ -3,7 +3,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from lexhull.llm import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, near_duplicates, token_counts, winnowing
+from lexhull.llm import bloom_lm, byte_bpe, hilbert, html_text, language_id, line_dedup, near_duplicates, token_counts, vector_search, winnowing
 
 RANKS, PIECES = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model")
 ITEMS = [(1, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"), (None, "some other words")]
@@ -63,3 +63,13 @@ def test_no_benchmark(spark):
     df = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
     got = winnowing.contamination(df, spark.createDataFrame([], "item_id long, text string")).collect()
     assert [(r["n_hit"], r["items"]) for r in got] == [(0, []), (0, [])]
+
+
+def test_vectors_in_a_table_with_clashing_columns(spark):
+    schema = "vec_id long, embedding array<float>, query_id string, rank string, score string, id string, vec string, cell string, block string, share string, label int"
+    empty = spark.createDataFrame([], schema)
+    assert vector_search.nearest(empty, lambda i: i % 2 == 0).collect() == []
+    vectors = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (2, [0.0, 1.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]), (None, [1.0, 1.0])]
+    df = spark.createDataFrame([(*v, *["9"] * 8, 7) for v in vectors], schema)
+    got = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in vector_search.nearest(df, lambda i: i % 2 == 0).collect()]
+    assert sorted(got) == [(0, 1, 1, 0.894427), (0, 2, 2, 0.0), (2, 1, 1, 0.447214), (2, 2, 0, 0.0)]
