@@ -357,3 +357,19 @@ def test_counters_taken_while_writing_equal_the_report(spark, tmp_path):
     watched.write.parquet(str(tmp_path / "r"))
     want = {tuple(r) for r in reports.refund_report(spark.read.parquet(str(tmp_path / "r")), len(texts)).collect()}
     assert set(reports.watched_report(seen, len(texts))) == want and ("detected", "none", 1) in want
+
+
+def test_texts_by_the_callers_columns_and_dealing(spark, tmp_path, monkeypatch):
+    from lexhull.sources import tables
+
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([(3, "c", 1), (1, "a", 2), (2, None, 3)], "no long, said string, other int").coalesce(1).write.parquet(path)
+    read = tables.read_texts(spark, path, "no", "said")
+    assert sorted(map(tuple, read.collect())) == [(1, "a"), (2, None), (3, "c")]
+    assert [tuple(r) for r in tables.read_texts(spark, path, "no", "said", limit=2).collect()] == [(1, "a"), (2, None)]
+    # one file of one row group: dealt out; a large input stays as it is read
+    cores = spark.sparkContext.defaultParallelism
+    out = tables.dealt(read)
+    assert out.rdd.getNumPartitions() == 2 * cores and sorted(map(tuple, out.collect())) == sorted(map(tuple, read.collect()))
+    monkeypatch.setattr(tables, "ROW_GROUP_BYTES", 0)
+    assert tables.dealt(read) is read
