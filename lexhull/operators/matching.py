@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexhull.functions import text as tx
+from lexhull.sources.tables import dealt
 
 from .history import union_first_wins
 
@@ -69,7 +70,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, keys: list[str], a: str, b:
     sized = lambda df, n, s: df.filter(F.length(n) > 0).withColumn(f"_l{s}", letters(F.col(n))).withColumn(f"_n{s}", F.length(n)).withColumn(f"_f{s}", first_letters(F.col(f"_l{s}"), F.col(f"_n{s}"), F.ceil(F.col(f"_n{s}") * short).cast("int"), least))
     ours = sized(left, a, "a").withColumn("_x", F.explode("_fa"))
     theirs = sized(right, b, "b").withColumn("_x", F.explode("_fb"))
-    met = ours.join(theirs, [*keys, "_x"]).filter((2 * F.least("_na", "_nb") >= least * (F.col("_na") + F.col("_nb")) - 1e-9) & (F.array_max(F.array_intersect("_fa", "_fb")) == F.col("_x")))
+    # an exploded side is many times what the planner takes it for, and is never broadcast
+    met = ours.join(theirs.hint("merge"), [*keys, "_x"]).filter((2 * F.least("_na", "_nb") >= least * (F.col("_na") + F.col("_nb")) - 1e-9) & (F.array_max(F.array_intersect("_fa", "_fb")) == F.col("_x")))
     met = met.filter(shared_letters(F.col("_la"), F.col("_lb")) >= needed_letters(F.col("_na"), F.col("_nb"), least))
     return met.drop("_la", "_lb", "_na", "_nb", "_fa", "_fb", "_x")
 
@@ -91,7 +93,7 @@ def fuzzy_best(left: DataFrame, right: DataFrame, block: list[str], key: str, na
     if others:
         test = test & (F.col(name) != F.col(other))
     met = (similar_pairs(asked, entries, block, name, other, PRUNE) if prune else asked.join(entries, block)).filter(test)
-    scored = names.join(met.withColumn("score", ratio(F.col(name), F.col(other))), [*block, name])
+    scored = names.join(met.withColumn("score", ratio(F.col(name), F.col(other))).hint("merge"), [*block, name])
     # the two first rows of a key are kept before the shuffle
     place = F.row_number().over(Window.partitionBy(*block, key, name).orderBy(F.desc("score"), other))
     best = scored.withColumn("_place", place).filter("_place <= 2").groupBy(*block, key, name).agg(
@@ -244,9 +246,12 @@ def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool
     names of one dossier; the only code of a group with one segment; codes and segments of a group
     paired in order. Each layer gives candidates, the first one wins, and the last two look only
     at what the others left, and only where a group has no other segments: whole (group) has a row for each
-    segment of a group, those that have a code already too (default: segments).
+    segment of a group, those that have a code already too (default: segments). Segments and known names of few
+    row groups are dealt out first: their forms cost more than that, and the planner then knows how large they are.
     """
-    inside = tx.embedded_code(F.col("name"))
+    segments, known = dealt(segments), dealt(known)
+    # a code holds a full stop, and most names don't
+    inside = F.when(F.col("name").contains("."), tx.embedded_code(F.col("name")))
     found = segments.filter(inside.isNotNull()).select("segment", inside.alias("code_value"), F.lit("EMBEDDED_IN_NAME").alias("match_type"), F.lit(1.0).alias("score"), F.col("name").alias("matched_to"), F.lit(0).alias("rank"))
     # all forms of a name at once, and null for a key that is the same as another one
     forms = lambda n: F.struct(F.lower(n).alias("norm"), F.lower(tx.canonical_brands(n)).alias("brand"), F.lower(tx.canonical_brands(tx.combination_rewritten(n))).alias("combined"))
@@ -283,7 +288,8 @@ def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool
 
 def match_log(segments: DataFrame, matches: DataFrame) -> DataFrame:
     """The matches with the names they were found for."""
-    return matches.join(segments.select("segment", F.col("name").alias("segment_name")), "segment").select("segment", "segment_name", F.col("code_value").alias("matched_code"), "match_type", "matched_to", "score")
+    # both grow with the input, so neither is broadcast
+    return matches.join(segments.select("segment", F.col("name").alias("segment_name")).hint("merge"), "segment").select("segment", "segment_name", F.col("code_value").alias("matched_code"), "match_type", "matched_to", "score")
 
 
 #: Layers of the code-to-name map in order, with their confidence.

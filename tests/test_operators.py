@@ -373,3 +373,16 @@ def test_texts_by_the_callers_columns_and_dealing(spark, tmp_path, monkeypatch):
     assert out.rdd.getNumPartitions() == 2 * cores and sorted(map(tuple, out.collect())) == sorted(map(tuple, read.collect()))
     monkeypatch.setattr(tables, "ROW_GROUP_BYTES", 0)
     assert tables.dealt(read) is read
+
+
+def test_growing_sides_of_the_cascade_are_not_broadcast(spark):
+    segs = spark.createDataFrame([(1, 1, 0, "alpha beta", "D1"), (2, 2, 0, "alpha betb", "D1")], "segment long, `group` long, position int, name string, dossier string")
+    known = spark.createDataFrame([("alpha beta", "D1.1", "D1")], "name string, code_value string, dossier string")
+    codes = spark.createDataFrame([(1, "D1.1")], "`group` long, code_value string")
+    plan = lambda df: df._jdf.queryExecution().toString()
+    matches = matching.cascade(segs, known, codes)
+    logged = matching.match_log(segs, matches)
+    assert "strategy=merge" in plan(logged) and {r["segment"] for r in logged.collect()} == {1, 2}
+    names = spark.createDataFrame([("D1", "alpha beta")], "d string, a string")
+    met = matching.similar_pairs(names, names.withColumnRenamed("a", "b"), ["d"], "a", "b", 0.85)
+    assert "SortMergeJoin" in plan(met) and "BroadcastHashJoin" not in plan(met) and met.count() == 1
