@@ -113,7 +113,8 @@ NO_END = [
     (r"(\d+['’]\d+)\.(\d{2})(?!\d)", f"$1{DOT}$2"),
     (r"(\d+)\.(\d+)\s*%", f"$1{DOT}$2%"),
     (r"T\.V\.A\.?", f"T{DOT}V{DOT}A{DOT}"),
-    (r"(?<!\w)(etc|max|art|al)\.(?!\w)", f"$1{DOT}"),
+    # before a capitalised word it does, unless that is an amount
+    (r"(?<!\w)(etc|max|art|al)\.(?!\w)(?!\s+(?!Fr\b)\p{Lu}\p{Ll})", f"$1{DOT}"),
 ]
 
 

@@ -386,3 +386,12 @@ def test_growing_sides_of_the_cascade_are_not_broadcast(spark):
     names = spark.createDataFrame([("D1", "alpha beta")], "d string, a string")
     met = matching.similar_pairs(names, names.withColumnRenamed("a", "b"), ["d"], "a", "b", 0.85)
     assert "SortMergeJoin" in plan(met) and "BroadcastHashJoin" not in plan(met) and met.count() == 1
+
+
+def test_an_abbreviation_before_a_new_sentence_ends_one(spark):
+    said = [
+        ("Un mot de la al. Le titulaire rembourse 33 Fr. par mois", "Le titulaire rembourse 33 Fr."), ("Voir etc. La société Muster SA rembourse tout.", "La société Muster SA rembourse tout."),
+        ("Avant. Selon l'art. 71 al. 2 le titulaire rembourse tout.", "Selon l'art. 71 al. 2 le titulaire rembourse tout."), ("Avant. Soit max. Fr. 30 que le titulaire rembourse ici.", "Soit max. Fr. 30 que le titulaire rembourse ici."),
+    ]
+    df = spark.createDataFrame(said, "t string, want string")
+    assert [r["s"] for r in df.select(refunds.sentence(F.col("t")).alias("s")).collect()] == [w for _, w in said]
