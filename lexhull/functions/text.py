@@ -102,14 +102,25 @@ def clean_export(text: Column) -> Column:
     return strip(F.regexp_replace(F.translate(text, "\n\r", "  "), " {2,}", " "))
 
 
-@F.pandas_udf(T.StringType())
-def unescaped(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+#: A character reference as Python's html module reads one.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def unescaped(references: pd.Series) -> pd.Series:
+    return references.map(lambda each: [html.unescape(r) for r in each], na_action="ignore")
 
 
 def decode_entities(text: Column) -> Column:
-    """All character references; only texts with '&' are sent to Python."""
-    return F.when(text.contains("&"), unescaped(F.when(text.contains("&"), text))).otherwise(text)
+    """All character references; only the different ones of a text are sent to Python, never the text."""
+    each = F.when(text.contains("&"), F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))))
+    told = F.struct(text.alias("t"), F.map_from_arrays(each, unescaped(each)).alias("known"))
+
+    def filled_in(x: Column) -> Column:
+        parts = F.zip_with(F.split(x["t"], REFERENCE, -1), F.regexp_extract_all(x["t"], F.lit(REFERENCE), F.lit(0)), lambda s, r: F.concat(s, F.coalesce(x["known"][r], F.lit(""))))
+        return F.array_join(parts, "")
+
+    return F.when(text.contains("&"), F.transform(F.array(told), filled_in)[0]).otherwise(text)
 
 
 def first_sentence(text: Column, n: int = 120) -> Column:

@@ -89,3 +89,13 @@ def test_names(spark):
     assert one(spark, tx.combination_rewritten(F.col("a")), a="Kombination REVLIMID, Elotuzumab und X") == "REVLIMID in Kombination mit Elotuzumab und X"
     assert one(spark, tx.combination_rewritten(F.col("a")), a="Kombination VIDAZA und Venetoclax") == "VIDAZA in Kombination mit und Venetoclax"
     assert one(spark, tx.embedded_code(F.col("a")), a="Name 12345.67.") == "12345.67"
+
+
+def test_only_references_go_to_python(spark):
+    import html
+
+    texts = ["a &amp; b &eacute;&#60;&#x41;", "&notit; && &;", "&#0;&amp;amp;", "&" + "a" * 40 + ";", "&lt 𝒳&\n", "none", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.decode_entities(F.col("t")).alias("got"))
+    assert all(r["got"] == (r["t"] and html.unescape(r["t"])) for r in df.collect())
+    asked = spark.createDataFrame([("x &amp; " * 5,)], "t string").select(tx.decode_entities(F.col("t")).alias("got"))
+    assert "unescaped(CASE WHEN" in asked._jdf.queryExecution().toString() and "array_distinct" in asked._jdf.queryExecution().toString()
