@@ -97,30 +97,35 @@ def no_refund_phrase(text: Column) -> Column:
 
 def cost_section(text: Column) -> Column:
     """What follows a heading of therapy costs, or the whole text."""
-    rest = F.regexp_extract(text, r"(?siudU)(?:<u>Co[ûu]ts?\s+th[ée]rapeutiques?</u>|Co[ûu]ts?\s+th[ée]rapeutiques?\s*[:\n])(.*)", 1)
-    return F.when(text.rlike(ANY + r"<u>Co[ûu]ts?\s+th[ée]rapeutiques?</u>|Co[ûu]ts?\s+th[ée]rapeutiques?\s*[:\n]"), rest).otherwise(text)
+    heading = r"<u>Co[ûu]ts?\s+th[ée]rapeutiques?</u>|Co[ûu]ts?\s+th[ée]rapeutiques?\s*[:\n]"
+    return bound(text, lambda t: F.when(t.rlike(ANY + heading), F.regexp_extract(t, f"(?siudU)(?:{heading})(.*)", 1)).otherwise(t))
 
 
 #: Stands for a full stop that ends no sentence.
 DOT = "\ue000"
-# Where a full stop ends no sentence: dates, amounts, percentages, abbreviations.
+# Where a full stop ends no sentence: dates, amounts, percentages, abbreviations; with literals of which each match holds one.
 NO_END = [
-    (r"(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2}(?!\d))", f"$1{DOT}$2{DOT}$3"),
-    (r"Fr\.\s*([\d'’]+)\.(\d+)", f"Fr{DOT} $1{DOT}$2"),
-    (r"CHF\s*([\d'’]+)\.(\d+)", f"CHF $1{DOT}$2"),
-    (r"Fr\.\s+(?=\d)", f"Fr{DOT} "),
-    (r"([\d'’]+)\.(\d+)\s+francs", f"$1{DOT}$2 francs"),
-    (r"(\d+['’]\d+)\.(\d{2})(?!\d)", f"$1{DOT}$2"),
-    (r"(\d+)\.(\d+)\s*%", f"$1{DOT}$2%"),
-    (r"T\.V\.A\.?", f"T{DOT}V{DOT}A{DOT}"),
+    (r"(\d{1,2})\.(\d{1,2})\.(\d{4}|\d{2}(?!\d))", f"$1{DOT}$2{DOT}$3", []),
+    (r"Fr\.\s*([\d'’]+)\.(\d+)", f"Fr{DOT} $1{DOT}$2", ["Fr."]),
+    (r"CHF\s*([\d'’]+)\.(\d+)", f"CHF $1{DOT}$2", ["CHF"]),
+    (r"Fr\.\s+(?=\d)", f"Fr{DOT} ", ["Fr."]),
+    (r"([\d'’]+)\.(\d+)\s+francs", f"$1{DOT}$2 francs", ["francs"]),
+    (r"(\d+['’]\d+)\.(\d{2})(?!\d)", f"$1{DOT}$2", []),
+    (r"(\d+)\.(\d+)\s*%", f"$1{DOT}$2%", ["%"]),
+    (r"T\.V\.A\.?", f"T{DOT}V{DOT}A{DOT}", ["T.V.A"]),
     # before a capitalised word it does, unless that is an amount
-    (r"(?<!\w)(etc|max|art|al)\.(?!\w)(?!\s+(?!Fr\b)\p{Lu}\p{Ll})", f"$1{DOT}"),
+    (r"(?<!\w)(etc|max|art|al)\.(?!\w)(?!\s+(?!Fr\b)\p{Lu}\p{Ll})", f"$1{DOT}", ["etc.", "max.", "art.", "al."]),
 ]
 
 
 def protected(text: Column) -> Column:
-    for pattern, by in NO_END:
-        text = F.regexp_replace(text, tx.FLAGS + pattern, by)
+    """Each replacement runs only on texts that hold one of its literals."""
+
+    def replaced(pattern: str, by: str, literals: list[str]) -> Callable[[Column], Column]:
+        return lambda t: F.when(reduce(or_, [t.contains(x) for x in literals]), F.regexp_replace(t, tx.FLAGS + pattern, by)).otherwise(t)
+
+    for pattern, by, literals in NO_END:
+        text = bound(text, replaced(pattern, by, literals)) if literals else F.regexp_replace(text, tx.FLAGS + pattern, by)
     return text
 
 
@@ -136,15 +141,20 @@ def sentence(text: Column, clean: bool = True) -> Column:
     follow = [ANY + r"^\s*(" + p.replace(r"T\.?V\.?A\.?", rf"T[.{DOT}]?V[.{DOT}]?A[.{DOT}]?") + ")" for p in rules.FOLLOW_ON]
 
     def locate(t: Column) -> Column:
-        found = None
-        for p in rules.SENTENCES:
-            test = t.rlike(ANY + r"\s(?:SA|AG|GmbH|Sàrl)\s+(?:rembourse|restitue)") if words in p else F.lit(True)
-            p = ANY + p.replace(words, flat)
-            hit = F.regexp_extract(t, p, 0)
-            # the first place of the matched words is that of the match: they would have matched there, too
-            this = F.when(test & (hit != ""), F.transform(F.array(hit), lambda h: F.struct(F.call_function("locate", h, t).alias("at"), h.alias("hit"), t.alias("t")))[0])
-            found = this if found is None else F.coalesce(found, this)
-        return found
+        # a match holds one full stop, its last character, so it lies in one piece between two of them, and only pieces with a verb can hold one
+        stopped = F.split(t, r"\.")
+        pieces = F.transform(F.filter(F.slice(stopped, F.lit(1), F.size(stopped) - 1), lambda s: s.rlike(ANY + "rembourse|restitue")), lambda s: F.concat(s, F.lit(".")))
+
+        def hit(pattern: str) -> Callable[[Column], Column]:
+            full = ANY + pattern.replace(words, flat)
+            if words in pattern:
+                return lambda s: F.when(s.rlike(ANY + r"\s(?:SA|AG|GmbH|Sàrl)\s+(?:rembourse|restitue)"), F.regexp_extract(s, full, 0))
+            return lambda s: F.regexp_extract(s, full, 0)
+
+        first = lambda ps: F.coalesce(*[F.get(F.filter(F.transform(ps, hit(p)), lambda h: h != ""), F.lit(0)) for p in rules.SENTENCES])
+        # the first place of the matched words is that of the match: they would have matched there, too
+        place = lambda h: F.when(h.isNotNull(), F.struct(F.call_function("locate", h, t).alias("at"), h.alias("hit"), t.alias("t")))
+        return bound(bound(pieces, first), place)
 
     def grow(x: Column) -> Column:
         before = F.substring(x["t"], F.lit(1), x["at"] - 1)

@@ -395,3 +395,12 @@ def test_an_abbreviation_before_a_new_sentence_ends_one(spark):
     ]
     df = spark.createDataFrame(said, "t string, want string")
     assert [r["s"] for r in df.select(refunds.sentence(F.col("t")).alias("s")).collect()] == [w for _, w in said]
+
+
+def test_sentences_are_matched_in_pieces_with_a_verb(spark):
+    from lexhull.rules import refunds as rules
+
+    assert all(p.endswith(r"[^.]*\.") and p.count(r"\.") == 1 for p in rules.SENTENCES)  # so a match lies between two full stops
+    df = spark.createDataFrame([("Un. Deux 3 Fr. de plus. Eli Lilly rembourse 5 francs. Le titulaire restitue 6 francs. Fin",)], "t string")
+    said = df.select(refunds.sentence(F.col("t")).alias("s"))
+    assert said.first()["s"] == "Eli Lilly rembourse 5 francs." and "split(" in said._jdf.queryExecution().toString()
