@@ -318,9 +318,18 @@ def conditions(text: Column) -> dict[str, Column]:
 
 def cotreatments(text: Column, drugs: list[str] = rules.DRUGS) -> Column:
     """Upper-case names of drugs given along: those that patterns find, then known names, each once."""
-    named = F.flatten(F.array(*[F.regexp_extract_all(text, F.lit(ANY + p), F.lit(1)) for p in rules.GIVEN_ALONG]))
+    def found(x: Column) -> Column:
+        none = F.array().cast("array<string>")
+        all_of = lambda p: F.regexp_extract_all(x["t"], F.lit(ANY + p), F.lit(1))
+        return F.flatten(F.array(*[F.when(reduce(or_, [x["low"].contains(w) for w in rules.GIVEN_WORDS[p]]), all_of(p)).otherwise(none) if p in rules.GIVEN_WORDS else all_of(p) for p in rules.GIVEN_ALONG]))
+
+    # in the letters that a pattern blind to case takes for the plain ones
+    low = F.lower(F.translate(text, "ſıİ\u212a", "siik"))
+    named = F.when(text.isNotNull(), bound(F.struct(text.alias("t"), low.alias("low")), found))
     named = F.filter(F.transform(named, lambda d: F.upper(tx.strip(d))), lambda d: (F.length(d) >= 4) & ~d.isin(rules.NO_DRUGS))
-    present = F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\b(" + "|".join(drugs) + r")®?\b"), F.lit(1))
+    # names by their first letter, as all are tried at each word
+    firsts = [f"{c}(?:{'|'.join(d[1:] for d in drugs if d[0] == c)})" for c in sorted({d[0] for d in drugs})]
+    present = F.regexp_extract_all(F.upper(text), F.lit(r"(?U)\b(" + "|".join(firsts) + r")®?\b"), F.lit(1))
     known = F.array_intersect(F.array(*map(F.lit, drugs)), present)
     return F.array_distinct(F.concat(named, known))
 

@@ -404,3 +404,13 @@ def test_sentences_are_matched_in_pieces_with_a_verb(spark):
     df = spark.createDataFrame([("Un. Deux 3 Fr. de plus. Eli Lilly rembourse 5 francs. Le titulaire restitue 6 francs. Fin",)], "t string")
     said = df.select(refunds.sentence(F.col("t")).alias("s"))
     assert said.first()["s"] == "Eli Lilly rembourse 5 francs." and "split(" in said._jdf.queryExecution().toString()
+
+
+def test_given_along_words_stand_in_every_match(spark):
+    from lexhull.rules import refunds as rules
+
+    assert set(rules.GIVEN_WORDS) == set(rules.GIVEN_ALONG)
+    # letters that a pattern blind to case takes for plain ones, and a name with its mark
+    texts = [("en aſſociation avec Examplinib", ["EXAMPLINIB"]), ("EN ASSOCİATION AVEC Abcdef", ["ABCDEF"]), ("SCHÉMA avec Abcdef", ["ABCDEF"]), ("Keytruda®, opdivo, xkisqali", ["KEYTRUDA", "OPDIVO"]), (None, None)]
+    df = spark.createDataFrame(texts, "t string, want array<string>").select(refunds.cotreatments(F.col("t")).alias("got"), "want")
+    assert all(r["got"] == r["want"] for r in df.collect())
