@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexhull.functions import text as tx
 
-from .history import resolve_dates
+from .history import grows, resolve_dates
 from .intervals import earliest, latest, overlap_join
 
 
@@ -19,8 +19,9 @@ def item_indications(codes: DataFrame, limitations: DataFrame, preparations: Dat
     such a pack stays, once, with null pack columns. The effective interval is shared by pack and code.
     """
     lims = limitations.select("limitation_id", F.col("first_seen").alias("_lf"), F.col("last_seen").alias("_ll"), *[c for c in limitations.columns if c not in ("limitation_id", "preparation_id", "first_seen", "last_seen", *codes.columns)])
-    base = codes.join(lims, "limitation_id").join(preparations.select("preparation_id", *[c for c in preparations.columns if c not in (*codes.columns, *lims.columns)]), "preparation_id")
-    out = overlap_join(base, packs.select(*[c for c in packs.columns if c in ("preparation_id", "bag_dossier_no", "first_seen", "last_seen") or c not in base.columns]), ["preparation_id", "bag_dossier_no"])
+    # all of these grow with the input
+    base = codes.join(grows(lims), "limitation_id").join(grows(preparations.select("preparation_id", *[c for c in preparations.columns if c not in (*codes.columns, *lims.columns)])), "preparation_id")
+    out = overlap_join(base, grows(packs.select(*[c for c in packs.columns if c in ("preparation_id", "bag_dossier_no", "first_seen", "last_seen") or c not in base.columns])), ["preparation_id", "bag_dossier_no"])
     dossier, indication = tx.split_code(F.col("code_value"))
     out = out.withColumn("dossier_part", dossier).withColumn("indication_part", indication)
     return resolve_dates(
@@ -31,7 +32,7 @@ def item_indications(codes: DataFrame, limitations: DataFrame, preparations: Dat
 
 def segment_listing(segments: DataFrame, limitations: DataFrame, preparations: DataFrame) -> DataFrame:
     """All segments with product name and limitation code, in order of these."""
-    out = segments.join(limitations.select("limitation_id", "limitation_code"), "limitation_id").join(preparations.select("preparation_id", F.col("name_de").alias("product_name")), "preparation_id")
+    out = segments.join(grows(limitations.select("limitation_id", "limitation_code")), "limitation_id").join(grows(preparations.select("preparation_id", F.col("name_de").alias("product_name"))), "preparation_id")
     return out.orderBy("product_name", "limitation_code", "segment_order")
 
 
@@ -49,12 +50,12 @@ def limitation_rules(rules: DataFrame, limitations: DataFrame, preparations: Dat
 
 def with_packs(df: DataFrame, packs: DataFrame) -> DataFrame:
     """Left join with the packs of a product; their hull becomes pack_first and pack_last."""
-    return df.join(packs.select("preparation_id", *[c for c in packs.columns if c not in ("first_seen", "last_seen", *df.columns)], F.col("first_seen").alias("pack_first"), F.col("last_seen").alias("pack_last")), "preparation_id", "left")
+    return df.join(grows(packs.select("preparation_id", *[c for c in packs.columns if c not in ("first_seen", "last_seen", *df.columns)], F.col("first_seen").alias("pack_first"), F.col("last_seen").alias("pack_last"))), "preparation_id", "left")
 
 
 def refund_analysis(segments: DataFrame, packs: DataFrame, rules: DataFrame, extracts: DataFrame, texts: list[str] = ("segment_text_fr",)) -> DataFrame:
     """All segments x packs of their product, if any, with the rule mined from the segment, if any, and cleaned texts; dates of packs and limitations."""
-    out = with_packs(segments, packs).join(rules.withColumn("_rule", F.lit(True)), "segment_id", "left")
+    out = with_packs(segments, packs).join(grows(rules.withColumn("_rule", F.lit(True))), "segment_id", "left")
     out = out.withColumn("has_cashback", F.col("_rule").isNotNull().cast("int")).drop("_rule").withColumns({t: tx.clean_export(F.col(t)) for t in texts})
     return resolve_dates(out, extracts, pack_from="pack_first", pack_thru="pack_last", limitation_from="first_seen", limitation_thru="last_seen")
 

@@ -5,6 +5,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def grows(df: DataFrame) -> DataFrame:
+    """One side of a join as a table that grows with the input: joined by sorted partitions, never broadcast.
+
+    The planner judges by the size of compressed files, of which the rows of a broadcast table take many times as much.
+    """
+    return df.hint("merge")
+
+
 def snapshot_history(df: DataFrame, keys: list[str], seen: str, order: list[str] | None = None, first: list[str] = (), last: list[str] = (), last_non_null: list[str] = ()) -> DataFrame:
     """One row per key: first_seen, last_seen, and each attribute by its merge rule.
 

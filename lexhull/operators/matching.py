@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lexhull.functions import text as tx
 from lexhull.sources.tables import dealt
 
-from .history import union_first_wins
+from .history import grows, union_first_wins
 
 #: Ratio, lead over the second best, and ratio that a name needs which begins with the other.
 BEST, LEAD, PREFIX_BEST = 0.90, 0.05, 0.92
@@ -153,7 +153,7 @@ def ordinal_pairs(names: DataFrame, codes: DataFrame, group: str, name_order: st
 def name_code_map(limitations: DataFrame, codes: DataFrame, key: str = "limitation_id") -> DataFrame:
     """Names that stand beside a structured code; of one (name, code) the first limitation counts."""
     given = codes.filter(F.col("code_source") == "STRUCTURED_XML").select(key, "code_value", "bag_dossier_no")
-    named = limitations.filter(F.col("indication_name_de").isNotNull()).select(key, "indication_name_de").join(given, key)
+    named = limitations.filter(F.col("indication_name_de").isNotNull()).select(key, "indication_name_de").join(grows(given), key)
     return union_first_wins([named.select("indication_name_de", "code_value", key, "bag_dossier_no")], ["indication_name_de", "code_value"], [key])
 
 
@@ -167,9 +167,9 @@ def retro_map(codes: DataFrame, limitations: DataFrame, names: DataFrame, key: s
     fallback = codes.filter(F.col("code_source") == "FALLBACK_XX")
     own = codes.filter(F.col("code_source") != "FALLBACK_XX").select(key, F.col("code_value").alias("_new")).distinct().withColumn("_has", F.lit(True))
     mapped = names.select("indication_name_de", "bag_dossier_no", F.col("code_value").alias("_new")).distinct()
-    met = fallback.join(single, key).join(mapped, ["indication_name_de", "bag_dossier_no"]).join(own, [key, "_new"], "left")
+    met = fallback.join(grows(single), key).join(mapped, ["indication_name_de", "bag_dossier_no"]).join(grows(own), [key, "_new"], "left")
     pick = met.groupBy(key, "code_value").agg(F.max("_new").alias("_new"), F.max(F.coalesce("_has", F.lit(False))).alias("_has"))
-    out = codes.join(pick, [key, "code_value"], "left").filter(~F.coalesce("_has", F.lit(False)))
+    out = codes.join(grows(pick), [key, "code_value"], "left").filter(~F.coalesce("_has", F.lit(False)))
     changed = F.col("_new").isNotNull()
     return out.select(*[F.when(changed, F.col("_new")).otherwise(F.col(c)).alias(c) if c == "code_value" else F.when(changed, "NAME_MAPPED").otherwise(F.col(c)).alias(c) if c == "code_source" else c for c in codes.columns])
 

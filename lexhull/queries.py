@@ -559,7 +559,7 @@ def cashback_rules(spark, d):
 
 def limitation_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Limitations named after parts, every third one with a code, the others with a fallback."""
-    lines = table(spark, d, "lineitem").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("limitation_id")).agg(F.min("l_partkey").alias("l_partkey")).join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey"))
+    lines = table(spark, d, "lineitem").groupBy((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("limitation_id")).agg(F.min("l_partkey").alias("l_partkey")).join(history.grows(table(spark, d, "part").select("p_partkey", "p_name")), F.expr("l_partkey = p_partkey"))
     lims = lines.selectExpr("limitation_id", "p_name as indication_name_de")
     codes = lines.selectExpr("limitation_id", "case when limitation_id % 3 = 0 then concat('D', l_partkey % 50, '.', l_partkey % 90) else concat('D', l_partkey % 50, '.xx') end as code_value", "case when limitation_id % 3 = 0 then 'STRUCTURED_XML' else 'FALLBACK_XX' end as code_source", "concat('D', l_partkey % 50) as bag_dossier_no")
     return lims, codes
@@ -845,7 +845,7 @@ def listed_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     orders, lines, customers = table(spark, d, "orders"), table(spark, d, "lineitem"), table(spark, d, "customer")
     month = MONTH.format("o_orderdate")
     lims = orders.selectExpr("o_orderkey as limitation_id", "o_custkey as preparation_id", "o_orderpriority as limitation_code", "concat('<b>', o_orderstatus, '</b> a&nbsp;b') as description_fr", f"{month} as first_seen", f"{month} + cast(o_orderkey % 24 as int) as last_seen")
-    own = lines.join(orders.select("o_orderkey", "o_custkey"), F.expr("l_orderkey = o_orderkey"))
+    own = lines.join(history.grows(orders.select("o_orderkey", "o_custkey")), F.expr("l_orderkey = o_orderkey"))
     shipped = MONTH.format("l_shipdate")
     codes = own.selectExpr("l_orderkey as limitation_id", "o_custkey as preparation_id", "concat('D', l_suppkey % 3) as bag_dossier_no", "concat('D', l_suppkey % 3, '.', l_linenumber) as code_value", f"{shipped} as first_seen", f"{shipped} + 3 as last_seen").distinct()
     segments = own.filter("l_orderkey % 3 <> 0").groupBy("l_orderkey", "l_linenumber", "o_custkey").agg(F.min("l_partkey").alias("p")).selectExpr("l_orderkey * 10 + l_linenumber as segment_id", "l_orderkey as limitation_id", "o_custkey as preparation_id", "l_linenumber as segment_order", "concat('n', p % 50) as indication_name_fr", "concat('a<br>', p) as segment_text_fr")

@@ -414,3 +414,23 @@ def test_given_along_words_stand_in_every_match(spark):
     texts = [("en aſſociation avec Examplinib", ["EXAMPLINIB"]), ("EN ASSOCİATION AVEC Abcdef", ["ABCDEF"]), ("SCHÉMA avec Abcdef", ["ABCDEF"]), ("Keytruda®, opdivo, xkisqali", ["KEYTRUDA", "OPDIVO"]), (None, None)]
     df = spark.createDataFrame(texts, "t string, want array<string>").select(refunds.cotreatments(F.col("t")).alias("got"), "want")
     assert all(r["got"] == r["want"] for r in df.collect())
+
+
+def test_growing_tables_of_the_exports_and_maps_are_not_broadcast(spark):
+    from lexhull.operators import exports
+
+    one = lambda schema, *row: spark.createDataFrame([row], schema)
+    lims = one("limitation_id int, preparation_id int, limitation_code string, first_seen int, last_seen int", 1, 2, "L", 1, 9)
+    segs = one("segment_id int, limitation_id int, preparation_id int, segment_order int, segment_text_fr string, first_seen int, last_seen int", 5, 1, 2, 0, "a<br>b", 1, 9)
+    preps, extracts = one("preparation_id int, name_de string", 2, "P"), one("extract_id int, release_date string", 1, "on 1")
+    packs = one("preparation_id int, gtin int, bag_dossier_no string, first_seen int, last_seen int", 2, 7, "D", 1, 3)
+    codes = one("limitation_id int, preparation_id int, bag_dossier_no string, code_value string, first_seen int, last_seen int", 1, 2, "D", "D.1", 1, 4)
+    held = one("limitation_id int, code_value string, code_source string, bag_dossier_no string", 1, "D.xx", "FALLBACK_XX", "D")
+    names = one("indication_name_de string, code_value string, bag_dossier_no string", "n", "D.1", "D")
+    made = [
+        exports.item_indications(codes, lims, preps, packs, extracts), exports.segment_listing(segs, lims, preps),
+        exports.refund_analysis(segs, packs, one("segment_id int, rule_calc_type string", 5, "percentage"), extracts),
+        matching.retro_map(held, one("limitation_id int, indication_name_de string", 1, "n"), names),
+    ]
+    for df, joins in zip(made, (3, 2, 2, 3)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") >= joins and df.count() == 1
