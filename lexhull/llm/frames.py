@@ -1,37 +1,15 @@
 """Small helpers over sessions and DataFrames."""
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexhull.sources.tables import cut, shared_folder  # noqa: F401
+
 #: A key is hot when it holds one row in HOT or more, so there are at most HOT such keys.
 HOT = 1024
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only a session on one machine (tests) may lack it and gets a temporary folder; elsewhere that is an error.
-    """
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return context._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: a lost executor loses nothing, columns are compressed, and the planner knows the size."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def spread_join(rows: DataFrame, table: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
     """rows joined with a table that holds each key once; hot lists the keys (HOT at most) that rows hold too often to meet in one task."""
     own = table.join(F.broadcast(hot.select(key)), key, "left_semi").withColumn("_hot", F.lit(True))

@@ -1,9 +1,15 @@
 """Joins over validity intervals [first_seen, last_seen]."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexhull.sources.tables import cut
+
+from .history import grows
+
 
 def overlaps(a_first: Column, a_last: Column, b_first: Column, b_last: Column) -> Column:
     return (a_first <= b_last) & (a_last >= b_first)
@@ -39,7 +45,8 @@ def bucket_join(left: DataFrame, right: DataFrame, keys: list[str], width: int,
 
     Time is cut into buckets of a width, and each interval stands in all the buckets it covers, so only intervals of one bucket are
     compared; a pair is reported in the first bucket that both cover. A width near the usual length of an interval is best: then an interval stands in
-    about two buckets. A left join needs row, columns that tell the left rows apart. Ends are integers; intervals with a null end, or that end before they begin, meet nothing.
+    about two buckets. A left join needs row, columns that tell the left rows apart; its pairs are written to the shared folder once, as the rows without one are
+    found from them. An exploded side is many times what the planner takes it for, and is never broadcast. Ends are integers; intervals with a null end, or that end before they begin, meet nothing.
     """
     if how not in ("inner", "left") or (how == "left" and not row):
         raise ValueError("how is inner or left, and a left join needs the columns of row")
@@ -53,9 +60,12 @@ def bucket_join(left: DataFrame, right: DataFrame, keys: list[str], width: int,
         test = (F.col(k) == F.col(f"_k{i}")) & test
     test = test & overlaps(F.col(first), F.col(last), F.col(f"{first}_right"), F.col(f"{last}_right"))
     test = test & (F.col("_bucket") == F.floor(F.greatest(first, f"{first}_right") / width))
-    out = ours.join(other, test).drop("_bucket", "_other", *[f"_k{i}" for i in range(len(keys))])
+    out = ours.join(grows(other), test).drop("_bucket", "_other", *[f"_k{i}" for i in range(len(keys))])
     if how == "left":
-        out = out.unionByName(left.join(out.select(*row).distinct(), row, "left_anti"), allowMissingColumns=True)
+        out = cut(out)
+        met = grows(out.select(*[F.col(c).alias(f"_m{i}") for i, c in enumerate(row)]).distinct())
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_m{i}")) for i, c in enumerate(row)])
+        out = out.unionByName(left.join(met, same, "left_anti"), allowMissingColumns=True)
     return out.withColumn("valid_from", latest(F.col(first), F.col(f"{first}_right"))).withColumn("valid_thru", earliest(F.col(last), F.col(f"{last}_right")))
 
 

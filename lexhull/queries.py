@@ -94,7 +94,7 @@ def customer_hulls(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.expr(day("o_orderdate")).alias("seen"))
     own = history.snapshot_history(orders, ["o_custkey", "o_orderpriority"], "seen", ["seen", "o_orderkey"])
     lines = table(spark, d, "lineitem").select("l_orderkey", F.expr(day("l_shipdate")).alias("seen")).groupBy("l_orderkey").agg(F.min("seen").alias("first_seen"), F.max("seen").alias("last_seen"))
-    return own, lines.join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    return own, lines.join(history.grows(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")), "l_orderkey")
 
 
 HULLS = f"""

@@ -434,3 +434,15 @@ def test_growing_tables_of_the_exports_and_maps_are_not_broadcast(spark):
     ]
     for df, joins in zip(made, (3, 2, 2, 3)):
         assert df._jdf.queryExecution().optimizedPlan().toString().count("strategy=merge") >= joins and df.count() == 1
+
+
+def test_bucket_join_asks_once_and_broadcasts_nothing(spark):
+    left = spark.createDataFrame([("x", 1, 0, 500), (None, 1, 0, 40), (None, 2, 0, 5)], "a string, key int, first_seen int, last_seen int")
+    right = spark.createDataFrame([(7, 1, 30, 90), (8, 1, 600, 700)], "b int, key int, first_seen int, last_seen int")
+    out = intervals.bucket_join(left, right, ["key"], 16, "left", row=["a", "key"])
+    # a row with a null among the columns of row has its pair, and no row without one beside it
+    assert {tuple(r) for r in out.select("a", "key", "b", "valid_from", "valid_thru").collect()} == {("x", 1, 7, 30, 90), (None, 1, 7, 30, 40), (None, 2, None, None, None)} and out.count() == 3
+    for how in ("inner", "left"):
+        plan = intervals.bucket_join(left, right, ["key"], 16, how, row=["a", "key"])._jdf.queryExecution().toString()
+        physical = plan[plan.index("== Physical Plan =="):]
+        assert "Broadcast" not in physical and physical.count("Generate explode") == (2 if how == "inner" else 0)
