@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexhull.functions import text as tx
 from lexhull.rules import names as rules
+from lexhull.sources.tables import dealt
 
 
 def structured_codes(preferred: Column, other: Column) -> Column:
@@ -45,10 +46,10 @@ def segment_table(df: DataFrame, key: str, texts: dict[str, str], renumber: bool
 
     Languages are aligned by position. A segment is left out when its heading only structures the
     text; the heading looked at is the first filled one of name_by (default: the first language).
-    With renumber, orders run from 0 without gaps, else they keep the position in the text.
+    With renumber, orders run from 0 without gaps, else they keep the position in the text. Texts of few row groups are dealt out first.
     """
     langs = list(texts)
-    zipped = df.select(key, F.posexplode(F.arrays_zip(*[tx.segments(F.col(c)).alias(f"s{i}") for i, c in enumerate(texts.values())])).alias("segment_order", "_s"))
+    zipped = dealt(df).select(key, F.posexplode(F.arrays_zip(*[tx.segments(F.col(c)).alias(f"s{i}") for i, c in enumerate(texts.values())])).alias("segment_order", "_s"))
     fields = []
     for i, lang in enumerate(langs):
         fields += [F.col(f"_s.s{i}.name").alias(f"indication_name_{lang}"), F.col(f"_s.s{i}.body").alias(f"segment_text_{lang}")]

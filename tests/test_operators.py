@@ -446,3 +446,10 @@ def test_bucket_join_asks_once_and_broadcasts_nothing(spark):
         plan = intervals.bucket_join(left, right, ["key"], 16, how, row=["a", "key"])._jdf.queryExecution().toString()
         physical = plan[plan.index("== Physical Plan =="):]
         assert "Broadcast" not in physical and physical.count("Generate explode") == (2 if how == "inner" else 0)
+
+
+def test_segment_table_is_dealt_out_to_all_cores(spark, tmp_path):
+    # one file, one row group: a single task would read and cut all texts
+    spark.range(64).selectExpr("id", "concat('<b>name ', id, '</b> body') as de").coalesce(1).write.parquet(f"{tmp_path}/t")
+    out = codes.segment_table(spark.read.parquet(f"{tmp_path}/t"), "id", {"de": "de"}, renumber=False)
+    assert out.count() == 64 and out.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
