@@ -947,7 +947,7 @@ WITH t AS (SELECT p_partkey, upper({NATION_SAID.replace('initcap(n_name)', 'lowe
 c AS (SELECT p_partkey, n_name, CASE WHEN a = n_name THEN 1 WHEN length(a) >= 4 AND (contains(a, n_name) OR contains(n_name, a)) THEN 2 END AS level FROM t, nation)
 SELECT p_partkey, arg_min(n_name, level || n_name) AS candidate, CAST(1 AS DOUBLE) AS score FROM c WHERE level IS NOT NULL GROUP BY 1""")
 def best_candidate(spark, d):
-    named = table(spark, d, "part").join(table(spark, d, "nation"), F.expr("n_nationkey = p_partkey % 25")).selectExpr("p_partkey", f"{NATION_SAID} as name")
+    named = tables.dealt(table(spark, d, "part").select("p_partkey")).join(table(spark, d, "nation"), F.expr("n_nationkey = p_partkey % 25")).selectExpr("p_partkey", f"{NATION_SAID} as name")
     return matching.best_candidate(named, "p_partkey", "name", table(spark, d, "nation"), "n_name")
 
 

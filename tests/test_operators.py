@@ -453,3 +453,19 @@ def test_segment_table_is_dealt_out_to_all_cores(spark, tmp_path):
     spark.range(64).selectExpr("id", "concat('<b>name ', id, '</b> body') as de").coalesce(1).write.parquet(f"{tmp_path}/t")
     out = codes.segment_table(spark.read.parquet(f"{tmp_path}/t"), "id", {"de": "de"}, renumber=False)
     assert out.count() == 64 and out.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def test_best_candidate_sends_no_texts_by_their_letters(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "Roche"), (2, "bei Roche AG"), (3, "Novartiz"), (4, "xyz"), (5, None), (6, "vart"), (1, "Novartis")], "i int, n string")
+    c = spark.createDataFrame([("Roche",), ("Novartis",), ("AG",)], "c string")
+    few = matching.best_candidate(df, "i", "n", c, "c")
+    got = sorted(map(tuple, few.collect()))
+    assert {(i, x) for i, x, _ in got} == {(1, "Novartis"), (2, "AG"), (3, "Novartis"), (6, "Novartis")}
+    # candidates are sent to all tasks, so no text is sorted for a join
+    plan = few._jdf.queryExecution().toString()
+    assert "SortMergeJoin" not in plan[plan.index("== Physical Plan =="):]
+    monkeypatch.setattr(matching, "FEW", 0)
+    many = matching.best_candidate(df, "i", "n", c, "c")
+    assert sorted(map(tuple, many.collect())) == got
+    plan = many._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" not in plan[plan.index("== Physical Plan =="):]
