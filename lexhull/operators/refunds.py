@@ -418,26 +418,47 @@ def drug_set(preparations: DataFrame, substances: DataFrame, name: str = "name_d
     return prepared.union(made).filter("name <> ''").distinct()
 
 
+#: So many beginnings of names are put into one pattern, and their names held by every task; more meet the texts by a join.
+FEW_BEGINNINGS = 512
+
+
+def any_of(words: list[str]) -> str:
+    """A pattern that any of the words matches, by their first characters."""
+    plain = lambda w: "".join(c if c.isalnum() or not c.isascii() else "\\" + c for c in w)
+    ends: dict[str, list[str]] = {}
+    for w in words:
+        ends.setdefault(plain(w[0]), []).append(plain(w[1:]))
+    return "|".join(f"{c}(?:{'|'.join(e)})" for c, e in ends.items())
+
+
 def contained_names(df: DataFrame, id_col: str, text_col: str, names: DataFrame, name: str, looked_for: str) -> DataFrame:
     """(id, text, name): names whose looked_for stands anywhere in a text, blind to case.
 
     A text and a name meet by the name's first characters (up to four), which are among the runs
-    of the text; only ids travel with the runs, and what has met is compared in full.
+    of the text; what has met is compared in full. Few beginnings are one pattern and make no join of texts; with more, only ids travel with the runs.
     """
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     known = names.select(F.col(name).alias("name"), F.upper(F.col(looked_for)).alias("_n")).filter(F.length("_n") > 0).distinct()
     reach = F.least(F.length("_n"), F.lit(4))
     known = known.withColumn("_r", F.substring("_n", F.lit(1), reach))
-    # which of the four lengths there are
-    sizes = sorted(r[0] for r in known.select(reach).distinct().collect())
-
-    def runs(size: int) -> Column:
-        """All stretches of so many characters, one from each place, in one pass."""
-        return F.regexp_extract_all("_t", F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
-
-    asked = texts.select("id", F.upper("text").alias("_t")).select("id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *map(runs, sizes)))).alias("_r"))
-    met = asked.join(known, "_r").select("id", "name", "_n").distinct()
-    return met.join(texts, "id").filter(F.contains(F.upper("text"), F.col("_n"))).select("id", "text", "name").distinct()
+    # which of the four lengths there are, and how many beginnings
+    sizes = {size: n for size, n in known.groupBy(reach).agg(F.count_distinct("_r")).collect()}
+    found = F.array().cast("array<string>")
+    if sum(sizes.values()) <= FEW_BEGINNINGS:
+        # texts are searched for these beginnings only, and what holds one is compared where it stands
+        begun = sorted(r[0] for r in known.select("_r").distinct().collect())
+        for size in sorted(sizes):
+            found = F.concat(found, F.regexp_extract_all("_t", F.lit(f"(?s)(?=({any_of([r for r in begun if len(r) == size])}))"), F.lit(1)))
+        asked = texts.filter("id is not null").withColumn("_t", F.upper("text")).withColumn("_r", F.explode(F.array_distinct(found)))
+        met = asked.join(F.broadcast(known), "_r").filter(F.contains("_t", "_n"))
+    else:
+        # all stretches of so many characters, one from each place, in one pass
+        for size in sorted(sizes):
+            found = F.concat(found, F.regexp_extract_all("_t", F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1)))
+        asked = texts.select("id", F.upper("text").alias("_t")).select("id", F.explode(F.array_distinct(found)).alias("_r"))
+        met = asked.join(known, "_r").select("id", "name", "_n").distinct().join(texts, "id").filter(F.contains(F.upper("text"), F.col("_n")))
+    # equal texts by their hash, so that no text travels for a caller who leaves it out
+    return met.groupBy("id", F.sha2("text", 256), "name").agg(F.first("text").alias("text")).select("id", "text", "name")
 
 
 def known_companies(df: DataFrame, id_col: str, text_col: str, companies: DataFrame, name: str = "company") -> DataFrame:

@@ -469,3 +469,17 @@ def test_best_candidate_sends_no_texts_by_their_letters(spark, monkeypatch):
     assert sorted(map(tuple, many.collect())) == got
     plan = many._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" not in plan[plan.index("== Physical Plan =="):]
+
+
+def test_contained_names_of_few_beginnings_make_no_join_of_texts(spark, monkeypatch):
+    rows = [(1, "a b.c* \\Q\nx Émile"), (1, "a b.c* \\Q\nx Émile"), (1, "other b.c"), (2, "bxc"), (3, None), (None, "b.c*"), (4, "\U0001F600ab \U0001F600"), (5, "(longer name)")]
+    df = spark.createDataFrame(rows, "id int, t string")
+    names = spark.createDataFrame([("dot", "b.c*"), ("dot", "b.c"), ("q", "\\q\n"), ("e", "émile"), ("s", "\U0001F600a"), ("p", "("), ("l", "(longer name)"), ("none", "")], "name string, stem string")
+    few = refunds.contained_names(df, "id", "t", names, "name", "stem")
+    got = sorted(map(tuple, few.collect()))
+    assert [(i, n) for i, _, n in got] == [(1, x) for x in ("dot", "e", "q", "dot")] + [(4, "s"), (5, "l"), (5, "p")]
+    plan = few.select("*")._jdf.queryExecution().toString()
+    plan = plan[plan.index("== Physical Plan =="):]
+    assert "SortMergeJoin" not in plan and plan.count("HashJoin") == 1
+    monkeypatch.setattr(refunds, "FEW_BEGINNINGS", 0)
+    assert sorted(map(tuple, refunds.contained_names(df, "id", "t", names, "name", "stem").collect())) == got
