@@ -232,7 +232,8 @@ def looked_up(asks: DataFrame, known: DataFrame, layers: list[tuple]) -> DataFra
     own = index.groupBy("kind", "key", "_d").agg(F.min("code_value").alias("_own"), F.min(part).alias("_p"), F.max(part).alias("_q"))
     every = own.groupBy("kind", "key").agg(F.min("_own").alias("_ref"), F.min("_p").alias("_p"), F.max("_q").alias("_q"))
     asked = asks.select("segment", "dossier", F.explode("asked").alias("_a")).select("segment", "dossier", "_a.rank", "_a.kind", "_a.key").filter("key <> ''")
-    met = asked.join(every, ["kind", "key"]).join(own.select("kind", "key", F.col("_d").alias("dossier"), "_own"), ["kind", "key", "dossier"], "left")
+    # asks are several times the segments, and by the size of the file the planner would send them all to every task
+    met = asked.join(grows(every), ["kind", "key"]).join(grows(own.select("kind", "key", F.col("_d").alias("dossier"), "_own")), ["kind", "key", "dossier"], "left")
     same = reduce(lambda c, x: c.when(F.col("rank") == x[0], F.struct(F.lit(x[3][0]).alias("type"), F.lit(x[3][1]).alias("score"))), layers[1:], F.when(F.col("rank") == layers[0][0], F.struct(F.lit(layers[0][3][0]).alias("type"), F.lit(layers[0][3][1]).alias("score"))))
     cross = reduce(lambda c, x: c.when(F.col("rank") == x[0], F.struct(F.lit(x[4][0]).alias("type"), F.lit(x[4][1]).alias("score"))), layers[1:], F.when(F.col("rank") == layers[0][0], F.struct(F.lit(layers[0][4][0]).alias("type"), F.lit(layers[0][4][1]).alias("score"))))
     of_own, crossed = F.col("_own").isNotNull(), F.when(F.col("_p") == F.col("_q"), F.concat("dossier", F.lit("."), "_p"))
@@ -275,13 +276,13 @@ def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool
         left = asks.select("dossier", "segment", form["norm"].alias("_a"))
         right = entries.filter("not _piece").select("dossier", form["norm"].alias("_b"), "name", "code_value").distinct()
         first = right.groupBy("dossier", "_b").agg(F.min(F.struct("code_value", F.col("name").alias("matched_to"))).alias("_m"))
-        near = fuzzy_best(left, right, ["dossier"], "segment", "_a", "_b").join(first, ["dossier", "_b"])
+        near = fuzzy_best(left, right, ["dossier"], "segment", "_a", "_b").join(grows(first), ["dossier", "_b"])
         found = found.unionByName(near.select("segment", "_m.code_value", F.lit("FUZZY_MATCHED").alias("match_type"), "score", "_m.matched_to", F.lit(60).alias("rank")))
     best = found.groupBy("segment").agg(F.min(F.struct("rank", "code_value", "match_type", "score", "matched_to")).alias("_m"))
     # each segment once, with what the layers by name found, the size of its group and the codes of it
     sizes = (segments if whole is None else whole).groupBy("group").agg(F.count("*").alias("_all"))
     given = codes.select("group", "code_value").distinct().groupBy("group").agg(F.count("*").alias("_codes"), F.min("code_value").alias("_only"))
-    all_ = segments.select("segment", "group", "position").join(best, "segment", "left").join(sizes, "group").join(given, "group", "left")
+    all_ = segments.select("segment", "group", "position").join(grows(best), "segment", "left").join(grows(sizes), "group").join(grows(given), "group", "left")
     own = all_.filter("_m is not null").select("segment", "_m.code_value", "_m.match_type", "_m.score", "_m.matched_to")
     left = all_.filter("_m is null")
     said = lambda kind, score, what: [F.lit(kind).alias("match_type"), F.lit(score).alias("score"), F.concat(F.lit(what), F.col("group").cast("string")).alias("matched_to")]
@@ -289,7 +290,7 @@ def cascade(segments: DataFrame, known: DataFrame, codes: DataFrame, fuzzy: bool
     # a group of which no segment has a code pairs them in order, if there are as many codes
     ordered = left.filter("_all >= 2 and _codes = _all").withColumn("_i", F.row_number().over(Window.partitionBy("group").orderBy("position"))).withColumn("_left", F.count("*").over(Window.partitionBy("group"))).filter("_left = _all")
     numbered = codes.select("group", "code_value").distinct().withColumn("_i", F.row_number().over(Window.partitionBy("group").orderBy("code_value")))
-    paired = ordered.select("segment", "group", "_i").join(numbered, ["group", "_i"]).select("segment", "code_value", *said("ORDINAL_POSITION", 0.80, "position in lim "))
+    paired = ordered.select("segment", "group", "_i").join(grows(numbered), ["group", "_i"]).select("segment", "code_value", *said("ORDINAL_POSITION", 0.80, "position in lim "))
     return own.unionByName(alone).unionByName(paired)
 
 

@@ -184,6 +184,14 @@ def test_code_names_in_three_languages_and_by_brand(spark):
     assert {x[:2] for x in got if x[0].startswith("BRAND")} == {("BRAND_CROSS", "D2.10")}
 
 
+def test_cascade_broadcasts_nothing_that_grows(spark, tmp_path):
+    """Asks are several times the segments, of which the file is small: by its size all of them would go to every task."""
+    spark.range(2000).selectExpr("id as segment", "id div 2 as `group`", "id % 2 as position", "concat('name ', id % 7) as name", "concat('D', id % 3) as dossier", "concat('D', id % 3, '.', id % 90 + 10) as code_value").write.parquet(f"{tmp_path}/t")
+    t = spark.read.parquet(f"{tmp_path}/t")
+    out = matching.cascade(t.drop("code_value"), t.select("name", "code_value", "dossier"), t.select("group", "code_value"))
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 2000
+
+
 def test_two_entries_of_one_name_leave_no_lead(spark):
     left = spark.createDataFrame([("d", 1, "abcdefghij"), ("d", 2, "klmnopqrst")], "dossier string, segment int, a string")
     right = spark.createDataFrame([("d", "abcdefghix"), ("d", "abcdefghix"), ("d", "klmnopqrsx")], "dossier string, b string")
