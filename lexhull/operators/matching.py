@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexhull.functions import text as tx
-from lexhull.sources.tables import dealt
+from lexhull.sources.tables import cut, dealt
 
 from .history import grows, union_first_wins
 
@@ -319,46 +319,60 @@ def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, referenc
     the last two only codes that still have no name. A direct layer takes one row per code, that of
     the smallest text. Codes are counted by source: one structured code of a text is paired with its only segment
     whatever else stands there; one parsed code if it is the only code of both sources. In the two layers by normalised name
-    a segment asks once, with the smallest code of its text. Some steps are persisted, as several later ones read them.
+    a segment asks once, with the smallest code of its text, and segments of the same names and dossier ask as one. segments has one row per
+    text_id and segment_order. Links and segments are dealt out by text once each, and what is known of a text goes with its rows, so the layers
+    join them without moving them again. Some steps are persisted, as several later ones read them.
     """
     names, origin = ["indication_name_de", "indication_name_fr", "indication_name_it"], ["text_id", "segment_order"]
     missing = lambda df, columns, kind: df.withColumns({c: F.lit(None).cast(kind) for c in columns if c not in df.columns})
     segments = missing(segments, names, "string")
     kinds = dict(segments.dtypes)
-    dossier = F.when(F.col("indication_code").contains("."), F.substring_index("indication_code", ".", 1))
-    # what several layers start from is kept, else each would make it anew
-    real = links.filter(F.col("code_source").isin(*REAL)).select("text_id", "indication_code", "code_source").distinct().persist()
-    only = segments.groupBy("text_id").agg(F.count("*").alias("_n"), F.min(F.struct(*names, "segment_order")).alias("_s")).filter("_n = 1").select("text_id", "_s.*")
-
-    def named(df: DataFrame, source: str, of: Column = dossier) -> DataFrame:
-        df = missing(missing(df, names, "string"), origin, "string").select("*", of.alias("_of"))
+    code = F.col("indication_code")
+    head = lambda c: F.when(c.contains("."), F.substring_index(c, ".", 1))
+    of_text = Window.partitionBy("text_id")
+    # each code of a text once, with the sources it has there
+    is_from = lambda *sources: F.coalesce(F.max(F.col("code_source").isin(*sources)), F.lit(False))
+    coded = links.select("text_id", "indication_code", "code_source").repartition("text_id").groupBy("text_id", "indication_code").agg(
+        is_from(REAL[0]).alias("_structured"), is_from(REAL[1]).alias("_parsed"), is_from(*REAL).alias("_real"), is_from("FALLBACK_XX").alias("_fallback"))
+    one_of = lambda kind: F.count(F.when(F.col(kind), code)).over(of_text) == 1
+    real_head = F.when(F.col("_real"), head(code))
+    coded = coded.withColumn("_row", F.row_number().over(of_text.orderBy("indication_code"))).withColumns({
+        "_one_structured": one_of("_structured"), "_one_real": one_of("_real"), "_one_fallback": one_of("_fallback"), "_codes": F.count(F.when(F.col("_real"), F.lit(1))).over(of_text),
+        "_one_dossier": F.min(real_head).over(of_text) == F.max(real_head).over(of_text), "_first": head(F.min(code).over(of_text)),
+    }).persist()
+    whole = coded.filter("_row = 1").select("text_id", "_codes", "_one_dossier", "_first")
+    parted = segments.select(*origin, *names).withColumn("_n", F.count("*").over(of_text)).join(grows(whole), "text_id").persist()
+
+    def named(df: DataFrame, source: str | Column, of: Column = head(code)) -> DataFrame:
+        df = missing(missing(df, names, "string"), origin, "string").select("*", of.alias("_of"), (F.lit(source) if isinstance(source, str) else source).alias("_source"))
         came = [F.col(c).cast(kinds[c]).alias(f"source_{c}") for c in origin]
-        return df.select("indication_code", *names, F.col("_of").alias("bag_dossier_no"), F.lit(source).alias("match_source"), F.lit(MAP_LAYERS[source]).alias("match_confidence"), *came)
-
-    def per_code(df: DataFrame) -> DataFrame:
-        """One row per code: a named one before one without, then the smallest text."""
-        pick = F.struct(F.col("indication_name_de").isNull().alias("a"), "text_id", *names, "segment_order")
-        return df.groupBy("indication_code").agg(F.min(pick).alias("_p")).select("indication_code", *[f"_p.{c}" for c in (*names, *origin)])
-
-    def with_one_code(df: DataFrame) -> DataFrame:
-        return df.groupBy("text_id").agg(F.countDistinct("indication_code").alias("_c")).filter("_c = 1").select("text_id")
+        trust = F.create_map(*[F.lit(x) for layer in MAP_LAYERS.items() for x in layer])[F.col("_source")]
+        return df.select("indication_code", *names, F.col("_of").alias("bag_dossier_no"), F.col("_source").alias("match_source"), trust.alias("match_confidence"), *came)
 
-    structured, parsed = real.filter(F.col("code_source") == REAL[0]), real.filter(F.col("code_source") == REAL[1])
     parts = []
     if reference is not None:
         parts.append(named(reference.select(*[c for c in reference.columns if c not in origin]), "REF_MAP", F.col("bag_dossier_no")))
-    parts.append(named(per_code(structured.join(with_one_code(structured), "text_id", "left_semi").join(only, "text_id")), "DIRECT_STRUCT"))
-    parts.append(named(per_code(parsed.join(with_one_code(real), "text_id", "left_semi").join(only, "text_id")), "DIRECT_TEXT"))
-    parts.append(named(per_code(real.join(only, "text_id")), "SHARED_TEXT"))
-    of_one_dossier = real.filter(F.col("indication_code").contains(".")).groupBy("text_id").agg(F.countDistinct(F.substring_index("indication_code", ".", 1)).alias("_d")).filter("_d = 1").select("text_id")
-    pairs = ordinal_pairs(segments.join(of_one_dossier, "text_id", "left_semi").select(*origin, *names), real, "text_id", "segment_order", "indication_code")
+    # one row per code and layer: a named one before one without, then the smallest text
+    pick = F.struct(F.col("indication_name_de").isNull().alias("a"), "text_id", *names, "segment_order")
+    picked = coded.filter("_real").join(grows(parted.filter("_n = 1").select(*origin, *names)), "text_id").groupBy("indication_code").agg(
+        F.min(F.when(F.col("_structured") & F.col("_one_structured"), pick)).alias("DIRECT_STRUCT"), F.min(F.when(F.col("_parsed") & F.col("_one_real"), pick)).alias("DIRECT_TEXT"), F.min(pick).alias("SHARED_TEXT"))
+    layers = F.explode(F.array(*[F.struct(F.lit(x).alias("layer"), F.col(x).alias("p")) for x in ("DIRECT_STRUCT", "DIRECT_TEXT", "SHARED_TEXT")]))
+    direct = picked.select("indication_code", layers.alias("_l")).filter("_l.p is not null").select("indication_code", "_l.layer", *[F.col(f"_l.p.{c}").alias(c) for c in (*names, *origin)])
+    parts.append(named(direct, F.col("layer")))
+    ordered = parted.filter("_one_dossier and _n = _codes and _n >= 2").select(*origin, *names)
+    pairs = ordinal_pairs(ordered, coded.filter("_real").join(grows(ordered.select("text_id").distinct()), "text_id", "left_semi"), "text_id", "segment_order", "indication_code")
     parts.append(named(pairs, "ORDINAL_POSITION"))
     keys = ["indication_code", "indication_name_de"]
-    found = union_first_wins(parts, keys).persist()
+    rest = [c for c in parts[0].columns if c not in keys]
+
+    def first_layer(frames: list[DataFrame]) -> DataFrame:
+        return union_first_wins([reduce(DataFrame.unionByName, frames)], keys, [F.array_position(F.lit(list(MAP_LAYERS)), F.col("match_source")), *rest])
+
+    found = first_layer(parts).persist()
     # segments whose name no code has yet, each with a code of its text, against the names that are there
-    wanted = segments.filter(F.col("indication_name_de").isNotNull()).join(found.select("indication_name_de").distinct(), "indication_name_de", "left_anti")
-    wanted = wanted.join(links.groupBy("text_id").agg(F.min("indication_code").alias("indication_code")), "text_id").withColumn("_dossier", dossier)
-    left, asked = [], wanted.persist()
+    wanted = parted.filter(F.col("indication_name_de").isNotNull()).groupBy(*names, F.col("_first").alias("_dossier")).agg(F.min(F.struct(*origin)).alias("_o")).select(*names, "_dossier", "_o.*")
+    wanted = wanted.join(found.select("indication_name_de").distinct(), "indication_name_de", "left_anti")
+    left, asked = [], wanted
     for same, cross, form in (("NORM_SAME", "NORM_CROSS", lambda c: tx.normalised(c, True)), ("BRAND_SAME", "BRAND_CROSS", lambda c: F.lower(tx.canonical_brands(tx.normalised(c))))):
         name = F.col("indication_name_de")
         k = found.filter(name.isNotNull()).select(form(name).alias("_key"), F.col("bag_dossier_no").alias("_d"), F.col("indication_code").alias("_code"))
@@ -367,22 +381,26 @@ def code_names(links: DataFrame, segments: DataFrame, texts: DataFrame, referenc
         met = asked.withColumn("_key", form(name))
         if same == "BRAND_SAME":
             met = met.filter(F.col("_key") != tx.normalised(name, True))
-        met = met.join(any_, "_key").join(own.withColumnRenamed("_d", "_dossier"), ["_key", "_dossier"], "left")
+        met = met.join(any_, "_key", "left").join(own.withColumnRenamed("_d", "_dossier"), ["_key", "_dossier"], "left")
         crossed = F.when(F.col("_any").contains(".") & F.col("_dossier").isNotNull(), F.concat("_dossier", F.lit("."), indication_part(F.col("_any"))))
-        met = met.withColumn("indication_code", F.coalesce("_own", crossed)).filter(F.col("indication_code").isNotNull())
-        left += [named(met.filter("_own is not null"), same), named(met.filter("_own is null"), cross)]
-        asked = asked.join(met.select("text_id", "segment_order").distinct(), ["text_id", "segment_order"], "left_anti")
+        met = met.withColumn("indication_code", F.coalesce("_own", crossed)).persist()
+        left.append(named(met.filter("indication_code is not null"), F.when(F.col("_own").isNotNull(), same).otherwise(cross)))
+        asked = met.filter("indication_code is null").select(asked.columns)
     if replies is not None:
-        fallback = links.filter(F.col("code_source") == "FALLBACK_XX").select("text_id", "indication_code").distinct()
         one = missing(replies, ["segment_order"], kinds["segment_order"]).filter(F.col("indication_name_fr").isNotNull()).groupBy("text_id").agg(F.count("*").alias("_n"), F.min("indication_name_fr").alias("indication_name_fr"), F.min("segment_order").alias("segment_order")).filter("_n = 1").drop("_n")
-        replied = fallback.join(with_one_code(fallback), "text_id", "left_semi").join(one, "text_id")
+        replied = coded.filter("_fallback and _one_fallback").select("text_id", "indication_code").join(grows(one), "text_id")
         left.append(named(replied.groupBy("indication_code").agg(F.min(F.struct("text_id", "indication_name_fr", "segment_order")).alias("_p")).select("indication_code", "_p.*"), "LLM_SEGMENT"))
-    found = union_first_wins([found, *left], keys).persist()
-    still = real.select("indication_code", "text_id").distinct().join(found.select("indication_code").distinct(), "indication_code", "left_anti").join(texts.filter(F.col("text") != ""), "text_id")
+    found = first_layer([found, *left]).persist()
+    # the codes without a name are few rows beside the links, which stay where they are; the planner is to know how few
+    unnamed = cut(coded.filter("_real").select("indication_code").distinct().join(found.select("indication_code").distinct(), "indication_code", "left_anti")).withColumnRenamed("indication_code", "_open")
+    still = coded.filter("_real").select("text_id", "indication_code").join(unnamed, code.eqNullSafe(F.col("_open")), "left_semi")
     bold = lambda c: F.nullif(F.regexp_extract(c, "(?d)<b>(.+?)</b>", 1), F.lit(""))
-    still = missing(still, ["text_fr"], "string").withColumns({"text": tx.decode_entities(F.col("text")), "text_fr": tx.decode_entities(F.col("text_fr"))}).withColumn("_bold", bold("text"))
-    # what tells one layer from the other is worked out once
-    still = still.withColumn("_usable", F.col("_bold").isNotNull() & ~tx.is_structural(F.col("_bold"))).persist()
-    by_bold = still.filter("_usable").select("indication_code", "text_id", F.col("_bold").alias("indication_name_de"), bold("text_fr").alias("indication_name_fr"))
-    by_text = still.filter("not _usable").select("indication_code", "text_id", F.nullif(tx.first_sentence(tx.clean_markup(F.col("text"))), F.lit("")).alias("indication_name_de")).filter("indication_name_de is not null")
-    return found.unionByName(union_first_wins([named(by_bold, "BOLD_EXTRACT"), named(by_text, "DESC_TRUNCATED")], keys))
+    # a text is read once, not once for each of its codes, and only what it names is joined
+    told = missing(texts, ["text_fr"], "string").filter(F.col("text") != "").select("text_id", "text", "text_fr").join(grows(still.select("text_id").distinct()), "text_id", "left_semi")
+    told = told.withColumns({"text": tx.decode_entities(F.col("text")), "text_fr": tx.decode_entities(F.col("text_fr"))}).withColumn("_bold", bold("text"))
+    told = told.withColumn("_usable", F.col("_bold").isNotNull() & ~tx.is_structural(F.col("_bold")))
+    said = F.when(F.col("_usable"), F.col("_bold")).otherwise(F.nullif(tx.first_sentence(tx.clean_markup(F.col("text"))), F.lit("")))
+    told = told.select("text_id", "_usable", F.when(F.col("_usable"), bold("text_fr")).alias("indication_name_fr"), said.alias("indication_name_de"))
+    told = told.withColumn("layer", F.when(F.col("_usable"), "BOLD_EXTRACT").when(F.col("indication_name_de").isNotNull(), "DESC_TRUNCATED"))
+    # no layer: no name. Such rows go last, for a filter on names would be moved to the texts and read them twice
+    return found.unionByName(first_layer([named(told.join(grows(still), "text_id"), F.col("layer"))]).filter("match_source is not null"))

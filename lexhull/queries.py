@@ -678,7 +678,8 @@ def ordinal_pairing(spark, d):
 
 def sku_tables(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     """Links, segments, texts, reference names and replies in which every layer of the code map has its cases."""
-    lines = table(spark, d, "lineitem").join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey"))
+    # links and segments start from the same lines, which are joined once
+    lines = tables.cut(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(table(spark, d, "part").select("p_partkey", "p_name"), F.expr("l_partkey = p_partkey")))
     links = lines.selectExpr(
         "l_orderkey as text_id", "case when l_orderkey % 9 = 8 then concat('D', l_orderkey % 30, '.XX') else concat('D', l_orderkey % 30, '.', l_partkey % 900 + 10) end as indication_code",
         "case when l_orderkey % 9 = 8 then 'FALLBACK_XX' when l_orderkey % 4 = 1 or (l_orderkey % 4 = 2 and l_linenumber = 1) then 'STRUCTURED_XML' else 'TEXT_PARSED' end as code_source",

@@ -192,6 +192,26 @@ def test_cascade_broadcasts_nothing_that_grows(spark, tmp_path):
     assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 2000
 
 
+def test_code_names_reads_links_and_segments_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(x):
+        seen.add(1)
+        return x
+
+    counted = F.udf(told).asNondeterministic()
+    links = [(1, "D1.10", "STRUCTURED_XML"), (2, "D1.11", "TEXT_PARSED"), (2, "D1.12", "TEXT_PARSED"), (3, "D3.XX", "FALLBACK_XX"), (4, "D4.13", "TEXT_PARSED")]
+    segs = [(1, 0, "Eins"), (2, 0, "Zwei"), (2, 1, "Drei"), (3, 0, "eins")]
+    out = matching.code_names(
+        spark.createDataFrame(links, "text_id int, indication_code string, code_source string").withColumn("indication_code", counted("indication_code")),
+        spark.createDataFrame(segs, "text_id int, segment_order int, indication_name_de string").withColumn("indication_name_de", counted("indication_name_de")),
+        spark.createDataFrame([(4, "<b>Haut</b>")], "text_id int, text string"), None, spark.createDataFrame([(3, "Trois")], "text_id int, indication_name_fr string"),
+    )
+    assert {(r["indication_code"], r["indication_name_de"] or r["indication_name_fr"], r["match_source"]) for r in out.collect()} == {
+        ("D1.10", "Eins", "DIRECT_STRUCT"), ("D1.11", "Zwei", "ORDINAL_POSITION"), ("D1.12", "Drei", "ORDINAL_POSITION"), ("D3.10", "eins", "NORM_CROSS"), ("D3.XX", "Trois", "LLM_SEGMENT"), ("D4.13", "Haut", "BOLD_EXTRACT")}
+    assert seen.value == len(links) + len(segs)
+
+
 def test_two_entries_of_one_name_leave_no_lead(spark):
     left = spark.createDataFrame([("d", 1, "abcdefghij"), ("d", 2, "klmnopqrst")], "dossier string, segment int, a string")
     right = spark.createDataFrame([("d", "abcdefghix"), ("d", "abcdefghix"), ("d", "klmnopqrsx")], "dossier string, b string")
