@@ -13,6 +13,11 @@ distinct tokens; the answers meet the group again by its number, so no key is ev
 BROADCAST_BITS the slices are also laid end to end and broadcast; a larger filter stays in its slices,
 and the groups ask these for their levels along with the counts. Both ways give the same scores.
 
+A group and a bucket exchange one row each way, so there are as many rows as pairs of these, and
+nothing runs row by row: a bucket is a range of hashes, so what a group asks is its sorted hashes cut
+at the buckets' bounds; a bucket answers all rows of a batch in one pass; and what it answers, put in order of
+bucket, lies beside the sorted hashes again, which therefore don't travel back.
+
 The score of a word after another is (c(h, w) + T(h) * P(w)) / (c(h) + T(h)), with the middle of each
 level's range for the counts, the smoothed unigram probability for P, and c(h)**FOLLOWERS for T(h), the number of
 different words that follow h.
@@ -34,12 +39,14 @@ from .frames import cut, partitions
 KEY_BITS, PROBES = 10, 4
 #: The filter is broadcast up to this size (128 MB), else the probes go to its slices.
 BROADCAST_BITS = 1 << 30
-#: Bytes of training text for a bucket of hashes, and of texts that are scored at once.
-BUCKET_BYTES, GROUP_BYTES = 2 << 20, 2 << 20
+#: Bytes of training text for a bucket of hashes, and of texts that are scored at once: the larger, the fewer rows between them.
+BUCKET_BYTES, GROUP_BYTES = 8 << 20, 4 << 20
 #: Power of a word's count that tells how many different words follow it.
 FOLLOWERS = 0.9
 #: Entries a task holds before it sends them on.
 HELD = 1_500_000
+#: Bytes of text that are cut into tokens at once, and hashes that are looked up in the filter at once: what a processor's own cache holds.
+PIECE_BYTES, PROBED = 1 << 18, 1 << 15
 END = np.uint64(0x5D1E)
 SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,26 +65,50 @@ def bigrams(hashes: np.ndarray) -> np.ndarray:
     return tb.mix(hashes[:-1] * SALT + hashes[1:]) if len(hashes) else hashes
 
 
+def firsts(ordered: np.ndarray) -> np.ndarray:
+    """Which of these stand first among their equals."""
+    out = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=out[1:])
+    return out
+
+
+def distinct(hashes: np.ndarray) -> np.ndarray:
+    """In order."""
+    ordered = np.sort(hashes)
+    return ordered[firsts(ordered)]
+
+
 def summed(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes in order, with their counts."""
     if counts is None:
-        order = np.sort(hashes)
-        first = np.flatnonzero(np.r_[True, order[1:] != order[:-1]]) if len(order) else np.zeros(0, int)
-        return order[first], np.diff(np.r_[first, len(order)])
-    order = np.argsort(hashes, kind="stable")
+        ordered = np.sort(hashes)
+        first = np.flatnonzero(firsts(ordered))
+        return ordered[first], np.diff(np.r_[first, len(ordered)])
+    order = np.argsort(hashes)
     hashes, counts = hashes[order], counts[order]
-    first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, int)
+    first = np.flatnonzero(firsts(hashes))
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    return (hashes >> np.uint64(32)) % np.uint64(buckets)
+    """Ranges of hashes, in order."""
+    return (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
 
 
-def narrow(counts: np.ndarray) -> bytes:
+def bounds(ordered: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins in sorted hashes, and their number."""
+    low = ((np.arange(buckets, dtype=np.uint64) << np.uint64(32)) + np.uint64(buckets - 1)) // np.uint64(buckets)
+    return np.r_[np.searchsorted(ordered, low << np.uint64(32)), len(ordered)]
+
+
+def narrowed(counts: np.ndarray) -> np.ndarray:
     """Counts in the fewest bytes each (1, 2, 4 or 8) that hold all of them."""
     most = int(counts.max(initial=0))
-    return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max)).tobytes()
+    return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(t).max))
+
+
+def narrow(counts: np.ndarray) -> bytes:
+    return narrowed(counts).tobytes()
 
 
 def wide(packed: bytes, n: int) -> np.ndarray:
@@ -85,11 +116,9 @@ def wide(packed: bytes, n: int) -> np.ndarray:
     return np.frombuffer(packed, f"u{len(packed) // n}" if n else np.uint8).astype(np.int64)
 
 
-def slices(bucket: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, filled, cuts): what sorts by bucket, the buckets that hold any, and where each begins and ends."""
-    order = np.argsort(bucket, kind="stable")
-    filled, first = np.unique(bucket[order], return_index=True)
-    return order, filled.astype(np.int64), np.r_[first, len(bucket)]
+def spans(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """The bytes of values[at[0]:at[1]], values[at[1]:at[2]], ... as a binary column."""
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer((at * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
 
 
 def packed_counts(buckets: int) -> Callable:
@@ -102,16 +131,16 @@ def packed_counts(buckets: int) -> Callable:
             parts = held[kind]
             hashes, counts = summed(np.concatenate([h for h, _ in parts]), np.concatenate([c for _, c in parts])) if parts else (np.zeros(0, np.uint64), np.zeros(0, int))
             held[kind] = []
-            order, filled, cuts = slices(bucket_of(hashes, buckets), buckets)
-            hashes, counts = hashes[order], counts[order]
+            at = bounds(hashes, buckets)
+            filled = np.flatnonzero(np.diff(at))
             if len(filled):
-                spans = list(zip(cuts, cuts[1:]))
+                at = np.r_[at[filled], len(hashes)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(filled), pa.array([kind] * len(filled), pa.int32()), pa.array([hashes[s:e].tobytes() for s, e in spans], pa.binary()), pa.array([narrow(counts[s:e]) for s, e in spans], pa.binary())],
+                    [pa.array(filled), pa.array([kind] * len(filled), pa.int32()), spans(hashes, at), pa.array([narrow(counts[s:e]) for s, e in zip(at, at[1:])], pa.binary())],
                     names=["bucket", "kind", "hashes", "counts"],
                 )
 
-        for piece in tb.pieces(batches, 0):
+        for piece in tb.pieces(batches, 0, PIECE_BYTES):
             hashes, row = text_tokens(piece.column(0))
             pairs = bigrams(hashes)[row[1:] == row[:-1]]
             for kind, grams in ((1, hashes), (2, pairs)):
@@ -133,7 +162,8 @@ class Places:
     """The bits of each key (gram, level): all probes of a gram follow from two hashes of it."""
 
     def __init__(self, hashes: np.ndarray, bits: int | np.ndarray):
-        self.first, self.step = tb.mix(hashes + SALT), hashes | np.uint64(1)
+        # the high bits of a bucket's hashes are alike; those of the product are not
+        self.first, self.step = tb.mix(hashes + SALT), hashes * SALT | np.uint64(1)
         self.bits = np.broadcast_to(np.asarray(bits, np.uint64), hashes.shape)
 
     def of(self, rows: np.ndarray, level: int, probe: int) -> np.ndarray:
@@ -155,17 +185,16 @@ def merge_bucket(table: pa.Table) -> pa.Table:
         found[kind] = summed(np.concatenate(hashes), np.concatenate(counts)) if hashes else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     level = {kind: levels(counts) for kind, (_, counts) in found.items()}
     keys = sum(int(x.sum()) for x in level.values())
-    bits = np.zeros(-(-keys * KEY_BITS // 64) * 8, np.uint8)
+    bits = np.zeros(-(-keys * KEY_BITS // 64) * 64, bool)
     top = max((int(x.max(initial=0)) for x in level.values()))
     for kind, (hashes, _) in found.items():
-        places = Places(hashes, len(bits) * 8)
+        places = Places(hashes, len(bits))
         for j in range(1, top + 1):
             rows = np.flatnonzero(level[kind] >= j)
             for probe in range(PROBES):
-                place = places.of(rows, j, probe)
-                np.bitwise_or.at(bits, place >> 3, (1 << (place & 7)).astype(np.uint8))
+                bits[places.of(rows, j, probe)] = True
     hashes, counts = found[1]
-    return pa.table([[table.column("bucket")[0].as_py()], [top], [int(counts.sum())], [len(hashes)], [hashes.tobytes()], [narrow(counts)], [bits.tobytes()]], schema=MERGED)
+    return pa.table([[table.column("bucket")[0].as_py()], [top], [int(counts.sum())], [len(hashes)], [hashes.tobytes()], [narrow(counts)], [np.packbits(bits, bitorder="little").tobytes()]], schema=MERGED)
 
 
 def middle(level: np.ndarray) -> np.ndarray:
@@ -181,6 +210,9 @@ class Levels:
 
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """0 for what was never set."""
+        return np.concatenate([self.probed(hashes[i : i + PROBED]) for i in range(0, max(len(hashes), 1), PROBED)])
+
+    def probed(self, hashes: np.ndarray) -> np.ndarray:
         bucket = bucket_of(hashes, len(self.top)).astype(np.int64)
         base, top, places = self.start[bucket] * 8, self.top[bucket], Places(hashes, np.maximum(self.size[bucket] * 8, 1))
         level, left, j = np.zeros(len(hashes), np.int64), np.arange(len(hashes)), 0
@@ -198,12 +230,22 @@ def nothing() -> Levels:
     return Levels(np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint8))
 
 
-def lookup(keys: np.ndarray, values: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(found, value) of hashes in a sorted table."""
+def places_in(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where hashes stand in sorted keys, or would stand; sorted first, which is faster than to look each up at random."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    new = firsts(ordered)
+    out = np.empty(len(hashes), np.int64)
+    out[order] = np.searchsorted(keys, ordered[new])[np.cumsum(new) - 1]
+    return out
+
+
+def lookup(keys: np.ndarray, values: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Values of hashes in a sorted table, 0 for what it doesn't hold."""
     if not len(keys):
-        return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64)
-    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    return keys[at] == hashes, values[at]
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(places_in(keys, hashes), len(keys) - 1)
+    return np.where(keys[at] == hashes, values[at], 0)
 
 
 SCORES = ["id", "n_tokens", "n_known", "base_score", "score"]
@@ -217,67 +259,66 @@ def piece_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 
 def ask(buckets: int, routed: bool) -> Callable:
-    """(group, id, text) in order of group to (bucket, group, kind, hashes): its distinct tokens (kind 1), and bigrams (kind 2) if these are routed."""
+    """(group, id, text) in order of group to (bucket, group, words, pairs): what a group asks, cut at the buckets' bounds."""
 
-    def questions(group: int, found: dict[int, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for kind, parts in found.items():
-            grams = np.unique(np.concatenate(parts))
-            order, filled, cuts = slices(bucket_of(grams, buckets), buckets)
-            grams = grams[order]
-            yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array([group] * len(filled), pa.int64()), pa.array([kind] * len(filled), pa.int32()), pa.array([grams[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary())], names=["bucket", "group", "kind", "hashes"])
+    def questions(group: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        words, pairs = (distinct(np.concatenate(grams)) for grams in zip(*parts))
+        by_word, by_pair = bounds(words, buckets), bounds(pairs, buckets)
+        filled = np.flatnonzero(np.diff(by_word) + np.diff(by_pair))
+        columns = [spans(grams, np.r_[at[filled], len(grams)]) for grams, at in ((words, by_word), (pairs, by_pair))]
+        return pa.RecordBatch.from_arrays([pa.array(filled), pa.array(np.full(len(filled), group)), *columns], names=["bucket", "group", "words", "pairs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, found = None, {}
-        for piece in tb.pieces(batches, 2):
+        at, parts = None, []
+        for piece in tb.pieces(batches, 2, PIECE_BYTES):
             groups = piece.column(0).to_numpy()
             ends = np.r_[np.flatnonzero(groups[1:] != groups[:-1]) + 1, len(groups)]
             for s, e in zip(np.r_[0, ends[:-1]], ends):
                 if groups[s] != at:
-                    yield from questions(at, found)
-                    at, found = int(groups[s]), {}
+                    if parts:
+                        yield questions(at, parts)
+                    at, parts = int(groups[s]), []
                 hashes, _, _, pairs = piece_tokens(piece.column(2).slice(s, e - s))
-                for kind, grams in ((1, hashes), (2, pairs))[: 1 + routed]:
-                    found.setdefault(kind, []).append(np.unique(grams))
-        yield from questions(at, found)
+                parts.append((distinct(hashes), distinct(pairs) if routed else pairs[:0]))
+        if parts:
+            yield questions(at, parts)
 
     return run
 
 
+def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All hashes of a binary column, and where each row's begin and end."""
+    data, offsets = tb.column_bytes(column)
+    return data.view(np.uint64), offsets // 8
+
+
 def answer(routed: bool) -> Callable:
-    """Rows in order of bucket, a bucket's own counts and slice before what it is asked, to (group, kind, hashes, counts, levels)."""
+    """Rows in order of bucket, a bucket's own tokens, counts and slice before what it is asked, to (bucket, group, asked, counts, words, pairs): the number of tokens asked for, their counts, levels of both."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, known, exact, model = -1, np.zeros(0, np.uint64), np.zeros(0, np.int64), nothing()
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for at, group, kind, hashes, counts, top, bits in zip(*[c.to_pylist() for c in batch.columns]):
-                hashes = np.frombuffer(hashes, np.uint64)
-                if group is None:
-                    bucket, known, exact = at, hashes, wide(counts, len(hashes))
-                    model = Levels(np.array([top]), np.array([len(bits)]), np.frombuffer(bits, np.uint8)) if routed else model
+            at, own = batch.column("bucket").to_numpy(), pc.is_null(batch.column("group")).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(firsts(at) | own | np.r_[False, own[:-1]])
+            for s, e in zip(cuts, np.r_[cuts[1:], len(at)]):
+                rows = batch.slice(s, e - s)
+                if own[s]:
+                    bucket, known = at[s], numbers(rows.column("words"))[0]
+                    exact = wide(rows.column("counts")[0].as_py(), len(known))
+                    if routed:
+                        bits = np.frombuffer(rows.column("bits")[0].as_py(), np.uint8)
+                        model = Levels(np.array([rows.column("top")[0].as_py()]), np.array([len(bits)]), bits)
                     continue
-                if at != bucket:  # nothing was learnt for it
-                    bucket, known, exact, model = at, hashes[:0], exact[:0], nothing()
-                found, c = lookup(known, exact, hashes)
-                for column, value in zip(out, (group, kind, hashes.tobytes(), narrow(np.where(found, c, 0).astype(np.int64)) if kind == 1 else b"", model.levels(hashes).astype(np.uint8).tobytes() if routed else b"")):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["group", "kind", "hashes", "counts", "levels"])
+                if at[s] != bucket:  # nothing was learnt for it
+                    bucket, known, exact, model = at[s], known[:0], exact[:0], nothing()
+                (words, word_cuts), (pairs, pair_cuts) = numbers(rows.column("words")), numbers(rows.column("pairs"))
+                told = [spans(model.levels(x).astype(np.uint8), x_cuts) if routed else pa.nulls(e - s, pa.binary()) for x, x_cuts in ((words, word_cuts), (pairs, pair_cuts))]
+                counts = spans(narrowed(lookup(known, exact, words)), word_cuts)
+                yield pa.RecordBatch.from_arrays([rows.column("bucket"), rows.column("group"), pa.array(np.diff(word_cuts)), counts, *told], names=["bucket", "group", "asked", "counts", "words", "pairs"])
 
     return run
 
 
-def gathered(answers: pa.Table, kind: int, column: str) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes in order, values) of all answers of a kind."""
-    own = answers.filter(pc.equal(answers.column("kind"), kind))
-    hashes = [np.frombuffer(h, np.uint64) for h in own.column("hashes").to_pylist()]
-    values = [wide(c, len(h)) for c, h in zip(own.column(column).to_pylist(), hashes)]
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    all_, values = np.concatenate(hashes), np.concatenate(values)
-    order = np.argsort(all_)
-    return all_[order], values[order]
-
-
 def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: the id, n_tokens, n_known, train_tokens (long), base_score, score (double).
 
@@ -316,27 +357,30 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     # dealt out once: what asks and what is scored read the same exchange, as long as both take all of its columns
     grouped = rows.select(F.pmod(F.xxhash64("id", "text"), F.lit(groups)).alias("group"), "id", "text").repartition(partitions(spark), "group")
     none = F.lit(None)
-    asked = grouped.sortWithinPartitions("group").mapInArrow(ask(buckets, routed), "bucket long, group long, kind int, hashes binary")
-    asked = asked.select("bucket", "group", "kind", "hashes", none.cast("binary").alias("counts"), none.cast("int").alias("top"), none.cast("binary").alias("bits"))
-    held = merged.select("bucket", none.cast("long").alias("group"), none.cast("int").alias("kind"), "hashes", "counts", "top", "bits" if routed else none.cast("binary").alias("bits"))
+    asked = grouped.sortWithinPartitions("group").mapInArrow(ask(buckets, routed), "bucket long, group long, words binary, pairs binary")
+    asked = asked.select("*", none.cast("binary").alias("counts"), none.cast("int").alias("top"), none.cast("binary").alias("bits"))
+    held = merged.select("bucket", none.cast("long").alias("group"), F.col("hashes").alias("words"), none.cast("binary").alias("pairs"), "counts", "top", "bits" if routed else none.cast("binary").alias("bits"))
     meeting = asked.unionByName(held).repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", F.col("group").isNotNull())
-    answers = meeting.mapInArrow(answer(routed), "group long, kind int, hashes binary, counts binary, levels binary")
+    answers = meeting.mapInArrow(answer(routed), "bucket long, group long, asked long, counts binary, words binary, pairs binary")
 
     def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
         """A group of texts and its answers to the scores of the texts."""
-        known, exact = gathered(answers, 1, "counts")
+        answers = answers.sort_by("bucket")
+        exact = np.concatenate([wide(c, n) for c, n in zip(answers.column("counts").to_pylist(), answers.column("asked").to_pylist())])
+        kinds = (texts.schema.field("id").type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        pieces = list(tb.pieces(texts.select(["id", "text"]).to_batches(), 1, PIECE_BYTES))
+        tokens = [piece_tokens(piece.column(1)) for piece in pieces]
+        words, grams = (distinct(np.concatenate([distinct(x[i]) for x in tokens])) for i in (0, 3))
         if routed:
-            levels_of = {k: gathered(answers, k, "levels") for k in (1, 2)}
+            one, two = (np.frombuffer(b"".join(answers.column(k).to_pylist()), np.uint8).astype(np.int64) for k in ("words", "pairs"))
         else:
             model = Levels(*sent.value)
-        kinds = (texts.schema.field("id").type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            one, two = model.levels(words), model.levels(grams)
+        one, two = middle(one), middle(two)
         parts = []
-        for piece in tb.pieces(texts.select(["id", "text"]).to_batches(), 1):
-            hashes, row, follows, pairs = piece_tokens(piece.column(1))
-            distinct, back = np.unique(hashes, return_inverse=True)
-            c = lookup(known, exact, distinct)[1][back]  # whatever was asked was answered, with 0 for what is unknown
-            one, two = (lookup(*levels_of[1], distinct)[1], lookup(*levels_of[2], pairs)[1]) if routed else (model.levels(distinct), model.levels(pairs))
-            unigram, pair = middle(one)[back], middle(two)
+        for piece, (hashes, row, follows, pairs) in zip(pieces, tokens):
+            at = places_in(words, hashes)
+            c, unigram, pair = exact[at], one[at], two[places_in(grams, pairs)]
             p = np.minimum((unigram + 0.5) / whole, 1.0)
             history = unigram[follows - 1]
             pair = np.minimum(pair, np.minimum(history, unigram[follows]))

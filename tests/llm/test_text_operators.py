@@ -250,6 +250,42 @@ def test_lm_levels_come_back_from_the_filter():
     assert set(full.levels(hashes).tolist()) == {made["top"]}
 
 
+def test_lm_buckets_answer_a_batch_at_once(monkeypatch):
+    """Groups and buckets are many, so a pair of these exchanges one row, no row is answered on its own, and answers lie beside what was asked."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rng, groups, buckets = random.Random(8), 200, 7
+    texts = [" ".join(str(rng.randrange(300)) for _ in range(60)) for _ in range(groups)]
+    rows = pa.RecordBatch.from_pydict({"group": list(range(groups)), "id": list(range(groups)), "text": texts})
+    asked = pa.Table.from_batches(bloom_lm.ask(buckets, True)(iter([rows])))
+    assert asked.num_rows <= groups * buckets
+    counts = pa.Table.from_batches(bloom_lm.packed_counts(buckets)(iter([pa.RecordBatch.from_pydict({"text": texts[: groups // 2]})])))
+    merged = pa.concat_tables([bloom_lm.merge_bucket(counts.filter(pc.equal(counts.column("bucket"), b))) for b in range(buckets)])
+    none = lambda n, kind: pa.nulls(n, kind)
+    columns = asked.schema.names + ["counts", "top", "bits"]
+    n = asked.num_rows
+    own = pa.table([merged.column("bucket"), none(buckets, pa.int64()), merged.column("hashes"), none(buckets, pa.binary()), *(merged.column(c) for c in columns[-3:])], names=columns)
+    meeting = pa.concat_tables([own, pa.table([*asked.columns, none(n, pa.binary()), none(n, pa.int32()), none(n, pa.binary())], names=columns)])
+    meeting = meeting.take(np.lexsort((meeting.column("group").is_valid().to_numpy(), meeting.column("bucket").to_numpy())))
+    calls, levels = [], bloom_lm.Levels.levels
+    monkeypatch.setattr(bloom_lm.Levels, "levels", lambda self, hashes: calls.append(len(hashes)) or levels(self, hashes))
+    batches = meeting.combine_chunks().to_batches(500)
+    answers = pa.Table.from_batches(bloom_lm.answer(True)(iter(batches)))
+    assert answers.num_rows == n and len(calls) <= 2 * (buckets + len(batches))
+    size = np.array([len(b) for b in merged.column("bits").to_pylist()])
+    model = bloom_lm.Levels(merged.column("top").to_numpy(), size, np.frombuffer(b"".join(merged.column("bits").to_pylist()), np.uint8))
+    known = Counter(w for t in texts[: groups // 2] for w in [*t.split(), None])
+    for group in (0, groups - 1):
+        hashes, _, _, pairs = bloom_lm.piece_tokens(pa.array([texts[group]]))
+        told = answers.filter(pc.equal(answers.column("group"), group)).sort_by("bucket")
+        for column, grams in (("words", hashes), ("pairs", pairs)):
+            assert list(b"".join(told.column(column).to_pylist())) == levels(model, np.unique(grams)).tolist()
+        exact = np.concatenate([bloom_lm.wide(c, k) for c, k in zip(told.column("counts").to_pylist(), told.column("asked").to_pylist())])
+        assert sorted(exact.tolist()) == sorted(known[w] for w in {*texts[group].split(), None})
+
+
 def test_counts_beyond_32_bits():
     import numpy as np
 
